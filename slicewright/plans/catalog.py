@@ -9,9 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as _dt
 
-from ..sources import fixtures
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .. import registry
+from ..functions import dates, demographics, kpi
+from ..functions.coerce import to_float64, to_int64
+from ..operators import audit, calendar, reconcile, report_query, setops
+from ..session import scratch_path
+from ..sources import csv_dump, fixtures, pages
 from . import reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +55,271 @@ def q_report_audience_demographics(spark, sf_dir):
     return reports.report_audience_demographics(_raw(spark, sf_dir, "audience_demographics"))
 
 
+# -- report query (Q-1 … Q-6) ---------------------------------------------------
+
+# The report period: the whole delivery history held by the test tables.
+REPORT_START, REPORT_END = report_query.resolve_range("CUSTOM_DATE", start="1992-01-01", end="2030-12-31")
+
+
+def q_run_report_inventory(spark, sf_dir):
+    """Q-1 + Q-2: daily delivery by ad unit and device over the report period."""
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    return report_query.run_report(
+        li,
+        dimensions={"date": F.to_date("l_shipdate"), "ad_unit_name": "l_returnflag",
+                    "device_category": "l_linestatus"},
+        metrics={"ad_server_impressions": F.col("l_quantity").cast("bigint"),
+                 "ad_server_clicks": F.col("l_linenumber").cast("bigint")},
+        start=REPORT_START, end=REPORT_END, date_col="l_shipdate",
+    )
+
+
+def q_run_report_totals(spark, sf_dir):
+    """Q-4: yearly delivery per ad unit with subtotal and grand-total rows."""
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    return report_query.run_report(
+        li,
+        dimensions={"ship_year": F.year("l_shipdate"), "ad_unit_name": "l_returnflag"},
+        metrics={"ad_server_impressions": F.col("l_quantity").cast("bigint")},
+        start=REPORT_START, end=REPORT_END, date_col="l_shipdate", totals=True,
+    )
+
+
+def q_run_report_reach(spark, sf_dir):
+    """Q-6: daily events and unique users per ad unit (exact distinct count)."""
+    ev = fixtures.table(spark, sf_dir, "events")
+    return report_query.run_report(
+        ev,
+        dimensions={"date": F.to_date("ts"), "ad_unit_name": "event_type"},
+        metrics={"events": F.lit(1).cast("bigint")},
+        start=REPORT_START, end=REPORT_END, date_col="ts",
+        reach="user_id", reach_name="unique_reach",
+    )
+
+
+# Fixed value: scheme and query/fragment are not part of a page's hierarchy.
+URL_PATH = r"^[a-z]+://([^?#]*)"
+
+
+def q_hierarchy_levels(spark, sf_dir):
+    """Q-3: site / section / page levels of each page's URL."""
+    pg = fixtures.table(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_extract("url", URL_PATH, 1).alias("path"))
+    return report_query.hierarchy_levels(pg, "path", levels=3, sep="/", prefix="level_") \
+        .select("page_id", "level_1", "level_2", "level_3")
+
+
+# -- month chunks and backfill bookkeeping (G-1, A-8) --------------------------
+
+def q_month_ranges(spark, sf_dir):
+    """G-1 + F-9 + F-12: month chunks of each ad unit's delivery period."""
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    bounds = li.groupBy(F.col("l_returnflag").alias("ad_unit_name")).agg(
+        F.to_date(F.min("l_shipdate")).alias("start"), F.to_date(F.max("l_shipdate")).alias("end"))
+    return calendar.explode_month_ranges(bounds, "start", "end", keep=("ad_unit_name",))
+
+
+def q_backfill_summary(spark, sf_dir):
+    """A-8: rows loaded per month chunk of a geo backfill, with the running total;
+    chunks without rows show 0."""
+    geo = reports.report_geo_backfill(_raw(spark, sf_dir, "geo_monthly"))
+    orders = fixtures.table(spark, sf_dir, "orders")
+    bounds = orders.agg(F.to_date(F.min("o_orderdate")).alias("start"),
+                        F.to_date(F.max("o_orderdate")).alias("end"))
+    chunks = calendar.explode_month_ranges(bounds, "start", "end")
+    loaded = geo.groupBy(F.trunc("report_date", "MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows_loaded"))
+    # Both sides hold one row per month; AQE broadcasts the smaller at run time.
+    joined = chunks.withColumn("month", F.trunc("month_start", "MM")).join(loaded, "month", "left")
+    out = joined.select("chunk", "month_start", "month_end", "month_label",
+                        F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"))
+    # The calendar has one row per month of the period: a bounded window.
+    w = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return out.withColumn("running_total", F.sum("rows_loaded").over(w))
+
+
+# -- slice replacement and append, query form (U-1 … U-3, P-2, P-3) ------------
+
+REPLACE_DAY = _dt.date(2024, 1, 15)
+REPLACE_MONTHS = (_dt.date(1996, 3, 1), _dt.date(1996, 4, 1))
+REPLACE_RANGE = (_dt.date(2024, 1, 10), _dt.date(2024, 1, 20))
+
+
+def q_replace_day(spark, sf_dir):
+    """K-3 as a query: the day is re-extracted without the ``error`` ad unit."""
+    raw = _raw(spark, sf_dir, "fill_rate")
+    stored = reports.report_fill_rate(raw)
+    batch = reports.report_fill_rate(
+        raw.where((F.col("DATE") == dates.date_to_int(F.lit(REPLACE_DAY)))
+                  & (F.col("AD_UNIT_NAME") != "error")))
+    return setops.replace_slice(stored, batch, "date")
+
+
+def q_replace_month(spark, sf_dir):
+    """K-4 / K-6 as a query: a batch holding two months replaces both."""
+    raw = _raw(spark, sf_dir, "geo_monthly")
+    stored = reports.report_geo_monthly(raw)
+    batch = reports.report_geo_backfill(raw).where(F.col("report_date").isin(*REPLACE_MONTHS))
+    return setops.replace_slice(stored, batch, "report_date")
+
+
+def q_replace_range(spark, sf_dir):
+    """K-5 as a query: a day of the range without incoming rows ends up empty."""
+    raw = _raw(spark, sf_dir, "fill_rate")
+    stored = reports.report_fill_rate(raw)
+    lo, hi = REPLACE_RANGE
+    day = dates.date_int_to_date(F.col("DATE"))
+    batch = reports.report_fill_rate(
+        raw.where(day.between(F.lit(lo), F.lit(hi)) & (day != F.lit(REPLACE_DAY))))
+    return setops.replace_range(stored, batch, "date", lo, hi)
+
+
+def q_append_union(spark, sf_dir):
+    """U-1 / U-3: the fill-rate report loaded in half-month chunks, appended."""
+    raw = _raw(spark, sf_dir, "fill_rate")
+    first_half = F.dayofmonth(dates.date_int_to_date(F.col("DATE"))) <= 15
+    return setops.append_union(
+        reports.report_fill_rate(raw.where(first_half)),
+        reports.report_fill_rate(raw.where(~first_half)),
+    )
+
+
+# -- audit (A-3 … A-7, A-9, L-3, L-4) --------------------------------------------
+
+def _report_tables(spark, sf_dir):
+    return {registry.REPORTS[n].table: reports.REPORT_PIPELINES[n](_raw(spark, sf_dir, n))
+            for n in ("inventory_daily", "geo_monthly", "audience_interest",
+                      "audience_demographics", "fill_rate")}
+
+
+def q_audit_profile(spark, sf_dir):
+    parts = []
+    for table, df in _report_tables(spark, sf_dir).items():
+        spec = registry.report(table)
+        parts.append(audit.audit_profile(df, spec.partition_col, table))
+    return setops.append_union(*parts)
+
+
+def _dup_query(report):
+    def q(spark, sf_dir):
+        df = reports.REPORT_PIPELINES[report](_raw(spark, sf_dir, report))
+        return audit.audit_duplicates(df, registry.REPORTS[report].duplicate_key)
+    q.__name__ = f"q_audit_duplicates_{report}"
+    return q
+
+
+def q_audit_summary(spark, sf_dir):
+    return audit.audit_summary(_report_tables(spark, sf_dir))
+
+
+def q_sample_rows(spark, sf_dir):
+    df = q_report_inventory_daily(spark, sf_dir)
+    return audit.sample_rows(df, registry.REPORTS["inventory_daily"].columns, 3)
+
+
+def q_sample_values(spark, sf_dir):
+    return audit.sample_values(q_report_inventory_daily(spark, sf_dir), "ad_unit_name", 10)
+
+
+# -- KPIs and categories (F-16 … F-19) -------------------------------------------
+
+def q_kpi_fill_serve(spark, sf_dir):
+    fr = q_report_fill_rate(spark, sf_dir)
+    return fr.select("date", "ad_unit_name",
+                     kpi.fill_rate_percent().alias("fill_rate_percent"),
+                     kpi.serve_rate_percent().alias("serve_rate_percent"))
+
+
+def q_demographics_split(spark, sf_dir):
+    raw = _raw(spark, sf_dir, "audience_demographics")
+    return report_query.run_report(
+        raw,
+        dimensions={"report_date": dates.month_year_to_date("MONTH_YEAR"),
+                    "gender": demographics.split_group_gender("GRP_DEMOGRAPHICS"),
+                    "age_bracket": demographics.split_group_age("GRP_DEMOGRAPHICS")},
+        metrics={"sessions": to_int64("SESSIONS"), "row_count": F.lit(1).cast("bigint")},
+    )
+
+
+def q_demographics_normalised(spark, sf_dir):
+    df = q_report_audience_demographics(spark, sf_dir)
+    return report_query.run_report(
+        df,
+        dimensions={"report_date": "report_date",
+                    "gender": demographics.normalise_gender("gender"),
+                    "age_bracket": demographics.normalise_age("age_bracket")},
+        metrics={"sessions": "sessions", "ga_impressions": "ga_impressions",
+                 "active_users": "active_users", "row_count": F.lit(1).cast("bigint")},
+    )
+
+
+# -- coercion (F-4, F-5) -----------------------------------------------------------
+
+def q_coerce_int(spark, sf_dir):
+    raw = _raw(spark, sf_dir, "inventory_daily")
+    return raw.groupBy(F.col("IMPRESSIONS").alias("raw_text")).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("value", to_int64("raw_text"))
+
+
+def q_coerce_double(spark, sf_dir):
+    raw = _raw(spark, sf_dir, "geo_monthly")
+    return raw.groupBy(F.col("AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE").alias("raw_text")) \
+        .agg(F.count(F.lit(1)).alias("n")).withColumn("value", to_float64("raw_text"))
+
+
+# -- reconcile (C-7) ------------------------------------------------------------
+
+def q_reconcile(spark, sf_dir):
+    """Daily sums of the raw fill-rate rows against the deduplicated report."""
+    raw = _raw(spark, sf_dir, "fill_rate")
+    typed = reports.transform(raw, registry.REPORTS["fill_rate"])
+    deduped = reports.report_fill_rate(raw)
+    return reconcile.reconcile(typed, deduped, ["date"], list(registry.FILL_RATE_SUM_COLUMNS))
+
+
+# -- sources (S-1, S-2, S-4, G-2) ------------------------------------------------
+
+FILL_RATE_DIMS = ("DATE", "AD_UNIT_NAME")
+FILL_RATE_METRICS = ("UNFILLED_IMPRESSIONS", "CODE_SERVED_COUNT", "RESPONSES_SERVED",
+                     "AD_SERVER_IMPRESSIONS", "FILL_RATE", "AD_REQUESTS")
+
+
+def q_flatten_pages(spark, sf_dir):
+    """S-1 + S-2 + G-2: the fill-rate extract encoded as result pages, flattened
+    back by header position, then run through the fill-rate pipeline."""
+    raw = _raw(spark, sf_dir, "fill_rate")
+    pg = pages.pages_from_rows(raw, FILL_RATE_DIMS, FILL_RATE_METRICS)
+    flat = pages.flatten_pages(pg, FILL_RATE_DIMS, FILL_RATE_METRICS)
+    return reports.report_fill_rate(flat)
+
+
+def inventory_csv_frame(raw):
+    """The inventory extract laid out as a hierarchical CSV dump."""
+    day = dates.date_int_to_date(F.col("DATE"))
+    return raw.select(
+        F.date_format(day, "yyyy-MM-dd").alias("Dimension.DATE"),
+        F.col("AD_UNIT_NAME_TOP_LEVEL").alias("Ad unit 1"),
+        F.col("AD_UNIT_NAME").alias("Ad unit 2"),
+        F.col("ORDER_NAME").alias("Dimension.ORDER_NAME"),
+        F.col("DEVICE_CATEGORY_NAME").alias("Dimension.DEVICE_CATEGORY_NAME"),
+        F.col("RENDERED_CREATIVE_SIZE").alias("Dimension.CREATIVE_SIZE"),
+        F.col("IMPRESSIONS").alias("Column.AD_SERVER_IMPRESSIONS"),
+        F.col("CLICKS").alias("Column.AD_SERVER_CLICKS"),
+        F.col("AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS")
+        .alias("Column.AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS"),
+        F.col("ACTIVE_VIEW_VIEWABLE_IMPRESSIONS").alias("Column.AD_SERVER_ACTIVE_VIEW_VIEWABLE_IMPRESSIONS"),
+    )
+
+
+def q_csv_dump(spark, sf_dir):
+    """S-4: the inventory extract landed as a CSV dump in the shared folder,
+    read back as text and typed by the backfill pipeline."""
+    path = scratch_path(spark, "landing", "inventory_csv")
+    frame = inventory_csv_frame(_raw(spark, sf_dir, "inventory_daily"))
+    csv_dump.write_csv_dump(frame, path)
+    return reports.csv_inventory_daily(csv_dump.read_csv_dump(spark, path, frame.columns))
+
+
 QUERIES: dict[str, Query] = {
     "report_fill_rate": q_report_fill_rate,
     "report_inventory_daily": q_report_inventory_daily,
@@ -54,4 +327,27 @@ QUERIES: dict[str, Query] = {
     "report_geo_backfill": q_report_geo_backfill,
     "report_audience_interest": q_report_audience_interest,
     "report_audience_demographics": q_report_audience_demographics,
+    "run_report_inventory": q_run_report_inventory,
+    "run_report_totals": q_run_report_totals,
+    "run_report_reach": q_run_report_reach,
+    "hierarchy_levels": q_hierarchy_levels,
+    "month_ranges": q_month_ranges,
+    "backfill_summary": q_backfill_summary,
+    "replace_day": q_replace_day,
+    "replace_month": q_replace_month,
+    "replace_range": q_replace_range,
+    "append_union": q_append_union,
+    "audit_profile": q_audit_profile,
+    **{f"audit_duplicates_{r}": _dup_query(r) for r in registry.REPORTS},
+    "audit_summary": q_audit_summary,
+    "sample_rows": q_sample_rows,
+    "sample_values": q_sample_values,
+    "kpi_fill_serve": q_kpi_fill_serve,
+    "demographics_split": q_demographics_split,
+    "demographics_normalised": q_demographics_normalised,
+    "coerce_int": q_coerce_int,
+    "coerce_double": q_coerce_double,
+    "reconcile": q_reconcile,
+    "flatten_pages": q_flatten_pages,
+    "csv_dump": q_csv_dump,
 }

@@ -46,14 +46,17 @@ RAW = {name: raw_sql(name) for name in (
 
 # -- typed report rows ---------------------------------------------------------
 
-FILL_RATE_TYPED = f"""
+def fill_rate_typed(src: str = "raw_fill_rate", where: str = "") -> str:
+    return f"""
 select {_date_int('DATE')} as date, cast(AD_UNIT_NAME as varchar) as ad_unit_name,
        UNFILLED_IMPRESSIONS as unfilled_impressions, CODE_SERVED_COUNT as code_served_count,
        RESPONSES_SERVED as responses_served, AD_SERVER_IMPRESSIONS as ad_server_impressions,
        AD_REQUESTS as ad_requests
-from raw_fill_rate"""
+from {src} {where}"""
 
-FILL_RATE = f"""
+
+def fill_rate(src: str = "fill_rate_typed", where: str = "") -> str:
+    return f"""
 select date, ad_unit_name,
        {_sum('unfilled_impressions')} as unfilled_impressions,
        {_sum('code_served_count')} as code_served_count,
@@ -61,9 +64,13 @@ select date, ad_unit_name,
        {_sum('ad_server_impressions')} as ad_server_impressions,
        cast({_sum('ad_server_impressions')} as double) / nullif({_sum('ad_requests')}, 0) as fill_rate,
        {_sum('ad_requests')} as ad_requests
-from fill_rate_typed
+from {src} {where}
 group by date, ad_unit_name"""
 
+
+FILL_RATE_TYPED = fill_rate_typed()
+FILL_RATE = fill_rate()
+
 INVENTORY = f"""
 select {_date_int('DATE')} as date, AD_UNIT_NAME_TOP_LEVEL as ad_unit_top_level,
        AD_UNIT_NAME as ad_unit_name, ORDER_NAME as order_name,
@@ -101,6 +108,71 @@ from raw_audience_demographics"""
 
 _FR = dict(raw_fill_rate=RAW["fill_rate"], fill_rate_typed=FILL_RATE_TYPED)
 
+_INV = dict(raw_inventory_daily=RAW["inventory_daily"], inventory=INVENTORY)
+_GEO = dict(raw_geo_monthly=RAW["geo_monthly"], geo=GEO)
+_INT = dict(raw_audience_interest=RAW["audience_interest"], interest=INTEREST)
+_DEM = dict(raw_audience_demographics=RAW["audience_demographics"], demographics=DEMOGRAPHICS)
+_ALL = dict(**_FR, fill_rate=FILL_RATE, **_INV, **_GEO, **_INT, **_DEM)
+
+# report tables: (table name, CTE, date column, duplicate key)
+_TABLES = [
+    ("inventory_daily", "inventory", "date",
+     "date, ad_unit_name, order_name, device_category, creative_size"),
+    ("geo_monthly", "geo", "report_date", "report_date, country_code"),
+    ("report_audience_interest", "interest", "report_date", "report_date, interest_category"),
+    ("report_audience_demographics", "demographics", "report_date", "report_date, gender, age_bracket"),
+    ("report_fill_rate", "fill_rate", "date", "date, ad_unit_name"),
+]
+_DUP_CTE = {"inventory_daily": "inventory", "geo_monthly": "geo", "audience_interest": "interest",
+            "audience_demographics": "demographics", "fill_rate": "fill_rate"}
+_DUP_KEY = {t[1]: t[3] for t in _TABLES}
+
+_PERIOD = ("l_shipdate >= timestamp '1992-01-01' and l_shipdate < timestamp '2031-01-01'")
+
+
+def _months(bounds: str, keep: str = "") -> str:
+    """Month chunks of each (s, e) row of ``bounds``."""
+    k = f"{keep}, " if keep else ""
+    part = f"partition by {keep} " if keep else ""
+    return f"""
+select {k}cast(row_number() over ({part}order by m) as integer) as chunk,
+       greatest(m, s) as month_start, least(last_day(m), e) as month_end,
+       strftime(m, '%B %Y') as month_label, m
+from (select {k}s, e, cast(unnest(generate_series(cast(date_trunc('month', s) as timestamp),
+                                                   cast(e as timestamp), interval 1 month)) as date) as m
+      from {bounds})"""
+
+
+_INV_COLS = ("date", "ad_unit_top_level", "ad_unit_name", "order_name", "device_category", "creative_size",
+             "ad_server_impressions", "ad_server_clicks", "active_view_measurable_impressions",
+             "active_view_viewable_impressions")
+
+_RECONCILE_METRICS = ("unfilled_impressions", "code_served_count", "responses_served",
+                      "ad_server_impressions", "ad_requests")
+
+
+def _reconcile() -> str:
+    def sums(suffix):
+        return ", ".join(f"{_sum(m)} as {m}_{suffix}" for m in _RECONCILE_METRICS)
+    cols = ", ".join(f"coalesce(a.{m}_a, 0) as {m}_a, coalesce(b.{m}_b, 0) as {m}_b, "
+                     f"coalesce(a.{m}_a, 0) - coalesce(b.{m}_b, 0) as {m}_delta"
+                     for m in _RECONCILE_METRICS)
+    same = " and ".join(f"a.{m}_a = b.{m}_b" for m in _RECONCILE_METRICS)
+    return (_with(**_FR, fill_rate=FILL_RATE,
+                  a=f"select date, {sums('a')} from fill_rate_typed group by date",
+                  b=f"select date, {sums('b')} from fill_rate group by date")
+            + f"""select coalesce(a.date, b.date) as date, {cols},
+       case when b.date is null then 'only_a' when a.date is null then 'only_b'
+            when {same} then 'match' else 'mismatch' end as status
+from a full outer join b on a.date = b.date""")
+
+
+_GENDER_SQL = ("case when upper(trim(gender)) in ('HOMME', 'MALE') then 'Male' "
+               "when upper(trim(gender)) in ('FEMME', 'FEMALE') then 'Female' else 'Unknown' end")
+_AGE_SQL = ("case when trim(age_bracket) in ('18-24', '25-34', '35-44', '45-54', '55-64', '65+') "
+            "then trim(age_bracket) else 'Unknown' end")
+_GRP = "'^([A-Z]+)_(.*)$'"
+
 ORACLES: dict[str, str] = {
     "report_fill_rate": _with(**_FR) + FILL_RATE,
     "report_inventory_daily": _with(raw_inventory_daily=RAW["inventory_daily"]) + INVENTORY,
@@ -110,4 +182,102 @@ ORACLES: dict[str, str] = {
     "report_audience_interest": _with(raw_audience_interest=RAW["audience_interest"]) + INTEREST,
     "report_audience_demographics": _with(raw_audience_demographics=RAW["audience_demographics"])
     + DEMOGRAPHICS,
+    "run_report_inventory": f"""
+select cast(l_shipdate as date) as date, l_returnflag as ad_unit_name, l_linestatus as device_category,
+       cast(sum(cast(l_quantity as bigint)) as bigint) as ad_server_impressions,
+       cast(sum(cast(l_linenumber as bigint)) as bigint) as ad_server_clicks
+from lineitem where {_PERIOD}
+group by 1, 2, 3""",
+    "run_report_totals": f"""
+select ship_year, ad_unit_name, cast(sum(q) as bigint) as ad_server_impressions,
+       cast(grouping(ship_year, ad_unit_name) as bigint) as grouping_level
+from (select cast(year(l_shipdate) as integer) as ship_year, l_returnflag as ad_unit_name,
+             cast(l_quantity as bigint) as q
+      from lineitem where {_PERIOD})
+group by rollup (ship_year, ad_unit_name)""",
+    "run_report_reach": """
+select cast(ts as date) as date, event_type as ad_unit_name, cast(count(*) as bigint) as events,
+       count(distinct user_id) as unique_reach
+from events where ts >= timestamp '1992-01-01' and ts < timestamp '2031-01-01'
+group by 1, 2""",
+    "hierarchy_levels": """
+select page_id, string_split(path, '/')[1] as level_1, string_split(path, '/')[2] as level_2,
+       string_split(path, '/')[3] as level_3
+from (select page_id, regexp_extract(url, '^[a-z]+://([^?#]*)', 1) as path from pages)""",
+    "month_ranges": _with(b="select l_returnflag as ad_unit_name, cast(min(l_shipdate) as date) as s, "
+                            "cast(max(l_shipdate) as date) as e from lineitem group by 1",
+                          c=_months("b", "ad_unit_name"))
+    + "select ad_unit_name, chunk, month_start, month_end, month_label from c",
+    "backfill_summary": _with(**_GEO,
+                              b="select cast(min(o_orderdate) as date) as s, "
+                                "cast(max(o_orderdate) as date) as e from orders",
+                              c=_months("b"),
+                              l="select cast(date_trunc('month', report_date) as date) as month, "
+                                "count(*) as rows_loaded from geo where country_name is not null group by 1")
+    + """select chunk, month_start, month_end, month_label,
+       cast(coalesce(l.rows_loaded, 0) as bigint) as rows_loaded,
+       cast(sum(coalesce(l.rows_loaded, 0)) over (order by chunk rows between unbounded preceding
+                                                  and current row) as bigint) as running_total
+from c left join l on l.month = c.m""",
+    "replace_day": _with(**_FR, stored=FILL_RATE,
+                         batch_typed=fill_rate_typed(
+                             "raw_fill_rate", "where DATE = 20240115 and AD_UNIT_NAME <> 'error'"),
+                         batch=fill_rate("batch_typed"))
+    + """select * from stored where not coalesce(date in (select date from batch), false)
+union all select * from batch""",
+    "replace_month": _with(**_GEO, batch="select * from geo where country_name is not null "
+                                         "and report_date in (date '1996-03-01', date '1996-04-01')")
+    + """select * from geo where not coalesce(report_date in (select report_date from batch), false)
+union all select * from batch""",
+    "replace_range": _with(**_FR, stored=FILL_RATE,
+                           batch=fill_rate("fill_rate_typed",
+                                           "where date between date '2024-01-10' and date '2024-01-20' "
+                                           "and date <> date '2024-01-15'"))
+    + """select * from stored
+where not coalesce(date between date '2024-01-10' and date '2024-01-20', false)
+union all select * from batch""",
+    "append_union": _with(**_FR) + fill_rate("fill_rate_typed", "where day(date) <= 15")
+    + "\nunion all\n" + fill_rate("fill_rate_typed", "where day(date) > 15"),
+    "audit_profile": _with(**_ALL) + "\nunion all\n".join(
+        f"""select '{t}' as table_name, count(*) as total_rows,
+       count(*) filter (where {d} is null) as null_dates, min({d}) as min_date, max({d}) as max_date,
+       count(distinct {d}) as unique_dates from {c}""" for t, c, d, _ in _TABLES),
+    **{f"audit_duplicates_{r}": _with(**_ALL)
+       + f"select {_DUP_KEY[c]}, count(*) as cnt from {c} group by {_DUP_KEY[c]} having count(*) > 1"
+       for r, c in _DUP_CTE.items()},
+    "audit_summary": _with(**_ALL) + "\nunion all\n".join(
+        f"select '{t}' as table_name, count(*) as row_count from {c}" for t, c, _, _ in _TABLES),
+    "sample_rows": _with(**_INV) + "select * from inventory order by "
+    + ", ".join(f"{c} asc nulls first" for c in _INV_COLS) + " limit 3",
+    "sample_values": _with(**_INV)
+    + "select distinct ad_unit_name from inventory order by ad_unit_name asc nulls first limit 10",
+    "kpi_fill_serve": _with(**_FR, fill_rate=FILL_RATE) + """
+select date, ad_unit_name,
+       cast(ad_server_impressions as double) / nullif(ad_requests, 0) * 100.0 as fill_rate_percent,
+       cast(code_served_count as double) / nullif(ad_requests, 0) * 100.0 as serve_rate_percent
+from fill_rate""",
+    "demographics_split": _with(raw_audience_demographics=RAW["audience_demographics"]) + f"""
+select {_month_year('MONTH_YEAR')} as report_date,
+       nullif(regexp_extract(GRP_DEMOGRAPHICS, {_GRP}, 1), '') as gender,
+       regexp_replace(regexp_replace(nullif(regexp_extract(GRP_DEMOGRAPHICS, {_GRP}, 2), ''),
+                                     '_PLUS$', '+'), '_', '-', 'g') as age_bracket,
+       cast(sum({_int64('SESSIONS')}) as bigint) as sessions, cast(count(*) as bigint) as row_count
+from raw_audience_demographics group by 1, 2, 3""",
+    "demographics_normalised": _with(**_DEM) + f"""
+select report_date, {_GENDER_SQL} as gender, {_AGE_SQL} as age_bracket,
+       cast(sum(sessions) as bigint) as sessions, cast(sum(ga_impressions) as bigint) as ga_impressions,
+       cast(sum(active_users) as bigint) as active_users, cast(count(*) as bigint) as row_count
+from demographics group by 1, 2, 3""",
+    "coerce_int": _with(raw_inventory_daily=RAW["inventory_daily"]) + f"""
+select IMPRESSIONS as raw_text, count(*) as n, {_int64('IMPRESSIONS')} as value
+from raw_inventory_daily group by IMPRESSIONS""",
+    "coerce_double": _with(raw_geo_monthly=RAW["geo_monthly"]) + f"""
+select AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE as raw_text, count(*) as n,
+       {_float64('AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE')} as value
+from raw_geo_monthly group by AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE""",
+    "reconcile": _reconcile(),
+    # Pages and CSV dumps carry the same rows as the extract: the oracle is
+    # the report built straight from the extract.
+    "flatten_pages": _with(**_FR) + FILL_RATE,
+    "csv_dump": _with(**_INV) + "select * from inventory",
 }
