@@ -97,11 +97,23 @@ def overwrite_mode(spark: SparkSession, mode: str | None):
             spark.conf.set(_OVERWRITE_MODE, old)
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def _write(df: DataFrame, table: str, overwrite: bool, mode: str | None = None) -> None:
     spark = df.sparkSession
     cols = table_columns(spark, table)
+    out = df.select(*[column(c) for c in cols])
+    parts = partition_columns(spark, table)
+    if parts:
+        # Cluster rows by partition before writing: without it every task
+        # writes a file into every day it holds (tasks x days small files on
+        # a long backfill).  REBALANCE lets AQE split a hot day into
+        # advisory-size files and merge small ones.
+        out = out.hint("rebalance", *parts)
     with overwrite_mode(spark, mode):
-        df.select(*[column(c) for c in cols]).write.insertInto(table, overwrite=overwrite)
+        out.write.insertInto(table, overwrite=overwrite)
     spark.catalog.refreshTable(table)
 
 
