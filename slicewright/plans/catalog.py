@@ -320,6 +320,81 @@ def q_csv_dump(spark, sf_dir):
     return reports.csv_inventory_daily(csv_dump.read_csv_dump(spark, path, frame.columns))
 
 
+def _land_csv(spark, frame, name, partition_by=None):
+    """Write ``frame`` as CSV dumps under the shared folder and read them back
+    as text (plus the partition column, when the landing is split by it)."""
+    path = scratch_path(spark, "landing", name)
+    w = frame.write.mode("overwrite").option("header", True)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.csv(path)
+    cols = [c for c in frame.columns if c != partition_by]
+    return csv_dump.read_csv_dump(spark, path, cols)
+
+
+def q_csv_dump_fill_rate(spark, sf_dir):
+    """S-4 + J-3: fill-rate dumps with hierarchical ad-unit columns, typed and
+    deduplicated by the backfill pipeline."""
+    raw = _raw(spark, sf_dir, "fill_rate")
+    frame = raw.select(
+        F.date_format(dates.date_int_to_date(F.col("DATE")), "yyyy-MM-dd").alias("Dimension.DATE"),
+        F.substring("AD_UNIT_NAME", 1, 1).alias("Ad unit 1"),
+        F.col("AD_UNIT_NAME").alias("Ad unit 2"),
+        F.col("UNFILLED_IMPRESSIONS").alias("Column.TOTAL_INVENTORY_LEVEL_UNFILLED_IMPRESSIONS"),
+        F.col("CODE_SERVED_COUNT").alias("Column.TOTAL_CODE_SERVED_COUNT"),
+        F.col("RESPONSES_SERVED").alias("Column.TOTAL_RESPONSES_SERVED"),
+        F.col("AD_SERVER_IMPRESSIONS").alias("Column.AD_SERVER_IMPRESSIONS"),
+        F.col("FILL_RATE").alias("Column.TOTAL_FILL_RATE"),
+        F.col("AD_REQUESTS").alias("Column.TOTAL_AD_REQUESTS"),
+    )
+    return reports.csv_fill_rate(_land_csv(spark, frame, "fill_rate_csv"))
+
+
+def _geo_month_frame(raw, legacy=False):
+    month = dates.month_year_to_date(F.col("MONTH_YEAR"))
+    cols = [F.col("COUNTRY_NAME").alias("Dimension.COUNTRY_NAME"),
+            F.col("COUNTRY_CODE").alias("Dimension.COUNTRY_CRITERIA_ID"),
+            F.col("IMPRESSIONS").alias("Column.AD_SERVER_IMPRESSIONS"),
+            F.col("CLICKS").alias("Column.AD_SERVER_CLICKS")]
+    if not legacy:
+        cols += [F.col("AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE")
+                 .alias("Column.AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE"),
+                 F.col("AD_SERVER_ACTIVE_VIEW_VIEWABLE_IMPRESSIONS")
+                 .alias("Column.AD_SERVER_ACTIVE_VIEW_VIEWABLE_IMPRESSIONS")]
+    return raw.select(*cols, F.date_format(month, "yyyy-MM-dd").alias("chunk_start"))
+
+
+def q_csv_dump_geo(spark, sf_dir):
+    """S-4 + J-5 + P-1: geo dumps landed one folder per month chunk; each
+    row's report_date is its chunk's first day (from the folder name)."""
+    landed = _land_csv(spark, _geo_month_frame(_raw(spark, sf_dir, "geo_monthly")), "geo_csv", "chunk_start")
+    return reports.csv_geo_monthly(landed, F.col("chunk_start").cast("string").cast("date"))
+
+
+def q_legacy_inventory_daily(spark, sf_dir):
+    """Legacy inventory dump (ids, no Active View columns kept when absent)."""
+    raw = _raw(spark, sf_dir, "inventory_daily")
+    frame = raw.select(
+        F.date_format(dates.date_int_to_date(F.col("DATE")), "yyyy-MM-dd").alias("Dimension.DATE"),
+        F.regexp_extract("AD_UNIT_NAME", "[0-9]+", 0).alias("Dimension.AD_UNIT_ID"),
+        F.col("AD_UNIT_NAME").alias("Dimension.AD_UNIT_NAME"),
+        F.regexp_extract("ORDER_NAME", "[0-9]+", 0).alias("Dimension.ORDER_ID"),
+        F.col("ORDER_NAME").alias("Dimension.ORDER_NAME"),
+        F.col("DEVICE_CATEGORY_NAME").alias("Dimension.DEVICE_CATEGORY_NAME"),
+        F.col("RENDERED_CREATIVE_SIZE").alias("Dimension.CREATIVE_SIZE"),
+        F.col("IMPRESSIONS").alias("Column.AD_SERVER_IMPRESSIONS"),
+        F.col("CLICKS").alias("Column.AD_SERVER_CLICKS"),
+    )
+    return reports.legacy_inventory_daily(_land_csv(spark, frame, "legacy_inventory_csv"))
+
+
+def q_legacy_geo_monthly(spark, sf_dir):
+    """Legacy geo dump: country ids, NULL-name subtotals kept, month from the chunk."""
+    frame = _geo_month_frame(_raw(spark, sf_dir, "geo_monthly"), legacy=True)
+    landed = _land_csv(spark, frame, "legacy_geo_csv", "chunk_start")
+    return reports.legacy_geo_monthly(landed, F.col("chunk_start").cast("string").cast("date"))
+
+
 QUERIES: dict[str, Query] = {
     "report_fill_rate": q_report_fill_rate,
     "report_inventory_daily": q_report_inventory_daily,
@@ -350,4 +425,8 @@ QUERIES: dict[str, Query] = {
     "reconcile": q_reconcile,
     "flatten_pages": q_flatten_pages,
     "csv_dump": q_csv_dump,
+    "csv_dump_fill_rate": q_csv_dump_fill_rate,
+    "csv_dump_geo": q_csv_dump_geo,
+    "legacy_inventory_daily": q_legacy_inventory_daily,
+    "legacy_geo_monthly": q_legacy_geo_monthly,
 }

@@ -280,4 +280,18 @@ from raw_geo_monthly group by AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE"
     # the report built straight from the extract.
     "flatten_pages": _with(**_FR) + FILL_RATE,
     "csv_dump": _with(**_INV) + "select * from inventory",
+    "csv_dump_fill_rate": _with(**_FR) + FILL_RATE,
+    "csv_dump_geo": _with(**_GEO) + "select * from geo where country_name is not null",
+    "legacy_inventory_daily": _with(raw_inventory_daily=RAW["inventory_daily"]) + f"""
+select {_date_int('DATE')} as date,
+       {_int64("regexp_extract(AD_UNIT_NAME, '[0-9]+', 0)")} as ad_unit_id, AD_UNIT_NAME as ad_unit_name,
+       {_int64("regexp_extract(ORDER_NAME, '[0-9]+', 0)")} as order_id, ORDER_NAME as order_name,
+       DEVICE_CATEGORY_NAME as device_category, RENDERED_CREATIVE_SIZE as creative_size,
+       {_int64('IMPRESSIONS')} as ad_server_impressions, {_int64('CLICKS')} as ad_server_clicks
+from raw_inventory_daily""",
+    "legacy_geo_monthly": _with(raw_geo_monthly=RAW["geo_monthly"]) + f"""
+select {_int64('COUNTRY_CODE')} as country_id, COUNTRY_NAME as country_name,
+       IMPRESSIONS as ad_server_impressions, CLICKS as ad_server_clicks,
+       {_month_year('MONTH_YEAR')} as report_date
+from raw_geo_monthly""",
 }

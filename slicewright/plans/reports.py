@@ -150,8 +150,11 @@ def legacy_inventory_daily(raw: DataFrame) -> DataFrame:
 
 
 def legacy_geo_monthly(raw: DataFrame, report_date) -> DataFrame:
+    """Legacy geo: country ids; subtotal rows are kept; ``report_date`` is the
+    chunk's first day (a date, or a Column such as the landing folder's)."""
     spec = registry.LEGACY_REPORTS["geo_monthly"]
-    df = keep_expected(rename_mapped(raw, spec.csv_map), spec.expected)
-    df = apply_types(df, {"country_id": "int64", "ad_server_impressions": "int64",
-                          "ad_server_clicks": "int64"})
-    return with_report_date(df, report_date)
+    df = with_report_date(raw, report_date, "__report_date")
+    df = keep_expected(rename_mapped(df, spec.csv_map), list(spec.expected) + ["__report_date"])
+    df = df.withColumnRenamed("__report_date", "report_date")
+    return apply_types(df, {"country_id": "int64", "ad_server_impressions": "int64",
+                            "ad_server_clicks": "int64"})
