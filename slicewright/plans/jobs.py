@@ -59,6 +59,7 @@ def load(
     dry_run: bool = False,
     extra_columns: str = "reject",
     log_table: str | None = LOAD_LOG_TABLE,
+    materialize: bool = False,
 ) -> dict:
     """C-1: write a typed report batch into its table.
 
@@ -66,11 +67,15 @@ def load(
     ``range`` (replace ``[start, end]``, K-5), ``append`` (K-1) or
     ``overwrite`` (K-2).  An empty batch deletes and writes nothing and
     succeeds with 0 rows (K-10).  ``dry_run`` returns the count and three
-    sample rows and writes nothing (K-11).
+    sample rows and writes nothing (K-11).  ``materialize`` checkpoints the
+    batch first (into ``spark.checkpoint.dir``): needed when the batch is
+    derived from the table it replaces.
     """
     spec = registry.report(report)
     name = table or spec.table
     conformed = tables.conform(batch, spec, extra=extra_columns)
+    if materialize and not dry_run:
+        conformed = tables.materialize(conformed)
     result = {"report_type": spec.name, "table": name, "mode": mode}
 
     if dry_run:

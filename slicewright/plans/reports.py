@@ -66,6 +66,12 @@ def report_audience_demographics(raw: DataFrame) -> DataFrame:
     return transform(raw, R["audience_demographics"])
 
 
+def present(df: DataFrame, keys) -> DataFrame:
+    """L-2: rows ordered by their group keys, for display or export only
+    (never before a write: a global sort is a range shuffle)."""
+    return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+
+
 REPORT_PIPELINES = {
     "fill_rate": report_fill_rate,
     "inventory_daily": report_inventory_daily,

@@ -17,6 +17,9 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Small local inputs: split text files finer so all cores read.  On a
+    # cluster keep the 128 MB default (or larger).
+    "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -37,11 +40,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    On a local master with none configured, a fresh temporary folder is set
+    (tests, laptops); on a cluster an unset folder is an error, never a
+    machine-local fallback.
+    """
     d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if spark.sparkContext.master.startswith("local"):
+            return ensure_checkpoint_dir(spark)
         raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder")
     return d
 

@@ -143,9 +143,12 @@ def list_partitions(spark: SparkSession, table: str) -> list[str]:
     return out
 
 
-def drop_partitions(spark: SparkSession, table: str, col: str, values) -> None:
-    for v in values:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({quote(col)} = '{v}')")
+def drop_partitions(spark: SparkSession, table: str, col: str, values, batch: int = 500) -> None:
+    """Drop partitions by value, many per catalog statement."""
+    values = list(values)
+    for i in range(0, len(values), batch):
+        specs = ", ".join(f"PARTITION ({quote(col)} = '{v}')" for v in values[i:i + batch])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
 def stale_partitions(existing, written, lo, hi) -> list[str]:

@@ -190,3 +190,16 @@ def test_streaming_landing_load(spark, scratch):
                        log_table=None).awaitTermination(120)
     assert content(spark, t) == [(D(2024, 1, 1), "hp", 7), (D(2024, 1, 2), "hp", 1)]
     assert pages_src.PAGE_SCHEMA is not None
+
+
+def test_restate_from_own_table_with_materialize(spark):
+    t = fresh("fr_self")
+    jobs.load(spark, "fill_rate", fr_rows(spark, [(D(2024, 1, d), "a", d, 10) for d in range(1, 4)]),
+              table=t, log_table=None)
+    from pyspark.sql import functions as F
+    restated = spark.table(t).where(F.col("date") == D(2024, 1, 2)) \
+        .withColumn("ad_server_impressions", F.col("ad_server_impressions") * 10)
+    jobs.load(spark, "fill_rate", restated, table=t, log_table=None, materialize=True)
+    assert content(spark, t) == [(D(2024, 1, 1), "a", 1), (D(2024, 1, 2), "a", 20), (D(2024, 1, 3), "a", 3)]
+    tables.drop_partitions(spark, t, "date", ["2024-01-01", "2024-01-03"])
+    assert content(spark, t) == [(D(2024, 1, 2), "a", 20)]
