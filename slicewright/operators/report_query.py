@@ -154,13 +154,9 @@ def run_report(
 def _metric_names(metrics) -> list[str]:
     if isinstance(metrics, Mapping):
         return list(metrics.keys())
-    out = []
-    for m in metrics:
-        if isinstance(m, str):
-            out.append(m)
-        else:
-            out.append(m._jc.toString())  # unnamed Column: keep Spark's name
-    return out
+    if not all(isinstance(m, str) for m in metrics):
+        raise TypeError("metrics: give column names, or a {name: Column} map")
+    return list(metrics)
 
 
 def drop_subtotals(df: DataFrame, level_name: str = "grouping_level", keys=()) -> DataFrame:
