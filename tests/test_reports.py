@@ -110,3 +110,12 @@ def test_legacy_inventory(spark):
     r = reports.legacy_inventory_daily(raw).first()
     assert (r.date, r.ad_unit_id, r.order_id, r.ad_server_impressions) == (D(2025, 11, 23), 123, 77, 5)
     assert "junk" not in reports.legacy_inventory_daily(raw).columns
+
+
+def test_fill_rate_keeps_null_unit_group(spark):
+    # X18: NULL group keys form their own group (not dropped, not the text "nan").
+    raw = spark.createDataFrame([(20251123, None, 1, 10), (20251123, None, 2, 10), (20251123, "hp", 3, 0)],
+                                "DATE bigint, AD_UNIT_NAME string, AD_SERVER_IMPRESSIONS bigint, AD_REQUESTS bigint")
+    out = {r.ad_unit_name: (r.ad_server_impressions, r.ad_requests, r.fill_rate)
+           for r in reports.report_fill_rate(raw).collect()}
+    assert out == {None: (3, 20, 0.15), "hp": (3, 0, None)}

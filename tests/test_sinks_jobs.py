@@ -203,3 +203,26 @@ def test_restate_from_own_table_with_materialize(spark):
     assert content(spark, t) == [(D(2024, 1, 1), "a", 1), (D(2024, 1, 2), "a", 20), (D(2024, 1, 3), "a", 3)]
     tables.drop_partitions(spark, t, "date", ["2024-01-01", "2024-01-03"])
     assert content(spark, t) == [(D(2024, 1, 2), "a", 20)]
+
+
+def test_streaming_csv_landing_load(spark, scratch):
+    from slicewright.plans import catalog
+    from slicewright.streaming.landing import start_landing_load
+
+    t = fresh("inv_stream")
+    landing = os.path.join(scratch, "csv_landing")
+    cols = ["Dimension.DATE", "Ad unit 1", "Ad unit 2", "Dimension.ORDER_NAME", "Dimension.DEVICE_CATEGORY_NAME",
+            "Dimension.CREATIVE_SIZE", "Column.AD_SERVER_IMPRESSIONS", "Column.AD_SERVER_CLICKS",
+            "Column.AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS",
+            "Column.AD_SERVER_ACTIVE_VIEW_VIEWABLE_IMPRESSIONS"]
+    rows = [("2024-01-01", "top", "hp", "o1", "Desktop", "728 x 90", "5", "1", "4", "3"),
+            ("2024-01-01", "top", "hp", "o2", "Mobile", "300 x 250", "-", "0", "1", "NA")]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in cols))
+    df.coalesce(1).write.option("header", True).csv(os.path.join(landing, "day1"))
+    start_landing_load(spark, "inventory_daily", os.path.join(landing, "*"), "csv", columns=cols, table=t,
+                       checkpoint=os.path.join(scratch, "ckpt_csv"), log_table=None).awaitTermination(120)
+    spark.catalog.refreshTable(t)
+    got = sorted((r.order_name, r.ad_server_impressions, r.active_view_viewable_impressions)
+                 for r in spark.table(t).collect())
+    assert got == [("o1", 5, 3), ("o2", None, None)]
+    assert catalog.inventory_csv_frame is not None
