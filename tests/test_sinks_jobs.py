@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import types as T
 
 from slicewright import registry
-from slicewright.plans import jobs, reports
+from slicewright.plans import jobs
 from slicewright.sinks import tables
 from slicewright.sources import pages as pages_src
 
