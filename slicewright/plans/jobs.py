@@ -91,23 +91,25 @@ def load(
     obs = Observation(f"load_{name}")
     record = {"severity": "INFO", "report_type": spec.name, "table_name": name, "mode": mode,
               "slice_start": _as_date(start), "slice_end": _as_date(end)}
+    # Observed after the rebalance: the counts are taken in the write stage.
+    prepared = tables.prepare(conformed, name)
     try:
         if mode == "range":
             if start is None or end is None:
                 raise ValueError("range mode needs start and end")
-            observed = conformed.observe(obs, F.count(F.lit(1)).alias("rows"),
-                                         null_count.alias("nulls"),
-                                         F.collect_set(F.col(spec.partition_col).cast("string")).alias("slices"))
+            observed = prepared.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                        null_count.alias("nulls"),
+                                        F.collect_set(F.col(spec.partition_col).cast("string")).alias("slices"))
             out = tables.replace_range(observed, name, spec.partition_col, start, end, observation=obs)
             result["dropped_partitions"] = out["dropped_partitions"]
         else:
-            observed = conformed.observe(obs, F.count(F.lit(1)).alias("rows"), null_count.alias("nulls"))
+            observed = prepared.observe(obs, F.count(F.lit(1)).alias("rows"), null_count.alias("nulls"))
             if mode == "slice":
-                tables.replace_slices(observed, name)
+                tables.replace_slices(observed, name, prepared=True)
             elif mode == "append":
-                tables.append(observed, name)
+                tables.append(observed, name, prepared=True)
             elif mode == "overwrite":
-                tables.overwrite(observed, name)
+                tables.overwrite(observed, name, prepared=True)
             else:
                 raise ValueError(f"unknown load mode {mode!r}")
         got = obs.get

@@ -101,36 +101,45 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _write(df: DataFrame, table: str, overwrite: bool, mode: str | None = None) -> None:
+def prepare(df: DataFrame, table: str) -> DataFrame:
+    """The batch in the table's column order, clustered by its partition.
+
+    Without the clustering every task writes a file into every day it holds
+    (tasks x days small files on a long backfill).  REBALANCE lets AQE split
+    a hot day into advisory-size files and merge small ones.  Anything
+    observed on the returned frame runs in the write's result stage, where
+    each partition's metrics count once even when a lost executor forces
+    earlier stages to re-run.
+    """
     spark = df.sparkSession
-    cols = table_columns(spark, table)
-    out = df.select(*[column(c) for c in cols])
+    out = df.select(*[column(c) for c in table_columns(spark, table)])
     parts = partition_columns(spark, table)
-    if parts:
-        # Cluster rows by partition before writing: without it every task
-        # writes a file into every day it holds (tasks x days small files on
-        # a long backfill).  REBALANCE lets AQE split a hot day into
-        # advisory-size files and merge small ones.
-        out = out.hint("rebalance", *parts)
+    return out.hint("rebalance", *parts) if parts else out
+
+
+def _write(df: DataFrame, table: str, overwrite: bool, mode: str | None = None,
+           prepared: bool = False) -> None:
+    spark = df.sparkSession
+    out = df if prepared else prepare(df, table)
     with overwrite_mode(spark, mode):
         out.write.insertInto(table, overwrite=overwrite)
     spark.catalog.refreshTable(table)
 
 
-def append(df: DataFrame, table: str) -> None:
+def append(df: DataFrame, table: str, prepared: bool = False) -> None:
     """K-1 / U-1: append rows (by column name; ``insertInto`` is positional)."""
-    _write(df, table, overwrite=False)
+    _write(df, table, overwrite=False, prepared=prepared)
 
 
-def overwrite(df: DataFrame, table: str) -> None:
+def overwrite(df: DataFrame, table: str, prepared: bool = False) -> None:
     """K-2: replace the whole table."""
-    _write(df, table, overwrite=True, mode="static")
+    _write(df, table, overwrite=True, mode="static", prepared=prepared)
 
 
-def replace_slices(df: DataFrame, table: str) -> None:
+def replace_slices(df: DataFrame, table: str, prepared: bool = False) -> None:
     """K-3 / K-4 / K-6: replace every partition (day or month) present in the
     batch; others stay.  A batch holding several months replaces all of them."""
-    _write(df, table, overwrite=True, mode="dynamic")
+    _write(df, table, overwrite=True, mode="dynamic", prepared=prepared)
 
 
 def list_partitions(spark: SparkSession, table: str) -> list[str]:
@@ -176,11 +185,11 @@ def replace_range(df: DataFrame, table: str, col: str, lo, hi, observation: Obse
     nothing.
     """
     spark = df.sparkSession
-    if observation is None:  # else ``df`` already observes ``rows`` and ``slices``
+    if observation is None:  # else ``df`` is prepared and observes ``rows`` and ``slices``
         observation = Observation(f"replace_range_{table}")
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"),
-                        F.collect_set(column(col).cast("string")).alias("slices"))
-    replace_slices(df, table)
+        df = prepare(df, table).observe(observation, F.count(F.lit(1)).alias("rows"),
+                                        F.collect_set(column(col).cast("string")).alias("slices"))
+    replace_slices(df, table, prepared=True)
     got = observation.get
     rows = got.get("rows", 0) or 0
     dropped: list[str] = []
