@@ -186,8 +186,13 @@ def backfill(
     summary, total = [], 0
     for lo, hi in chunks:
         pred = range_predicate(raw, date_col, lo, hi, enc) if date_col in raw.columns else None
-        part = raw.where(pred) if pred is not None else raw
+        part = raw.where(pred) if pred is not None else raw  # pushed to the landing scan
         batch = pipe(part)
+        # A landed extract may hold more than the range: keep only its slices
+        # (a monthly slice is keyed by the first of its month).
+        key = F.col(spec.partition_col)
+        first = lo.replace(day=1) if spec.partition_grain == "MONTH" else lo
+        batch = batch.where(key.between(F.lit(first), F.lit(hi)))
         res = load(spark, spec.name, batch, mode="range", start=lo, end=hi, table=table,
                    dry_run=dry_run, log_table=log_table)
         n = res.get("rows_inserted", res.get("rows", 0))
@@ -197,6 +202,24 @@ def backfill(
     return {"report_type": spec.name, "chunks": summary, "total_rows": total, "status": "SUCCESS"}
 
 
+BACKFILL_DEFAULT_REPORTS = ("inventory_daily", "fill_rate", "geo_monthly")
+
+
+def backfill_reports(spark: SparkSession, raws: dict, start, end, reports_=BACKFILL_DEFAULT_REPORTS,
+                     **kwargs) -> list[dict]:
+    """C-3 over several reports, in order; the first failure stops the run
+    (what was loaded before it stays).  ``raws`` maps report name → raw
+    extract (and ``pipelines`` may map report name → pipeline)."""
+    pipelines = kwargs.pop("pipelines", {})
+    out = []
+    for name in reports_:
+        if name not in raws:
+            out.append({"report_type": name, "status": "SKIPPED", "message": "no raw extract given"})
+            continue
+        out.append(backfill(spark, name, raws[name], start, end, pipeline=pipelines.get(name), **kwargs))
+    return out
+
+
 # -- audit (C-5, C-6) ------------------------------------------------------------
 
 FINDINGS_SCHEMA = T.StructType([

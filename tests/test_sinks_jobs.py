@@ -226,3 +226,24 @@ def test_streaming_csv_landing_load(spark, scratch):
                  for r in spark.table(t).collect())
     assert got == [("o1", 5, 3), ("o2", None, None)]
     assert catalog.inventory_csv_frame is not None
+
+
+def test_backfill_keeps_only_the_range_and_runs_several_reports(spark):
+    raw = _raw_fill(spark, [(20240105, "u", 1, 10, 0, 0, 0, 0.1), (20240215, "u", 2, 10, 0, 0, 0, 0.1),
+                            (20240320, "u", 3, 10, 0, 0, 0, 0.1)])
+    geo_raw = spark.createDataFrame([("France", "FR", 1401, 5, 1, "0.5", 3), ("Spain", "ES", 1402, 6, 1, "-", 2)],
+                                    "COUNTRY_NAME string, COUNTRY_CODE string, MONTH_YEAR bigint, IMPRESSIONS bigint, "
+                                    "CLICKS bigint, AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE string, "
+                                    "AD_SERVER_ACTIVE_VIEW_VIEWABLE_IMPRESSIONS bigint")
+    t_fr, t_geo = fresh("bf_fr"), fresh("bf_geo")
+    r1 = jobs.backfill(spark, "fill_rate", raw, "2024-02-10", "2024-02-20", table=t_fr, log_table=None)
+    assert r1["total_rows"] == 1 and content(spark, t_fr) == [(D(2024, 2, 15), "u", 2)]
+    # month_year 1401 = Feb 2024: a mid-month range still loads the February slice
+    r2 = jobs.backfill(spark, "geo_monthly", geo_raw, "2024-02-10", "2024-02-20", table=t_geo, log_table=None)
+    assert r2["total_rows"] == 1
+    spark.catalog.refreshTable(t_geo)
+    assert [(r.report_date, r.country_code) for r in spark.table(t_geo).collect()] == [(D(2024, 2, 1), "FR")]
+    many = jobs.backfill_reports(spark, {"fill_rate": raw}, "2024-01-01", "2024-01-31",
+                                 reports_=("fill_rate", "geo_monthly"), log_table=None,
+                                 table=fresh("bf_many"))
+    assert [m["status"] for m in many] == ["SUCCESS", "SKIPPED"]
