@@ -97,6 +97,31 @@ def q_run_report_reach(spark, sf_dir):
     )
 
 
+def _relative_report(spark, sf_dir, lo_of, hi_of):
+    """Inventory report over a range relative to the latest shipment day
+    ("today" is the day after it).  The latest day is a scalar subquery, so
+    the bounds stay in the plan: no driver round trip, no join."""
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    today = F.date_add(li.select(F.max(F.to_date("l_shipdate"))).scalar(), 1)
+    day = F.to_date("l_shipdate")
+    return report_query.run_report(
+        li.where(day.between(lo_of(today), hi_of(today))),
+        dimensions={"date": day, "ad_unit_name": "l_returnflag"},
+        metrics={"ad_server_impressions": F.col("l_quantity").cast("bigint")},
+    )
+
+
+def q_run_report_last_month(spark, sf_dir):
+    """Q-2 LAST_MONTH + F-9: the month before "today"."""
+    return _relative_report(spark, sf_dir, dates.first_of_previous_month,
+                            lambda t: dates.last_of_month(F.add_months(t, -1)))
+
+
+def q_run_report_yesterday(spark, sf_dir):
+    """Q-2 YESTERDAY + F-10: the day before "today"."""
+    return _relative_report(spark, sf_dir, lambda t: F.date_sub(t, 1), lambda t: F.date_sub(t, 1))
+
+
 # Fixed value: scheme and query/fragment are not part of a page's hierarchy.
 URL_PATH = r"^[a-z]+://([^?#]*)"
 
@@ -405,6 +430,8 @@ QUERIES: dict[str, Query] = {
     "run_report_inventory": q_run_report_inventory,
     "run_report_totals": q_run_report_totals,
     "run_report_reach": q_run_report_reach,
+    "run_report_last_month": q_run_report_last_month,
+    "run_report_yesterday": q_run_report_yesterday,
     "hierarchy_levels": q_hierarchy_levels,
     "month_ranges": q_month_ranges,
     "backfill_summary": q_backfill_summary,
