@@ -53,11 +53,14 @@ def start_landing_load(
     checkpoint: str | None = None,
     available_now: bool = True,
     log_table: str | None = jobs.LOAD_LOG_TABLE,
+    max_files_per_trigger: int | None = None,
 ):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``json`` landings hold result pages with headers ``dimensions`` +
     ``metrics``; ``csv`` landings hold dumps with header names ``columns``.
+    ``max_files_per_trigger`` bounds each micro-batch (a long backlog is then
+    loaded in several slice replaces instead of one large one).
     """
     spec = registry.report(report)
     if pipeline is None:
@@ -66,7 +69,7 @@ def start_landing_load(
             "inventory_daily": reports.csv_inventory_daily,
             "geo_monthly": reports.csv_geo_monthly,
         }[spec.name]
-    stream = read_landing(spark, path, fmt, columns)
+    stream = read_landing(spark, path, fmt, columns, max_files_per_trigger)
     if fmt == "json":
         stream = pages_src.flatten_pages(stream, dimensions, metrics)
 
