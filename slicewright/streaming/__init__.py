@@ -1 +1,5 @@
+"""Incremental loading of landed extracts with Structured Streaming."""
 
+from .landing import read_landing, start_landing_load
+
+__all__ = ["read_landing", "start_landing_load"]
