@@ -247,3 +247,24 @@ def test_backfill_keeps_only_the_range_and_runs_several_reports(spark):
                                  reports_=("fill_rate", "geo_monthly"), log_table=None,
                                  table=fresh("bf_many"))
     assert [m["status"] for m in many] == ["SUCCESS", "SKIPPED"]
+
+
+def test_hot_day_is_split_across_write_tasks(spark):
+    # One day holds almost all rows: REBALANCE lets AQE split it into several
+    # files (advisory size made tiny here so the split shows at test scale).
+    t = fresh("fr_hot")
+    rows = [(D(2024, 1, 1), f"u{i}", i, 10) for i in range(20000)] + [(D(2024, 1, 2), "x", 1, 1)]
+    batch = fr_rows(spark, rows).repartition(8)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "32k")
+    try:
+        out = jobs.load(spark, "fill_rate", batch, table=t, log_table=None)
+    finally:
+        spark.conf.set(key, old)
+    assert out["rows_inserted"] == 20001
+    files = spark.table(t).inputFiles()
+    hot = [f for f in files if "date=2024-01-01" in f]
+    cold = [f for f in files if "date=2024-01-02" in f]
+    assert len(hot) > 1 and len(cold) == 1
+    assert spark.table(t).count() == 20001
