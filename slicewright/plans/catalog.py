@@ -233,6 +233,13 @@ def _dup_query(report):
     return q
 
 
+def q_audit_duplicates_inventory_full_key(spark, sf_dir):
+    """A-6 on the inventory key including the top ad-unit level (reported
+    beside the audit's own key)."""
+    df = q_report_inventory_daily(spark, sf_dir)
+    return audit.audit_duplicates(df, registry.FULL_DUPLICATE_KEYS["inventory_daily"])
+
+
 def q_audit_summary(spark, sf_dir):
     return audit.audit_summary(_report_tables(spark, sf_dir))
 
@@ -441,6 +448,7 @@ QUERIES: dict[str, Query] = {
     "append_union": q_append_union,
     "audit_profile": q_audit_profile,
     **{f"audit_duplicates_{r}": _dup_query(r) for r in registry.REPORTS},
+    "audit_duplicates_inventory_full_key": q_audit_duplicates_inventory_full_key,
     "audit_summary": q_audit_summary,
     "sample_rows": q_sample_rows,
     "sample_values": q_sample_values,

@@ -261,6 +261,10 @@ def audit(spark: SparkSession, table: str, df: DataFrame | None = None) -> DataF
         dups.unpersist()
     out.append((table, "duplicates", "WARNING" if n_dups else "OK", n_dups,
                 "; ".join(str(r) for r in top[:3]) or None))
+    full_key = registry.FULL_DUPLICATE_KEYS.get(spec.name)
+    if full_key:
+        n_full = audit_ops.audit_duplicates(df, full_key).count()
+        out.append((table, "duplicates_full_key", "WARNING" if n_full else "OK", n_full, ", ".join(full_key)))
     first = df.where(F.col(spec.partition_col) == F.lit(p["min_date"])) if p["min_date"] else df
     sample = audit_ops.sample_rows(first, spec.duplicate_key, 3).collect()
     out.append((table, "sample", "INFO", len(sample), "; ".join(str(r.asDict()) for r in sample) or None))

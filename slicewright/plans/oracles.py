@@ -309,4 +309,9 @@ select cast(l_shipdate as date) as date, l_returnflag as ad_unit_name,
 from lineitem, t
 where cast(l_shipdate as date) = today - 1
 group by 1, 2""",
+    "audit_duplicates_inventory_full_key": _with(**_INV) + """
+select date, ad_unit_top_level, ad_unit_name, order_name, device_category, creative_size, count(*) as cnt
+from inventory
+group by date, ad_unit_top_level, ad_unit_name, order_name, device_category, creative_size
+having count(*) > 1""",
 }

@@ -217,6 +217,13 @@ DUPLICATE_KEYS = {
     "fill_rate": ("date", "ad_unit_name"),
 }
 
+# The inventory audit key omits ad_unit_top_level; the full key is audited
+# beside it so both counts are reported.
+FULL_DUPLICATE_KEYS = {
+    "inventory_daily": ("date", "ad_unit_top_level", "ad_unit_name", "order_name", "device_category",
+                        "creative_size"),
+}
+
 # Columns kept (in this order, when present) after the rename.
 EXPECTED_COLUMNS = {
     "inventory_daily": (

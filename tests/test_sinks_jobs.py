@@ -156,6 +156,7 @@ def test_audit_and_audit_all(spark):
     assert f["total_rows"].value == 3 and f["null_dates"].status == "OK"
     assert f["duplicates"].value == 1 and f["duplicates"].status == "WARNING"
     assert f["date_range"].value == 2
+    assert "duplicates_full_key" not in f  # only the inventory report has a second key
     allf = jobs.audit_all(spark, ["no_such_table", "report_fill_rate_absent"]).collect()
     assert {r.status for r in allf} == {"ERROR"} and len(allf) == 2
 
