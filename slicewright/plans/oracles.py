@@ -295,19 +295,18 @@ select {_int64('COUNTRY_CODE')} as country_id, COUNTRY_NAME as country_name,
        {_month_year('MONTH_YEAR')} as report_date
 from raw_geo_monthly""",
     "run_report_last_month": """
-with t as (select max(cast(l_shipdate as date)) + 1 as today from lineitem)
 select cast(l_shipdate as date) as date, l_returnflag as ad_unit_name,
        cast(sum(cast(l_quantity as bigint)) as bigint) as ad_server_impressions
-from lineitem, t
-where cast(l_shipdate as date) between cast(date_trunc('month', today - interval 1 month) as date)
-                                   and last_day(cast(today - interval 1 month as date))
+from lineitem
+where cast(l_shipdate as date) between
+      (select cast(date_trunc('month', max(cast(l_shipdate as date)) + 1 - interval 1 month) as date) from lineitem)
+  and (select last_day(cast(max(cast(l_shipdate as date)) + 1 - interval 1 month as date)) from lineitem)
 group by 1, 2""",
     "run_report_yesterday": """
-with t as (select max(cast(l_shipdate as date)) + 1 as today from lineitem)
 select cast(l_shipdate as date) as date, l_returnflag as ad_unit_name,
        cast(sum(cast(l_quantity as bigint)) as bigint) as ad_server_impressions
-from lineitem, t
-where cast(l_shipdate as date) = today - 1
+from lineitem
+where cast(l_shipdate as date) = (select max(cast(l_shipdate as date)) + 1 - 1 from lineitem)
 group by 1, 2""",
     "audit_duplicates_inventory_full_key": _with(**_INV) + """
 select date, ad_unit_top_level, ad_unit_name, order_name, device_category, creative_size, count(*) as cnt
