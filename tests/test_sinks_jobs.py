@@ -269,3 +269,14 @@ def test_hot_day_is_split_across_write_tasks(spark):
     cold = [f for f in files if "date=2024-01-02" in f]
     assert len(hot) > 1 and len(cold) == 1
     assert spark.table(t).count() == 20001
+
+
+def test_legacy_reports_load_through_the_same_sinks(spark):
+    spec = registry.LEGACY_REPORTS["geo_monthly"]
+    t = fresh("legacy_geo")
+    df = spark.createDataFrame([(D(2025, 1, 1), 2250, "France", 10, 1), (D(2025, 2, 1), 2250, "France", 12, 2)],
+                               T.StructType([T.StructField(f.name, f.dataType, True) for f in spec.schema.fields]))
+    out = jobs.load(spark, "legacy_geo_monthly", df, table=t, log_table=None)
+    assert out["rows_inserted"] == 2 and out["report_type"] == "legacy_geo_monthly"
+    f = {r.check: r for r in jobs.audit(spark, "legacy_geo_monthly", spark.table(t)).collect()}
+    assert f["total_rows"].value == 2 and f["duplicates"].value == 0
