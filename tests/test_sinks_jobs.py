@@ -280,3 +280,21 @@ def test_legacy_reports_load_through_the_same_sinks(spark):
     assert out["rows_inserted"] == 2 and out["report_type"] == "legacy_geo_monthly"
     f = {r.check: r for r in jobs.audit(spark, "legacy_geo_monthly", spark.table(t)).collect()}
     assert f["total_rows"].value == 2 and f["duplicates"].value == 0
+
+
+def test_kpi_view_prunes_and_computes_percentages(spark):
+    from slicewright.plans.views import create_kpi_view
+
+    t = fresh("fr_kpi")
+    rows = [(D(2025, 11, 23), "x", 0, 125000, 0, 98000, 98000 / 150000, 150000), (D(2025, 11, 24), "y", 0, 1, 0, 1, None, 0)]
+    jobs.load(spark, "fill_rate", spark.createDataFrame(rows, SPEC.schema), table=t, log_table=None)
+    v = create_kpi_view(spark, t, temporary=True)
+    got = {r.ad_unit_name: (r.fill_rate_percent, r.serve_rate_percent) for r in spark.table(v).collect()}
+    assert round(got["x"][0], 2) == 65.33 and round(got["x"][1], 2) == 83.33
+    assert got["y"] == (None, None)
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        spark.table(v).where("date = DATE'2025-11-23'").explain()
+    assert "PartitionFilters: [isnotnull(date" in buf.getvalue()
