@@ -50,3 +50,12 @@ def test_csv_dump_roundtrip_dotted_names(spark, scratch):
     rows = sorted(tuple(r) for r in back.collect())
     # "NA" (Namibia) stays text; an empty field is missing.
     assert rows == [("2025-11-23", "NA", "1,000"), ("2025-11-24", "FR", None)]
+
+
+def test_parquet_page_landing(spark, scratch):
+    df = spark.createDataFrame([(20251123, "hp", 3, 0.5), (20251124, "news", 4, 0.25)],
+                               "DATE bigint, UNIT string, N bigint, R double")
+    path = os.path.join(scratch, "pages_parquet")
+    pages.pages_from_rows(df, ["DATE", "UNIT"], ["N", "R"]).select("rows").write.parquet(path)
+    flat = pages.flatten_pages(pages.read_pages(spark, path, fmt="parquet"), ["DATE", "UNIT"], ["N", "R"])
+    assert sorted(tuple(r) for r in flat.collect()) == [("20251123", "hp", "3", "0.5"), ("20251124", "news", "4", "0.25")]
