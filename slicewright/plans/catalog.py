@@ -218,6 +218,7 @@ def _report_tables(spark, sf_dir):
 
 
 def q_audit_profile(spark, sf_dir):
+    """A-3 + A-4 + A-5 for the five report tables, one row each."""
     parts = []
     for table, df in _report_tables(spark, sf_dir).items():
         spec = registry.report(table)
@@ -227,6 +228,7 @@ def q_audit_profile(spark, sf_dir):
 
 def _dup_query(report):
     def q(spark, sf_dir):
+        """A-6 + P-5: duplicate key groups of one report (all of them)."""
         df = reports.REPORT_PIPELINES[report](_raw(spark, sf_dir, report))
         return audit.audit_duplicates(df, registry.REPORTS[report].duplicate_key)
     q.__name__ = f"q_audit_duplicates_{report}"
@@ -241,21 +243,25 @@ def q_audit_duplicates_inventory_full_key(spark, sf_dir):
 
 
 def q_audit_summary(spark, sf_dir):
+    """A-7: row count per report table."""
     return audit.audit_summary(_report_tables(spark, sf_dir))
 
 
 def q_sample_rows(spark, sf_dir):
+    """L-4: first three inventory rows by the full row (a sampling operator)."""
     df = q_report_inventory_daily(spark, sf_dir)
     return audit.sample_rows(df, registry.REPORTS["inventory_daily"].columns, 3)
 
 
 def q_sample_values(spark, sf_dir):
+    """A-9: ten smallest distinct ad-unit names."""
     return audit.sample_values(q_report_inventory_daily(spark, sf_dir), "ad_unit_name", 10)
 
 
 # -- KPIs and categories (F-16 … F-19) -------------------------------------------
 
 def q_kpi_fill_serve(spark, sf_dir):
+    """F-16 + F-17: fill and serve rates in percent per day and ad unit."""
     fr = q_report_fill_rate(spark, sf_dir)
     return fr.select("date", "ad_unit_name",
                      kpi.fill_rate_percent().alias("fill_rate_percent"),
@@ -263,6 +269,7 @@ def q_kpi_fill_serve(spark, sf_dir):
 
 
 def q_demographics_split(spark, sf_dir):
+    """F-18: combined MALE_18_24 codes split into gender and age bracket."""
     raw = _raw(spark, sf_dir, "audience_demographics")
     return report_query.run_report(
         raw,
@@ -274,6 +281,7 @@ def q_demographics_split(spark, sf_dir):
 
 
 def q_demographics_normalised(spark, sf_dir):
+    """F-19: gender and age bracket mapped to their domains, then summed."""
     df = q_report_audience_demographics(spark, sf_dir)
     return report_query.run_report(
         df,
@@ -288,12 +296,14 @@ def q_demographics_normalised(spark, sf_dir):
 # -- coercion (F-4, F-5) -----------------------------------------------------------
 
 def q_coerce_int(spark, sf_dir):
+    """F-4 over every distinct impressions text of the inventory extract."""
     raw = _raw(spark, sf_dir, "inventory_daily")
     return raw.groupBy(F.col("IMPRESSIONS").alias("raw_text")).agg(
         F.count(F.lit(1)).alias("n")).withColumn("value", to_int64("raw_text"))
 
 
 def q_coerce_double(spark, sf_dir):
+    """F-5 over every distinct rate text of the geo extract."""
     raw = _raw(spark, sf_dir, "geo_monthly")
     return raw.groupBy(F.col("AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE").alias("raw_text")) \
         .agg(F.count(F.lit(1)).alias("n")).withColumn("value", to_float64("raw_text"))
