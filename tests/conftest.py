@@ -15,7 +15,7 @@ def spark():
     from slicewright.session import local_session
 
     warehouse = tempfile.mkdtemp(prefix="slicewright-wh-")
-    s = local_session(cores=4, shuffle_partitions=4, app="slicewright-tests",
+    s = local_session(cores="4,2", shuffle_partitions=4, app="slicewright-tests",
                       extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()

@@ -298,3 +298,26 @@ def test_kpi_view_prunes_and_computes_percentages(spark):
     with contextlib.redirect_stdout(buf):
         spark.table(v).where("date = DATE'2025-11-23'").explain()
     assert "PartitionFilters: [isnotnull(date" in buf.getvalue()
+
+
+def test_load_survives_failed_task_attempts(spark):
+    # The test session runs local[4,2]: a task may fail once and is retried.
+    # A (test-only) UDF makes the first attempt of some tasks fail; the table
+    # and the observed row count must come out exactly as without failures.
+    from pyspark import TaskContext
+    from pyspark.sql import functions as F
+
+    @F.udf("bigint")
+    def flaky(v):
+        ctx = TaskContext.get()
+        if ctx is not None and ctx.attemptNumber() == 0 and ctx.partitionId() % 2 == 0:
+            raise RuntimeError("simulated lost task")
+        return v
+
+    t = fresh("fr_flaky")
+    rows = [(D(2024, 1, 1 + d % 5), f"u{d}", d, 10) for d in range(200)]
+    batch = fr_rows(spark, rows).repartition(4).withColumn("ad_server_impressions", flaky("ad_server_impressions"))
+    out = jobs.load(spark, "fill_rate", batch, table=t, log_table=None)
+    assert out["rows_inserted"] == 200
+    assert spark.table(t).count() == 200
+    assert spark.table(t).agg(F.sum("ad_server_impressions")).first()[0] == sum(range(200))
