@@ -159,6 +159,13 @@ def test_audit_and_audit_all(spark):
     assert "duplicates_full_key" not in f  # only the inventory report has a second key
     allf = jobs.audit_all(spark, ["no_such_table", "report_fill_rate_absent"]).collect()
     assert {r.status for r in allf} == {"ERROR"} and len(allf) == 2
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW report_fill_rate AS SELECT * FROM {t}")
+    try:
+        mixed = jobs.audit_all(spark, ["no_such_table", "report_fill_rate"]).collect()
+    finally:
+        spark.catalog.dropTempView("report_fill_rate")
+    assert [r.value for r in mixed if r.check == "summary"] == [3]
+    assert any(r.status == "ERROR" for r in mixed) and any(r.check == "duplicates" for r in mixed)
 
 
 def test_streaming_landing_load(spark, scratch):
