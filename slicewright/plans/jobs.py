@@ -85,6 +85,14 @@ def load(
         return {**result, "status": "DRY_RUN", "rows": n, "sample": [r.asDict() for r in sample]}
 
     tables.ensure_table(spark, spec, name)
+    if mode == "overwrite" and conformed.isEmpty():
+        # A static overwrite with no rows would empty the table; the other
+        # modes write nothing for an empty batch by themselves.
+        result.update(status="SUCCESS", rows_inserted=0, message="No data available")
+        if log_table:
+            log_load(spark, {"severity": "WARNING", "report_type": spec.name, "table_name": name, "mode": mode,
+                             "rows_written": 0, "status": "SUCCESS", "message": result["message"]}, log_table)
+        return result
     metrics = [f.name for f in spec.schema.fields if f.name not in spec.required
                and not isinstance(f.dataType, (T.StringType, T.DateType))]
     null_count = sum((F.count_if(F.col(m).isNull()) for m in metrics), F.lit(0)) if metrics else F.lit(0)

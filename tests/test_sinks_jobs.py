@@ -73,6 +73,10 @@ def test_empty_batch_is_noop(spark):
                     table=t, log_table=None)
     assert out["rows_inserted"] == 0 and out["status"] == "SUCCESS"
     assert content(spark, t) == [(D(2024, 1, 1), "a", 1)]
+    for mode in ("slice", "append", "overwrite"):
+        out = jobs.load(spark, "fill_rate", empty, mode=mode, table=t, log_table=None)
+        assert out["rows_inserted"] == 0 and out["status"] == "SUCCESS"
+        assert content(spark, t) == [(D(2024, 1, 1), "a", 1)], mode
 
 
 def test_required_null_fails_before_writing(spark):
