@@ -15,9 +15,11 @@ from ..functions._util import col_of
 
 def month_chunks(start, end) -> Column:
     """Array of ``struct(month_start, month_end)`` covering ``[start, end]``;
-    the first and last chunk are clipped to the bounds."""
+    the first and last chunk are clipped to the bounds; NULL (no rows once
+    exploded) when start is after end."""
     s, e = F.to_date(col_of(start)), F.to_date(col_of(end))
-    months = F.sequence(F.trunc(s, "MM"), e, F.expr("interval 1 month"))
+    # start after end: no chunk (``sequence`` would raise on reversed bounds)
+    months = F.when(s <= e, F.sequence(F.trunc(s, "MM"), e, F.expr("interval 1 month")))
     return F.transform(
         months,
         lambda m: F.struct(

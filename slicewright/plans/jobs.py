@@ -159,10 +159,11 @@ def month_bounds(start, end) -> list[tuple[_dt.date, _dt.date]]:
     (driver side: this is a handful of dates, not data)."""
     s, e = _as_date(start), _as_date(end)
     out = []
-    cur = s.replace(day=1)
+    cur = s
     while cur <= e:
-        nxt = (cur.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
-        out.append((max(cur, s), min(nxt - _dt.timedelta(days=1), e)))
+        first = cur.replace(day=1)
+        nxt = (first.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
+        out.append((max(first, s), min(nxt - _dt.timedelta(days=1), e)))
         cur = nxt
     return out
 

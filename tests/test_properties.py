@@ -57,3 +57,7 @@ def test_dedupe_keeps_daily_sums_and_removes_duplicates(spark):
     b = deduped.groupBy("date").agg(*[F.sum(m).alias(m) for m in metrics])
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert audit.audit_duplicates(deduped, registry.DUPLICATE_KEYS["fill_rate"]).count() == 0
+
+
+def test_month_ranges_empty_when_start_after_end(spark):
+    assert calendar.month_ranges(spark, dt.date(2024, 5, 20), dt.date(2024, 5, 10)).count() == 0

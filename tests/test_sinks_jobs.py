@@ -149,6 +149,8 @@ def test_month_bounds_cover_each_day_once():
     b = jobs.month_bounds("2024-01-15", "2024-03-10")
     assert b == [(D(2024, 1, 15), D(2024, 1, 31)), (D(2024, 2, 1), D(2024, 2, 29)), (D(2024, 3, 1), D(2024, 3, 10))]
     assert jobs.month_bounds("2024-05-07", "2024-05-07") == [(D(2024, 5, 7), D(2024, 5, 7))]
+    assert jobs.month_bounds("2024-05-20", "2024-05-10") == []
+    assert jobs.month_bounds("2024-01-31", "2024-02-01") == [(D(2024, 1, 31), D(2024, 1, 31)), (D(2024, 2, 1), D(2024, 2, 1))]
 
 
 def test_audit_and_audit_all(spark):
