@@ -80,3 +80,15 @@ def test_end_to_end_backfill_audit_reconcile(spark):
     rec = reconcile.reconcile(typed, spark.table(t), ["date"], list(registry.FILL_RATE_SUM_COLUMNS),
                               only_differences=True)
     assert rec.count() == 0
+
+
+def test_backfill_range_on_raw_keys_is_pushed(spark, tmp_path):
+    from slicewright.operators.report_query import range_predicate
+
+    path = str(tmp_path / "raw_fill_rate")
+    fixtures.raw_report(spark, SF01, "fill_rate").write.parquet(path)
+    raw = spark.read.parquet(path)
+    q = raw.where(range_predicate(raw, "DATE", "2024-01-10", "2024-01-20", "date_int"))
+    p = plan(q)
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(DATE,20240110\).*LessThanOrEqual\(DATE,20240120\)", p)
+    assert q.count() == raw.where("DATE between 20240110 and 20240120").count() > 0
