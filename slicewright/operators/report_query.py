@@ -89,12 +89,18 @@ def range_predicate(df: DataFrame, col: str, start=None, end=None, encoding: str
         if hi:
             preds.append(c <= F.lit(hi.year * 10000 + hi.month * 100 + hi.day))
     elif encoding == "month_year":
-        # month_year keys are not monotone across the month-12 overflow form,
-        # so compare on the decoded first-of-month date.
+        # Keys are not monotone across the overflow form (month part 12..99
+        # rolls up to 8 years ahead), so the exact test is on the decoded
+        # first-of-month date.  A raw-key superset of it is added so the scan
+        # can still skip row groups: a key's year part is at most the
+        # decoded year and at least the decoded year minus 8.
         d = dates.month_year_to_date(c)
+        base = dates.MONTH_YEAR_BASE_YEAR
         if lo:
+            preds.append(c >= F.lit((lo.year - base - 8) * 100))
             preds.append(d >= F.lit(lo.replace(day=1)))
         if hi:
+            preds.append(c <= F.lit((hi.year - base) * 100 + 99))
             preds.append(d <= F.lit(hi))
     else:
         raise ValueError(f"unknown date encoding {encoding!r}")

@@ -61,3 +61,16 @@ def test_dedupe_keeps_daily_sums_and_removes_duplicates(spark):
 
 def test_month_ranges_empty_when_start_after_end(spark):
     assert calendar.month_ranges(spark, dt.date(2024, 5, 20), dt.date(2024, 5, 10)).count() == 0
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.integers(min_value=-1500, max_value=3000), min_size=1, max_size=80),
+       st.dates(min_value=dt.date(1995, 1, 1), max_value=dt.date(2040, 1, 1)), st.integers(0, 3000))
+def test_month_year_range_predicate_is_exact(spark, keys, lo, span):
+    from slicewright.operators.report_query import range_predicate
+
+    hi = lo + dt.timedelta(days=span)
+    df = spark.createDataFrame([(k,) for k in keys], "my bigint")
+    got = sorted(r.my for r in df.where(range_predicate(df, "my", lo, hi, "month_year")).collect())
+    want = sorted(k for k in keys if lo.replace(day=1) <= py_month_year(k) <= hi)
+    assert got == want
