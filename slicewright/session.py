@@ -17,9 +17,6 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Small local inputs: split text files finer so all cores read.  On a
-    # cluster keep the 128 MB default (or larger).
-    "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
