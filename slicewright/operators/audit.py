@@ -47,6 +47,31 @@ def audit_duplicates(df: DataFrame, keys) -> DataFrame:
             .where(F.col("cnt") > 1))
 
 
+def audit_duplicates_sets(df: DataFrame, key_sets) -> DataFrame:
+    """A-6 for several keys in one scan (``GROUPING SETS``).
+
+    Output: the union of all key columns (NULL where a column is not part of
+    that row's key), ``cnt``, and ``key_set`` = the index of the key in
+    ``key_sets``.  Each row is expanded once per key set and collapsed by
+    the partial aggregate before the single exchange.
+    """
+    cols: list[str] = []
+    for ks in key_sets:
+        cols += [c for c in ks if c not in cols]
+    n = len(cols)
+
+    def gid(ks):  # grouping_id(): bit set for every column not in the key
+        return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in ks)
+
+    g = df.groupingSets([[column(c) for c in ks] for ks in key_sets], *[column(c) for c in cols]) \
+        .agg(F.count(F.lit(1)).alias("cnt"), F.grouping_id().alias("_gid"))
+    key_set = None
+    for i, ks in enumerate(key_sets):
+        key_set = (F.when(F.col("_gid") == gid(ks), i) if key_set is None
+                   else key_set.when(F.col("_gid") == gid(ks), i))
+    return g.where(F.col("cnt") > 1).withColumn("key_set", key_set).drop("_gid")
+
+
 def top_duplicates(dups: DataFrame, keys, n: int = 5) -> DataFrame:
     """L-3: the ``n`` largest duplicate groups, in a total order."""
     order = [F.col("cnt").desc()] + [column(k).asc_nulls_first() for k in keys]

@@ -261,18 +261,23 @@ def audit(spark: SparkSession, table: str, df: DataFrame | None = None) -> DataF
     out.append((table, "date_range", "INFO", p["unique_dates"],
                 f"{p['min_date']} .. {p['max_date']} ({p['unique_dates']} distinct)"))
     out.append((table, "null_dates", "WARNING" if p["null_dates"] else "OK", p["null_dates"], None))
-    dups = audit_ops.audit_duplicates(df, spec.duplicate_key).persist(StorageLevel.MEMORY_AND_DISK)
+    full_key = registry.FULL_DUPLICATE_KEYS.get(spec.name)
+    key_sets = [spec.duplicate_key] + ([full_key] if full_key else [])
+    # Both keys in one scan; the duplicate groups are kept (spill-safe) for
+    # their counts and the top five.
+    dups = audit_ops.audit_duplicates_sets(df, key_sets).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_dups = dups.count()
-        top = [r.asDict() for r in audit_ops.top_duplicates(dups, spec.duplicate_key, 5).collect()] \
+        counts = {r["key_set"]: r["count"] for r in dups.groupBy("key_set").count().collect()}
+        n_dups = counts.get(0, 0)
+        main = dups.where(F.col("key_set") == 0).select(*spec.duplicate_key, "cnt")
+        top = [r.asDict() for r in audit_ops.top_duplicates(main, spec.duplicate_key, 5).collect()] \
             if n_dups else []
     finally:
         dups.unpersist()
     out.append((table, "duplicates", "WARNING" if n_dups else "OK", n_dups,
                 "; ".join(str(r) for r in top[:3]) or None))
-    full_key = registry.FULL_DUPLICATE_KEYS.get(spec.name)
     if full_key:
-        n_full = audit_ops.audit_duplicates(df, full_key).count()
+        n_full = counts.get(1, 0)
         out.append((table, "duplicates_full_key", "WARNING" if n_full else "OK", n_full, ", ".join(full_key)))
     first = df.where(F.col(spec.partition_col) == F.lit(p["min_date"])) if p["min_date"] else df
     sample = audit_ops.sample_rows(first, spec.duplicate_key, 3).collect()

@@ -74,3 +74,16 @@ def test_month_year_range_predicate_is_exact(spark, keys, lo, span):
     got = sorted(r.my for r in df.where(range_predicate(df, "my", lo, hi, "month_year")).collect())
     want = sorted(k for k in keys if lo.replace(day=1) <= py_month_year(k) <= hi)
     assert got == want
+
+
+def test_duplicate_key_sets_match_separate_audits(spark):
+    from slicewright.sources import fixtures
+
+    inv = reports.report_inventory_daily(fixtures.raw_report(spark, SF01, "inventory_daily"))
+    k0 = registry.DUPLICATE_KEYS["inventory_daily"]
+    k1 = registry.FULL_DUPLICATE_KEYS["inventory_daily"]
+    both = audit.audit_duplicates_sets(inv, [k0, k1])
+    for i, ks in enumerate((k0, k1)):
+        got = sorted(tuple(r) for r in both.where(F.col("key_set") == i).select(*ks, "cnt").collect())
+        want = sorted(tuple(r) for r in audit.audit_duplicates(inv, ks).collect())
+        assert got == want and len(want) > 0

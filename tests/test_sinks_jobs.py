@@ -334,3 +334,17 @@ def test_load_survives_failed_task_attempts(spark):
     assert out["rows_inserted"] == 200
     assert spark.table(t).count() == 200
     assert spark.table(t).agg(F.sum("ad_server_impressions")).first()[0] == sum(range(200))
+
+
+def test_inventory_audit_reports_both_keys(spark):
+    spec = registry.REPORTS["inventory_daily"]
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in spec.schema.fields])
+    rows = [(D(2024, 1, 1), "top_a", "u", "o", "Desktop", "728 x 90", 1, 0, 1, 1),
+            (D(2024, 1, 1), "top_b", "u", "o", "Desktop", "728 x 90", 2, 0, 1, 1),
+            (D(2024, 1, 2), "top_a", "u", "o", "Desktop", "728 x 90", 3, 0, 1, 1),
+            (D(2024, 1, 2), "top_a", "u", "o", "Desktop", "728 x 90", 4, 0, 1, 1)]
+    df = spark.createDataFrame(rows, nullable)
+    f = {r.check: r for r in jobs.audit(spark, "inventory_daily", df).collect()}
+    assert f["duplicates"].value == 2      # (day 1: top level differs) and day 2
+    assert f["duplicates_full_key"].value == 1   # only day 2 repeats the full key
+    assert "2024-01-01" in f["duplicates"].detail or "2024, 1, 1" in f["duplicates"].detail
