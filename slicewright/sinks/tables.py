@@ -153,11 +153,27 @@ def list_partitions(spark: SparkSession, table: str) -> list[str]:
 
 
 def drop_partitions(spark: SparkSession, table: str, col: str, values, batch: int = 500) -> None:
-    """Drop partitions by value, many per catalog statement."""
+    """Remove partitions by value: their rows and their catalog entries.
+
+    On a managed table ``DROP PARTITION`` deletes the files.  On an external
+    table (``LOCATION``) it only forgets them, and a path read or a partition
+    recovery would bring the old rows back, so each partition is first
+    overwritten with no rows (a static-partition ``INSERT OVERWRITE``, which
+    deletes that partition's files).
+    """
     values = list(values)
+    if not values:
+        return
+    if spark.catalog.getTable(table).tableType.upper() == "EXTERNAL":
+        no_rows = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {quote(f.name)}"
+                            for f in spark.table(table).schema.fields if f.name != col)
+        for v in values:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({quote(col)} = '{v}') "
+                      f"SELECT {no_rows} WHERE false")
     for i in range(0, len(values), batch):
         specs = ", ".join(f"PARTITION ({quote(col)} = '{v}')" for v in values[i:i + batch])
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    spark.catalog.refreshTable(table)
 
 
 def stale_partitions(existing, written, lo, hi) -> list[str]:

@@ -348,3 +348,17 @@ def test_inventory_audit_reports_both_keys(spark):
     assert f["duplicates"].value == 2      # (day 1: top level differs) and day 2
     assert f["duplicates_full_key"].value == 1   # only day 2 repeats the full key
     assert "2024-01-01" in f["duplicates"].detail or "2024, 1, 1" in f["duplicates"].detail
+
+
+def test_range_replace_on_external_table_removes_files(spark, scratch):
+    t = fresh("fr_ext")
+    loc = os.path.join(scratch, "ext_table")
+    tables.ensure_table(spark, SPEC, t, location=loc)
+    jobs.load(spark, "fill_rate", fr_rows(spark, [(D(2024, 1, d), "a", d, 10) for d in range(1, 4)]),
+              table=t, log_table=None)
+    out = jobs.load(spark, "fill_rate", fr_rows(spark, [(D(2024, 1, 1), "b", 9, 10)]), mode="range",
+                    start="2024-01-01", end="2024-01-03", table=t, log_table=None)
+    assert out["dropped_partitions"] == ["2024-01-02", "2024-01-03"]
+    assert content(spark, t) == [(D(2024, 1, 1), "b", 9)]
+    # the files are gone too: a path read (or a partition recovery) sees the same rows
+    assert [(r.ad_unit_name, r.ad_server_impressions) for r in spark.read.parquet(loc).collect()] == [("b", 9)]
