@@ -99,6 +99,15 @@ def load(
     obs = Observation(f"load_{name}")
     record = {"severity": "INFO", "report_type": spec.name, "table_name": name, "mode": mode,
               "slice_start": _as_date(start), "slice_end": _as_date(end)}
+    if mode == "range" and start is not None and end is not None:
+        # Rows outside the range would rewrite slices nobody asked to replace:
+        # fail the job in-line, before anything is committed.
+        lo, hi = _as_date(start), _as_date(end)
+        first = lo.replace(day=1) if spec.partition_grain == "MONTH" else lo
+        key = F.col(spec.partition_col)
+        conformed = conformed.withColumn(spec.partition_col, F.when(
+            key.between(F.lit(first), F.lit(hi)), key).otherwise(F.raise_error(F.lit(
+                f"{name}: row outside the range {first} .. {hi}")).cast("date")))
     # Observed after the rebalance: the counts are taken in the write stage.
     prepared = tables.prepare(conformed, name)
     try:

@@ -362,3 +362,12 @@ def test_range_replace_on_external_table_removes_files(spark, scratch):
     assert content(spark, t) == [(D(2024, 1, 1), "b", 9)]
     # the files are gone too: a path read (or a partition recovery) sees the same rows
     assert [(r.ad_unit_name, r.ad_server_impressions) for r in spark.read.parquet(loc).collect()] == [("b", 9)]
+
+
+def test_range_load_rejects_rows_outside_the_range(spark):
+    t = fresh("fr_outside")
+    jobs.load(spark, "fill_rate", fr_rows(spark, [(D(2024, 1, 1), "a", 1, 10)]), table=t, log_table=None)
+    bad = fr_rows(spark, [(D(2024, 1, 2), "b", 2, 10), (D(2024, 2, 1), "c", 3, 10)])
+    with pytest.raises(Exception):
+        jobs.load(spark, "fill_rate", bad, mode="range", start="2024-01-01", end="2024-01-31", table=t, log_table=None)
+    assert content(spark, t) == [(D(2024, 1, 1), "a", 1)]
