@@ -115,7 +115,10 @@ def csv_geo_monthly(raw: DataFrame, report_date=None) -> DataFrame:
     """
     spec = R["geo_monthly"]
     if report_date is None:
-        key = next(c for c in ("Dimension.MONTH_YEAR", "MONTH_YEAR") if c in raw.columns)
+        key = next((c for c in ("Dimension.MONTH_YEAR", "MONTH_YEAR") if c in raw.columns), None)
+        if key is None:
+            raise ValueError("geo dump without a month column: pass report_date (the chunk's first "
+                             "day, e.g. from the landing folder)")
         report_date = dates.month_year_to_date(F.col(f"`{key}`"))
     df = with_report_date(raw, report_date, "__report_date")
     df = rename_mapped(df, spec.csv_map)

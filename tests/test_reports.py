@@ -119,3 +119,11 @@ def test_fill_rate_keeps_null_unit_group(spark):
     out = {r.ad_unit_name: (r.ad_server_impressions, r.ad_requests, r.fill_rate)
            for r in reports.report_fill_rate(raw).collect()}
     assert out == {None: (3, 20, 0.15), "hp": (3, 0, None)}
+
+
+def test_csv_geo_without_month_needs_a_date(spark):
+    import pytest
+
+    raw = spark.createDataFrame([("France", "2250")], "`Dimension.COUNTRY_NAME` string, `Dimension.COUNTRY_CRITERIA_ID` string")
+    with pytest.raises(ValueError):
+        reports.csv_geo_monthly(raw)

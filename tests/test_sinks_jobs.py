@@ -362,6 +362,10 @@ def test_range_replace_on_external_table_removes_files(spark, scratch):
     assert content(spark, t) == [(D(2024, 1, 1), "b", 9)]
     # the files are gone too: a path read (or a partition recovery) sees the same rows
     assert [(r.ad_unit_name, r.ad_server_impressions) for r in spark.read.parquet(loc).collect()] == [("b", 9)]
+    from slicewright.sources import tables as src_tables
+    by_path = src_tables.read_report(spark, "fill_rate", path=loc)
+    assert by_path.schema["date"].dataType.simpleString() == "date"
+    assert [(r.date, r.ad_unit_name) for r in by_path.collect()] == [(D(2024, 1, 1), "b")]
 
 
 def test_range_load_rejects_rows_outside_the_range(spark):
