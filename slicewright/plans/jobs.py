@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import registry
 from ..operators import audit as audit_ops
+from ..operators import reconcile as reconcile_ops
 from ..operators.report_query import range_predicate
 from ..sinks import tables
 from . import reports
@@ -82,7 +83,10 @@ def load(
     if dry_run:
         n = conformed.count()
         sample = audit_ops.sample_rows(conformed, spec.columns, 3).collect()
-        return {**result, "status": "DRY_RUN", "rows": n, "sample": [r.asDict() for r in sample]}
+        out = {**result, "status": "DRY_RUN", "rows": n, "sample": [r.asDict() for r in sample]}
+        if spark.catalog.tableExists(name):
+            out["diff"] = [r.asDict() for r in compare_with_stored(spark, spec, conformed, name).collect()]
+        return out
 
     tables.ensure_table(spark, spec, name)
     if mode == "overwrite" and conformed.isEmpty():
@@ -146,6 +150,22 @@ def load(
     return result
 
 
+def compare_with_stored(spark: SparkSession, spec: registry.ReportSpec, batch: DataFrame,
+                        table: str) -> DataFrame:
+    """C-7 before a reload: per slice, the batch's metric sums against what the
+    table holds for the same slices; only slices that differ are returned.
+
+    The stored side is cut to the batch's slices with a semi-join on the
+    slice keys (one row per day or month, so a broadcast build side).
+    """
+    key = spec.partition_col
+    metrics = [f.name for f in spec.schema.fields
+               if isinstance(f.dataType, T.LongType) and f.name not in spec.required]
+    slices = batch.select(key).distinct()
+    stored = spark.table(table).join(slices, key, "left_semi")
+    return reconcile_ops.reconcile(stored, batch, [key], metrics, only_differences=True)
+
+
 def _as_date(v):
     if v is None or isinstance(v, _dt.date):
         return v

@@ -121,6 +121,8 @@ def test_append_overwrite_dry_run_and_log(spark):
     assert spark.table(t).count() == 1
     dry = jobs.load(spark, "fill_rate", df, dry_run=True, table=t, log_table=log)
     assert dry["status"] == "DRY_RUN" and dry["rows"] == 2 and len(dry["sample"]) == 2
+    # the table holds only the first day: the dry run shows what a reload would change
+    assert [(d["date"], d["status"]) for d in dry["diff"]] == [(D(2024, 1, 2), "only_b")]
     logged = spark.table(log).orderBy("logged_at").collect()
     assert [r.rows_written for r in logged] == [2, 2, 1]
     assert all(r.status == "SUCCESS" and r.report_type == "fill_rate" for r in logged)
