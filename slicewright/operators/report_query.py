@@ -131,6 +131,7 @@ def run_report(
     reach_name: str = "unique_reach",
     approx_reach: bool = False,
     level_name: str = "grouping_level",
+    reach_rsd: float = 0.05,
 ) -> DataFrame:
     """Q-1: one row per dimension tuple with summed metrics over a date range.
 
@@ -141,7 +142,7 @@ def run_report(
     adds the number of distinct values of that column per group: exact
     ``count(distinct)`` by default (Spark de-duplicates on (group, value)
     first, so a hot group is spread over the value's hash), or a HyperLogLog
-    estimate with ``approx_reach``.
+    estimate with ``approx_reach`` (relative error ``reach_rsd``).
     """
     if date_col is not None:
         pred = range_predicate(df, date_col, start, end, date_encoding)
@@ -151,7 +152,8 @@ def run_report(
     aggs = [F.sum(m).alias(n) for m, n in zip(_named(metrics), _metric_names(metrics))]
     if reach is not None:
         r = column(reach) if isinstance(reach, str) else reach
-        aggs.append((F.approx_count_distinct(r) if approx_reach else F.countDistinct(r)).alias(reach_name))
+        aggs.append((F.approx_count_distinct(r, reach_rsd) if approx_reach else F.countDistinct(r))
+                    .alias(reach_name))
     if totals:
         return df.rollup(*dims).agg(*aggs, F.grouping_id().alias(level_name))
     return df.groupBy(*dims).agg(*aggs)
