@@ -27,6 +27,10 @@ def read_csv_dump(spark: SparkSession, path: str, columns=None) -> DataFrame:
     return reader.csv(path)
 
 
-def write_csv_dump(df: DataFrame, path: str) -> None:
-    """Write rows as a dump (header line, text values, empty = missing)."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv_dump(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Write rows as a dump (header line, text values, empty = missing),
+    optionally one folder per value of ``partition_by`` (e.g. per month)."""
+    w = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.csv(path)
