@@ -198,12 +198,12 @@ def test_streaming_landing_load(spark, scratch):
     ckpt = os.path.join(scratch, "ckpt")
     land("day1.json", [(20240101, "hp", 3, 10), (20240101, "hp", 2, 10)])
     start_landing_load(spark, "fill_rate", landing, "json", dims, mets, table=t, checkpoint=ckpt,
-                       log_table=None).awaitTermination(120)
+                       log_table=None).awaitTermination(600)
     assert content(spark, t) == [(D(2024, 1, 1), "hp", 5)]
     land("day1-restated.json", [(20240101, "hp", 7, 10)])
     land("day2.json", [(20240102, "hp", 1, 10)])
     start_landing_load(spark, "fill_rate", landing, "json", dims, mets, table=t, checkpoint=ckpt,
-                       log_table=None).awaitTermination(120)
+                       log_table=None).awaitTermination(600)
     assert content(spark, t) == [(D(2024, 1, 1), "hp", 7), (D(2024, 1, 2), "hp", 1)]
     assert pages_src.PAGE_SCHEMA is not None
 
@@ -236,7 +236,7 @@ def test_streaming_csv_landing_load(spark, scratch):
     df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in cols))
     df.coalesce(1).write.option("header", True).csv(os.path.join(landing, "day1"))
     start_landing_load(spark, "inventory_daily", os.path.join(landing, "*"), "csv", columns=cols, table=t,
-                       checkpoint=os.path.join(scratch, "ckpt_csv"), log_table=None).awaitTermination(120)
+                       checkpoint=os.path.join(scratch, "ckpt_csv"), log_table=None).awaitTermination(600)
     spark.catalog.refreshTable(t)
     got = sorted((r.order_name, r.ad_server_impressions, r.active_view_viewable_impressions)
                  for r in spark.table(t).collect())
