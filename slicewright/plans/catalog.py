@@ -328,11 +328,17 @@ FILL_RATE_METRICS = ("UNFILLED_IMPRESSIONS", "CODE_SERVED_COUNT", "RESPONSES_SER
 
 
 def q_flatten_pages(spark, sf_dir):
-    """S-1 + S-2 + G-2: the fill-rate extract encoded as result pages, flattened
-    back by header position, then run through the fill-rate pipeline."""
-    raw = _raw(spark, sf_dir, "fill_rate")
-    pg = pages.pages_from_rows(raw, FILL_RATE_DIMS, FILL_RATE_METRICS)
-    flat = pages.flatten_pages(pg, FILL_RATE_DIMS, FILL_RATE_METRICS)
+    """S-1 + S-2 + G-2: the fill-rate extract landed as result pages (Parquet,
+    once per application), read with the page schema, flattened back by
+    header position, then run through the fill-rate pipeline."""
+    key = (spark.sparkContext.applicationId, "fill_rate_pages", os.path.abspath(sf_dir))
+    path = _LANDED.get(key)
+    if path is None:
+        path = scratch_path(spark, "landing", "fill_rate_pages")
+        raw = _raw(spark, sf_dir, "fill_rate")
+        pages.pages_from_rows(raw, FILL_RATE_DIMS, FILL_RATE_METRICS).select("rows").write.parquet(path)
+        _LANDED[key] = path
+    flat = pages.flatten_pages(pages.read_pages(spark, path, fmt="parquet"), FILL_RATE_DIMS, FILL_RATE_METRICS)
     return reports.report_fill_rate(flat)
 
 
