@@ -6,7 +6,10 @@ helpers are for tests, the bench and command-line runs on one machine.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -32,50 +35,44 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a local master with none configured, a fresh temporary folder is set
-    (tests, laptops); on a cluster an unset folder is an error, never a
-    machine-local fallback.
+    Where none is set (tests, a laptop), a folder in the session's warehouse
+    becomes the checkpoint folder: the warehouse is shared as well, whatever
+    the master.
     """
-    d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if spark.sparkContext.master.startswith("local"):
-            return ensure_checkpoint_dir(spark)
-        raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder")
-    return d
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Keep the configured checkpoint folder; only set one where none is set
-    (local runs and tests), under a fresh temporary folder."""
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-        return spark.sparkContext.getCheckpointDir()
-    d = tempfile.mkdtemp(prefix="slicewright-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder."""
-    import uuid
-
     base = checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "slicewright", *parts, uuid.uuid4().hex])
 
 
-def local_path(uri: str) -> str:
-    return uri[len("file:"):] if uri.startswith("file:") else uri
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, as ``--py-files`` would, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_slicewright_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="slicewright-"), "slicewright.zip")  # the driver serves it from there
+    with zipfile.ZipFile(path, "w") as z:
+        for d, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(d, name), os.path.relpath(os.path.join(d, name), os.path.dirname(home)))
+    context.addPyFile(path)
+    context._slicewright_shipped = True
 
 
-__all__ = ["checkpoint_dir", "ensure_checkpoint_dir", "local_session", "scratch_path", "local_path"]
+__all__ = ["checkpoint_dir", "local_session", "scratch_path", "ship_package"]
