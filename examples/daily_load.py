@@ -25,7 +25,6 @@ from slicewright.plans import jobs, reports  # noqa: E402
 from slicewright.session import local_session, scratch_path  # noqa: E402
 from slicewright.sinks import tables  # noqa: E402
 from slicewright.sources import fixtures, pages  # noqa: E402
-from slicewright.streaming import start_landing_load  # noqa: E402
 
 DIMS = ["DATE", "AD_UNIT_NAME"]
 METRICS = ["UNFILLED_IMPRESSIONS", "CODE_SERVED_COUNT", "RESPONSES_SERVED", "AD_SERVER_IMPRESSIONS",
@@ -41,9 +40,8 @@ def main(sf_dir: str) -> None:
     table = "example_fill_rate_" + uuid.uuid4().hex[:8]
     tables.ensure_table(spark, registry.REPORTS["fill_rate"], table,
                         location=scratch_path(spark, "example", "tables"))
-    query = start_landing_load(spark, "fill_rate", landing, "json", DIMS, METRICS, table=table,
-                               checkpoint=scratch_path(spark, "example", "stream"), log_table=None)
-    query.awaitTermination()
+    landed = pages.flatten_pages(pages.read_pages(spark, landing), DIMS, METRICS)
+    jobs.load(spark, "fill_rate", reports.report_fill_rate(landed), table=table, log_table=None)
     spark.catalog.refreshTable(table)
     print("rows loaded:", spark.table(table).count())
 

@@ -17,9 +17,20 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
+# A decimal number in plain or exponent notation, or a named special value.
+# Spark's text cast also takes Java literals (``5d``, ``0x1p3``): those are no numbers here.
+_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"^\s*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\s*$"
+
+
+def _text_to_double(text: Column) -> Column:
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
 def _whole_double_to_bigint(d: Column) -> Column:
     # A whole, finite double that fits a bigint; anything else is NULL.
-    return F.when(~F.isnan(d) & (d == F.floor(d)), d.try_cast("bigint"))
+    # (2**63 is the first that does not; the cast alone would clamp it.)
+    return F.when(~F.isnan(d) & (d >= F.lit(-(2.0**63))) & (d < F.lit(2.0**63)) & (d == F.floor(d)), d.try_cast("bigint"))
 
 
 def to_int64(c, dtype: T.DataType | None = None) -> Column:
@@ -36,7 +47,7 @@ def to_int64(c, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, _FRACTIONAL):
         return _whole_double_to_bigint(c.cast("double"))
     text = c.cast("string") if dtype is not None and not isinstance(dtype, T.StringType) else c
-    return F.coalesce(text.try_cast("bigint"), _whole_double_to_bigint(text.try_cast("double")))
+    return F.coalesce(F.when(text.rlike(_INTEGER), text.try_cast("bigint")), _whole_double_to_bigint(_text_to_double(text)))
 
 
 def to_float64(c, dtype: T.DataType | None = None) -> Column:
@@ -45,7 +56,7 @@ def to_float64(c, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, _INTEGRAL + _FRACTIONAL + (T.BooleanType,)):
         d = c.cast("double")
     else:
-        d = (c if dtype is None or isinstance(dtype, T.StringType) else c.cast("string")).try_cast("double")
+        d = _text_to_double(c if dtype is None or isinstance(dtype, T.StringType) else c.cast("string"))
     return F.when(~F.isnan(d), d)
 
 

@@ -2,8 +2,8 @@
 
 from .audit import (
     audit_duplicates,
-    audit_nulls,
     audit_profile,
+    audit_profiles,
     audit_summary,
     sample_rows,
     sample_values,
@@ -16,7 +16,7 @@ from .report_query import drop_subtotals, hierarchy_levels, range_predicate, res
 from .setops import append_union, not_in_slice, replace_range, replace_slice
 
 __all__ = [
-    "append_union", "apply_types", "audit_duplicates", "audit_nulls", "audit_profile", "audit_summary",
+    "append_union", "apply_types", "audit_duplicates", "audit_profile", "audit_profiles", "audit_summary",
     "convert", "dedupe_sum", "drop_null_keys", "drop_subtotals", "explode_month_ranges", "hierarchy_levels",
     "keep_expected", "month_chunks", "month_ranges", "not_in_slice", "range_predicate", "ratio_of_sums",
     "rename_mapped", "replace_range", "replace_slice", "resolve_range", "run_report",

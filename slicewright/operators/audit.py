@@ -32,12 +32,24 @@ def audit_profile(df: DataFrame, date_col: str, table_name: str | None = None) -
     return out
 
 
-def audit_nulls(df: DataFrame, cols) -> DataFrame:
-    """A-4 / P-4: total rows beside ``count_if(c IS NULL)`` for each column."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(column(c).isNull()).alias(f"null_{c}") for c in cols],
-    )
+def audit_profiles(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """The profile of several tables, ``{name: (rows, date column)}``, one row each.
+
+    The tables' dates are united under their table's name and aggregated
+    together: one set of exchanges however many tables there are.  A table
+    without rows keeps its row, from a marker that is not counted.
+    """
+    spark = next(iter(tables.values()))[0].sparkSession
+    parts = [df.select(F.lit(name).alias("table_name"), column(d).cast("date").alias("d"), F.lit(1).alias("real"))
+             for name, (df, d) in tables.items()]
+    parts.append(spark.createDataFrame([(name, None, 0) for name in tables], "table_name string, d date, real int"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("table_name").agg(
+        F.count_if(F.col("real") == 1).alias("total_rows"),
+        F.count_if(F.col("d").isNull() & (F.col("real") == 1)).alias("null_dates"),
+        F.min("d").alias("min_date"), F.max("d").alias("max_date"), F.countDistinct("d").alias("unique_dates"))
 
 
 def audit_duplicates(df: DataFrame, keys) -> DataFrame:
@@ -48,28 +60,26 @@ def audit_duplicates(df: DataFrame, keys) -> DataFrame:
 
 
 def audit_duplicates_sets(df: DataFrame, key_sets) -> DataFrame:
-    """A-6 for several keys in one scan (``GROUPING SETS``).
+    """A-6 for several keys in one scan.
 
     Output: the union of all key columns (NULL where a column is not part of
     that row's key), ``cnt``, and ``key_set`` = the index of the key in
-    ``key_sets``.  Each row is expanded once per key set and collapsed by
-    the partial aggregate before the single exchange.
+    ``key_sets``.  Rows are counted once by all columns together; each key
+    then sums those counts, so no row is doubled before an exchange.
     """
     cols: list[str] = []
     for ks in key_sets:
         cols += [c for c in ks if c not in cols]
-    n = len(cols)
-
-    def gid(ks):  # grouping_id(): bit set for every column not in the key
-        return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in ks)
-
-    g = df.groupingSets([[column(c) for c in ks] for ks in key_sets], *[column(c) for c in cols]) \
-        .agg(F.count(F.lit(1)).alias("cnt"), F.grouping_id().alias("_gid"))
-    key_set = None
+    counted = df.groupBy(*[column(c) for c in cols]).agg(F.count(F.lit(1)).alias("cnt"))
+    out = None
     for i, ks in enumerate(key_sets):
-        key_set = (F.when(F.col("_gid") == gid(ks), i) if key_set is None
-                   else key_set.when(F.col("_gid") == gid(ks), i))
-    return g.where(F.col("cnt") > 1).withColumn("key_set", key_set).drop("_gid")
+        whole = len(ks) == len(cols)
+        g = counted if whole else counted.groupBy(*[column(c) for c in ks]).agg(F.sum("cnt").alias("cnt"))
+        types = {f.name: f.dataType for f in counted.schema.fields}
+        part = g.where(F.col("cnt") > 1).select(
+            *[column(c) if c in ks else F.lit(None).cast(types[c]).alias(c) for c in cols], "cnt", F.lit(i).alias("key_set"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def top_duplicates(dups: DataFrame, keys, n: int = 5) -> DataFrame:
@@ -89,11 +99,9 @@ def sample_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
 
 
 def audit_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """A-7: one row per table with its row count (a union of one-row aggregates)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(name).alias("table_name"), "row_count")
-             for name, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """A-7: one row per table with its row count, in one exchange of partial counts."""
+    spark = next(iter(tables.values())).sparkSession
+    out = spark.createDataFrame([(name, 0) for name in tables], "table_name string, real int")
+    for name, df in tables.items():
+        out = out.unionByName(df.select(F.lit(name).alias("table_name"), F.lit(1).alias("real")))
+    return out.groupBy("table_name").agg(F.sum("real").cast("bigint").alias("row_count"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import coerce, dates
 from ..functions._util import column
+from .report_query import resolve_range
 
 
 def rename_mapped(df: DataFrame, *mappings: Mapping[str, str]) -> DataFrame:
@@ -93,8 +94,11 @@ def keep_expected(df: DataFrame, expected) -> DataFrame:
     return df.select(*[column(c) for c in expected if c in present])
 
 
-def with_report_date(df: DataFrame, value, name: str = "report_date") -> DataFrame:
-    """J-5: attach a report date: a constant date, or a Column per row."""
+def with_report_date(df: DataFrame, value=None, name: str = "report_date") -> DataFrame:
+    """J-5: attach a report date: a constant date, a Column per row, or by
+    default the first day of the month before today (in the report's time zone)."""
+    if value is None:
+        value = resolve_range("LAST_MONTH")[0]
     if isinstance(value, (_dt.date, str)):
         value = F.lit(value).cast("date") if isinstance(value, str) else F.lit(value)
     return df.withColumn(name, value)

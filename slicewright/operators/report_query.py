@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping, Sequence
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import registry
 from ..functions import dates
 from ..functions._util import column
 
@@ -26,12 +28,13 @@ from ..functions._util import column
 def resolve_range(kind: str, today: _dt.date | None = None, start=None, end=None):
     """Q-2: ``(start, end)`` inclusive for YESTERDAY, LAST_MONTH or CUSTOM_DATE.
 
-    ``today`` is the calendar day in the report's time zone (see
-    ``functions.dates.yesterday`` for the Column form).  CUSTOM_DATE with a
+    ``today`` is by default the calendar day in the report's time zone,
+    whatever the host's clock is set to (``functions.dates.yesterday`` is the
+    Column form).  CUSTOM_DATE with a
     missing bound is unbounded: ``(None, None)``.
     """
     kind = kind.upper()
-    today = today or _dt.date.today()
+    today = today or local_today()
     if kind == "YESTERDAY":
         d = today - _dt.timedelta(days=1)
         return d, d
@@ -45,6 +48,11 @@ def resolve_range(kind: str, today: _dt.date | None = None, start=None, end=None
     raise ValueError(f"unknown date range type {kind!r}")
 
 
+def local_today(now: _dt.datetime | None = None) -> _dt.date:
+    """The calendar day of ``now`` (aware; the present instant by default) in the report's time zone."""
+    return (now or _dt.datetime.now(_dt.timezone.utc)).astimezone(ZoneInfo(registry.TIMEZONE)).date()
+
+
 def _as_date(v) -> _dt.date:
     if isinstance(v, _dt.datetime):
         return v.date()
@@ -57,8 +65,8 @@ def range_predicate(df: DataFrame, col: str, start=None, end=None, encoding: str
     """Inclusive ``[start, end]`` on a raw column, written so it is pushed down.
 
     ``encoding`` says how the column holds a date: ``date``, ``timestamp``
-    (any time of the end day counts), ``date_int`` (YYYYMMDD) or
-    ``month_year``.  Bounds are turned into raw keys, so the predicate is a
+    (any time of the end day counts), ``date_int`` (YYYYMMDD, a number or
+    text), ``iso`` (text YYYY-MM-DD) or ``month_year``.  Bounds are turned into raw keys, so the predicate is a
     plain comparison on the stored column (a ``PushedFilter`` and, on a
     partition column, a ``PartitionFilter``), never a function of it.
     """
@@ -83,17 +91,21 @@ def range_predicate(df: DataFrame, col: str, start=None, end=None, encoding: str
             preds.append(c >= F.lit(lo.isoformat()).cast(tname))
         if hi:
             preds.append(c < F.lit((hi + _dt.timedelta(days=1)).isoformat()).cast(tname))
-    elif encoding == "date_int":
+    elif encoding in ("date_int", "iso"):
+        form = "%Y-%m-%d" if encoding == "iso" else "%Y%m%d"
+        key = str if encoding == "iso" or isinstance(dtype, T.StringType) else int
         if lo:
-            preds.append(c >= F.lit(lo.year * 10000 + lo.month * 100 + lo.day))
+            preds.append(c >= F.lit(key(lo.strftime(form))))
         if hi:
-            preds.append(c <= F.lit(hi.year * 10000 + hi.month * 100 + hi.day))
+            preds.append(c <= F.lit(key(hi.strftime(form))))
     elif encoding == "month_year":
         # Keys are not monotone across the overflow form (month part 12..99
         # rolls up to 8 years ahead), so the exact test is on the decoded
         # first-of-month date.  A raw-key superset of it is added so the scan
         # can still skip row groups: a key's year part is at most the
         # decoded year and at least the decoded year minus 8.
+        if isinstance(dtype, T.StringType):
+            c = c.try_cast("bigint")
         d = dates.month_year_to_date(c)
         base = dates.MONTH_YEAR_BASE_YEAR
         if lo:

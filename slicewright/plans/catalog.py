@@ -1,8 +1,11 @@
 """Named queries over the shared test tables.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame built from
-the library's operators.  ``__spark_entry__`` registers them; ``bench.py``
-times them.  Every one reads whole tables: no id subsets or row caps.
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame built from the
+library's operators: lazy, but for the queries over landings (``*_pages``,
+``csv_*``, ``legacy_*``) and tables (``load_*``, ``job_*``), which first write
+their landing or table under the checkpoint folder, anew on every call.
+``__spark_entry__`` registers them; ``bench.py`` times them.  Every one reads
+whole tables: no id subsets or row caps.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import datetime as _dt
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,8 +23,10 @@ from ..functions import dates, demographics, kpi
 from ..functions.coerce import to_float64, to_int64
 from ..operators import audit, calendar, reconcile, report_query, setops
 from ..session import scratch_path
+from ..sinks import tables
 from ..sources import csv_dump, fixtures, pages
-from . import reports
+from ..sources import tables as source_tables
+from . import jobs, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +63,7 @@ def q_report_audience_demographics(spark, sf_dir):
 
 # -- report query (Q-1 … Q-6) ---------------------------------------------------
 
-# The report period: the whole delivery history held by the test tables.
+# The report period of the report queries; the oracles repeat it (rows without a date lie in no period).
 REPORT_START, REPORT_END = report_query.resolve_range("CUSTOM_DATE", start="1992-01-01", end="2030-12-31")
 
 
@@ -98,29 +103,37 @@ def q_run_report_reach(spark, sf_dir):
     )
 
 
-def _relative_report(spark, sf_dir, lo_of, hi_of):
-    """Inventory report over a range relative to the latest shipment day
-    ("today" is the day after it).  The latest day is a scalar subquery, so
-    the bounds stay in the plan: no driver round trip, no join."""
+def _relative_report(spark, sf_dir, kind):
+    """Inventory report over a range relative to "today", here the day after
+    the latest shipment (one date reaches the driver), so that the bounds are
+    literals: pushed to the scan, and row groups outside them are skipped."""
     li = fixtures.table(spark, sf_dir, "lineitem")
-    today = F.date_add(li.select(F.max(F.to_date("l_shipdate"))).scalar(), 1)
-    day = F.to_date("l_shipdate")
+    latest = li.agg(F.max(F.to_date("l_shipdate"))).first()[0] or report_query.local_today()
+    start, end = report_query.resolve_range(kind, today=latest + _dt.timedelta(days=1))
     return report_query.run_report(
-        li.where(day.between(lo_of(today), hi_of(today))),
-        dimensions={"date": day, "ad_unit_name": "l_returnflag"},
+        li,
+        dimensions={"date": F.to_date("l_shipdate"), "ad_unit_name": "l_returnflag"},
         metrics={"ad_server_impressions": F.col("l_quantity").cast("bigint")},
+        start=start, end=end, date_col="l_shipdate",
     )
 
 
 def q_run_report_last_month(spark, sf_dir):
     """Q-2 LAST_MONTH + F-9: the month before "today"."""
-    return _relative_report(spark, sf_dir, dates.first_of_previous_month,
-                            lambda t: dates.last_of_month(F.add_months(t, -1)))
+    return _relative_report(spark, sf_dir, "LAST_MONTH")
 
 
 def q_run_report_yesterday(spark, sf_dir):
     """Q-2 YESTERDAY + F-10: the day before "today"."""
-    return _relative_report(spark, sf_dir, lambda t: F.date_sub(t, 1), lambda t: F.date_sub(t, 1))
+    return _relative_report(spark, sf_dir, "YESTERDAY")
+
+
+def q_local_yesterday(spark, sf_dir):
+    """F-10: for every event (instants in UTC, many near midnight), the day
+    before its calendar day in the report's time zone; events per such day."""
+    ev = fixtures.table(spark, sf_dir, "events")
+    day = dates.yesterday(F.col("ts").cast("timestamp_ntz"), registry.TIMEZONE)
+    return ev.groupBy(day.alias("yesterday")).agg(F.count(F.lit(1)).alias("events"))
 
 
 # Fixed value: scheme and query/fragment are not part of a page's hierarchy.
@@ -171,14 +184,23 @@ REPLACE_MONTHS = (_dt.date(1996, 3, 1), _dt.date(1996, 4, 1))
 REPLACE_RANGE = (_dt.date(2024, 1, 10), _dt.date(2024, 1, 20))
 
 
+def _changed_day(raw):
+    """The day re-extracted without the ``error`` ad unit."""
+    return reports.report_fill_rate(
+        raw.where((F.col("DATE") == dates.date_to_int(F.lit(REPLACE_DAY))) & (F.col("AD_UNIT_NAME") != "error")))
+
+
+def _changed_range(raw):
+    """The range re-extracted, without one of its days."""
+    lo, hi = REPLACE_RANGE
+    day = dates.date_int_to_date(F.col("DATE"))
+    return reports.report_fill_rate(raw.where(day.between(F.lit(lo), F.lit(hi)) & (day != F.lit(REPLACE_DAY))))
+
+
 def q_replace_day(spark, sf_dir):
     """K-3 as a query: the day is re-extracted without the ``error`` ad unit."""
     raw = _raw(spark, sf_dir, "fill_rate")
-    stored = reports.report_fill_rate(raw)
-    batch = reports.report_fill_rate(
-        raw.where((F.col("DATE") == dates.date_to_int(F.lit(REPLACE_DAY)))
-                  & (F.col("AD_UNIT_NAME") != "error")))
-    return setops.replace_slice(stored, batch, "date")
+    return setops.replace_slice(reports.report_fill_rate(raw), _changed_day(raw), "date", values=[REPLACE_DAY])
 
 
 def q_replace_month(spark, sf_dir):
@@ -186,28 +208,24 @@ def q_replace_month(spark, sf_dir):
     raw = _raw(spark, sf_dir, "geo_monthly")
     stored = reports.report_geo_monthly(raw)
     batch = reports.report_geo_backfill(raw).where(F.col("report_date").isin(*REPLACE_MONTHS))
-    return setops.replace_slice(stored, batch, "report_date")
+    return setops.replace_slice(stored, batch, "report_date", values=REPLACE_MONTHS)
 
 
 def q_replace_range(spark, sf_dir):
     """K-5 as a query: a day of the range without incoming rows ends up empty."""
     raw = _raw(spark, sf_dir, "fill_rate")
-    stored = reports.report_fill_rate(raw)
-    lo, hi = REPLACE_RANGE
-    day = dates.date_int_to_date(F.col("DATE"))
-    batch = reports.report_fill_rate(
-        raw.where(day.between(F.lit(lo), F.lit(hi)) & (day != F.lit(REPLACE_DAY))))
-    return setops.replace_range(stored, batch, "date", lo, hi)
+    return setops.replace_range(reports.report_fill_rate(raw), _changed_range(raw), "date", *REPLACE_RANGE)
+
+
+def _half_months(raw):
+    """A raw extract in two batches; rows without a date are in the second."""
+    first = F.coalesce(F.dayofmonth(dates.date_int_to_date(F.col("DATE"))) <= 15, F.lit(False))
+    return raw.where(first), raw.where(~first)
 
 
 def q_append_union(spark, sf_dir):
     """U-1 / U-3: the fill-rate report loaded in half-month chunks, appended."""
-    raw = _raw(spark, sf_dir, "fill_rate")
-    first_half = F.dayofmonth(dates.date_int_to_date(F.col("DATE"))) <= 15
-    return setops.append_union(
-        reports.report_fill_rate(raw.where(first_half)),
-        reports.report_fill_rate(raw.where(~first_half)),
-    )
+    return setops.append_union(*map(reports.report_fill_rate, _half_months(_raw(spark, sf_dir, "fill_rate"))))
 
 
 # -- audit (A-3 … A-7, A-9, L-3, L-4) --------------------------------------------
@@ -220,11 +238,7 @@ def _report_tables(spark, sf_dir):
 
 def q_audit_profile(spark, sf_dir):
     """A-3 + A-4 + A-5 for the five report tables, one row each."""
-    parts = []
-    for table, df in _report_tables(spark, sf_dir).items():
-        spec = registry.report(table)
-        parts.append(audit.audit_profile(df, spec.partition_col, table))
-    return setops.append_union(*parts)
+    return audit.audit_profiles({t: (df, registry.report(t).partition_col) for t, df in _report_tables(spark, sf_dir).items()})
 
 
 def _dup_query(report):
@@ -248,6 +262,18 @@ def q_audit_summary(spark, sf_dir):
     return audit.audit_summary(_report_tables(spark, sf_dir))
 
 
+def q_top_duplicates(spark, sf_dir):
+    """L-3: the five largest duplicate groups of the geography report (a top-k report)."""
+    spec = registry.REPORTS["geo_monthly"]
+    dups = audit.audit_duplicates(q_report_geo_monthly(spark, sf_dir), spec.duplicate_key)
+    return audit.top_duplicates(dups, spec.duplicate_key, 5)
+
+
+def q_report_sorted(spark, sf_dir):
+    """L-2: the fill-rate report in the order of its keys."""
+    return reports.present(q_report_fill_rate(spark, sf_dir), ("date", "ad_unit_name"))
+
+
 def q_sample_rows(spark, sf_dir):
     """L-4: first three inventory rows by the full row (a sampling operator)."""
     df = q_report_inventory_daily(spark, sf_dir)
@@ -310,6 +336,17 @@ def q_coerce_double(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n")).withColumn("value", to_float64("raw_text"))
 
 
+def q_coerce_int_text(spark, sf_dir):
+    """F-4 over texts with suffixes, hex digits, exponents, blanks, names of
+    special values, fractions and integers beyond 2**53."""
+    return fixtures.numeric_texts(spark, sf_dir).withColumn("value", to_int64("raw_text"))
+
+
+def q_coerce_double_text(spark, sf_dir):
+    """F-5 over the same texts."""
+    return fixtures.numeric_texts(spark, sf_dir).withColumn("value", to_float64("raw_text"))
+
+
 # -- reconcile (C-7) ------------------------------------------------------------
 
 def q_reconcile(spark, sf_dir):
@@ -327,21 +364,26 @@ FILL_RATE_METRICS = ("UNFILLED_IMPRESSIONS", "CODE_SERVED_COUNT", "RESPONSES_SER
                      "AD_SERVER_IMPRESSIONS", "FILL_RATE", "AD_REQUESTS")
 
 
-def q_flatten_pages(spark, sf_dir):
-    """S-1 + S-2 + G-2: the fill-rate extract landed as result pages (Parquet,
-    once per application), read with the page schema, flattened back by
-    header position, then run through the fill-rate pipeline."""
-    key = (spark.sparkContext.applicationId, "fill_rate_pages", os.path.abspath(sf_dir))
-    path = _LANDED.get(key)
-    if path is None:
-        path = scratch_path(spark, "landing", "fill_rate_pages")
-        raw = _raw(spark, sf_dir, "fill_rate")
-        pages.pages_from_rows(raw, FILL_RATE_DIMS, FILL_RATE_METRICS).select("rows").write.parquet(path)
-        _LANDED[key] = path
-    flat = pages.flatten_pages(pages.read_pages(spark, path, fmt="parquet"), FILL_RATE_DIMS, FILL_RATE_METRICS)
+def _landed_pages(spark, sf_dir, fmt):
+    path = scratch_path(spark, "landing", "fill_rate_pages")
+    raw = _raw(spark, sf_dir, "fill_rate")
+    pages.pages_from_rows(raw, FILL_RATE_DIMS, FILL_RATE_METRICS).select("rows").write.format(fmt).save(path)
+    flat = pages.flatten_pages(pages.read_pages(spark, path, fmt=fmt), FILL_RATE_DIMS, FILL_RATE_METRICS)
     return reports.report_fill_rate(flat)
 
 
+def q_flatten_pages(spark, sf_dir):
+    """S-1 + S-2 + G-2: the fill-rate extract landed as result pages (Parquet),
+    read with the page schema, flattened back by header position, then run
+    through the fill-rate pipeline."""
+    return _landed_pages(spark, sf_dir, "parquet")
+
+
+def q_flatten_json_pages(spark, sf_dir):
+    """The same with JSON result pages."""
+    return _landed_pages(spark, sf_dir, "json")
+
+
 def inventory_csv_frame(raw):
     """The inventory extract laid out as a hierarchical CSV dump."""
     day = dates.date_int_to_date(F.col("DATE"))
@@ -360,25 +402,14 @@ def inventory_csv_frame(raw):
     )
 
 
-# Landings written in this application: (application, landing, tables) → path.
-_LANDED: dict[tuple[str, str, str], str] = {}
-
-
-def _land_csv(spark, sf_dir, frame, name, partition_by=None):
+def _land_csv(spark, frame, name, partition_by=None):
     """The extract ``frame`` landed as CSV dumps under the shared folder, read
     back as text (plus the partition column, when the landing is split by it).
-
-    In production the dumps already exist; here they are derived from the
-    test tables.  A landing is written once per application and test-table
-    folder and then reused, so repeated runs of a query time the CSV source
-    and the typing, not the writing of the fixture.
+    In production the dumps already exist; here each call lands them anew from
+    the test tables, so a result never comes from an earlier state of them.
     """
-    key = (spark.sparkContext.applicationId, name, os.path.abspath(sf_dir))
-    path = _LANDED.get(key)
-    if path is None:
-        path = scratch_path(spark, "landing", name)
-        csv_dump.write_csv_dump(frame, path, partition_by)
-        _LANDED[key] = path
+    path = scratch_path(spark, "landing", name)
+    csv_dump.write_csv_dump(frame, path, partition_by)
     cols = [c for c in frame.columns if c != partition_by]
     return csv_dump.read_csv_dump(spark, path, cols)
 
@@ -387,7 +418,18 @@ def q_csv_dump(spark, sf_dir):
     """S-4: the inventory extract landed as a CSV dump in the shared folder,
     read back as text and typed by the backfill pipeline."""
     frame = inventory_csv_frame(_raw(spark, sf_dir, "inventory_daily"))
-    return reports.csv_inventory_daily(_land_csv(spark, sf_dir, frame, "inventory_csv"))
+    return reports.csv_inventory_daily(_land_csv(spark, frame, "inventory_csv"))
+
+
+def q_csv_dump_mixed_headers(spark, sf_dir):
+    """S-4: dumps of two report versions in one landing, their columns in
+    different order; columns are found by header name."""
+    path = scratch_path(spark, "landing", "mixed_csv")
+    frame = inventory_csv_frame(_raw(spark, sf_dir, "inventory_daily"))
+    early = F.coalesce(F.col("`Dimension.DATE`") < "1995-01-01", F.lit(False))
+    csv_dump.write_csv_dump(frame.where(early), f"{path}/v1")
+    csv_dump.write_csv_dump(frame.where(~early).select(*[F.col(f"`{c}`") for c in reversed(frame.columns)]), f"{path}/v2")
+    return reports.csv_inventory_daily(csv_dump.read_csv_dump(spark, f"{path}/*", frame.columns))
 
 
 def q_csv_dump_fill_rate(spark, sf_dir):
@@ -405,7 +447,7 @@ def q_csv_dump_fill_rate(spark, sf_dir):
         F.col("FILL_RATE").alias("Column.TOTAL_FILL_RATE"),
         F.col("AD_REQUESTS").alias("Column.TOTAL_AD_REQUESTS"),
     )
-    return reports.csv_fill_rate(_land_csv(spark, sf_dir, frame, "fill_rate_csv"))
+    return reports.csv_fill_rate(_land_csv(spark, frame, "fill_rate_csv"))
 
 
 def _geo_month_frame(raw, legacy=False):
@@ -425,15 +467,13 @@ def _geo_month_frame(raw, legacy=False):
 def q_csv_dump_geo(spark, sf_dir):
     """S-4 + J-5 + P-1: geo dumps landed one folder per month chunk; each
     row's report_date is its chunk's first day (from the folder name)."""
-    landed = _land_csv(spark, sf_dir, _geo_month_frame(_raw(spark, sf_dir, "geo_monthly")), "geo_csv",
+    landed = _land_csv(spark, _geo_month_frame(_raw(spark, sf_dir, "geo_monthly")), "geo_csv",
                        "chunk_start")
     return reports.csv_geo_monthly(landed, F.col("chunk_start").cast("string").cast("date"))
 
 
-def q_legacy_inventory_daily(spark, sf_dir):
-    """Legacy inventory dump (ids, no Active View columns kept when absent)."""
-    raw = _raw(spark, sf_dir, "inventory_daily")
-    frame = raw.select(
+def _legacy_inventory_frame(raw):
+    return raw.select(
         F.date_format(dates.date_int_to_date(F.col("DATE")), "yyyy-MM-dd").alias("Dimension.DATE"),
         F.regexp_extract("AD_UNIT_NAME", "[0-9]+", 0).alias("Dimension.AD_UNIT_ID"),
         F.col("AD_UNIT_NAME").alias("Dimension.AD_UNIT_NAME"),
@@ -444,16 +484,177 @@ def q_legacy_inventory_daily(spark, sf_dir):
         F.col("IMPRESSIONS").alias("Column.AD_SERVER_IMPRESSIONS"),
         F.col("CLICKS").alias("Column.AD_SERVER_CLICKS"),
     )
-    return reports.legacy_inventory_daily(_land_csv(spark, sf_dir, frame, "legacy_inventory_csv"))
+
+
+def q_legacy_inventory_daily(spark, sf_dir):
+    """Legacy inventory dump (ids, no Active View columns kept when absent)."""
+    frame = _legacy_inventory_frame(_raw(spark, sf_dir, "inventory_daily"))
+    return reports.legacy_inventory_daily(_land_csv(spark, frame, "legacy_inventory_csv"))
 
 
 def q_legacy_geo_monthly(spark, sf_dir):
     """Legacy geo dump: country ids, NULL-name subtotals kept, month from the chunk."""
     frame = _geo_month_frame(_raw(spark, sf_dir, "geo_monthly"), legacy=True)
-    landed = _land_csv(spark, sf_dir, frame, "legacy_geo_csv", "chunk_start")
+    landed = _land_csv(spark, frame, "legacy_geo_csv", "chunk_start")
     return reports.legacy_geo_monthly(landed, F.col("chunk_start").cast("string").cast("date"))
 
 
+# -- loads, read back from their tables (K-1 … K-13, C-1, C-3, C-5, C-6, S-5, S-8) --
+
+def _empty_table(spark, report):
+    """A new report table under the checkpoint folder."""
+    spec = registry.report(report)
+    name = f"{spec.table}_{uuid.uuid4().hex}"
+    return tables.ensure_table(spark, spec, name, location=scratch_path(spark, "tables", spec.table))
+
+
+def _loaded(spark, report, batch, **kwargs):
+    name = _empty_table(spark, report)
+    jobs.load(spark, report, batch, table=name, log_table=None, **kwargs)
+    return name
+
+
+def q_load_append(spark, sf_dir):
+    """K-1 + K-7 + K-9 + C-1: two batches appended to a new table."""
+    first, second = map(reports.report_fill_rate, _half_months(_raw(spark, sf_dir, "fill_rate")))
+    name = _loaded(spark, "fill_rate", first, mode="append")
+    jobs.load(spark, "fill_rate", second, mode="append", table=name, log_table=None)
+    return spark.table(name)
+
+
+def q_load_overwrite(spark, sf_dir):
+    """K-2: a table overwritten as a whole by two of its months."""
+    geo = reports.report_geo_backfill(_raw(spark, sf_dir, "geo_monthly"))
+    name = _loaded(spark, "geo_monthly", geo)
+    jobs.load(spark, "geo_monthly", geo.where(F.col("report_date").isin(*REPLACE_MONTHS)), mode="overwrite", table=name, log_table=None)
+    return spark.table(name)
+
+
+def q_load_replace_day(spark, sf_dir):
+    """K-3: one day of a stored table replaced."""
+    raw = _raw(spark, sf_dir, "fill_rate")
+    name = _loaded(spark, "fill_rate", reports.report_fill_rate(raw))
+    jobs.load(spark, "fill_rate", _changed_day(raw), table=name, log_table=None)
+    return spark.table(name)
+
+
+def q_load_replace_month(spark, sf_dir):
+    """K-4 / K-6: two months of a stored table replaced by a batch with doubled clicks."""
+    geo = reports.report_geo_backfill(_raw(spark, sf_dir, "geo_monthly"))
+    name = _loaded(spark, "geo_monthly", geo)
+    batch = geo.where(F.col("report_date").isin(*REPLACE_MONTHS)).withColumn("ad_server_clicks", F.col("ad_server_clicks") * 2)
+    jobs.load(spark, "geo_monthly", batch, table=name, log_table=None)
+    return spark.table(name)
+
+
+def q_load_replace_range(spark, sf_dir):
+    """K-5: a range of a stored table replaced; its day without rows ends up empty."""
+    raw = _raw(spark, sf_dir, "fill_rate")
+    name = _loaded(spark, "fill_rate", reports.report_fill_rate(raw))
+    jobs.load(spark, "fill_rate", _changed_range(raw), mode="range", start=REPLACE_RANGE[0], end=REPLACE_RANGE[1], table=name, log_table=None)
+    return spark.table(name)
+
+
+def q_load_empty(spark, sf_dir):
+    """K-10: loads of an empty batch change nothing, in any mode."""
+    batch = q_report_fill_rate(spark, sf_dir)
+    name = _loaded(spark, "fill_rate", batch)
+    for mode in ("slice", "append", "overwrite", "range"):
+        jobs.load(spark, "fill_rate", batch.where("false"), mode=mode, start=REPLACE_RANGE[0], end=REPLACE_RANGE[1], table=name, log_table=None)
+    return spark.table(name)
+
+
+def q_load_dry_run(spark, sf_dir):
+    """K-11: the slices that a load would change, with both sides' sums."""
+    raw = _raw(spark, sf_dir, "fill_rate")
+    name = _loaded(spark, "fill_rate", reports.report_fill_rate(raw))
+    return jobs.load(spark, "fill_rate", setops.append_union(_changed_day(raw), _changed_range(raw)), table=name, dry_run=True)["diff"]
+
+
+def q_load_log(spark, sf_dir):
+    """K-12 + K-13: the log of a load, a range load and an empty load."""
+    raw, log = _raw(spark, sf_dir, "fill_rate"), f"load_log_{uuid.uuid4().hex}"
+    name = _empty_table(spark, "fill_rate")
+    whole = reports.report_fill_rate(raw)
+    jobs.load(spark, "fill_rate", whole, table=name, log_table=log)
+    jobs.load(spark, "fill_rate", _changed_range(raw), mode="range", start=REPLACE_RANGE[0], end=REPLACE_RANGE[1], table=name, log_table=log)
+    jobs.load(spark, "fill_rate", whole.where("false"), table=name, log_table=log)
+    return spark.table(log).select("severity", "report_type", "mode", "slice_start", "slice_end", "rows_written", "null_metric_values", "status", "message")
+
+
+# A backfill from mid-month to mid-month whose extract lacks the month between.
+BACKFILL = (_dt.date(1996, 1, 15), _dt.date(1996, 3, 10))
+
+
+def _backfilled(spark, sf_dir, chunked):
+    raw = _raw(spark, sf_dir, "geo_monthly")
+    name = _loaded(spark, "geo_monthly", reports.report_geo_backfill(raw))
+    month = dates.month_year_to_date(F.col("MONTH_YEAR"))
+    restated = raw.where(~F.coalesce(month == F.lit(_dt.date(1996, 2, 1)), F.lit(False))).withColumn("CLICKS", F.col("CLICKS") + 100)
+    jobs.backfill(spark, "geo_monthly", restated, *BACKFILL, chunked=chunked, table=name, pipeline=reports.report_geo_backfill, log_table=None)
+    return spark.table(name)
+
+
+def q_job_backfill(spark, sf_dir):
+    """C-3 + K-10: a range backfilled in one job; its month without rows stays as stored."""
+    return _backfilled(spark, sf_dir, False)
+
+
+def q_job_backfill_chunked(spark, sf_dir):
+    """C-3: the same range in month chunks gives the same table."""
+    return _backfilled(spark, sf_dir, True)
+
+
+WHOLE_PERIOD = (_dt.date(1992, 1, 1), _dt.date(2030, 12, 31))
+
+
+def q_job_backfill_geo_csv(spark, sf_dir):
+    """C-3 + J-5: a geography table backfilled from CSV dumps landed by month."""
+    landed = _land_csv(spark, _geo_month_frame(_raw(spark, sf_dir, "geo_monthly")), "geo_csv", "chunk_start")
+    name = _empty_table(spark, "geo_monthly")
+    jobs.backfill(spark, "geo_monthly", landed, *WHOLE_PERIOD, table=name, pipeline=reports.csv_geo_monthly, log_table=None)
+    return spark.table(name)
+
+
+def q_job_backfill_legacy(spark, sf_dir):
+    """C-3: a legacy geography table (ids, no Active View) backfilled from its dumps."""
+    landed = _land_csv(spark, _geo_month_frame(_raw(spark, sf_dir, "geo_monthly"), legacy=True), "legacy_geo_csv", "chunk_start")
+    name = _empty_table(spark, "legacy_geo_monthly")
+    jobs.backfill(spark, "legacy_geo_monthly", landed, *WHOLE_PERIOD, table=name, log_table=None)
+    return spark.table(name)
+
+
+def q_job_audit(spark, sf_dir):
+    """C-5: the findings of a stored report table (their texts aside)."""
+    name = _loaded(spark, "geo_monthly", reports.report_geo_backfill(_raw(spark, sf_dir, "geo_monthly")))
+    return jobs.audit(spark, "geo_monthly", spark.table(name)).select("table_name", "check", "status", "value")
+
+
+def q_job_audit_all(spark, sf_dir):
+    """C-6 + A-7: two stored tables and a missing one; the missing one is reported, the others are audited."""
+    views = {"fill_rate_audited": ("fill_rate", q_report_fill_rate(spark, sf_dir)),
+             "geo_audited": ("geo_monthly", reports.report_geo_backfill(_raw(spark, sf_dir, "geo_monthly")))}
+    frames = {view: (report, spark.table(_loaded(spark, report, df))) for view, (report, df) in views.items()}
+    found = jobs.audit_all(spark, ["no_such_table", *frames], frames)
+    return found.select("table_name", "check", "status", "value")
+
+
+def q_table_scan(spark, sf_dir):
+    """S-8: a stored table read by its folder, one day range pruned to its partitions."""
+    batch = q_report_fill_rate(spark, sf_dir)
+    name = _loaded(spark, "fill_rate", batch)
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    rows = source_tables.read_report(spark, "fill_rate", path=where)
+    return rows.where(F.col("date").between(*map(F.lit, REPLACE_RANGE)))
+
+
+def q_ad_hoc_sql(spark, sf_dir):
+    """S-5: SQL over a report given by name."""
+    return source_tables.query(
+        spark, "select ad_unit_name, sum(ad_requests) as ad_requests, count(distinct date) as days from {fill_rate} group by ad_unit_name",
+        fill_rate=q_report_fill_rate(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "report_fill_rate": q_report_fill_rate,
     "report_inventory_daily": q_report_inventory_daily,
@@ -466,6 +667,7 @@ QUERIES: dict[str, Query] = {
     "run_report_reach": q_run_report_reach,
     "run_report_last_month": q_run_report_last_month,
     "run_report_yesterday": q_run_report_yesterday,
+    "local_yesterday": q_local_yesterday,
     "hierarchy_levels": q_hierarchy_levels,
     "month_ranges": q_month_ranges,
     "backfill_summary": q_backfill_summary,
@@ -477,6 +679,8 @@ QUERIES: dict[str, Query] = {
     **{f"audit_duplicates_{r}": _dup_query(r) for r in registry.REPORTS},
     "audit_duplicates_inventory_full_key": q_audit_duplicates_inventory_full_key,
     "audit_summary": q_audit_summary,
+    "top_duplicates": q_top_duplicates,
+    "report_sorted": q_report_sorted,
     "sample_rows": q_sample_rows,
     "sample_values": q_sample_values,
     "kpi_fill_serve": q_kpi_fill_serve,
@@ -484,11 +688,31 @@ QUERIES: dict[str, Query] = {
     "demographics_normalised": q_demographics_normalised,
     "coerce_int": q_coerce_int,
     "coerce_double": q_coerce_double,
+    "coerce_int_text": q_coerce_int_text,
+    "coerce_double_text": q_coerce_double_text,
     "reconcile": q_reconcile,
     "flatten_pages": q_flatten_pages,
+    "flatten_json_pages": q_flatten_json_pages,
     "csv_dump": q_csv_dump,
+    "csv_dump_mixed_headers": q_csv_dump_mixed_headers,
     "csv_dump_fill_rate": q_csv_dump_fill_rate,
     "csv_dump_geo": q_csv_dump_geo,
     "legacy_inventory_daily": q_legacy_inventory_daily,
     "legacy_geo_monthly": q_legacy_geo_monthly,
+    "load_append": q_load_append,
+    "load_overwrite": q_load_overwrite,
+    "load_replace_day": q_load_replace_day,
+    "load_replace_month": q_load_replace_month,
+    "load_replace_range": q_load_replace_range,
+    "load_empty": q_load_empty,
+    "load_dry_run": q_load_dry_run,
+    "load_log": q_load_log,
+    "job_backfill": q_job_backfill,
+    "job_backfill_chunked": q_job_backfill_chunked,
+    "job_backfill_geo_csv": q_job_backfill_geo_csv,
+    "job_backfill_legacy": q_job_backfill_legacy,
+    "job_audit": q_job_audit,
+    "job_audit_all": q_job_audit_all,
+    "table_scan": q_table_scan,
+    "ad_hoc_sql": q_ad_hoc_sql,
 }

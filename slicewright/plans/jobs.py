@@ -9,6 +9,7 @@ counts, the written slice keys, three sample rows on a dry run.
 from __future__ import annotations
 
 import datetime as _dt
+import inspect
 import traceback
 
 from pyspark import StorageLevel
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 from .. import registry
 from ..operators import audit as audit_ops
+from ..operators import calendar
 from ..operators import reconcile as reconcile_ops
 from ..operators.report_query import range_predicate
 from ..sinks import tables
@@ -32,6 +34,7 @@ LOAD_LOG_SCHEMA = T.StructType([
     T.StructField("mode", T.StringType()),
     T.StructField("slice_start", T.DateType()),
     T.StructField("slice_end", T.DateType()),
+    T.StructField("rows_read", T.LongType()),
     T.StructField("rows_written", T.LongType()),
     T.StructField("null_metric_values", T.LongType()),
     T.StructField("status", T.StringType()),
@@ -45,9 +48,13 @@ def log_load(spark: SparkSession, record: dict, table: str = LOAD_LOG_TABLE) ->
         f"CREATE TABLE IF NOT EXISTS {table} ("
         + ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in LOAD_LOG_SCHEMA.fields)
         + ") USING parquet")
+    stored = spark.table(table).columns
+    new = [f for f in LOAD_LOG_SCHEMA.fields if f.name not in stored]
+    if new:  # a log begun before these fields existed
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'{f.name} {f.dataType.simpleString()}' for f in new)})")
     row = {f.name: record.get(f.name) for f in LOAD_LOG_SCHEMA.fields}
-    row["logged_at"] = row["logged_at"] or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    spark.createDataFrame([row], LOAD_LOG_SCHEMA).write.insertInto(table)
+    row["logged_at"] = row["logged_at"] or _dt.datetime.now(_dt.timezone.utc)  # an instant, not a wall-clock time
+    spark.createDataFrame([row], LOAD_LOG_SCHEMA).select(*spark.table(table).columns).write.insertInto(table)
 
 
 def load(
@@ -62,14 +69,17 @@ def load(
     extra_columns: str = "reject",
     log_table: str | None = LOAD_LOG_TABLE,
     materialize: bool = False,
+    fetched: Observation | None = None,
 ) -> dict:
     """C-1: write a typed report batch into its table.
 
     ``mode``: ``slice`` (replace every day/month present, K-3/K-4/K-6),
     ``range`` (replace ``[start, end]``, K-5), ``append`` (K-1) or
     ``overwrite`` (K-2).  An empty batch deletes and writes nothing and
-    succeeds with 0 rows (K-10).  ``dry_run`` returns the count and three
-    sample rows and writes nothing (K-11).  ``materialize`` checkpoints the
+    succeeds with 0 rows (K-10).  ``dry_run`` writes nothing and returns the
+    count, three sample rows and, as a DataFrame, the slices a load would
+    change (K-11).  ``fetched`` observes ``rows`` of the raw extract, for the
+    log (K-13).  ``materialize`` checkpoints the
     batch first (into ``spark.checkpoint.dir``): needed when the batch is
     derived from the table it replaces.
     """
@@ -81,11 +91,11 @@ def load(
     result = {"report_type": spec.name, "table": name, "mode": mode}
 
     if dry_run:
-        n = conformed.count()
-        sample = audit_ops.sample_rows(conformed, spec.columns, 3).collect()
-        out = {**result, "status": "DRY_RUN", "rows": n, "sample": [r.asDict() for r in sample]}
+        sums = slice_sums(spec, conformed)
+        found = sums.agg(F.sum("rows").alias("rows"), F.slice(F.sort_array(F.collect_list("first_row")), 1, 3).alias("sample")).first()
+        out = {**result, "status": "DRY_RUN", "rows": int(found["rows"] or 0), "sample": [r.asDict() for r in found["sample"]]}
         if spark.catalog.tableExists(name):
-            out["diff"] = [r.asDict() for r in compare_with_stored(spark, spec, conformed, name).collect()]
+            out["diff"] = compare_with_stored(spark, spec, sums, name)
         return out
 
     tables.ensure_table(spark, spec, name)
@@ -107,7 +117,7 @@ def load(
         # Rows outside the range would rewrite slices nobody asked to replace:
         # fail the job in-line, before anything is committed.
         lo, hi = _as_date(start), _as_date(end)
-        first = lo.replace(day=1) if spec.partition_grain == "MONTH" else lo
+        first = _first_slice(spec, lo)
         key = F.col(spec.partition_col)
         conformed = conformed.withColumn(spec.partition_col, F.when(
             key.between(F.lit(first), F.lit(hi)), key).otherwise(F.raise_error(F.lit(
@@ -140,8 +150,10 @@ def load(
             result["message"] = "No data available"
         record.update(rows_written=rows, null_metric_values=int(got.get("nulls") or 0), status="SUCCESS",
                       message=result.get("message"))
+        if fetched is not None and rows:  # Spark drops the observation with an empty plan
+            record["rows_read"] = result["rows_read"] = int(fetched.get.get("rows") or 0)
     except Exception as e:
-        record.update(severity="ERROR", status="FAILED", message=str(e)[:2000])
+        record.update(severity="ERROR", status="FAILED", message=str(e))
         if log_table:
             log_load(spark, record, log_table)
         raise
@@ -150,20 +162,37 @@ def load(
     return result
 
 
-def compare_with_stored(spark: SparkSession, spec: registry.ReportSpec, batch: DataFrame,
+def _metrics(spec: registry.ReportSpec) -> list[str]:
+    return [f.name for f in spec.schema.fields if isinstance(f.dataType, T.LongType) and f.name not in spec.required]
+
+
+def slice_sums(spec: registry.ReportSpec, batch: DataFrame) -> DataFrame:
+    """One row per slice of a batch: rows, metric sums and its first row, checkpointed.
+
+    All that a dry run says comes from these few rows, so the batch is computed once.
+    """
+    return batch.groupBy(spec.partition_col).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.struct(*spec.columns)).alias("first_row"), *[F.sum(m).alias(m) for m in _metrics(spec)],
+    ).checkpoint()
+
+
+def compare_with_stored(spark: SparkSession, spec: registry.ReportSpec, sums: DataFrame,
                         table: str) -> DataFrame:
-    """C-7 before a reload: per slice, the batch's metric sums against what the
-    table holds for the same slices; only slices that differ are returned.
+    """C-7 before a reload: per slice, the batch's metric sums (``slice_sums``)
+    against what the table holds for the same slices; only slices that differ
+    are returned.
 
     The stored side is cut to the batch's slices with a semi-join on the
-    slice keys (one row per day or month, so a broadcast build side).
+    slice keys (one row per day or month).
     """
     key = spec.partition_col
-    metrics = [f.name for f in spec.schema.fields
-               if isinstance(f.dataType, T.LongType) and f.name not in spec.required]
-    slices = batch.select(key).distinct()
-    stored = spark.table(table).join(slices, key, "left_semi")
-    return reconcile_ops.reconcile(stored, batch, [key], metrics, only_differences=True)
+    stored = spark.table(table).join(sums.select(key), key, "left_semi")
+    return reconcile_ops.reconcile(stored, sums, [key], _metrics(spec), only_differences=True)
+
+
+def _first_slice(spec: registry.ReportSpec, lo: _dt.date) -> _dt.date:
+    """The first slice key of a range: a monthly report's is the first of its month."""
+    return lo.replace(day=1) if spec.partition_col == "report_date" else lo
 
 
 def _as_date(v):
@@ -174,33 +203,42 @@ def _as_date(v):
 
 # -- backfill (C-3) ------------------------------------------------------------
 
-_RAW_DATE = {  # raw date column and its encoding, per report (paged/API form)
-    "fill_rate": ("DATE", "date_int"),
-    "inventory_daily": ("DATE", "date_int"),
-    "geo_monthly": ("MONTH_YEAR", "month_year"),
-    "audience_interest": ("MONTH_YEAR", "month_year"),
-    "audience_demographics": ("MONTH_YEAR", "month_year"),
-}
+# Raw date columns and their encodings, in order of preference: API and paged
+# extracts, CSV dumps (daily, then monthly), and dumps landed by month folder.
+CHUNK_FOLDER = "chunk_start"
+_RAW_DATES = (("DATE", "date_int"), ("MONTH_YEAR", "month_year"), ("Dimension.DATE", "iso"),
+              ("Dimension.MONTH_YEAR", "month_year"), (CHUNK_FOLDER, "folder"))
 
 
-def month_bounds(start, end) -> list[tuple[_dt.date, _dt.date]]:
-    """G-1 on parameters: the month chunks of ``[start, end]`` as date pairs
-    (driver side: this is a handful of dates, not data)."""
-    s, e = _as_date(start), _as_date(end)
-    out = []
-    cur = s
-    while cur <= e:
-        first = cur.replace(day=1)
-        nxt = (first.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
-        out.append((max(first, s), min(nxt - _dt.timedelta(days=1), e)))
-        cur = nxt
-    return out
+def _raw_date(raw: DataFrame) -> tuple[str, str] | None:
+    for name, encoding in _RAW_DATES:
+        if name in raw.columns:
+            if encoding == "folder":
+                encoding = "iso" if isinstance(raw.schema[name].dataType, T.StringType) else "date"
+            return name, encoding
+    return None
+
+
+def _typed(pipe, raw: DataFrame, lo: _dt.date, hi: _dt.date) -> DataFrame:
+    """The raw rows of a chunk through its pipeline.
+
+    A dump that names no month is dated by its chunk: by its month folder, or,
+    for a chunk within one month, by that month's first day.
+    """
+    if "report_date" not in inspect.signature(pipe).parameters or {"MONTH_YEAR", "Dimension.MONTH_YEAR"} & set(raw.columns):
+        return pipe(raw)
+    if CHUNK_FOLDER in raw.columns:
+        return pipe(raw, report_date=F.trunc(F.col(CHUNK_FOLDER).cast("string").cast("date"), "MM"))
+    if (lo.year, lo.month) != (hi.year, hi.month):
+        raise ValueError("rows without a month: land them by month folder (chunk_start=...), give a function of "
+                         "(first day, last day), or backfill one month")
+    return pipe(raw, report_date=lo.replace(day=1))
 
 
 def backfill(
     spark: SparkSession,
     report: str,
-    raw: DataFrame,
+    raw,
     start,
     end,
     chunked: bool = False,
@@ -211,28 +249,36 @@ def backfill(
 ) -> dict:
     """C-3: load ``[start, end]`` of a report from a raw extract.
 
-    By default one job replaces the whole range (the month loop of a
-    remote-API backfill is not needed when the data is already landed).
-    ``chunked=True`` replaces month by month, stopping at the first error;
-    finished months stay, and a rerun of the same range is idempotent.
+    ``raw`` is a landed extract (pages, API rows, CSV or legacy dumps), or a
+    function ``(first day, last day) -> extract`` that is asked month by month.
+    By default one job replaces the whole range; ``chunked=True`` (always so
+    for a function) replaces month by month, stopping at the first error:
+    finished months stay, and a rerun of the same range is idempotent.  Both
+    leave the same table: a month without rows is left as stored (K-10).
     Returns per-chunk rows and the running total (A-8).
     """
     spec = registry.report(report)
-    pipe = pipeline or reports.REPORT_PIPELINES[spec.name]
-    date_col, enc = _RAW_DATE[spec.name]
-    chunks = month_bounds(start, end) if chunked else [(_as_date(start), _as_date(end))]
+    pipe = pipeline or reports.LEGACY_PIPELINES.get(spec.name) or reports.REPORT_PIPELINES[spec.name]
+    chunks = [(_as_date(start), _as_date(end))]
+    if chunked or callable(raw):
+        chunks = [(r.month_start, r.month_end) for r in calendar.month_ranges(spark, start, end).orderBy("chunk").collect()]
     summary, total = [], 0
     for lo, hi in chunks:
-        pred = range_predicate(raw, date_col, lo, hi, enc) if date_col in raw.columns else None
-        part = raw.where(pred) if pred is not None else raw  # pushed to the landing scan
-        batch = pipe(part)
+        part = raw(lo, hi) if callable(raw) else raw
+        if part is None:
+            continue
+        first = _first_slice(spec, lo)
+        found = _raw_date(part)
+        if found:  # pushed to the landing scan
+            part = part.where(range_predicate(part, found[0], first, hi, found[1]))
+        fetched = Observation(f"fetched_{spec.table}")
+        part = part.observe(fetched, F.count(F.lit(1)).alias("rows"))
         # A landed extract may hold more than the range: keep only its slices
         # (a monthly slice is keyed by the first of its month).
-        key = F.col(spec.partition_col)
-        first = lo.replace(day=1) if spec.partition_grain == "MONTH" else lo
-        batch = batch.where(key.between(F.lit(first), F.lit(hi)))
+        batch = _typed(pipe, part, lo, hi)
+        batch = batch.where(F.col(spec.partition_col).between(F.lit(first), F.lit(hi)))
         res = load(spark, spec.name, batch, mode="range", start=lo, end=hi, table=table,
-                   dry_run=dry_run, log_table=log_table)
+                   dry_run=dry_run, log_table=log_table, extra_columns="drop", fetched=fetched)
         n = res.get("rows_inserted", res.get("rows", 0))
         total += n
         summary.append({"month_label": lo.strftime("%B %Y"), "start": lo, "end": hi,
@@ -309,24 +355,26 @@ def audit(spark: SparkSession, table: str, df: DataFrame | None = None) -> DataF
         n_full = counts.get(1, 0)
         out.append((table, "duplicates_full_key", "WARNING" if n_full else "OK", n_full, ", ".join(full_key)))
     first = df.where(F.col(spec.partition_col) == F.lit(p["min_date"])) if p["min_date"] else df
-    sample = audit_ops.sample_rows(first, spec.duplicate_key, 3).collect()
+    sample = audit_ops.sample_rows(first, [c for c in spec.columns if c in df.columns], 3).collect()
     out.append((table, "sample", "INFO", len(sample), "; ".join(str(r.asDict()) for r in sample) or None))
     return spark.createDataFrame(out, FINDINGS_SCHEMA)
 
 
-def audit_all(spark: SparkSession, tables_: list[str] | None = None) -> DataFrame:
+def audit_all(spark: SparkSession, tables_: list[str] | None = None, frames: dict | None = None) -> DataFrame:
     """C-6: audit every report table; a failing table is reported, the others
-    still run.  Ends with the per-table row summary (A-7)."""
+    still run.  Ends with the per-table row summary (A-7).  ``frames`` gives
+    other tables of known reports by name: ``{name: (report, rows)}``."""
     names = tables_ or [registry.REPORTS[n].table for n in
                         ("inventory_daily", "geo_monthly", "audience_interest",
                          "audience_demographics", "fill_rate")]
     parts = []
     for t in names:
         try:
-            parts.append(audit(spark, t))
+            report, df = (frames or {}).get(t, (t, None))
+            parts.append(audit(spark, report, df).withColumn("table_name", F.lit(t)))
         except Exception as e:  # noqa: BLE001 - one table's failure must not stop the rest
             parts.append(spark.createDataFrame(
-                [(t, "error", "ERROR", None, f"{type(e).__name__}: {e}"[:2000])], FINDINGS_SCHEMA))
+                [(t, "error", "ERROR", None, f"{type(e).__name__}: {e}")], FINDINGS_SCHEMA))
             traceback.print_exc()
     out = parts[0]
     for p in parts[1:]:

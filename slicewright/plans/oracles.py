@@ -9,7 +9,7 @@ unless told otherwise.
 
 from __future__ import annotations
 
-from ..sources.fixtures import raw_sql
+from ..sources.fixtures import NUMERIC_SQL, raw_sql
 
 
 def _date_int(x: str) -> str:
@@ -33,6 +33,10 @@ def _float64(x: str) -> str:
     return f"(case when isnan({d}) then null else {d} end)"
 
 
+# A decimal number in plain or exponent notation, else NULL.
+_PLAIN = r"(case when regexp_full_match(trim(raw_text), '[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?') then trim(raw_text) end)"
+
+
 def _sum(x: str) -> str:
     return f"cast(coalesce(sum({x}), 0) as bigint)"
 
@@ -172,6 +176,51 @@ _GENDER_SQL = ("case when upper(trim(gender)) in ('HOMME', 'MALE') then 'Male' "
 _AGE_SQL = ("case when trim(age_bracket) in ('18-24', '25-34', '35-44', '45-54', '55-64', '65+') "
             "then trim(age_bracket) else 'Unknown' end")
 _GRP = "'^([A-Z]+)_(.*)$'"
+_REPLACED_DAY = dict(stored=FILL_RATE, batch_typed=fill_rate_typed("raw_fill_rate", "where DATE = 20240115 and AD_UNIT_NAME <> 'error'"),
+                     batch=fill_rate("batch_typed"))
+_REPLACED_RANGE = dict(stored=FILL_RATE, batch=fill_rate(
+    "fill_rate_typed", "where date between date '2024-01-10' and date '2024-01-20' and date <> date '2024-01-15'"))
+_MONTHS_REPLACED = "report_date in (date '1996-03-01', date '1996-04-01')"
+_GEO_COLS = ("report_date", "country_name", "country_code", "ad_server_impressions", "ad_server_clicks", "active_view_measurable_rate",
+             "active_view_viewable_impressions")
+_KEPT_GEO = dict(**_GEO, kept="select * from geo where country_name is not null")
+
+
+def _geo_cols(clicks: str) -> str:
+    return ", ".join(f"{clicks} as ad_server_clicks" if c == "ad_server_clicks" else c for c in _GEO_COLS)
+
+
+_BACKFILLED = _with(**_KEPT_GEO) + f"""
+select {_geo_cols("case when report_date in (date '1996-01-01', date '1996-03-01') then ad_server_clicks + 100 else ad_server_clicks end")} from kept"""
+
+
+def _dry_run() -> str:
+    """Per day of the batch, its sums against the stored report's, where they differ: the changed
+    day's rows, and twice nothing else (the other days of the batch are as stored)."""
+    def sums(suffix):
+        return ", ".join(f"{_sum(m)} as {m}_{suffix}" for m in _RECONCILE_METRICS)
+    cols = ", ".join(f"{m}_a, {m}_b, {m}_a - {m}_b as {m}_delta" for m in _RECONCILE_METRICS)
+    return _with(**_FR, **_REPLACED_DAY, s=f"select date, {sums('a')} from stored group by date",
+                 b=f"select date, {sums('b')} from batch group by date") + f"""
+select b.date, {cols}, 'mismatch' as status from b join s on s.date = b.date
+where {" or ".join(f"{m}_a <> {m}_b" for m in _RECONCILE_METRICS)}"""
+
+
+def _nulls(src: str) -> str:
+    return f"""(select count(*) filter (where unfilled_impressions is null) + count(*) filter (where code_served_count is null)
+  + count(*) filter (where responses_served is null) + count(*) filter (where ad_server_impressions is null)
+  + count(*) filter (where fill_rate is null) + count(*) filter (where ad_requests is null) from {src})"""
+
+
+def _findings(name: str, src: str, date: str, key: str, columns: int) -> str:
+    dups = f"(select count(*) from (select 1 from {src} group by {key} having count(*) > 1))"
+    checks = [("schema", "'INFO'", f"{columns}"), ("total_rows", "'INFO'", f"(select count(*) from {src})"),
+              ("date_range", "'INFO'", f"(select count(distinct {date}) from {src})"),
+              ("null_dates", f"(select case when count(*) = 0 then 'OK' else 'WARNING' end from {src} where {date} is null)",
+               f"(select count(*) from {src} where {date} is null)"),
+              ("duplicates", f"case when {dups} = 0 then 'OK' else 'WARNING' end", dups),
+              ("sample", "'INFO'", f"(select least(3, count(*)) from {src} where {date} = (select min({date}) from {src}))")]
+    return "\nunion all\n".join(f"select '{name}' as table_name, '{c}' as \"check\", {s} as status, cast({v} as bigint) as value" for c, s, v in checks)
 
 ORACLES: dict[str, str] = {
     "report_fill_rate": _with(**_FR) + FILL_RATE,
@@ -236,8 +285,7 @@ union all select * from batch""",
     + """select * from stored
 where not coalesce(date between date '2024-01-10' and date '2024-01-20', false)
 union all select * from batch""",
-    "append_union": _with(**_FR) + fill_rate("fill_rate_typed", "where day(date) <= 15")
-    + "\nunion all\n" + fill_rate("fill_rate_typed", "where day(date) > 15"),
+    "append_union": _with(**_FR) + FILL_RATE,
     "audit_profile": _with(**_ALL) + "\nunion all\n".join(
         f"""select '{t}' as table_name, count(*) as total_rows,
        count(*) filter (where {d} is null) as null_dates, min({d}) as min_date, max({d}) as max_date,
@@ -279,6 +327,51 @@ from raw_geo_monthly group by AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE"
     # Pages and CSV dumps carry the same rows as the extract: the oracle is
     # the report built straight from the extract.
     "flatten_pages": _with(**_FR) + FILL_RATE,
+    "flatten_json_pages": _with(**_FR) + FILL_RATE,
+    "csv_dump_mixed_headers": _with(**_INV) + "select * from inventory",
+    "report_sorted": _with(**_FR) + FILL_RATE + "\norder by date nulls first, ad_unit_name nulls first",
+    "top_duplicates": _with(**_GEO) + """
+select report_date, country_code, count(*) as cnt from geo group by 1, 2 having count(*) > 1
+order by cnt desc, report_date asc nulls first, country_code asc nulls first limit 5""",
+    "local_yesterday": """
+select cast((ts at time zone 'UTC') at time zone 'Europe/Paris' as date) - 1 as yesterday, count(*) as events from events group by 1""",
+    "coerce_int_text": f"select raw_text, n, coalesce(try_cast(case when regexp_full_match(trim(raw_text), '[+-]?[0-9]+') then raw_text end as bigint), "
+    f"try_cast(case when try_cast({_PLAIN} as double) = floor(try_cast({_PLAIN} as double)) then try_cast({_PLAIN} as double) end as bigint)) as value from ({NUMERIC_SQL.format(lineitem='lineitem')})",
+    "coerce_double_text": f"select raw_text, n, {_float64(_PLAIN)} as value from ({NUMERIC_SQL.format(lineitem='lineitem')})",
+    # Loads are read back from their tables; the oracle is what each must hold.
+    "load_append": _with(**_FR) + FILL_RATE,
+    "load_empty": _with(**_FR) + FILL_RATE,
+    "load_overwrite": _with(**_KEPT_GEO) + f"select * from kept where {_MONTHS_REPLACED}",
+    "load_replace_day": _with(**_FR, **_REPLACED_DAY) + """select * from stored where date is distinct from date '2024-01-15'
+union all select * from batch""",
+    "load_replace_month": _with(**_KEPT_GEO) + f"select {_geo_cols(f'case when {_MONTHS_REPLACED} then ad_server_clicks * 2 else ad_server_clicks end')} from kept",
+    "load_replace_range": _with(**_FR, **_REPLACED_RANGE) + """select * from stored
+where not coalesce(date between date '2024-01-10' and date '2024-01-20', false) union all select * from batch""",
+    "load_dry_run": _dry_run(),
+    "load_log": _with(**_FR, **_REPLACED_RANGE) + f"""
+select 'INFO' as severity, 'fill_rate' as report_type, 'slice' as mode, cast(null as date) as slice_start, cast(null as date) as slice_end,
+       (select count(*) from stored) as rows_written, {_nulls('stored')} as null_metric_values, 'SUCCESS' as status, cast(null as varchar) as message
+union all
+select 'INFO', 'fill_rate', 'range', date '2024-01-10', date '2024-01-20', (select count(*) from batch), {_nulls('batch')}, 'SUCCESS', null
+union all
+select 'INFO', 'fill_rate', 'slice', null, null, 0, 0, 'SUCCESS', 'No data available'""",
+    "job_backfill": _BACKFILLED,
+    "job_backfill_chunked": _BACKFILLED,
+    "job_backfill_geo_csv": _with(**_KEPT_GEO) + "select * from kept",
+    "job_backfill_legacy": _with(raw_geo_monthly=RAW["geo_monthly"]) + f"""
+select {_int64('COUNTRY_CODE')} as country_id, COUNTRY_NAME as country_name, IMPRESSIONS as ad_server_impressions,
+       CLICKS as ad_server_clicks, {_month_year('MONTH_YEAR')} as report_date
+from raw_geo_monthly""",
+    "job_audit": _with(**_KEPT_GEO) + _findings("geo_monthly", "kept", "report_date", "report_date, country_code", 7),
+    "job_audit_all": _with(**_KEPT_GEO, **_FR, fill_rate=FILL_RATE)
+    + "select 'no_such_table' as table_name, 'error' as \"check\", 'ERROR' as status, cast(null as bigint) as value\nunion all\n"
+    + "\nunion all\n".join(
+        _findings(name, src, date, key, n) + f"\nunion all\nselect '{name}', 'summary', 'INFO', (select count(*) from {src})"
+        for name, src, date, key, n in (("fill_rate_audited", "fill_rate", "date", "date, ad_unit_name", 8),
+                                        ("geo_audited", "kept", "report_date", "report_date, country_code", 7))),
+    "table_scan": _with(**_FR, fill_rate=FILL_RATE) + "select * from fill_rate where date between date '2024-01-10' and date '2024-01-20'",
+    "ad_hoc_sql": _with(**_FR, fill_rate=FILL_RATE) + """
+select ad_unit_name, cast(sum(ad_requests) as bigint) as ad_requests, count(distinct date) as days from fill_rate group by ad_unit_name""",
     "csv_dump": _with(**_INV) + "select * from inventory",
     "csv_dump_fill_rate": _with(**_FR) + FILL_RATE,
     "csv_dump_geo": _with(**_GEO) + "select * from geo where country_name is not null",

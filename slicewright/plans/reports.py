@@ -83,17 +83,19 @@ REPORT_PIPELINES = {
 
 # -- CSV dumps (backfill) ---------------------------------------------------
 
+_LOGICAL = {"date": "date", "string": "string", "bigint": "int64", "double": "float64"}
+
+
+def _logical_types(spec: registry.ReportSpec, *without: str) -> dict[str, str]:
+    """The type of every table column, as a dump's text columns become it."""
+    return {f.name: _LOGICAL[f.dataType.simpleString()] for f in spec.schema.fields if f.name not in without}
+
+
 def csv_inventory_daily(raw: DataFrame) -> DataFrame:
     spec = R["inventory_daily"]
     df = rename_mapped(raw, registry.CSV_HIERARCHY_COLUMNS, spec.csv_map)
     df = keep_expected(df, spec.expected)
-    return apply_types(df, {
-        "date": "date",
-        "ad_server_impressions": "int64",
-        "ad_server_clicks": "int64",
-        "active_view_measurable_impressions": "int64",
-        "active_view_viewable_impressions": "int64",
-    })
+    return apply_types(df, _logical_types(spec))
 
 
 def csv_fill_rate(raw: DataFrame) -> DataFrame:
@@ -101,7 +103,7 @@ def csv_fill_rate(raw: DataFrame) -> DataFrame:
     spec = R["fill_rate"]
     df = rename_mapped(raw, {"Ad unit 2": "ad_unit_name"}, spec.csv_map)
     df = keep_expected(df, spec.expected)
-    df = apply_types(df, {"date": "date", **{k: v for k, v in spec.type_map.items() if k != "date"}})
+    df = apply_types(df, _logical_types(spec))
     return _fill_rate_from_typed(df)
 
 
@@ -125,13 +127,7 @@ def csv_geo_monthly(raw: DataFrame, report_date=None) -> DataFrame:
     df = keep_expected(df, [c for c in spec.columns if c != "report_date"] + ["__report_date"])
     df = df.withColumnRenamed("__report_date", "report_date")
     df = drop_null_keys(df, "country_name")
-    return apply_types(df, {
-        "country_code": "string",
-        "ad_server_impressions": "int64",
-        "ad_server_clicks": "int64",
-        "active_view_measurable_rate": "float64",
-        "active_view_viewable_impressions": "int64",
-    })
+    return apply_types(df, _logical_types(spec, "report_date"))
 
 
 def report_geo_backfill(raw: DataFrame) -> DataFrame:
@@ -147,23 +143,19 @@ def report_geo_backfill(raw: DataFrame) -> DataFrame:
 def legacy_inventory_daily(raw: DataFrame) -> DataFrame:
     spec = registry.LEGACY_REPORTS["inventory_daily"]
     df = keep_expected(rename_mapped(raw, spec.csv_map), spec.expected)
-    return apply_types(df, {
-        "date": "date",
-        "ad_unit_id": "int64",
-        "order_id": "int64",
-        "ad_server_impressions": "int64",
-        "ad_server_clicks": "int64",
-        "active_view_measurable_impressions": "int64",
-        "active_view_viewable_impressions": "int64",
-    })
-
-
-def legacy_geo_monthly(raw: DataFrame, report_date) -> DataFrame:
+    views = {c: "int64" for c in spec.expected if c not in spec.columns}  # Active View metrics, where a dump has them
+    return apply_types(df, _logical_types(spec) | views)
+
+
+def legacy_geo_monthly(raw: DataFrame, report_date=None) -> DataFrame:
     """Legacy geo: country ids; subtotal rows are kept; ``report_date`` is the
-    chunk's first day (a date, or a Column such as the landing folder's)."""
+    chunk's first day (a date, or a Column such as the landing folder's), by
+    default the first day of the previous month."""
     spec = registry.LEGACY_REPORTS["geo_monthly"]
     df = with_report_date(raw, report_date, "__report_date")
     df = keep_expected(rename_mapped(df, spec.csv_map), list(spec.expected) + ["__report_date"])
     df = df.withColumnRenamed("__report_date", "report_date")
-    return apply_types(df, {"country_id": "int64", "ad_server_impressions": "int64",
-                            "ad_server_clicks": "int64"})
+    return apply_types(df, _logical_types(spec, "report_date"))
+
+
+LEGACY_PIPELINES = {"legacy_inventory_daily": legacy_inventory_daily, "legacy_geo_monthly": legacy_geo_monthly}

@@ -281,25 +281,6 @@ CSV_COLUMN_MAPPINGS = {
     },
 }
 
-# The report-job query (dimensions, columns) each CSV report asks for.
-CSV_REPORT_QUERIES = {
-    "inventory_daily": (
-        ("DATE", "AD_UNIT_NAME", "ORDER_NAME", "DEVICE_CATEGORY_NAME", "CREATIVE_SIZE"),
-        ("AD_SERVER_IMPRESSIONS", "AD_SERVER_CLICKS",
-         "AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS", "AD_SERVER_ACTIVE_VIEW_VIEWABLE_IMPRESSIONS"),
-    ),
-    "fill_rate": (
-        ("DATE", "AD_UNIT_NAME"),
-        ("TOTAL_INVENTORY_LEVEL_UNFILLED_IMPRESSIONS", "TOTAL_CODE_SERVED_COUNT",
-         "TOTAL_RESPONSES_SERVED", "AD_SERVER_IMPRESSIONS", "TOTAL_FILL_RATE", "TOTAL_AD_REQUESTS"),
-    ),
-    "geo_monthly": (
-        ("COUNTRY_NAME", "COUNTRY_CRITERIA_ID"),
-        ("AD_SERVER_IMPRESSIONS", "AD_SERVER_CLICKS",
-         "AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE", "AD_SERVER_ACTIVE_VIEW_VIEWABLE_IMPRESSIONS"),
-    ),
-}
-
 # Legacy generation (ids, no Active View), CSV names → columns.
 LEGACY_COLUMN_MAPPINGS = {
     "inventory_daily": {
@@ -360,9 +341,6 @@ GENDER_VALUES = {"Homme": "Male", "Femme": "Female", "Male": "Male", "Female": "
 AGE_BRACKETS = ("18-24", "25-34", "35-44", "45-54", "55-64", "65+")
 UNKNOWN = "Unknown"
 
-# Rates that are not additive; never summed or averaged across rows.
-NON_ADDITIVE = ("bounce_rate", "engagement_rate", "ga_views_per_user", "active_view_measurable_rate")
-
 # ---------------------------------------------------------------------------
 
 _SPARK_TYPES = {

@@ -14,6 +14,7 @@ transaction spanning both steps.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -76,6 +77,8 @@ def table_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# The mode is a session setting: threads that share a session write one after the other.
+_PINNED = threading.RLock()
 
 
 @contextmanager
@@ -86,15 +89,16 @@ def overwrite_mode(spark: SparkSession, mode: str | None):
     if mode is None:
         yield
         return
-    old = spark.conf.get(_OVERWRITE_MODE, None)
-    spark.conf.set(_OVERWRITE_MODE, mode)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(_OVERWRITE_MODE)
-        else:
-            spark.conf.set(_OVERWRITE_MODE, old)
+    with _PINNED:
+        old = spark.conf.get(_OVERWRITE_MODE, None)
+        spark.conf.set(_OVERWRITE_MODE, mode)
+        try:
+            yield
+        finally:
+            if old is None:
+                spark.conf.unset(_OVERWRITE_MODE)
+            else:
+                spark.conf.set(_OVERWRITE_MODE, old)
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -121,6 +125,7 @@ def _write(df: DataFrame, table: str, overwrite: bool, mode: str | None = None,
            prepared: bool = False) -> None:
     spark = df.sparkSession
     out = df if prepared else prepare(df, table)
+    # an append needs no mode, and waits for nobody
     with overwrite_mode(spark, mode):
         out.write.insertInto(table, overwrite=overwrite)
     spark.catalog.refreshTable(table)
@@ -142,14 +147,13 @@ def replace_slices(df: DataFrame, table: str, prepared: bool = False) -> None:
     _write(df, table, overwrite=True, mode="dynamic", prepared=prepared)
 
 
-def list_partitions(spark: SparkSession, table: str) -> list[str]:
-    """Partition values of a table (catalog metadata only)."""
-    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    out = []
-    for r in rows:
-        _, _, v = r[0].partition("=")
-        out.append(v)
-    return out
+def list_partitions(spark: SparkSession, table: str, lo=None, hi=None) -> list[str]:
+    """Partition values of a table (catalog metadata only), those in ``[lo, hi]`` when given."""
+    value = F.substring_index("partition", "=", -1)
+    rows = spark.sql(f"SHOW PARTITIONS {table}").select(value.alias("v"))
+    if lo is not None:
+        rows = rows.where(F.col("v").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.col("v").between(str(lo), str(hi)))
+    return [r.v for r in rows.collect()]
 
 
 def drop_partitions(spark: SparkSession, table: str, col: str, values, batch: int = 500) -> None:
@@ -157,19 +161,18 @@ def drop_partitions(spark: SparkSession, table: str, col: str, values, batch: in
 
     On a managed table ``DROP PARTITION`` deletes the files.  On an external
     table (``LOCATION``) it only forgets them, and a path read or a partition
-    recovery would bring the old rows back, so each partition is first
-    overwritten with no rows (a static-partition ``INSERT OVERWRITE``, which
-    deletes that partition's files).
+    recovery would bring the old rows back, so their folders are removed
+    through the table's file system first.
     """
     values = list(values)
     if not values:
         return
     if spark.catalog.getTable(table).tableType.upper() == "EXTERNAL":
-        no_rows = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {quote(f.name)}"
-                            for f in spark.table(table).schema.fields if f.name != col)
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(described.first()["data_type"])
+        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         for v in values:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({quote(col)} = '{v}') "
-                      f"SELECT {no_rows} WHERE false")
+            files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{col}={v}"), True)
     for i in range(0, len(values), batch):
         specs = ", ".join(f"PARTITION ({quote(col)} = '{v}')" for v in values[i:i + batch])
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
@@ -177,26 +180,33 @@ def drop_partitions(spark: SparkSession, table: str, col: str, values, batch: in
 
 
 def stale_partitions(existing, written, lo, hi) -> list[str]:
-    """Partitions inside ``[lo, hi]`` that the batch did not rewrite."""
+    """Partitions inside ``[lo, hi]`` that the batch did not rewrite, in months of which it holds rows.
+
+    A month without any incoming row is left as stored: an extract that
+    brought nothing says nothing about what is there.
+    """
     lo, hi = _dt.date.fromisoformat(str(lo)), _dt.date.fromisoformat(str(hi))
     written = {str(v) for v in written}
+    months = {v[:7] for v in written}
     out = []
     for v in existing:
         try:
             d = _dt.date.fromisoformat(v)
         except ValueError:
             continue  # the NULL partition is never in a range
-        if lo <= d <= hi and v not in written:
+        if lo <= d <= hi and v[:7] in months and v not in written:
             out.append(v)
     return out
 
 
 def replace_range(df: DataFrame, table: str, col: str, lo, hi, observation: Observation | None = None) -> dict:
-    """K-5: replace the inclusive range ``[lo, hi]``.
+    """K-5: replace the inclusive range ``[lo, hi]``, month by month.
 
-    Dynamic overwrite rewrites the partitions the batch holds; partitions in
-    the range that the batch lacks are dropped afterwards (a day with no
-    incoming rows ends up empty).  The set of written partitions is observed
+    Dynamic overwrite rewrites the partitions the batch holds; in the months
+    of which it holds rows, partitions of the range that it lacks are dropped
+    afterwards (a day with no incoming rows ends up empty).  Months without
+    rows stay as stored, so a range in one job and the same range in month
+    chunks leave the same table.  The set of written partitions is observed
     during the write, so the batch is computed once.  An empty batch changes
     nothing.
     """
@@ -210,7 +220,7 @@ def replace_range(df: DataFrame, table: str, col: str, lo, hi, observation: Obse
     rows = got.get("rows", 0) or 0
     dropped: list[str] = []
     if rows:
-        dropped = stale_partitions(list_partitions(spark, table), got.get("slices") or [], lo, hi)
+        dropped = stale_partitions(list_partitions(spark, table, lo, hi), got.get("slices") or [], lo, hi)
         drop_partitions(spark, table, col, dropped)
     return {"rows_written": int(rows), "dropped_partitions": dropped}
 

@@ -2,29 +2,75 @@
 
 A dump has one header line with names such as ``Dimension.DATE``,
 ``Column.AD_SERVER_IMPRESSIONS`` or ``Ad unit 1``; no properties block, no
-totals row.  Every column is read as text and typed later by the report
+totals row.  Columns are found by name: files are grouped by their header
+line, each group is read with its own header as schema, and the groups are
+united by name.  Every column is read as text and typed later by the report
 pipeline, so a bad value in one column cannot fail the scan, and the text
 ``NA`` (a country code) stays text in dimension columns.
+
+Quotes are doubled inside quoted values, which may hold line breaks; a file is
+therefore read by one task (land large dumps as several files).  A row with
+more or fewer values than its header fails the read.
 """
 
 from __future__ import annotations
 
+import csv
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions._util import column
+
+
+def dump_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of a landing by their header names (file names and one line of each reach the driver)."""
+    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def header(file: str) -> tuple[str, ...]:
+        where = jvm.org.apache.hadoop.fs.Path(file)
+        stream = where.getFileSystem(conf).open(where)
+        try:
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        return tuple(next(csv.reader([(line or "").lstrip("\ufeff")]), ()))
+
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    with ThreadPoolExecutor(16) as pool:
+        for file, names in zip(files, pool.map(header, files)):
+            if names:  # an empty file has no rows
+                groups[names].append(file)
+    return dict(groups)
+
 
 def read_csv_dump(spark: SparkSession, path: str, columns=None) -> DataFrame:
-    """Read one or many dump files; all columns are strings.
+    """Read one or many dump files; all columns are strings, matched by header name.
 
-    With ``columns`` (the header names) the schema is fixed up front, so no
-    pass over the data is spent on it; otherwise names come from the header
-    and nothing is inferred.
+    ``columns`` selects header names (NULL where a file lacks one); otherwise
+    all names of all files are returned.
     """
-    reader = (spark.read.option("header", True).option("inferSchema", False)
-              .option("escape", '"').option("multiLine", False))
-    if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return reader.csv(path)
+    out, headers = None, dump_headers(spark, path)
+    for names, files in sorted(headers.items()):
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        reader = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+                  .option("escape", '"').option("multiLine", True))
+        if not set("*?[{") & set(path):  # folders named column=value below the landing are columns
+            reader = reader.option("basePath", path)
+        part = reader.csv(files)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns or ()]))
+    if columns is None:
+        return out
+    folders = [c for c in out.columns if c not in {n for names in headers for n in names}]
+    missing = T.StructType([T.StructField(c, T.StringType()) for c in columns if c not in out.columns])
+    if missing:
+        out = out.unionByName(spark.createDataFrame([], missing), allowMissingColumns=True)
+    return out.select(*[column(c) for c in [*columns, *folders]])
 
 
 def write_csv_dump(df: DataFrame, path: str, partition_by: str | None = None) -> None:

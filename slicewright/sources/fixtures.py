@@ -111,6 +111,24 @@ def raw_report(spark: SparkSession, sf_dir: str, report: str) -> DataFrame:
     return spark.sql(RAW_SQL[report], **{src: table(spark, sf_dir, src)})
 
 
+# Texts that are or look like numbers, by a row's key, and how often each occurs.
+NUMERIC_TEXTS = (
+    "5", "-7", "+8", "007", " 4 ", "1e3", "1.5e1", "2.0", "1.25", ".5", "5.", "-", "", "abc", "N/A", "1,000", "1 2", "5d", "7f", "0x1p3", "0x10",
+    "9007199254740993", "9223372036854775807", "9223372036854775808", "1e400", "nan", "NaN", "--5", "1e", "e5",
+)
+NUMERIC_SQL = (
+    "select raw_text, count(*) as n from (select case l_partkey % "
+    + str(len(NUMERIC_TEXTS) + 1)
+    + " " + " ".join(f"when {k} then '{t}'" for k, t in enumerate(NUMERIC_TEXTS))
+    + " end as raw_text from {lineitem}) t group by raw_text"
+)
+
+
+def numeric_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(raw_text, n): the texts above, NULL among them, derived from ``lineitem``."""
+    return spark.sql(NUMERIC_SQL, lineitem=table(spark, sf_dir, "lineitem"))
+
+
 def raw_sql(report: str) -> str:
     """The same derivation for an engine with the tables registered by name."""
     src = _SOURCE_TABLE[report]

@@ -92,3 +92,37 @@ def test_backfill_range_on_raw_keys_is_pushed(spark, tmp_path):
     p = plan(q)
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(DATE,20240110\).*LessThanOrEqual\(DATE,20240120\)", p)
     assert q.count() == raw.where("DATE between 20240110 and 20240120").count() > 0
+
+
+def test_relative_reports_push_their_range(q):
+    for name in ("run_report_yesterday", "run_report_last_month"):
+        p = plan(q(name))
+        assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(l_shipdate.*LessThan\(l_shipdate", p), name
+
+
+def test_duplicate_audit_does_not_expand_rows(spark):
+    from slicewright.operators import audit
+
+    df = E.queries()["report_inventory_daily"](spark, SF01)
+    keys = [registry.REPORTS["inventory_daily"].duplicate_key, registry.FULL_DUPLICATE_KEYS["inventory_daily"]]
+    assert "Expand" not in plan(audit.audit_duplicates_sets(df, keys))
+
+
+def test_profiles_share_their_exchanges(q):
+    assert exchanges(plan(q("audit_profile"))) <= 4 and exchanges(plan(q("audit_summary"))) <= 2
+
+
+def test_replace_with_known_slices_needs_no_join(q):
+    for name in ("replace_day", "replace_month"):
+        assert "Join" not in plan(q(name)), name
+
+
+def test_local_today_is_the_report_zone_s():
+    import datetime as dt
+
+    from slicewright.operators.report_query import local_today, resolve_range
+
+    late = dt.datetime(2024, 6, 30, 22, 30, tzinfo=dt.timezone.utc)  # 00:30 on July 1 in Paris
+    assert local_today(late) == dt.date(2024, 7, 1)
+    assert resolve_range("YESTERDAY", local_today(late)) == (dt.date(2024, 6, 30),) * 2
+    assert resolve_range("LAST_MONTH", local_today(late)) == (dt.date(2024, 6, 1), dt.date(2024, 6, 30))

@@ -36,8 +36,8 @@ def test_fill_rate_empty_batch(spark):
 
 def test_inventory_keeps_expected_and_coerces(spark):
     raw = spark.createDataFrame([
-        ("20251123", "22312747258", "site.example.org", "l1", "l2", "2102_HouseAds", "Desktop", "728 x 90",
-         "5796", "10", "5234", "4821"),
+        ("20240307", "Root > Sports", "sports.example.com", "l1", "l2", "Spring campaign 7", "Tablet", "320 x 50",
+         "1234", "56", "1100", "789"),
         ("20251123", "x", "y", "l1", "l2", "o", "Mobile", "300 x 250", "-", "1e3", " 4 ", "N/A"),
     ], "DATE string, AD_UNIT_NAME_TOP_LEVEL string, AD_UNIT_NAME string, AD_UNIT_NAME_LEVEL_1 string, "
        "AD_UNIT_NAME_LEVEL_2 string, ORDER_NAME string, DEVICE_CATEGORY_NAME string, RENDERED_CREATIVE_SIZE string, "
@@ -46,8 +46,8 @@ def test_inventory_keeps_expected_and_coerces(spark):
     df = reports.report_inventory_daily(raw)
     assert "ad_unit_level_1" not in df.columns
     rows = sorted(df.collect(), key=lambda r: r.ad_unit_name)
-    assert tuple(rows[0]) == (D(2025, 11, 23), "22312747258", "site.example.org", "2102_HouseAds", "Desktop",
-                              "728 x 90", 5796, 10, 5234, 4821)
+    assert tuple(rows[0]) == (D(2024, 3, 7), "Root > Sports", "sports.example.com", "Spring campaign 7", "Tablet",
+                              "320 x 50", 1234, 56, 1100, 789)
     assert (rows[1].ad_server_impressions, rows[1].ad_server_clicks,
             rows[1].active_view_measurable_impressions, rows[1].active_view_viewable_impressions) == (None, 1000, 4, None)
 

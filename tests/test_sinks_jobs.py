@@ -1,7 +1,6 @@
-"""Sinks (K-*), jobs (C-1, C-3, C-5, C-6) and the streaming landing load."""
+"""Sinks (K-*) and jobs (C-1, C-3, C-5, C-6)."""
 
 import datetime as dt
-import json
 import os
 import uuid
 
@@ -11,7 +10,6 @@ from pyspark.sql import types as T
 from slicewright import registry
 from slicewright.plans import jobs, reports
 from slicewright.sinks import tables
-from slicewright.sources import pages as pages_src
 
 D = dt.date
 SPEC = registry.REPORTS["fill_rate"]
@@ -122,7 +120,7 @@ def test_append_overwrite_dry_run_and_log(spark):
     dry = jobs.load(spark, "fill_rate", df, dry_run=True, table=t, log_table=log)
     assert dry["status"] == "DRY_RUN" and dry["rows"] == 2 and len(dry["sample"]) == 2
     # the table holds only the first day: the dry run shows what a reload would change
-    assert [(d["date"], d["status"]) for d in dry["diff"]] == [(D(2024, 1, 2), "only_b")]
+    assert [(d["date"], d["status"]) for d in dry["diff"].collect()] == [(D(2024, 1, 2), "only_b")]
     logged = spark.table(log).orderBy("logged_at").collect()
     assert [r.rows_written for r in logged] == [2, 2, 1]
     assert all(r.status == "SUCCESS" and r.report_type == "fill_rate" for r in logged)
@@ -147,12 +145,86 @@ def test_backfill_chunked_equals_single_job(spark):
     assert s2["chunks"][0]["start"] == D(2024, 1, 10) and s2["chunks"][-1]["end"] == D(2024, 3, 20)
 
 
-def test_month_bounds_cover_each_day_once():
-    b = jobs.month_bounds("2024-01-15", "2024-03-10")
-    assert b == [(D(2024, 1, 15), D(2024, 1, 31)), (D(2024, 2, 1), D(2024, 2, 29)), (D(2024, 3, 1), D(2024, 3, 10))]
-    assert jobs.month_bounds("2024-05-07", "2024-05-07") == [(D(2024, 5, 7), D(2024, 5, 7))]
-    assert jobs.month_bounds("2024-05-20", "2024-05-10") == []
-    assert jobs.month_bounds("2024-01-31", "2024-02-01") == [(D(2024, 1, 31), D(2024, 1, 31)), (D(2024, 2, 1), D(2024, 2, 1))]
+def test_backfill_leaves_months_without_rows(spark):
+    """K-10 within a range: an empty month and a mid-month start, in one job and in chunks."""
+    for chunked in (False, True):
+        t = fresh("bf_empty")
+        frame = spark.createDataFrame([(f"{m}",) for m in (1, 2, 3)], "m string").selectExpr(
+            "make_date(2024, cast(m as int), 1) as report_date", "'France' as country_name", "'FR' as country_code",
+            "cast(m as bigint) as ad_server_impressions", "0L as ad_server_clicks", "cast(null as double) as active_view_measurable_rate",
+            "0L as active_view_viewable_impressions")
+        jobs.load(spark, "geo_monthly", frame, table=t, log_table=None)
+        raw = spark.createDataFrame([("France", "FR", 1401, 50, 1, "0.5", 3)],
+                                    "COUNTRY_NAME string, COUNTRY_CODE string, MONTH_YEAR bigint, IMPRESSIONS bigint, CLICKS bigint, "
+                                    "AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE string, AD_SERVER_ACTIVE_VIEW_VIEWABLE_IMPRESSIONS bigint")
+        jobs.backfill(spark, "geo_monthly", raw, "2024-01-15", "2024-03-10", chunked=chunked, table=t, log_table=None)
+        spark.catalog.refreshTable(t)
+        assert sorted((r.report_date, r.ad_server_impressions) for r in spark.table(t).collect()) == [
+            (D(2024, 1, 1), 1), (D(2024, 2, 1), 50), (D(2024, 3, 1), 3)]
+        t = fresh("bf_days")  # days: January 3 goes (January has rows), February stays (it has none)
+        jobs.load(spark, "fill_rate", fr_rows(spark, [(D(2024, 1, 2), "a", 1, 10), (D(2024, 1, 3), "a", 2, 10), (D(2024, 2, 5), "a", 3, 10)]),
+                  table=t, log_table=None)
+        jobs.backfill(spark, "fill_rate", _raw_fill(spark, [(20240102, "u", 9, 10, 0, 0, 0, 0.1)]), "2024-01-02", "2024-03-01",
+                      chunked=chunked, table=t, log_table=None)
+        assert content(spark, t) == [(D(2024, 1, 2), "u", 9), (D(2024, 2, 5), "a", 3)]
+
+
+def test_backfill_from_month_folders_and_functions(spark, scratch):
+    """Dumps without a month: dated by their folder, by the asked month, or refused."""
+    from slicewright.sources import csv_dump
+
+    names = "`Dimension.COUNTRY_NAME` string, `Dimension.COUNTRY_CRITERIA_ID` string, `Column.AD_SERVER_IMPRESSIONS` string, chunk_start string"
+    frame = spark.createDataFrame([("France", "2250", "5", "2024-01-01"), ("Spain", "2724", "-", "2024-02-01"), (None, "0", "9", "2024-02-01")], names)
+    path = os.path.join(scratch, "geo_csv")
+    csv_dump.write_csv_dump(frame, path, "chunk_start")
+    want = [(D(2024, 1, 1), "France", 5), (D(2024, 2, 1), "Spain", None)]
+
+    def stored(t):
+        spark.catalog.refreshTable(t)
+        return sorted((r.report_date, r.country_name, r.ad_server_impressions) for r in spark.table(t).collect())
+
+    def pipeline(raw, report_date=None):
+        from pyspark.sql import functions as F
+
+        absent = ("ad_server_clicks", "active_view_viewable_impressions")
+        out = reports.csv_geo_monthly(raw, report_date)
+        return out.withColumns({c: F.lit(None).cast("bigint") for c in absent} | {"active_view_measurable_rate": F.lit(None).cast("double")})
+
+    t, log = fresh("bf_folder"), fresh("bf_log")
+    out = jobs.backfill(spark, "geo_monthly", csv_dump.read_csv_dump(spark, path), "2024-01-15", "2024-02-10", table=t, pipeline=pipeline, log_table=log)
+    assert stored(t) == want and out["total_rows"] == 2
+    assert [(r.rows_read, r.rows_written) for r in spark.table(log).collect()] == [(3, 2)]
+
+    def month(lo, hi):
+        return csv_dump.read_csv_dump(spark, f"{path}/chunk_start={lo.replace(day=1)}")
+
+    t = fresh("bf_asked")
+    assert len(jobs.backfill(spark, "geo_monthly", month, "2024-01-15", "2024-02-10", table=t, pipeline=pipeline, log_table=None)["chunks"]) == 2
+    assert stored(t) == want
+    with pytest.raises(ValueError, match="month"):
+        jobs.backfill(spark, "geo_monthly", frame.drop("chunk_start"), "2024-01-01", "2024-02-10", table=t, pipeline=pipeline, log_table=None)
+    legacy = spark.createDataFrame([("2024-01-05", "7", "hp", "5", "d5d"), ("2024-03-05", "8", "hp", "6", "1")],
+                                   "`Dimension.DATE` string, `Dimension.AD_UNIT_ID` string, `Dimension.AD_UNIT_NAME` string, "
+                                   "`Column.AD_SERVER_IMPRESSIONS` string, `Column.AD_SERVER_CLICKS` string")
+
+    def legacy_pipeline(raw):
+        from pyspark.sql import functions as F
+
+        out = reports.legacy_inventory_daily(raw)
+        return out.withColumns({"order_id": F.lit(1).cast("bigint"), "order_name": F.lit("o"), "device_category": F.lit("d"), "creative_size": F.lit("c")})
+
+    t = fresh("bf_legacy")
+    jobs.backfill(spark, "legacy_inventory_daily", legacy, "2024-01-01", "2024-02-10", table=t, pipeline=legacy_pipeline, log_table=None)
+    spark.catalog.refreshTable(t)
+    assert [(r.date, r.ad_unit_id, r.ad_server_impressions, r.ad_server_clicks) for r in spark.table(t).collect()] == [(D(2024, 1, 5), 7, 5, None)]
+
+
+def test_log_times_are_instants(spark):
+    log = fresh("log_time")
+    before = dt.datetime.now(dt.timezone.utc)
+    jobs.log_load(spark, {"status": "SUCCESS", "message": "x" * 5000}, log)
+    r = spark.sql(f"select unix_micros(logged_at) as t, message from {log}").first()
+    assert abs(r.t / 1e6 - before.timestamp()) < 120 and len(r.message) == 5000
 
 
 def test_audit_and_audit_all(spark):
@@ -176,38 +248,6 @@ def test_audit_and_audit_all(spark):
     assert any(r.status == "ERROR" for r in mixed) and any(r.check == "duplicates" for r in mixed)
 
 
-def test_streaming_landing_load(spark, scratch):
-    t = fresh("fr_stream")
-    landing = os.path.join(scratch, "landing")
-    os.makedirs(landing)
-    dims = ["DATE", "AD_UNIT_NAME"]
-    mets = ["UNFILLED_IMPRESSIONS", "CODE_SERVED_COUNT", "RESPONSES_SERVED", "AD_SERVER_IMPRESSIONS",
-            "FILL_RATE", "AD_REQUESTS"]
-
-    def land(name, rows):
-        page = {"rows": [{"dimension_values": [{"int_value": d}, {"string_value": u}],
-                          "metric_value_groups": [{"primary_values": [{"int_value": 0}, {"int_value": 9},
-                                                                      {"int_value": 8}, {"int_value": i},
-                                                                      {"double_value": 0.5}, {"int_value": r}]}]}
-                         for d, u, i, r in rows]}
-        with open(os.path.join(landing, name), "w") as f:
-            f.write(json.dumps(page) + "\n")
-
-    from slicewright.streaming.landing import start_landing_load
-
-    ckpt = os.path.join(scratch, "ckpt")
-    land("day1.json", [(20240101, "hp", 3, 10), (20240101, "hp", 2, 10)])
-    start_landing_load(spark, "fill_rate", landing, "json", dims, mets, table=t, checkpoint=ckpt,
-                       log_table=None).awaitTermination(600)
-    assert content(spark, t) == [(D(2024, 1, 1), "hp", 5)]
-    land("day1-restated.json", [(20240101, "hp", 7, 10)])
-    land("day2.json", [(20240102, "hp", 1, 10)])
-    start_landing_load(spark, "fill_rate", landing, "json", dims, mets, table=t, checkpoint=ckpt,
-                       log_table=None).awaitTermination(600)
-    assert content(spark, t) == [(D(2024, 1, 1), "hp", 7), (D(2024, 1, 2), "hp", 1)]
-    assert pages_src.PAGE_SCHEMA is not None
-
-
 def test_restate_from_own_table_with_materialize(spark):
     t = fresh("fr_self")
     jobs.load(spark, "fill_rate", fr_rows(spark, [(D(2024, 1, d), "a", d, 10) for d in range(1, 4)]),
@@ -221,29 +261,6 @@ def test_restate_from_own_table_with_materialize(spark):
     assert content(spark, t) == [(D(2024, 1, 2), "a", 20)]
 
 
-def test_streaming_csv_landing_load(spark, scratch):
-    from slicewright.plans import catalog
-    from slicewright.streaming.landing import start_landing_load
-
-    t = fresh("inv_stream")
-    landing = os.path.join(scratch, "csv_landing")
-    cols = ["Dimension.DATE", "Ad unit 1", "Ad unit 2", "Dimension.ORDER_NAME", "Dimension.DEVICE_CATEGORY_NAME",
-            "Dimension.CREATIVE_SIZE", "Column.AD_SERVER_IMPRESSIONS", "Column.AD_SERVER_CLICKS",
-            "Column.AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS",
-            "Column.AD_SERVER_ACTIVE_VIEW_VIEWABLE_IMPRESSIONS"]
-    rows = [("2024-01-01", "top", "hp", "o1", "Desktop", "728 x 90", "5", "1", "4", "3"),
-            ("2024-01-01", "top", "hp", "o2", "Mobile", "300 x 250", "-", "0", "1", "NA")]
-    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in cols))
-    df.coalesce(1).write.option("header", True).csv(os.path.join(landing, "day1"))
-    start_landing_load(spark, "inventory_daily", os.path.join(landing, "*"), "csv", columns=cols, table=t,
-                       checkpoint=os.path.join(scratch, "ckpt_csv"), log_table=None).awaitTermination(600)
-    spark.catalog.refreshTable(t)
-    got = sorted((r.order_name, r.ad_server_impressions, r.active_view_viewable_impressions)
-                 for r in spark.table(t).collect())
-    assert got == [("o1", 5, 3), ("o2", None, None)]
-    assert catalog.inventory_csv_frame is not None
-
-
 def test_backfill_keeps_only_the_range_and_runs_several_reports(spark):
     raw = _raw_fill(spark, [(20240105, "u", 1, 10, 0, 0, 0, 0.1), (20240215, "u", 2, 10, 0, 0, 0, 0.1),
                             (20240320, "u", 3, 10, 0, 0, 0, 0.1)])

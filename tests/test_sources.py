@@ -59,3 +59,48 @@ def test_parquet_page_landing(spark, scratch):
     pages.pages_from_rows(df, ["DATE", "UNIT"], ["N", "R"]).select("rows").write.parquet(path)
     flat = pages.flatten_pages(pages.read_pages(spark, path, fmt="parquet"), ["DATE", "UNIT"], ["N", "R"])
     assert sorted(tuple(r) for r in flat.collect()) == [("20251123", "hp", "3", "0.5"), ("20251124", "news", "4", "0.25")]
+
+
+def test_csv_dumps_are_matched_by_header_name(spark, scratch):
+    names = "`Dimension.DATE` string, `Dimension.ORDER_NAME` string, `Column.AD_SERVER_CLICKS` string"
+    a = spark.createDataFrame([("2024-01-01", 'say "hi", bob', "1"), ("2024-01-02", "two\nlines", "2")], names)
+    path = os.path.join(scratch, "mixed")
+    csv_dump.write_csv_dump(a.coalesce(1), path + "/v1")
+    csv_dump.write_csv_dump(a.select(*[f"`{c}`" for c in reversed(a.columns)]).coalesce(1), path + "/v2")
+    csv_dump.write_csv_dump(a.drop("Column.AD_SERVER_CLICKS").coalesce(1), path + "/v3")
+    want = sorted(tuple(r) for r in a.collect())
+    got = csv_dump.read_csv_dump(spark, path + "/*", a.columns)
+    assert got.columns == a.columns
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(want * 2 + [(*r[:2], None) for r in want], key=str)
+    assert csv_dump.read_csv_dump(spark, path + "/*", ["Column.X", "Dimension.DATE"]).where("`Column.X` is null").count() == 6
+
+
+def test_malformed_csv_rows_fail(spark, scratch):
+    import pytest
+
+    path = os.path.join(scratch, "bad")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w") as f:
+        f.write("Dimension.DATE,Column.N\n2024-01-01,1\n2024-01-02,2,3\n")
+    with pytest.raises(Exception):
+        csv_dump.read_csv_dump(spark, path).collect()
+
+
+def test_landing_queries_follow_their_input(spark, scratch):
+    """A query over a landing never returns rows of an earlier state of its tables."""
+    import shutil
+
+    import __spark_entry__ as E
+
+    from .conftest import SF001
+
+    folder = os.path.join(scratch, "tables")
+    os.makedirs(folder)
+    shutil.copy(f"{SF001}/orders.parquet", folder)
+    whole = E.queries()["legacy_geo_monthly"](spark, folder).count()
+    spark.read.parquet(f"{SF001}/orders.parquet").limit(100).coalesce(1).write.parquet(f"{scratch}/few")
+    few = next(os.path.join(scratch, "few", f) for f in os.listdir(f"{scratch}/few") if f.endswith(".parquet"))
+    os.chmod(f"{folder}/orders.parquet", 0o644)
+    shutil.copy(few, f"{folder}/orders.parquet")
+    spark.catalog.clearCache()
+    assert whole > 100 and E.queries()["legacy_geo_monthly"](spark, folder).count() == 100
