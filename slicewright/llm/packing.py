@@ -51,6 +51,7 @@ REMEMBERED = 1_500_000
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 _CHUNK = re.compile(rf"\x20?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
+_BLANKS = frozenset(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _BETWEEN = re.compile(rf"(?<=[^{_SPACE}])\x20(?=[^{_SPACE}])")
 #: Characters of a long text that are tokenised at a time, cut where a space joins two words.
 SLICE = 1 << 20
@@ -84,6 +85,9 @@ class Ids:
         for token, k in self.tokenizer.get_vocab().items():
             ends[k] = token[-1:] in (".", "!", "?", "Ċ")  # the last is a line break in this vocabulary's letters
         self.ends = ends
+        self.lengths = np.ones(size, np.int64)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.lengths[k] = len(token)  # one letter for each byte
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
@@ -95,15 +99,36 @@ class Ids:
                 chunks = _CHUNK.findall(part)
                 found = list(map(known.get, chunks))
                 if None in found:
-                    new = [c for c in dict.fromkeys(chunks) if c not in known]
-                    for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                        known[c] = np.array(e.ids, "<u2").tobytes()
+                    self._learn([c for c in dict.fromkeys(chunks) if c not in known])
                     found = list(map(known.__getitem__, chunks))
                 coded.append(b"".join(found))
             out.append(np.frombuffer(b"".join(coded), "<u2"))
         return out
 
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember the ids of new chunks, tokenised together: one call for many costs a fraction of many calls.
+
+        Words are joined as they would stand in a text (after a space, else
+        after a line break), so each keeps its ids; where one ends is known
+        from the bytes that every id stands for.
+        """
+        blanks = [c for c in chunks if c[-1] in _BLANKS]
+        for c, e in zip(blanks, self.tokenizer.encode_batch_fast(blanks, add_special_tokens=False)):
+            self.known[c] = np.array(e.ids, "<u2").tobytes()
+        words = [c for c in chunks if c[-1] not in _BLANKS]
+        if not words:
+            return
+        parts = [p for c in words for p in (("\n", c) if c[0] != " " else ("", c))]
+        found = np.array(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, "<u2")
+        ends = np.cumsum(self.lengths[found])
+        edges = np.searchsorted(ends, np.cumsum([len(p.encode("utf-8", "replace")) for p in parts]), "left") + 1
+        data = found.tobytes()
+        for k, c in enumerate(words):
+            before = edges[2 * k] if parts[2 * k] else (edges[2 * k - 1] if k else 0)
+            self.known[c] = data[2 * before:2 * edges[2 * k + 1]]
+
+
 _IDS: dict[str, Ids] = {}
 
 
