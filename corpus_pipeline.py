@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from slicewright.llm import decontaminate, line_dedup, packing, quality, simhash
 from slicewright.llm.queries import tokenizer_path
-from slicewright.llm.scratch import prepared, written
+from slicewright.llm.scratch import free, prepared, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,13 +25,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without boilerplate lines that another document keeps."""
     cleaned = line_dedup.dedup_lines(docs)
-    return cleaned.withColumn("n_chars", F.when(F.col("__lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return cleaned.withColumn("n_chars", F.when(F.col(cleaned.columns[-1]) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id; rows without an id stay."""
-    keep = simhash.near_duplicates(prepared(docs)).where("doc_id = component_id").select(F.col("doc_id").alias("__keep"))
-    return docs.join(keep.distinct(), (F.col("doc_id") == F.col("__keep")), "left").where("__keep is not null or doc_id is null").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    name = free(docs, "__keep")
+    keep = simhash.near_duplicates(prepared(docs)).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    met = docs.join(keep, F.col("doc_id") == F.col(name), "left").where(F.col(name).isNotNull() | F.col("doc_id").isNull())
+    return met.dropDuplicates(["doc_id", "text"]).select(*docs.columns)  # repeated rows, in the join's own partitions
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

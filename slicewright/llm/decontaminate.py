@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import written
+from .scratch import free, written
 
 MASKS = ("1110100111", "11011000111")
 LEAST_TOKENS, SHORTEST, MISMATCH = 13, 5, 4
@@ -102,8 +102,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that overlap with the benchmark."""
-    found = written(overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct())
-    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) == F.col("__text")), "left_anti")
+    doc, text = free(docs, "__doc"), free(docs, "__text")
+    found = written(overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col).select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text)).distinct())
+    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) == F.col(text)), "left_anti")
 
 
 __all__ = ["LEAST_TOKENS", "MASKS", "SHORTEST", "clean", "overlaps"]

@@ -120,7 +120,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
                 if held and held[0][2] == row[2]:
                     out.append(one(*held, row, s))
                 held = (row, s)
-            yield pd.DataFrame(out, columns=names)
+            if out:
+                yield pd.DataFrame(out, columns=names)
 
     out = ordered.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
         stream, "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, held_by_next double")

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import free, written
+
 MIN_SITES = 3
 #: log2 of a sketch's registers: a standard error under 2 %.
 LG_REGISTERS = 12
@@ -37,8 +39,8 @@ def _lines(text: Column) -> Column:
 def spread(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """(line_hash, first_id) of the lines on at least ``min_sites`` sites, from (line_hash, site, id)."""
     sketched = lines.groupBy("line_hash").agg(F.hll_sketch_agg("site", LG_REGISTERS).alias("sketch"), F.min("id").alias("first_id"))
-    # 1 line in many passes: the rest, on clearly fewer sites, ends here
-    estimated = sketched.select("line_hash", "first_id", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") * BAND >= min_sites)
+    # most lines are on clearly fewer sites and end here
+    estimated = written(sketched.select("line_hash", "first_id", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") * BAND >= min_sites))
     clear = estimated.where(F.col("sites") > min_sites * BAND).select("line_hash", "first_id")
     near = estimated.where(F.col("sites") <= min_sites * BAND).select("line_hash", "first_id")
     pairs = lines.join(near.select("line_hash"), "line_hash", "left_semi").where("site is not null").groupBy("line_hash", "site").agg(F.lit(1).alias("one"))
@@ -47,24 +49,27 @@ def spread(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with boilerplate lines removed from the text, and ``__lines_removed``."""
+    """``docs`` with boilerplate lines removed from the text; a last column, ``__lines_removed``, counts them."""
     whole = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"), F.xxhash64(whole).alias("text_hash"), F.posexplode(_lines(whole)).alias("pos", "line"))
     stripped = keyed.withColumn("line", F.btrim("line", F.lit(" \t\r"))).where("line != ''")
-    lines = stripped.select("id", "site", "text_hash", "pos", F.xxhash64("line").alias("line_hash"))
+    lines = written(stripped.select("id", "site", "text_hash", "pos", F.xxhash64("line").alias("line_hash")))  # the texts are split once
     found = spread(lines.select("line_hash", "site", "id"), min_sites)
     removed = lines.select("id", "text_hash", "pos", "line_hash").join(found, "line_hash").where(~F.col("id").eqNullSafe(F.col("first_id")))
     words = removed.groupBy("id", "text_hash", F.expr("pos div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
-    masks = words.groupBy("id", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("__mask")).select(
-        F.col("id").alias("__id"), F.col("text_hash").alias("__text_hash"), "__mask")
-    met = docs.withColumn("__lines", _lines(whole)).join(
-        masks, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(whole) == F.col("__text_hash")), "left")
-    # the mask as an array by word, so that each line looks its bit up at once
-    words_of = F.expr("transform(sequence(0L, cast(size(__lines) - 1 as bigint) div 64), w -> coalesce(__mask[w], 0L))")
-    kept = F.expr("filter(__lines, (x, i) -> (shiftright(__words[cast(i div 64 as int)], i % 64) & 1L) = 0)")
-    cleaned = met.withColumn("__words", words_of).withColumn("__kept", F.when(F.col("__mask").isNull(), F.col("__lines")).otherwise(kept))
-    out = [F.when(F.col("__mask").isNull(), F.col(text_col)).otherwise(F.array_join("__kept", "\n")).alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return cleaned.select(*out, (F.size("__lines") - F.size("__kept")).cast("long").alias("__lines_removed"))
+    masks = words.groupBy("id", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("mask")).select(
+        "id", "text_hash",
+        # an array by word, so that each line looks its bit up at once
+        F.expr("transform(sequence(0L, array_max(map_keys(mask))), w -> coalesce(mask[w], 0L))").alias("mask"))
+    # the rows as one struct, so that their other columns may have any name
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("row_id"), F.xxhash64(whole).alias("row_hash"))
+    met = rows.join(masks, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_hash") == F.col("text_hash")), "left")
+    met = met.withColumn("lines", _lines(F.coalesce(F.col("row")[text_col], F.lit(""))))
+    kept = F.expr("filter(lines, (x, i) -> (shiftright(coalesce(get(mask, cast(i div 64 as int)), 0L), i % 64) & 1L) = 0)")
+    cleaned = met.withColumn("kept", F.when(F.col("mask").isNull(), F.col("lines")).otherwise(kept))
+    text = F.when(F.col("mask").isNull(), F.col("row")[text_col]).otherwise(F.array_join("kept", "\n"))
+    removed = (F.size("lines") - F.size("kept")).cast("long").alias(free(docs, "__lines_removed"))
+    return cleaned.select(*((text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns), removed)
 
 
 __all__ = ["MIN_SITES", "dedup_lines", "spread"]

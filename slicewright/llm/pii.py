@@ -129,7 +129,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 near = [{"entity": e, "term": t, "start": a, "end": b} for e, t, a, b in neighbours(text, spans)]
                 sha = hashlib.sha256(span_text(spans).encode()).hexdigest()
                 out.append((doc_id, text_hash, sha, [{"kind": k, "start": a, "end": b} for k, a, b in spans], near))
-            yield pd.DataFrame(out, columns=["doc_id", "text_hash", "base_sha256", "spans", "near"])
+            if out:
+                yield pd.DataFrame(out, columns=["doc_id", "text_hash", "base_sha256", "spans", "near"])
 
     rows = _texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("string"))
     found = rows.mapInPandas(find, "doc_id string, text_hash long, base_sha256 string, spans array<struct<kind:string,start:long,end:long>>, near array<struct<entity:string,term:string,start:long,end:long>>")
@@ -147,7 +148,8 @@ def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 if len(counts) > COUNTED:
                     yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
                     counts.clear()
-        yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
+        if counts:
+            yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
 
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return texts.mapInPandas(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))

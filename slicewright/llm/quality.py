@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import free
+
 GRADES = 3
 BUCKETS = 1 << 18
 #: Labelled rows the model is fitted on, at most.
@@ -147,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with struct ``__rated``: expected_grade, tail_probability (top grade) and not_toxic (grade >= 1)."""
+    """``docs`` and a last column, struct ``__rated``: expected_grade, tail_probability (top grade) and not_toxic (grade >= 1)."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
 
     @F.pandas_udf("expected_grade double, tail_probability double, not_toxic double")
@@ -155,12 +157,14 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         tails = Model(*shared.value).tails([features(t) for t in texts])
         return pd.DataFrame({"expected_grade": tails.sum(1), "tail_probability": tails[:, -1], "not_toxic": tails[:, 0]})
 
-    return docs.withColumn("__rated", rate(F.col(text_col).cast("string")))
+    # called non-deterministic so that a filter on the result does not score every text twice
+    return docs.withColumn(free(docs, "__rated"), rate.asNondeterministic()(F.col(text_col).cast("string")))
 
 
 def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", selected: float = SELECTED) -> DataFrame:
-    """The rows that the classifier keeps, with ``__rated``."""
-    return score(docs, train(docs, labels, id_col, text_col), text_col).where(F.col("__rated.tail_probability") >= selected)
+    """The rows that the classifier keeps, with their ``__rated``."""
+    scored = score(docs, train(docs, labels, id_col, text_col), text_col)
+    return scored.where(F.col(scored.columns[-1])["tail_probability"] >= selected)
 
 
 __all__ = ["BUCKETS", "GRADES", "Model", "SAMPLE", "SELECTED", "features", "fit", "score", "select", "train"]

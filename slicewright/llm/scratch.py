@@ -25,4 +25,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["prepared", "written"]
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+__all__ = ["free", "prepared", "written"]
