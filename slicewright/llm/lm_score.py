@@ -156,8 +156,10 @@ _ANSWERED = "row long, doc_id string, n_tokens long, score double, word long, we
 
 
 def _frame(schema: str, **columns) -> pd.DataFrame:
+    """Columns of a schema; absent numbers are 0, as pandas would turn 64-bit hashes beside a NULL into floats."""
     n = len(next(iter(columns.values())))
-    return pd.DataFrame({c.split()[0]: columns.get(c.split()[0], [None] * n) for c in schema.split(", ")})
+    none = {"int": 0, "long": 0, "double": 0.0}
+    return pd.DataFrame({name: columns.get(name, [none.get(kind)] * n) for name, kind in (c.split() for c in schema.split(", "))})
 
 
 def exploded(docs: DataFrame, words: Vocabulary, pairs: np.ndarray, parts: int, id_col: str = "doc_id", text_col: str = "text", paired: int = PAIRED) -> DataFrame:
@@ -261,8 +263,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coded
     pairs = pair_counts(docs, words, text_col, paired)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shares = written(answered(exploded(docs, words, pairs, parts, id_col, text_col, paired), words, parts))
-    looked_up = shares.where("word is not null").select("row", "word", "weight").join(counts, "word").select("row", (F.col("weight") * F.log("n")).alias("score"))
-    whole = shares.where("word is null").select("row", "doc_id", "n_tokens", "score").unionByName(looked_up, allowMissingColumns=True)
+    # a word's hash has its top bit set and is never 0
+    looked_up = shares.where("word != 0").select("row", "word", "weight").join(counts, "word").select("row", (F.col("weight") * F.log("n")).alias("score"))
+    whole = shares.where("word = 0").select("row", "doc_id", "n_tokens", "score").unionByName(looked_up, allowMissingColumns=True)
     summed = whole.groupBy("row").agg(F.max("doc_id").cast("long").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("score").alias("log_score"))
     return summed.select("doc_id", "n_tokens", "log_score", F.when(F.col("n_tokens") > 0, F.col("log_score") / F.col("n_tokens")).alias("mean_log_score"))
 

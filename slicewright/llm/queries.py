@@ -87,8 +87,9 @@ GROUP BY k.doc_id""",
     "op5_lm_score": r"""
 WITH w AS (
   SELECT doc_id, u.pos, u.word
-  FROM (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0b\f\r]+'), x -> x <> '') AS words FROM documents),
+  FROM (SELECT doc_id, string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0b\f\r]+') AS words FROM documents),
        unnest(range(len(words)), words) AS u(pos, word)
+  WHERE u.word <> ''
 ), c AS (SELECT word, count(*) AS n FROM w GROUP BY word),
 p AS (SELECT doc_id, pos, word, lag(word) OVER (PARTITION BY doc_id ORDER BY pos) AS prev FROM w),
 b AS (SELECT prev, word, count(*) AS n FROM p WHERE prev IS NOT NULL GROUP BY prev, word),
