@@ -74,9 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES = {
     "op3_line_dedup": r"""
 WITH l AS (
-  SELECT doc_id, source, coalesce(text, '') AS text, u.pos, u.line
-  FROM (SELECT *, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-       unnest(range(len(lines)), lines) AS u(pos, line)
+  SELECT doc_id, source, unnest(range(len(lines))) AS pos, unnest(lines) AS line
+  FROM (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
 ), k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
 b AS (SELECT key, min(doc_id) AS first_id FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 3)
 SELECT k.doc_id,
@@ -85,12 +84,10 @@ SELECT k.doc_id,
 FROM k LEFT JOIN b ON k.key = b.key
 GROUP BY k.doc_id""",
     "op5_lm_score": r"""
-WITH w AS (
-  SELECT doc_id, u.pos, u.word
-  FROM (SELECT doc_id, string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0b\f\r]+') AS words FROM documents),
-       unnest(range(len(words)), words) AS u(pos, word)
-  WHERE u.word <> ''
-), c AS (SELECT word, count(*) AS n FROM w GROUP BY word),
+WITH u AS (
+  SELECT doc_id, unnest(range(len(words))) AS pos, unnest(words) AS word
+  FROM (SELECT doc_id, string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0b\f\r]+') AS words FROM documents)
+), w AS (SELECT * FROM u WHERE word <> ''), c AS (SELECT word, count(*) AS n FROM w GROUP BY word),
 p AS (SELECT doc_id, pos, word, lag(word) OVER (PARTITION BY doc_id ORDER BY pos) AS prev FROM w),
 b AS (SELECT prev, word, count(*) AS n FROM p WHERE prev IS NOT NULL GROUP BY prev, word),
 t AS (SELECT sum(n) AS total FROM c),
