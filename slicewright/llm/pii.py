@@ -22,9 +22,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from itertools import accumulate, islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -91,7 +92,8 @@ def span_text(spans: list[tuple[str, int, int]]) -> str:
 def neighbours(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) -> list[tuple[str, str, int, int]]:
     """(entity, term, start, end) for the words beside each mention that lie in no base span."""
     out = []
-    inside = lambda a, b: any(s < b and a < e for _, s, e in spans)
+    starts, furthest = [s for _, s, _ in spans], list(accumulate((e for _, _, e in spans), max))
+    inside = lambda a, b: (k := bisect_left(starts, b)) > 0 and furthest[k - 1] > a
     for kind, start, end in spans:
         value = text[start:end]
         entity = f"{kind}:{value.lower() if kind in ('email', 'ip') else _digits(value)}"

@@ -42,6 +42,14 @@ def test_long_texts_take_linear_time():
         assert isinstance(pii.base_spans(text), list)
 
 
+def test_many_mentions_in_one_text():
+    text = " ".join(f"word{k} +1 (319) 555-{k % 10000:04d}" for k in range(20_000))
+    spans = pii.base_spans(text)
+    near = pii.neighbours(text, spans)
+    assert len(spans) == 20_000 and len(near) > 50_000
+    assert not any(s <= a < e for _, s, e in spans[:50] for _, _, a, _ in near[:500])
+
+
 def test_edges(spark, edge_docs, edge_rows, no_docs):
     got = pii.find(edge_docs).collect()
     want = [(r[0] or 0, hashlib.sha256(pii.span_text(brute(r[1] or "")).encode()).hexdigest()) for r in edge_rows]
