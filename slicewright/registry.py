@@ -224,18 +224,8 @@ FULL_DUPLICATE_KEYS = {
                         "creative_size"),
 }
 
-# Columns kept (in this order, when present) after the rename.
-EXPECTED_COLUMNS = {
-    "inventory_daily": (
-        "date", "ad_unit_top_level", "ad_unit_name", "order_name",
-        "device_category", "creative_size", "ad_server_impressions", "ad_server_clicks",
-        "active_view_measurable_impressions", "active_view_viewable_impressions",
-    ),
-    "fill_rate": (
-        "date", "ad_unit_name", "unfilled_impressions", "code_served_count",
-        "responses_served", "ad_server_impressions", "fill_rate", "ad_requests",
-    ),
-}
+# Reports whose columns are cut to their table's (in its order) after the rename.
+KEEP_EXPECTED = ("inventory_daily", "fill_rate")
 
 # Fill rate: hierarchy rows of one (date, ad unit) are summed, then the rate
 # is recomputed as impressions / requests.
@@ -304,15 +294,6 @@ LEGACY_COLUMN_MAPPINGS = {
     },
 }
 
-LEGACY_EXPECTED_COLUMNS = {
-    "inventory_daily": (
-        "date", "ad_unit_id", "ad_unit_name", "order_id", "order_name",
-        "device_category", "creative_size", "ad_server_impressions", "ad_server_clicks",
-        "active_view_measurable_impressions", "active_view_viewable_impressions",
-    ),
-    "geo_monthly": ("country_id", "country_name", "ad_server_impressions", "ad_server_clicks"),
-}
-
 LEGACY_SCHEMAS = {
     "inventory_daily": [
         ("date", "DATE", True),
@@ -389,7 +370,7 @@ def _spec(name: str) -> ReportSpec:
         partition_col=part_col,
         partition_grain=grain,
         duplicate_key=DUPLICATE_KEYS[name],
-        expected=EXPECTED_COLUMNS.get(name),
+        expected=tuple(n for n, _, _ in SCHEMAS[name]) if name in KEEP_EXPECTED else None,
         csv_map=CSV_COLUMN_MAPPINGS.get(name, {}),
     )
 
@@ -411,7 +392,7 @@ def _legacy_spec(name: str) -> ReportSpec:
         partition_col=key,
         partition_grain="DAY",
         duplicate_key=dup,
-        expected=LEGACY_EXPECTED_COLUMNS[name],
+        expected=tuple(LEGACY_COLUMN_MAPPINGS[name].values()),
         csv_map=LEGACY_COLUMN_MAPPINGS[name],
     )
 
