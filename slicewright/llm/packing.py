@@ -2,8 +2,8 @@
 
 Documents are tokenised, an end id is added to each, and the id stream of a
 task's documents (ascending id) is cut into windows of at most ``WINDOW``
-tokens.  Cuts may lie at document ends, at sentence ends, and, in long runs
-without either, at every ``FREE_EVERY`` tokens.  The chosen cuts minimise
+tokens.  Cuts may lie at document ends, at sentence ends, and, in runs without
+either, at every ``FREE_EVERY`` tokens.  The chosen cuts minimise
 padding plus truncation penalties:
 
     cost(j) = cut(j) + min over i in [j - WINDOW, j) of cost(i) + pad(j - i)
@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 
 WINDOW, END_ID = 1024, 0
 #: Tokens that a cut inside a document costs beside padding: at a sentence end, and elsewhere.
-SENTENCE_CUT, FREE_CUT = 2, 24
+SENTENCE_CUT, FREE_CUT = 2, 8
 #: A possible cut at least every so many tokens, and none within so many of the last sentence's.
-FREE_EVERY, SENTENCE_LEAST = 192, 12
+FREE_EVERY, SENTENCE_LEAST = 32, 12
 #: Tokens solved together.
 BLOCK = 1 << 20
 #: Pieces of text whose ids a worker remembers.
