@@ -1,11 +1,13 @@
 """Global row numbers and range parts over an integer id, without a global sort.
 
 The id range is cut into ``GRAIN`` equal slices and the rows of each slice are
-counted, so the driver holds at most ``GRAIN`` counters whatever the table's
-size.  Row numbers are the slice's offset plus the rank within the slice;
-parts are runs of slices with about the same number of rows.  Both depend on
-the rows alone, not on files, splits or the cluster, so a rerun after a lost
-executor gives the same numbers.
+counted, so the driver holds a bounded number of counters whatever the table's
+size.  Where ids are clustered (one far id is enough), slices that hold many
+rows are cut further, in proportion to their rows, until none does.  Row
+numbers are the slice's offset plus the rank within the slice; parts are runs
+of slices with about the same number of rows.  Both depend on the rows alone,
+not on files, splits or the cluster, so a rerun after a lost executor gives
+the same numbers.  Rows that share one id stay together.
 """
 
 from __future__ import annotations
@@ -15,8 +17,10 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Slices of the id range, and so the most counters that reach the driver.
+#: Slices of the id range.
 GRAIN = 16_384
+#: A slice with more rows than this, and than 16 times the average, is cut further, at most so many times.
+MANY, LEVELS = 10_000, 6
 
 
 #: Stands for a NULL id where ids are compared; NULL ids come first.
@@ -37,17 +41,48 @@ class IdSlices:
         low, high = (0, 0) if low is None else (low, high)
         self.width = (high - low) // (GRAIN - 1) + 1
         self.base = _div(low, self.width) - 1
-        found = ids.groupBy(self.of("id").alias("slice")).agg(F.count("*").alias("n"), F.min("id").alias("first")).collect()
-        self.counts, self.firsts = [0] * (GRAIN + 2), [NO_ID] * (GRAIN + 2)
+        self.starts: list[int] = []  # of the slices, where equal ones would be uneven
+        self._count(ids)
+        for _ in range(LEVELS):
+            if not self._cut_further():
+                break
+            self._count(ids)
+
+    def _count(self, ids: DataFrame) -> None:
+        found = ids.groupBy(self.of("id").alias("slice")).agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last")).collect()
+        size = len(self.starts) + 1 if self.starts else GRAIN + 2
+        self.counts, self.firsts, self.lasts = [0] * size, [NO_ID] * size, [NO_ID] * size
         for r in found:
             self.counts[r["slice"]] = r["n"]
-            self.firsts[r["slice"]] = NO_ID if r["first"] is None else r["first"]
+            if r["first"] is not None:
+                self.firsts[r["slice"]], self.lasts[r["slice"]] = r["first"], r["last"]
         self.offsets = [0, *accumulate(self.counts)]
         self.rows = self.offsets.pop()
 
+    def _cut_further(self) -> bool:
+        """Cut slices with many rows into pieces by their share of the rows; whether any was cut."""
+        many = max(MANY, 16 * self.rows // GRAIN)
+        used = [(a, b + 1, n) for a, b, n in zip(self.firsts[1:], self.lasts[1:], self.counts[1:]) if n]
+        if not any(n > many and b - a > 1 for a, b, n in used):
+            return False
+        starts, cut = [], False
+        for a, b, n in used:
+            pieces = min(b - a, 1 + GRAIN * n // self.rows) if n > many else 1
+            starts += sorted({a + j * (b - a) // pieces for j in range(pieces)})
+            cut |= pieces > 1
+        self.starts = starts
+        return cut
+
     def of(self, id_col: str) -> Column:
         """Slice of a row: 0 for NULL, else 1.. in ascending order of the id."""
-        return F.coalesce(F.expr(f"(cast(`{id_col}` as bigint) div {self.width}L) - ({self.base}L)"), F.lit(0)).cast("int")
+        if not self.starts:
+            return F.coalesce(F.expr(f"(cast(`{id_col}` as bigint) div {self.width}L) - ({self.base}L)"), F.lit(0)).cast("int")
+        # the number of starts that are not above the id, by halving steps
+        steps = [1 << k for k in reversed(range(len(self.starts).bit_length()))]
+        starts, c = F.split(F.lit(",".join(map(str, self.starts))), ",").cast("array<bigint>"), F.col(id_col).cast("long")
+        return F.when(c.isNull(), 0).otherwise(F.aggregate(
+            F.array(*map(F.lit, steps)), F.lit(0),
+            lambda at, step: F.when(F.coalesce(F.get(starts, at + step - 1) <= c, F.lit(False)), at + step).otherwise(at)))
 
     def numbered(self, df: DataFrame, id_col: str, ties: list[str], name: str) -> DataFrame:
         """``df`` with its row number 0.. by ascending id, then ``ties``, as ``name``.

@@ -41,3 +41,20 @@ def test_same_whatever_the_partitions(spark):
     assert a == b and len(set(a.values())) == len(a)
     straight = sorted(a, key=lambda i: a[i][::-1])
     assert straight != sorted(straight)
+
+
+def test_clustered_ids_are_cut_into_even_slices(spark, monkeypatch):
+    from slicewright.llm import order
+
+    monkeypatch.setattr(order, "MANY", 20)
+    monkeypatch.setattr(order, "GRAIN", 64)
+    ids = [None, -(2**62), 2**62] + list(range(1000, 3000)) + [5000] * 300
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    slices = order.IdSlices(df, "doc_id")
+    assert slices.rows == len(ids) and slices.starts
+    assert max(n for f, n in zip(slices.firsts, slices.counts) if f != 5000) <= 16 * len(ids) // 64
+    got = slices.numbered(df, "doc_id", [], "n").orderBy("n").collect()
+    assert [r["n"] for r in got] == list(range(len(ids)))
+    assert [r["doc_id"] for r in got] == sorted(ids, key=lambda i: (i is not None, i))
+    of_slice, heads = slices.parts(8)
+    assert len(of_slice) == len(slices.counts) and heads == sorted(heads) and len(heads) >= 6
