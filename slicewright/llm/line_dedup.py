@@ -4,9 +4,10 @@ Every line is known by its hash.  A HyperLogLog sketch of the sites that show
 a line is merged by partial aggregation, so a line that a third of all
 documents share costs one sketch per task.  Lines whose estimate is clear of
 the threshold are decided by it; lines near it (within ``BAND``) get an exact
-distinct count.  Lines on at least ``MIN_SITES`` sites are boilerplate: they
-are removed everywhere but in the document with the smallest id, so that no
-text vanishes from the corpus.
+distinct count.  Lines on at least ``MIN_SITES`` sites are boilerplate, and so
+are lines of over ``LONG_WORDS`` words on ``LONG_SITES``, which no two sites
+have by chance.  They are removed everywhere but in the document with the
+smallest id, so that no text vanishes from the corpus.
 
 Only hashes are shuffled until the end: a document's removed lines become a
 bit mask, and the masks meet the texts once.
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from .scratch import free, written
 
 MIN_SITES = 3
+#: Passages: a line of so many words needs fewer sites.
+LONG_WORDS, LONG_SITES = 50, 2
 #: log2 of a sketch's registers: a standard error under 2 %.
 LG_REGISTERS = 12
 #: Estimates within this factor of the threshold are counted exactly (many standard errors).
@@ -36,25 +39,26 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def spread(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """(line_hash, first_id) of the lines on at least ``min_sites`` sites, from (line_hash, site, id)."""
-    sketched = lines.groupBy("line_hash").agg(F.hll_sketch_agg("site", LG_REGISTERS).alias("sketch"), F.min("id").alias("first_id"))
+def spread(lines: DataFrame) -> DataFrame:
+    """(line_hash, first_id) of the lines on at least their ``least`` sites, from (line_hash, least, site, id)."""
+    sketched = lines.groupBy("line_hash").agg(F.hll_sketch_agg("site", LG_REGISTERS).alias("sketch"), F.min("id").alias("first_id"), F.min("least").alias("least"))
     # most lines are on clearly fewer sites and end here
-    estimated = written(sketched.select("line_hash", "first_id", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") * BAND >= min_sites))
-    clear = estimated.where(F.col("sites") > min_sites * BAND).select("line_hash", "first_id")
-    near = estimated.where(F.col("sites") <= min_sites * BAND).select("line_hash", "first_id")
-    pairs = lines.join(near.select("line_hash"), "line_hash", "left_semi").where("site is not null").groupBy("line_hash", "site").agg(F.lit(1).alias("one"))
-    exact = pairs.groupBy("line_hash").agg(F.count("*").alias("sites")).where(F.col("sites") >= min_sites)
+    estimated = written(sketched.select("line_hash", "first_id", "least", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") * BAND > F.col("least")))
+    clear = estimated.where(F.col("sites") > F.col("least") * BAND).select("line_hash", "first_id")
+    near = estimated.where(F.col("sites") <= F.col("least") * BAND).select("line_hash", "first_id")
+    pairs = lines.join(near.select("line_hash"), "line_hash", "left_semi").where("site is not null").groupBy("line_hash", "site").agg(F.min("least").alias("least"))
+    exact = pairs.groupBy("line_hash").agg(F.count("*").alias("sites"), F.min("least").alias("least")).where(F.col("sites") >= F.col("least"))
     return clear.union(near.join(exact, "line_hash", "left_semi"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, long_words: int = LONG_WORDS, long_sites: int = LONG_SITES) -> DataFrame:
     """``docs`` with boilerplate lines removed from the text; a last column, ``__lines_removed``, counts them."""
     whole = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"), F.xxhash64(whole).alias("text_hash"), F.posexplode(_lines(whole)).alias("pos", "line"))
     stripped = keyed.withColumn("line", F.btrim("line", F.lit(" \t\r"))).where("line != ''")
-    lines = written(stripped.select("id", "site", "text_hash", "pos", F.xxhash64("line").alias("line_hash")))  # the texts are split once
-    found = spread(lines.select("line_hash", "site", "id"), min_sites)
+    least = F.when(F.size(F.split("line", "[ \t]+")) > long_words, min(long_sites, min_sites)).otherwise(min_sites)
+    lines = written(stripped.select("id", "site", "text_hash", "pos", F.xxhash64("line").alias("line_hash"), least.alias("least")))  # the texts are split once
+    found = spread(lines.select("line_hash", "least", "site", "id"))
     removed = lines.select("id", "text_hash", "pos", "line_hash").join(found, "line_hash").where(~F.col("id").eqNullSafe(F.col("first_id")))
     words = removed.groupBy("id", "text_hash", F.expr("pos div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
     masks = words.groupBy("id", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("mask")).select(
@@ -72,4 +76,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return cleaned.select(*((text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns), removed)
 
 
-__all__ = ["MIN_SITES", "dedup_lines", "spread"]
+__all__ = ["LONG_SITES", "LONG_WORDS", "MIN_SITES", "dedup_lines", "spread"]

@@ -77,7 +77,8 @@ WITH l AS (
   SELECT doc_id, source, unnest(range(len(lines))) AS pos, unnest(lines) AS line
   FROM (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
 ), k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
-b AS (SELECT key, min(doc_id) AS first_id FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 3)
+b AS (SELECT key, min(doc_id) AS first_id FROM k WHERE key <> '' GROUP BY key
+      HAVING count(DISTINCT source) >= CASE WHEN len(string_split_regex(key, '[ \t]+')) > 50 THEN 2 ELSE 3 END)
 SELECT k.doc_id,
        coalesce(string_agg(k.line, chr(10) ORDER BY k.pos) FILTER (WHERE b.key IS NULL OR b.first_id = k.doc_id), '') AS text,
        count(*) FILTER (WHERE b.key IS NOT NULL AND b.first_id <> k.doc_id) AS lines_removed

@@ -1,7 +1,7 @@
 from slicewright.llm import line_dedup
 
 
-def brute(rows, least=3):
+def brute(rows, least=3, long=50):
     sites, first = {}, {}
     for i, text, site in rows:
         for line in (text or "").split("\n"):
@@ -13,7 +13,7 @@ def brute(rows, least=3):
     out = []
     for i, text, _ in rows:
         lines = (text or "").split("\n")
-        gone = [bool(k := x.strip(" \t\r")) and len(sites[k]) >= least and first.get(k, "none") != i for x in lines]
+        gone = [bool(k := x.strip(" \t\r")) and len(sites[k]) >= (min(2, least) if len(k.replace("\t", " ").split()) > long else least) and first.get(k, "none") != i for x in lines]
         out.append((i, text if not any(gone) else "\n".join(x for x, g in zip(lines, gone) if not g), sum(gone)))
     return out
 
@@ -45,3 +45,11 @@ def test_long_document_masks(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = sorted((r["doc_id"], r["text"], r["__lines_removed"]) for r in line_dedup.dedup_lines(docs, min_sites=2).collect())
     assert got == sorted(brute(rows, 2))
+
+
+def test_long_lines_need_two_sites(spark):
+    passage = " ".join(f"word{k}" for k in range(60))
+    rows = [(1, f"own line\n{passage}", "a"), (2, f"{passage}\nshort line", "b"), (3, "short line", "c"), (4, passage + " more", "a"), (5, passage + " more", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r["doc_id"], r["text"], r["__lines_removed"]) for r in line_dedup.dedup_lines(docs).collect())
+    assert got == sorted(brute(rows)) and got[1] == (2, "short line", 1) and got[4][2] == 0
