@@ -43,7 +43,9 @@ LEAST_COUNT, BACKOFF = 2, 0.4
 #: Most frequent words (at most 65,536) that have a code and a broadcast count, and those whose pairs have one.
 CODED, PAIRED = 1 << 16, 1 << 10
 #: Words that are packed together, and distinct hashes that a task counts before it passes them on.
-BATCH, COUNTED = 1_500_000, 2_000_000
+BATCH, COUNTED = 400_000, 800_000
+#: Count partitions for each of the session's shuffle partitions: one is held in a task's memory, unpacked.
+FINER = 4
 #: Set in the hash of a word without a code, so that no hash equals a code.
 _RARE = np.uint64(1 << 63)
 
@@ -222,22 +224,9 @@ def answered(ngrams: DataFrame, words: Vocabulary, parts: int) -> DataFrame:
     logs, total = words.logs, max(words.total, 1)
     shared = ngrams.sparkSession.sparkContext.broadcast(logs)
 
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def part_of(firsts: list, seconds: list, owners: list) -> Iterator[pd.DataFrame]:
         log = shared.value
-        firsts, seconds, owners = [], [], []
-        for pdf in batches:
-            plain = pdf["coded"].isna()
-            if plain.any():
-                yield pdf.loc[plain, ["row", "doc_id", "n_tokens", "score", "word", "weight"]]
-            for _, r in pdf[~plain].iterrows():
-                key, base = np.frombuffer(r["coded"], "<u4"), int(r["row"])
-                firsts += [key >> np.uint32(16), np.frombuffer(r["first"], np.uint64)]
-                seconds += [key & np.uint32(0xFFFF), np.frombuffer(r["second"], np.uint64)]
-                owners += [base + np.frombuffer(x, np.uint16).astype(np.int64) for x in (r["coded_rows"], r["mixed_rows"])]
-        if not firsts:
-            return
         a, b, row = np.concatenate(firsts).astype(np.uint64), np.concatenate(seconds).astype(np.uint64), np.concatenate(owners)
-        firsts = seconds = owners = None
         _, at, n = np.unique(_mixed(a, b), return_inverse=True, return_counts=True)
         n = n[at]
         hit = n >= LEAST_COUNT
@@ -251,7 +240,25 @@ def answered(ngrams: DataFrame, words: Vocabulary, parts: int) -> DataFrame:
         if (~known).any():
             yield _frame(_ANSWERED, row=row[~known], word=need[~known].view(np.int64), weight=sign[~known])
 
-    return ngrams.repartition(parts, "part").mapInPandas(answer, _ANSWERED)
+    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, gathered = None, ([], [], [])
+        for pdf in batches:
+            plain = pdf["coded"].isna()
+            if plain.any():
+                yield pdf.loc[plain, ["row", "doc_id", "n_tokens", "score", "word", "weight"]]
+            packed = pdf[~plain]
+            for now, base, coded, coded_rows, first, second, mixed_rows in zip(*(packed[c] for c in ("part", "row", "coded", "coded_rows", "first", "second", "mixed_rows"))):
+                if now != part and gathered[0]:  # a part is whole: rows come sorted by part
+                    yield from part_of(*gathered)
+                    gathered = ([], [], [])
+                part, key = now, np.frombuffer(coded, "<u4")
+                gathered[0].extend((key >> np.uint32(16), np.frombuffer(first, np.uint64)))
+                gathered[1].extend((key & np.uint32(0xFFFF), np.frombuffer(second, np.uint64)))
+                gathered[2].extend(int(base) + np.frombuffer(x, np.uint16).astype(np.int64) for x in (coded_rows, mixed_rows))
+        if gathered[0]:
+            yield from part_of(*gathered)
+
+    return ngrams.repartition(parts, "part").sortWithinPartitions("part").mapInPandas(answer, _ANSWERED)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coded: int = CODED, paired: int = PAIRED) -> DataFrame:
@@ -261,7 +268,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coded
     words = vocabulary(counts, coded)
     paired = min(paired, coded)
     pairs = pair_counts(docs, words, text_col, paired)
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = FINER * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shares = written(answered(exploded(docs, words, pairs, parts, id_col, text_col, paired), words, parts))
     # a word's hash has its top bit set and is never 0
     looked_up = shares.where("word != 0").select("row", "word", "weight").join(counts, "word").select("row", (F.col("weight") * F.log("n")).alias("score"))
