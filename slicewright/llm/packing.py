@@ -44,8 +44,8 @@ SENTENCE_CUT, FREE_CUT = 2, 8
 FREE_EVERY, SENTENCE_LEAST = 32, 12
 #: Tokens solved together.
 BLOCK = 1 << 20
-#: Pieces of text whose ids a worker remembers.
-REMEMBERED = 1_500_000
+#: Pieces of text whose ids a worker remembers; its memory outlives the stage.
+REMEMBERED = 600_000
 
 # White space as the tokenizer's pattern has it; a space joins the word after it.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"

@@ -42,6 +42,8 @@ TELLING = 2.5
 #: Documents are kept when the top grade is at least this likely.
 SELECTED = 0.5
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Tokens whose buckets a worker remembers; its memory outlives the stage.
+REMEMBERED = 200_000
 _KNOWN: dict[str, tuple[int, ...]] = {}
 
 
@@ -62,7 +64,7 @@ def _token(token: str) -> tuple[int, ...]:
 
 def features(text: str | None) -> np.ndarray:
     """Distinct buckets of a whole text, ascending."""
-    if len(_KNOWN) > 2_000_000:
+    if len(_KNOWN) > REMEMBERED:
         _KNOWN.clear()
     found: set[int] = set()
     tokens = (text or "").split()
