@@ -90,24 +90,24 @@ class Ids:
             self.lengths[k] = len(token)  # one letter for each byte
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known, out = self.known, []
+        # once enough is known, new pieces are kept for this call only: common ones came first
+        known, passing, out = self.known, {}, []
+        store = known if len(known) < REMEMBERED else passing
         for text in texts:
             coded = []
             for part in slices(text):
                 chunks = _CHUNK.findall(part)
                 found = list(map(known.get, chunks))
                 if None in found:
-                    self._learn([c for c in dict.fromkeys(chunks) if c not in known])
-                    found = list(map(known.__getitem__, chunks))
+                    self._learn([c for c in dict.fromkeys(chunks) if c not in known and c not in passing], store)
+                    found = [passing[c] if x is None and c in passing else known[c] if x is None else x for x, c in zip(found, chunks)]
                 coded.append(b"".join(found))
             out.append(np.frombuffer(b"".join(coded), "<u2"))
         return out
 
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Remember the ids of new chunks, tokenised together: one call for many costs a fraction of many calls.
+    def _learn(self, chunks: list[str], store: dict[str, bytes]) -> None:
+        """Put the ids of new chunks into ``store``, tokenised together: one call for many costs a fraction of many calls.
 
         Words are joined as they would stand in a text (after a space, else
         after a line break), so each keeps its ids; where one ends is known
@@ -115,7 +115,7 @@ class Ids:
         """
         blanks = [c for c in chunks if c[-1] in _BLANKS]
         for c, e in zip(blanks, self.tokenizer.encode_batch_fast(blanks, add_special_tokens=False)):
-            self.known[c] = np.array(e.ids, "<u2").tobytes()
+            store[c] = np.array(e.ids, "<u2").tobytes()
         words = [c for c in chunks if c[-1] not in _BLANKS]
         if not words:
             return
@@ -126,7 +126,7 @@ class Ids:
         data = found.tobytes()
         for k, c in enumerate(words):
             before = edges[2 * k] if parts[2 * k] else (edges[2 * k - 1] if k else 0)
-            self.known[c] = data[2 * before:2 * edges[2 * k + 1]]
+            store[c] = data[2 * before:2 * edges[2 * k + 1]]
 
 
 _IDS: dict[str, Ids] = {}

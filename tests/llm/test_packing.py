@@ -49,6 +49,16 @@ def test_ids_are_the_tokenizer_s(ids):
         assert got.tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_ids_when_no_more_is_remembered(ids, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    small = packing.Ids(tokenizer_path())
+    texts = ["one two three four five six", "six five new words here", "one two"] + TRICKY
+    small(texts[:1])
+    for _ in range(2):
+        assert [x.tolist() for x in small(texts)] == [ids.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(small.known) == 6
+
+
 def test_long_texts_are_cut_where_ids_do_not_change(ids):
     text = " ".join(["word's", "naïve", "3.14", "a"] * 200)
     parts = list(packing.slices(text, 100))
