@@ -90,21 +90,34 @@ class Ids:
             self.lengths[k] = len(token)  # one letter for each byte
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; about ``SLICE`` characters are in work at a time."""
+        out, group, size = [], [], 0
+        for text in texts:
+            if len(text) > SLICE:
+                out += self._together(group)
+                out.append(np.concatenate([self._together([part])[0] for part in slices(text)]))
+                group, size = [], 0
+                continue
+            group.append(text)
+            size += len(text)
+            if size > SLICE:
+                out += self._together(group)
+                group, size = [], 0
+        return out + self._together(group)
+
+    def _together(self, texts: list[str]) -> list[np.ndarray]:
         # once enough is known, new pieces are kept for this call only: common ones came first
-        known, passing, out = self.known, {}, []
+        known, passing, pieces = self.known, {}, []
         store = known if len(known) < REMEMBERED else passing
+        new: dict[str, None] = {}
         for text in texts:
-            coded = []
-            for part in slices(text):
-                chunks = _CHUNK.findall(part)
-                found = list(map(known.get, chunks))
-                if None in found:
-                    self._learn([c for c in dict.fromkeys(chunks) if c not in known and c not in passing], store)
-                    found = [passing[c] if x is None and c in passing else known[c] if x is None else x for x, c in zip(found, chunks)]
-                coded.append(b"".join(found))
-            out.append(np.frombuffer(b"".join(coded), "<u2"))
-        return out
-
+            chunks = _CHUNK.findall(text)
+            found = list(map(known.get, chunks))
+            if None in found:
+                new.update((c, None) for x, c in zip(found, chunks) if x is None)
+            pieces.append((chunks, found))
+        self._learn(list(new), store)
+        return [np.frombuffer(b"".join([store[c] if x is None else x for x, c in zip(found, chunks)]), "<u2") for chunks, found in pieces]
 
     def _learn(self, chunks: list[str], store: dict[str, bytes]) -> None:
         """Put the ids of new chunks into ``store``, tokenised together: one call for many costs a fraction of many calls.
