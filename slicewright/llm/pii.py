@@ -1,18 +1,22 @@
 """Personal data: base patterns, and terms that disclose the protected entities.
 
 Base spans are e-mail addresses, IP addresses, payment card numbers and phone
-numbers.  Each distinct value is a protected entity.  A term is a word of the
-text around a mention.  Corpus counts (documents that hold the term, documents
-that hold the entity, documents where the term stands near the entity) give
-the pointwise mutual information; divided by the entity's own information it
-says which share of the entity's information the term gives away.  Terms with
-at least ``DISCLOSED`` of it, seen near the entity in at least ``LEAST_DOCS``
-documents, become spans of kind ``term`` beside that entity and are
-generalised (words) or removed (numbers) by ``sanitise``.
-
-One pass over the texts finds base spans, mentions with their neighbouring
-words, and term counts combined per task; what follows joins small rows only.
-Copies of a text count once per text: a document is known by its text's hash.
+numbers.  Each distinct value is a protected entity.  A term is a word that
+lies in no base span.  Corpus counts (documents that hold the term, documents
+that hold the entity, documents that hold both) give the pointwise mutual
+information; divided by the entity's own information it says which share of
+the entity's information the term gives away.  Counts of pairs that are seen
+in fewer than ``LEAST_DOCS`` different texts are shrunk towards what the
+entity's whole kind says about the term, by the weight of one text.  Terms that
+give at least ``DISCLOSED`` become spans of kind ``term`` wherever they stand,
+in any text, and are generalised (words) or removed (numbers) by ``sanitise``.
+
+One pass over the texts finds base spans, entities and the words around them,
+one counts terms, and one finds the disclosing terms: a bit table of fixed
+size drops most other words before the join (a full one drops none and changes
+no result).  Pairs are counted once per different text, weighted by its copies;
+entities of one kind that only one text holds share their counts, so a text of
+many mentions takes no square of its words.
 
 Defined results: NULL text is empty; repeated rows each get their spans; ids
 may be NULL or repeat; an empty table gives no rows; extra columns are ignored.
@@ -22,22 +26,28 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate, islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on each side of a mention that may disclose it.
 NEAR = 8
-#: Documents in which a term must stand near an entity, and the share of the entity's information it must give.
+#: Texts from which on a pair's counts are taken as they are, and the share of the entity's information a term must give.
 LEAST_DOCS, DISCLOSED = 3, 0.8
 #: Distinct terms that a task counts before it passes the counts on.
 COUNTED = 500_000
+#: Bits of the table that drops words that disclose nothing; terms in more than 1/``COMMON`` of the documents meet by broadcast.
+TABLE_BITS, COMMON = 1 << 22, 1000
 
 # The patterns of the base kinds.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -89,6 +99,21 @@ def span_text(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
+def _entity(kind: str, value: str) -> str:
+    return f"{kind}:{value.lower() if kind in ('email', 'ip') else _digits(value)}"
+
+
+def words_outside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match]:
+    """The words of the text that touch no base span."""
+    k = furthest = 0
+    for m in _WORD.finditer(text):
+        while k < len(spans) and spans[k][1] < m.end():
+            furthest = max(furthest, spans[k][2])
+            k += 1
+        if furthest <= m.start():
+            yield m
+
+
 def neighbours(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) -> list[tuple[str, str, int, int]]:
     """(entity, term, start, end) for the words beside each mention that lie in no base span."""
     out = []
@@ -96,7 +121,7 @@ def neighbours(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) -
     inside = lambda a, b: (k := bisect_left(starts, b)) > 0 and furthest[k - 1] > a
     for kind, start, end in spans:
         value = text[start:end]
-        entity = f"{kind}:{value.lower() if kind in ('email', 'ip') else _digits(value)}"
+        entity = _entity(kind, value)
         after = list(islice(_WORD.finditer(text, end), near))
         # words average under 8 characters; widen the look back until it holds enough of them
         back, before = 16 * near, []
@@ -121,21 +146,22 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Base spans, their digest, and the words beside each mention, of every row."""
+    """Base spans and their digest of every row, its entities, and the distinct words that may disclose them."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for doc_id, text_hash, text in zip(pdf["doc_id"], pdf["text_hash"], pdf["text"]):
                 spans = base_spans(text)
-                near = [{"entity": e, "term": t, "start": a, "end": b} for e, t, a, b in neighbours(text, spans)]
+                entities = sorted({_entity(k, text[a:b]) for k, a, b in spans})
+                words = sorted({t for _, t, _, _ in neighbours(text, spans)})
                 sha = hashlib.sha256(span_text(spans).encode()).hexdigest()
-                out.append((doc_id, text_hash, sha, [{"kind": k, "start": a, "end": b} for k, a, b in spans], near))
+                out.append((doc_id, text_hash, sha, [{"kind": k, "start": a, "end": b} for k, a, b in spans], entities, words))
             if out:
-                yield pd.DataFrame(out, columns=["doc_id", "text_hash", "base_sha256", "spans", "near"])
+                yield pd.DataFrame(out, columns=["doc_id", "text_hash", "base_sha256", "spans", "entities", "words"])
 
     rows = _texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("string"))
-    found = rows.mapInPandas(find, "doc_id string, text_hash long, base_sha256 string, spans array<struct<kind:string,start:long,end:long>>, near array<struct<entity:string,term:string,start:long,end:long>>")
+    found = rows.mapInPandas(find, "doc_id string, text_hash long, base_sha256 string, spans array<struct<kind:string,start:long,end:long>>, entities array<string>, words array<string>")
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -146,7 +172,7 @@ def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         counts: Counter = Counter()
         for pdf in batches:
             for text in pdf["text"]:
-                counts.update(set(_WORD.findall(text.lower())))
+                counts.update({w.lower() for w in set(_WORD.findall(text))})
                 if len(counts) > COUNTED:
                     yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
                     counts.clear()
@@ -157,24 +183,78 @@ def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return texts.mapInPandas(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
+def _looked_up(rows: DataFrame, table: DataFrame, key: str, common: Column) -> DataFrame:
+    """``rows`` joined to the one row of ``table`` with their key; the few ``common`` keys by broadcast, so that none gathers in a task."""
+    often = table.where(common)
+    seldom = rows.join(F.broadcast(often.select(key)), key, "left_anti").join(table.where(~common), key)
+    return rows.join(F.broadcast(often), key).unionByName(seldom)
+
+
 def disclosures(found: DataFrame, terms: DataFrame, least_docs: int = LEAST_DOCS, disclosed: float = DISCLOSED) -> DataFrame:
-    """(entity, term, share): terms that give at least ``disclosed`` of an entity's information.
+    """(term, n_term, share): terms that give at least ``disclosed`` of some entity's information, and the largest share.
 
     The share is PMI(term, entity) / information(entity), from documents that
-    hold the term, the entity, and the term beside the entity.  ``least_docs``
-    counts different texts, so copies of one text are one piece of evidence.
+    hold the term, the entity, and both.  A pair seen in fewer than
+    ``least_docs`` different texts (copies of one text are one piece of
+    evidence) counts as if one more text held the term, and the entity in it
+    as often as the entity's kind makes likely.
     """
-    total = found.agg(F.count("*").alias("total"))
-    mentions = found.select("doc_id", "text_hash", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("m"))
-    per_text = mentions.groupBy("m.entity", "m.term", "text_hash").agg(F.count("*").alias("n"))
-    pairs = per_text.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count("*").alias("texts")).where(F.col("texts") >= least_docs)
-    holders = found.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    counted = pairs.join(holders, "entity").join(terms, "term")
-    # one row holds the number of documents: a scalar, not a cross join of tables
-    counted = counted.withColumn("total", F.lit(total.first()["total"]))
-    information = F.log2(F.col("total") / F.col("n_entity"))
-    mutual = F.log2(F.col("n_pair") * F.col("total") / (F.col("n_entity") * F.col("n_term")))
-    return counted.withColumn("share", F.when(information > 0, mutual / information).otherwise(F.lit(0.0))).where(F.col("share") >= disclosed).select("entity", "term", "share")
+    kinds = KINDS[:4]
+    of_kind = lambda k: F.exists("entities", lambda e: e.startswith(f"{k}:"))
+    counts = found.agg(F.count("*").alias("total"), *(F.count_if(of_kind(k)).alias(k) for k in kinds)).first()
+    total = max(1, counts["total"])
+    in_kind = F.element_at(F.create_map(*(x for k in kinds for x in (F.lit(k), F.lit(max(1, counts[k]))))), F.col("kind"))
+    texts = written(found.where(F.size("entities") > 0).groupBy("text_hash").agg(F.count("*").alias("n"), F.any_value("entities").alias("entities"), F.any_value("words").alias("words")))
+    mentions = texts.select("text_hash", "n", F.explode("entities").alias("entity"))
+    holders = written(mentions.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("held")))
+    kind = F.substring_index("entity", ":", 1).alias("kind")
+    # what only one text holds has the same counts as its like there
+    group = F.when(F.col("held") == 1, F.concat_ws("@", kind, "text_hash")).otherwise(F.col("entity")).alias("group")
+    groups = written(_looked_up(mentions.drop("n"), holders, "entity", F.col("n_entity") > total / COMMON).select("text_hash", group, kind, "n_entity").distinct())
+    # no term in more documents than this can give the share, whatever its pairs (2: the added text)
+    most = lambda n: 2.0 * F.pow(n, F.lit(disclosed)) * float(total) ** (1 - disclosed)
+    most_at_all = holders.agg(F.max(most(F.col("n_entity"))).alias("x")).first()["x"] or 0.0
+    words = texts.select("text_hash", "n", F.explode("words").alias("term"))
+    rare = written(_looked_up(words, terms, "term", F.col("n_term") > total / COMMON).where(F.col("n_term") <= most_at_all))
+    pairs = rare.join(groups, "text_hash").where(F.col("n_term") <= most(F.col("n_entity"))).groupBy("group", "kind", "term").agg(
+        F.sum("n").alias("n_pair"), F.count("*").alias("texts"), F.any_value("n_entity").alias("n_entity"), F.any_value("n_term").alias("n_term"))
+    by_kind = rare.join(groups.select("text_hash", "kind").distinct(), "text_hash").groupBy("kind", "term").agg(F.sum("n").alias("n_kind_pair"))
+    counted = pairs.join(by_kind, ["kind", "term"]).withColumn("added", F.when(F.col("texts") >= least_docs, 0.0).otherwise(F.col("n_pair") / F.col("texts")))
+    shrunk = lambda n, prior: (n + F.col("added") * prior) / (F.col("n_term") + F.col("added"))
+    kind_given = shrunk(F.col("n_kind_pair"), in_kind / total)
+    given = shrunk(F.col("n_pair"), kind_given * F.col("n_entity") / in_kind)
+    information = F.log2(total / F.col("n_entity"))
+    mutual = F.log2(given * total / F.col("n_entity"))
+    share = F.when(information > 0, mutual / information).otherwise(F.lit(0.0))
+    return counted.withColumn("share", share).where(F.col("share") >= disclosed).groupBy("term").agg(F.any_value("n_term").alias("n_term"), F.max("share").alias("share"))
+
+
+def places(docs: DataFrame, told: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, term, start, end): every word outside base spans, of any row, that is a term of ``told``."""
+    crc = told.select(F.crc32(F.encode("term", "UTF-8")).alias("crc")).select((F.col("crc") % TABLE_BITS).alias("bit"))
+    one = F.lit(1).cast("long")
+    rows = crc.groupBy(F.expr("cast(bit div 64 as int)").alias("w")).agg(F.bit_or(F.call_function("shiftleft", one, F.expr("cast(bit % 64 as int)"))).alias("bits")).collect()  # at most TABLE_BITS / 64 numbers
+    table = np.zeros(TABLE_BITS // 64, np.int64)
+    for r in rows:
+        table[r["w"]] = r["bits"]
+    bits, n_bits = table.astype("<i8").tobytes(), TABLE_BITS
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def likely(word: str) -> bool:
+            bit = zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % n_bits
+            return bits[bit >> 3] >> (bit & 7) & 1 == 1
+
+        for pdf in batches:
+            out = []
+            for doc_id, text_hash, text in zip(pdf["doc_id"], pdf["text_hash"], pdf["text"]):
+                if hits := {w for w in set(_WORD.findall(text)) if likely(w)}:
+                    out += [(doc_id, text_hash, m[0].lower(), *m.span()) for m in words_outside(text, base_spans(text)) if m[0] in hits]
+            if out:
+                yield pd.DataFrame(out, columns=["doc_id", "text_hash", "term", "start", "end"])
+
+    texts = _texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("string"))
+    met = written(texts.mapInPandas(look, "doc_id string, text_hash long, term string, start long, end long"))
+    return _looked_up(met, told.select("term", "n_term"), "term", F.col("n_term") > total / COMMON).select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash", "term", "start", "end")
 
 
 def _ordered(spans: Column) -> Column:
@@ -187,10 +267,9 @@ def _ordered(spans: Column) -> Column:
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_docs: int = LEAST_DOCS, disclosed: float = DISCLOSED) -> DataFrame:
     """Counts of base spans, their digest and all spans (base and disclosing terms) of every row."""
     found = scan(docs, id_col, text_col).checkpoint()
-    told = disclosures(found, term_counts(docs, text_col), least_docs, disclosed)
-    near = found.select("doc_id", "text_hash", F.explode("near").alias("m")).select("doc_id", "text_hash", "m.entity", "m.term", "m.start", "m.end")
+    told = written(disclosures(found, written(term_counts(docs, text_col)), least_docs, disclosed))
     added = (
-        near.join(told, ["entity", "term"]).groupBy("doc_id", "text_hash")
+        places(docs, told, found.count(), id_col, text_col).groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct(F.lit("term").alias("kind"), "start", "end")).alias("terms"))
         .select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"), "terms")
     )
@@ -221,4 +300,4 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     return met.select("doc_id", replaced("text", "spans").alias("text"))
 
 
-__all__ = ["DISCLOSED", "KINDS", "LEAST_DOCS", "base_spans", "disclosures", "find", "luhn", "neighbours", "redact", "sanitise", "scan", "span_text", "term_counts"]
+__all__ = ["DISCLOSED", "KINDS", "LEAST_DOCS", "base_spans", "disclosures", "find", "luhn", "neighbours", "places", "redact", "sanitise", "scan", "span_text", "term_counts", "words_outside"]

@@ -82,3 +82,13 @@ def test_terms_that_disclose_are_found_and_replaced(spark):
     assert "Falcon" not in clean[0] and "boss@" not in clean[0] and "[EMAIL]" in clean[0] and clean[30] == rows[30][1]
     few = pii.find(docs.where("doc_id = 0 or doc_id >= 100"), least_docs=3).collect()
     assert all(r["n_term"] == 0 for r in few)  # one text six times is one document's worth
+
+
+def test_terms_of_a_single_text_disclose(spark):
+    rows = [(k, f"the usual text number {k} about nothing and the rest") for k in range(200)]
+    rows += [(500, "the rest and Zanzibar about jane.roe@one.example the text"), (501, "nothing but the usual text, once more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.find(docs).collect()}
+    at = rows[200][1].index("Zanzibar")
+    assert f"term:{at}:{at + 8}" in got[500]["spans"].split(",") and got[500]["n_term"] == 1
+    assert sum(r["n_term"] for r in got.values()) == 1  # common words disclose nothing
