@@ -146,7 +146,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Base spans and their digest of every row, its entities, and the distinct words that may disclose them."""
+    """Base spans and their digest of every row, its entities, and the distinct words of its text if it has any."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -154,7 +154,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             for doc_id, text_hash, text in zip(pdf["doc_id"], pdf["text_hash"], pdf["text"]):
                 spans = base_spans(text)
                 entities = sorted({_entity(k, text[a:b]) for k, a, b in spans})
-                words = sorted({t for _, t, _, _ in neighbours(text, spans)})
+                words = sorted({m[0].lower() for m in words_outside(text, spans)}) if spans else []
                 sha = hashlib.sha256(span_text(spans).encode()).hexdigest()
                 out.append((doc_id, text_hash, sha, [{"kind": k, "start": a, "end": b} for k, a, b in spans], entities, words))
             if out:

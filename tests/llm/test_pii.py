@@ -92,3 +92,22 @@ def test_terms_of_a_single_text_disclose(spark):
     at = rows[200][1].index("Zanzibar")
     assert f"term:{at}:{at + 8}" in got[500]["spans"].split(",") and got[500]["n_term"] == 1
     assert sum(r["n_term"] for r in got.values()) == 1  # common words disclose nothing
+
+
+def test_terms_far_from_a_mention_and_without_one(spark):
+    filler = " ".join(["the usual words"] * 30)
+    rows = [(k, f"the usual words number {k}") for k in range(300)]
+    rows += [(500, f"Zanzibar {filler} jane.roe@one.example {filler} zanzibar"), (501, f"{filler} ZANZIBAR again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith("term")] for r in pii.find(docs).collect()}
+    last, other = rows[300][1].rindex("zanzibar"), rows[301][1].index("ZANZIBAR")
+    assert got[500] == ["term:0:8", f"term:{last}:{last + 8}"] and got[501] == [f"term:{other}:{other + 8}"]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert "anzibar" not in clean[500] and clean[501] == f"{filler} [TERM] again"
+
+
+def test_words_outside_spans():
+    for text in ("call +1 (319) 555-5132 now, a@b.c or 1.2.3.4", "x a@b.c", "no spans here", ""):
+        spans = pii.base_spans(text)
+        want = [m.span() for m in re.finditer(r"\w+", text) if not any(a < m.end() and m.start() < b for _, a, b in spans)]
+        assert [m.span() for m in pii.words_outside(text, spans)] == want
