@@ -23,8 +23,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without boilerplate lines that another document keeps."""
-    cleaned = line_dedup.dedup_lines(docs)
+    """Every document, without boilerplate lines that another text keeps; whole copies stay copies, for the next stage."""
+    cleaned = line_dedup.dedup_lines(docs, whole_copies=True)
     return cleaned.withColumn("n_chars", F.when(F.col(cleaned.columns[-1]) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -39,27 +39,52 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _first_text(lines: DataFrame) -> list[Column]:
+    """The text with the smallest id, if the lines name their texts."""
+    return [F.min_by("text_hash", F.when(F.col("id").isNotNull(), F.struct("id", "text_hash"))).alias("first_text")] if "text_hash" in lines.columns else []
+
+
+def _later_copies(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
+    """(of_id, of_text) of the rows whose whole text another row with a smaller id has."""
+    keys = docs.select(F.col(id_col).alias("of_id"), F.xxhash64(text).alias("of_text"))
+    firsts = keys.groupBy("of_text").agg(F.min("of_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return keys.join(firsts, "of_text").where(~F.col("of_id").eqNullSafe(F.col("first_id"))).select("of_id", "of_text").distinct()
+
+
 def spread(lines: DataFrame) -> DataFrame:
-    """(line_hash, first_id) of the lines on at least their ``least`` sites, from (line_hash, least, site, id)."""
-    sketched = lines.groupBy("line_hash").agg(F.hll_sketch_agg("site", LG_REGISTERS).alias("sketch"), F.min("id").alias("first_id"), F.min("least").alias("least"))
+    """(line_hash, first_id) of the lines on at least their ``least`` sites, from (line_hash, least, site, id); with text_hash, also the first_text."""
+    first = ["first_id", *(["first_text"] if "text_hash" in lines.columns else [])]
+    sketched = lines.groupBy("line_hash").agg(F.hll_sketch_agg("site", LG_REGISTERS).alias("sketch"), F.min("id").alias("first_id"), F.min("least").alias("least"), *_first_text(lines))
     # most lines are on clearly fewer sites and end here
-    estimated = written(sketched.select("line_hash", "first_id", "least", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") * BAND > F.col("least")))
-    clear = estimated.where(F.col("sites") > F.col("least") * BAND).select("line_hash", "first_id")
-    near = estimated.where(F.col("sites") <= F.col("least") * BAND).select("line_hash", "first_id")
+    estimated = written(sketched.select("line_hash", *first, "least", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") * BAND > F.col("least")))
+    clear = estimated.where(F.col("sites") > F.col("least") * BAND).select("line_hash", *first)
+    near = estimated.where(F.col("sites") <= F.col("least") * BAND).select("line_hash", *first)
     pairs = lines.join(near.select("line_hash"), "line_hash", "left_semi").where("site is not null").groupBy("line_hash", "site").agg(F.min("least").alias("least"))
     exact = pairs.groupBy("line_hash").agg(F.count("*").alias("sites"), F.min("least").alias("least")).where(F.col("sites") >= F.col("least"))
     return clear.union(near.join(exact, "line_hash", "left_semi"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, long_words: int = LONG_WORDS, long_sites: int = LONG_SITES) -> DataFrame:
-    """``docs`` with boilerplate lines removed from the text; a last column, ``__lines_removed``, counts them."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, long_words: int = LONG_WORDS, long_sites: int = LONG_SITES, whole_copies: bool = False) -> DataFrame:
+    """``docs`` with boilerplate lines removed from the text; a last column, ``__lines_removed``, counts them.
+
+    With ``whole_copies``, copies of a whole text count as one document, which
+    has the smallest id of them and its site, and all lose the same lines: they
+    are still equal when a later stage looks for copies.
+    """
     whole = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"), F.xxhash64(whole).alias("text_hash"), F.posexplode(_lines(whole)).alias("pos", "line"))
     stripped = keyed.withColumn("line", F.btrim("line", F.lit(" \t\r"))).where("line != ''")
     least = F.when(F.size(F.split("line", "[ \t]+")) > long_words, min(long_sites, min_sites)).otherwise(min_sites)
     lines = written(stripped.select("id", "site", "text_hash", "pos", F.xxhash64("line").alias("line_hash"), least.alias("least")))  # the texts are split once
-    found = spread(lines.select("line_hash", "least", "site", "id"))
-    removed = lines.select("id", "text_hash", "pos", "line_hash").join(found, "line_hash").where(~F.col("id").eqNullSafe(F.col("first_id")))
+    if whole_copies:
+        later = written(_later_copies(docs, id_col, whole))
+        once = lines.join(later, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_text")), "left_anti")
+        found = spread(once.select("line_hash", "least", "site", "id", "text_hash"))
+        keeper = F.col("text_hash").eqNullSafe(F.col("first_text")) | (F.col("id").isNull() & F.col("first_id").isNull())
+    else:
+        found = spread(lines.select("line_hash", "least", "site", "id"))
+        keeper = F.col("id").eqNullSafe(F.col("first_id"))
+    removed = lines.select("id", "text_hash", "pos", "line_hash").join(found, "line_hash").where(~keeper)
     words = removed.groupBy("id", "text_hash", F.expr("pos div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
     masks = words.groupBy("id", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("mask")).select(
         "id", "text_hash",

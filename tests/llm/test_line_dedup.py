@@ -53,3 +53,13 @@ def test_long_lines_need_two_sites(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = sorted((r["doc_id"], r["text"], r["__lines_removed"]) for r in line_dedup.dedup_lines(docs).collect())
     assert got == sorted(brute(rows)) and got[1] == (2, "short line", 1) and got[4][2] == 0
+
+
+def test_whole_copies_stay_equal(spark):
+    long, own = " ".join(f"p{k}" for k in range(60)), "own words of the text"
+    text = f"{own}\n{long}\nshared line"
+    rows = [(k, text, f"s{k}") for k in range(1, 6)] + [(None, text, "s9"), (20, f"another one\n{long}", "t"), (21, "shared line\nthird", "u"), (22, "shared line\nfourth", "v"), (23, "shared line\nfourth", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [(r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs, whole_copies=True).collect()]
+    want = [(i, text) for i in (None, 1, 2, 3, 4, 5)] + [(20, "another one"), (21, "third"), (22, "fourth"), (23, "fourth")]
+    assert sorted(got, key=str) == sorted(want, key=str)

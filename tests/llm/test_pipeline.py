@@ -52,3 +52,17 @@ def test_queries_have_contract_columns(spark):
     }
     for name, columns in first.items():
         assert queries.QUERIES[name](spark, sf).columns[:len(columns)] == columns
+
+
+def test_planted_copies_leave_one_document(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    good = spark.read.parquet(f"{sf}/labels.parquet")
+    kept = corpus_pipeline.quality_classifier(spark, docs, sf).orderBy("doc_id").limit(1).collect()[0]
+    text = "\n".join(f"{kept['text']} {' '.join(f'{w}{n}' for w in kept['text'].split()[:60])}" for n in ("a", "b"))
+    copies = spark.createDataFrame([(10**6 + k, text, kept["lang"], f"copy{k}.example", len(text)) for k in range(6)], docs.schema)
+    docs.unionByName(copies).write.parquet(f"{tmp_path}/documents.parquet")
+    good.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect() if r["doc_id"] >= 10**6}
+    assert len(left) == 1
