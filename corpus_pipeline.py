@@ -38,7 +38,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a verified benchmark overlap."""
-    return decontaminate.clean(prepared(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+    return decontaminate.clean(prepared(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), longest=True).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

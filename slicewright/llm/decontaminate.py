@@ -7,7 +7,10 @@ names a diagonal (document position minus item position); on each diagonal the
 tokens of both are compared position by position, and the stretch around the
 hits with the best score (a match counts 1, a mismatch -``MISMATCH``) is
 verified: it must hold ``LEAST_TOKENS`` tokens (or the whole item), of which at
-least 0.8 agree.
+least 0.8 agree.  That stretch ends where mismatches lie too close
+together, so words replaced here and there cut it short; with ``longest``, the
+longest stretch of the diagonal of which 0.8 agree is verified instead (the
+best one is never longer).  Its prefix scores are arrays as long as the item.
 
 A bit table of the benchmark's window hashes, of fixed size, drops most
 document windows before the join.  A table filled up by a huge benchmark drops
@@ -52,7 +55,7 @@ def _masks(items: DataFrame) -> list[str]:
     return [*MASKS, *("1" * r["n"] for r in short)]
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", longest: bool = False) -> DataFrame:
     """Verified overlaps: document, text hash, item, token ranges in both and matching tokens."""
     items = benchmark.select(F.col(item_col).alias("item_id"), _tokens(F.col(item_text_col)).alias("item")).withColumn("n", F.size("item")).where(F.col("n") >= SHORTEST)
     items = written(items)
@@ -89,21 +92,35 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         f"'run', {grown}, 'begin', {begun}, 'best', greatest(s.best, {grown}), "
         f"'a', if({grown} > s.best, {begun}, s.a), 'b', if({grown} > s.best, q + 1, s.b)))")
     agreed = F.size(F.filter("scores", lambda x: x > 0))
-    judged = scored.withColumn("stretch", best).withColumn("agreed", agreed)
+    if longest:
+        # a stretch agrees at 0.8 when its score is not negative (MISMATCH is 4): the furthest pair of prefix sums with the later one not lower
+        sums = scored.withColumn("sums", F.expr("aggregate(scores, array(0), (a, x) -> array_append(a, get(a, size(a) - 1) + x))"))
+        running = "aggregate({0}, cast(array() as array<int>), (a, x) -> array_append(a, {1}(x, coalesce(get(a, size(a) - 1), x))))"
+        bounds = sums.withColumn("least_to", F.expr(running.format("sums", "least"))).withColumn("most_from", F.expr(f"reverse({running.format('reverse(sums)', 'greatest')})"))
+        scored = bounds.withColumn("stretch", F.expr(
+            "aggregate(sequence(0, 2 * size(sums)), named_struct('i', 0, 'j', 0, 'a', 0, 'b', 0), (s, k) -> "
+            "if(s.i >= size(sums) or s.j >= size(sums), s, if(get(most_from, s.j) >= get(least_to, s.i), "
+            "named_struct('i', s.i, 'j', s.j + 1, 'a', if(s.j - s.i > s.b - s.a, s.i, s.a), 'b', if(s.j - s.i > s.b - s.a, s.j, s.b)), "
+            "named_struct('i', s.i + 1, 'j', s.j, 'a', s.a, 'b', s.b))))"))
+        in_stretch = F.expr("size(filter(slice(scores, stretch.a + 1, stretch.b - stretch.a), x -> x > 0))")
+    else:
+        scored = scored.withColumn("stretch", best)
+        in_stretch = F.expr(f"(stretch.best + {MISMATCH} * (stretch.b - stretch.a)) div {MISMATCH + 1}")
+    judged = scored.withColumn("agreed", agreed)
     item_whole = F.col("agreed") * 5 >= F.col("n_item") * 4
     length = F.col("stretch.b") - F.col("stretch.a")
     begin = F.col("low") + F.when(item_whole, 0).otherwise(F.col("stretch.a"))
     end = F.col("low") + F.when(item_whole, F.size("scores")).otherwise(F.col("stretch.b"))
-    matching = F.when(item_whole, F.col("agreed")).otherwise(F.expr(f"(stretch.best + {MISMATCH} * (stretch.b - stretch.a)) div {MISMATCH + 1}"))
+    matching = F.when(item_whole, F.col("agreed")).otherwise(in_stretch)
     return judged.where(item_whole | (length >= F.least(F.lit(LEAST_TOKENS), F.col("n_item")))).select(
         "doc_id", "text_hash", "item_id", (begin + F.col("diagonal")).alias("doc_start"), (end + F.col("diagonal")).alias("doc_end"),
         begin.alias("item_start"), end.alias("item_end"), matching.cast("int").alias("matching"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", longest: bool = False) -> DataFrame:
     """``docs`` without the rows that overlap with the benchmark."""
     doc, text = free(docs, "__doc"), free(docs, "__text")
-    found = written(overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col).select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text)).distinct())
+    found = written(overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col, longest).select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text)).distinct())
     return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) == F.col(text)), "left_anti")
 
 

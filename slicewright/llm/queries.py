@@ -60,7 +60,7 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verified overlaps between documents and benchmark items."""
-    return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
+    return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), longest=True).drop("text_hash")
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,3 +98,38 @@ def test_documents_and_planted_items(spark):
     exact = {(i, b) for i, t in rows for b, x in items if x in t}
     assert exact <= {(g[0], g[1]) for g in got}
     assert got == sorted(brute([r for r in rows if r[0] in {g[0] for g in got} | set(range(20))], items), key=str)
+
+
+def test_longest_stretch_matches_independent_brute_force(spark):
+    """Parts of items with words replaced: every pair of ends is tried, without scores."""
+    rng = random.Random(13)
+    words = [[f"i{k}x{q}" for q in range(40 + 20 * k)] for k in range(4)]
+    rows = []
+    for n, changes in [(13, 1), (13, 2), (16, 2), (16, 4), (20, 3), (20, 4), (30, 6), (30, 9)] * 3:
+        item = words[rng.randrange(4)]
+        start = rng.randrange(len(item) - n)
+        part = item[start:start + n]
+        for k in rng.sample(range(n), changes):
+            part[k] = f"changed{k}"
+        rows.append((len(rows), " ".join([f"n{k}" for k in range(rng.randrange(9))] + part + ["end"] * rng.randrange(9))))
+    every_fifth = [w if k % 5 else "changed" for k, w in enumerate(words[0])]
+    rows.append((len(rows), "before " + " ".join(every_fifth[:30]) + " after"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(words)], "item_id long, text string")
+    want = {}
+    for i, text in rows:
+        d = text.split()
+        for item, b in enumerate(words):
+            for diagonal in range(-len(b) + 1, len(d)):
+                low, high = max(0, -diagonal), min(len(b), len(d) - diagonal)
+                same = [d[q + diagonal] == b[q] for q in range(low, high)]
+                if any(all(same[q + k] for k, c in enumerate(m) if c == "1") for m in dec.MASKS for q in range(len(same) - len(m) + 1)):
+                    size = max((e - a for a in range(len(same)) for e in range(a + 1, len(same) + 1) if sum(same[a:e]) / (e - a) >= 0.8 - 1e-9), default=0)
+                    if size >= dec.LEAST_TOKENS:
+                        want[i, item] = size
+    got = {(r["doc_id"], r["item_id"]): r for r in dec.overlaps(docs, benchmark, longest=True).collect()}
+    assert {k: r["item_end"] - r["item_start"] for k, r in got.items()} == want and len(want) > 12
+    assert all(r["doc_end"] - r["doc_start"] == r["item_end"] - r["item_start"] and r["matching"] * 5 >= 4 * (r["item_end"] - r["item_start"]) for r in got.values())
+    old = {(r["doc_id"], r["item_id"]) for r in dec.overlaps(docs, benchmark).collect()}
+    assert old < set(got)
+    assert {r["doc_id"] for r in dec.clean(docs, benchmark, longest=True).collect()} == {r[0] for r in rows} - {i for i, _ in want}
