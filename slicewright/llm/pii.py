@@ -12,7 +12,7 @@ give at least ``DISCLOSED`` become spans of kind ``term`` wherever they stand,
 in any text, and are generalised (words) or removed (numbers) by ``sanitise``.
 
 One pass over the texts finds base spans, entities and the words around them,
-one counts terms, and one finds the disclosing terms: a bit table of fixed
+one counts terms, and one finds the disclosing terms: a bit table of limited
 size drops most other words before the join (a full one drops none and changes
 no result).  Pairs are counted once per different text, weighted by its copies;
 entities of one kind that only one text holds share their counts, so a text of
@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -34,6 +33,7 @@ from itertools import accumulate, islice
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +46,9 @@ NEAR = 8
 LEAST_DOCS, DISCLOSED = 3, 0.8
 #: Distinct terms that a task counts before it passes the counts on.
 COUNTED = 500_000
-#: Bits of the table that drops words that disclose nothing; terms in more than 1/``COMMON`` of the documents meet by broadcast.
-TABLE_BITS, COMMON = 1 << 22, 1000
+#: Least and most bits of the table that drops words that disclose nothing, its bits a term, and a term's marks; terms in more than 1/``COMMON`` of the documents meet by broadcast.
+TABLE_BITS, MOST_BITS, BITS_A_TERM, MARKS = 1 << 22, 1 << 26, 16, 4
+COMMON = 1000
 
 # The patterns of the base kinds.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -135,10 +136,6 @@ def neighbours(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) -
     return out
 
 
-def _hash(s: str) -> int:
-    return xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass")) - 2**63
-
-
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id and text of every row, with the text's hash; both together are the key of a row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -231,18 +228,29 @@ def disclosures(found: DataFrame, terms: DataFrame, least_docs: int = LEAST_DOCS
 
 def places(docs: DataFrame, told: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, term, start, end): every word outside base spans, of any row, that is a term of ``told``."""
-    crc = told.select(F.crc32(F.encode("term", "UTF-8")).alias("crc")).select((F.col("crc") % TABLE_BITS).alias("bit"))
+    n_bits = TABLE_BITS
+    while n_bits < min(MOST_BITS, BITS_A_TERM * told.count()):
+        n_bits *= 2
+    # a term's marks: the low half of its hash, and steps of the high half from there
+    hashed = told.select(F.xxhash64("term").alias("h")).select(F.expr("h & 4294967295").alias("low"), F.shiftrightunsigned("h", 32).alias("high"))
+    marks = hashed.select(F.explode(F.array(*((F.col("low") + k * F.col("high")) % n_bits for k in range(MARKS)))).alias("bit"))
     one = F.lit(1).cast("long")
-    rows = crc.groupBy(F.expr("cast(bit div 64 as int)").alias("w")).agg(F.bit_or(F.call_function("shiftleft", one, F.expr("cast(bit % 64 as int)"))).alias("bits")).collect()  # at most TABLE_BITS / 64 numbers
-    table = np.zeros(TABLE_BITS // 64, np.int64)
-    for r in rows:
-        table[r["w"]] = r["bits"]
-    bits, n_bits = table.astype("<i8").tobytes(), TABLE_BITS
+    rows = marks.groupBy(F.expr("cast(bit div 64 as int)").alias("w")).agg(F.bit_or(F.call_function("shiftleft", one, F.expr("cast(bit % 64 as int)"))).alias("bits")).toArrow()  # at most n_bits / 64 numbers
+    table = np.zeros(n_bits // 64, np.int64)
+    table[rows["w"].to_numpy()] = rows["bits"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(table.astype("<i8").tobytes())
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits, digest = shared.value, xxhash.xxh64_intdigest
+
         def likely(word: str) -> bool:
-            bit = zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % n_bits
-            return bits[bit >> 3] >> (bit & 7) & 1 == 1
+            h = digest(word.lower().encode("utf-8", "surrogatepass"), 42)  # as Spark's xxhash64
+            low, high = h & 0xFFFFFFFF, h >> 32
+            for k in range(MARKS):
+                bit = (low + k * high) % n_bits
+                if not bits[bit >> 3] >> (bit & 7) & 1:
+                    return False
+            return True
 
         for pdf in batches:
             out = []
