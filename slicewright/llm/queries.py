@@ -1,4 +1,4 @@
-"""The ten operators as queries over the shared tables, with production parameters."""
+"""The operators as queries over the shared tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, line_dedup, lm_score, packing, pii, quality, sharding, simhash, warc
+from . import conversations, decontaminate, fingerprint, language, line_dedup, lm_score, manifest, packing, pii, quality, sharding, simhash, warc
 from .scratch import prepared
 from ..session import scratch_path
 
@@ -67,8 +67,37 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term")
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    found = language.identify(docs, language.train(docs, ~held_out))  # a NULL id teaches nothing
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations as op12 finds them: ``copies`` 0 where a turn is dropped, 2 where it is repeated."""
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    kind, text = F.crc32(name.cast("binary")) % 20, F.coalesce("text", F.lit(" "))
+    return turns.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(_table(spark, sf_dir, "conversations"))
+    return conversations.repair(conversations.turns(rows, copies=F.col("copies")))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = manifest.manifest(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "log_position")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_simhash, op3_line_dedup, op4_quality, op5_lm_score, op6_sharding, op7_warc, op8_fingerprint, op9_decontaminate, op10_pii)
+    f.__name__: f for f in (op1_packing, op2_simhash, op3_line_dedup, op4_quality, op5_lm_score, op6_sharding, op7_warc, op8_fingerprint, op9_decontaminate, op10_pii,
+                              op11_language, op12_conversations, op13_manifest)
 }
 
 ORACLES = {

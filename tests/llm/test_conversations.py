@@ -1,0 +1,197 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from slicewright.llm import conversations as cv
+from slicewright.llm import queries
+
+SPACE = " \t\n\x0b\x0c\r"
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def cheapest(rows):
+    """(cost, audit, roles) by plain search over rows [(role, text, must go, truncated)], least audit among equals."""
+    best = {"": (0, "", [])}  # by the roles' state: nothing, s, u, a
+
+    def insert(states):
+        for _ in range(2):
+            for state, (cost, audit, turns) in list(states.items()):
+                new, role = ("a", "assistant") if state == "u" else ("u", "user")
+                offer(states, new, (cost + 5, audit + "I", [*turns, (role, "")]))
+
+    def offer(states, state, found):
+        if state not in states or found[:2] < states[state][:2]:
+            states[state] = found
+
+    for role, text, must_go, truncated in rows:
+        insert(best)
+        after = {}
+        for state, (cost, audit, turns) in best.items():
+            offer(after, state, (cost + 2, audit + "D", turns))
+            if must_go:
+                continue
+            more = 5 * truncated
+            want, named = ("a", "assistant") if state == "u" else ("u", "user")
+            offer(after, want, (cost + 1 + more, audit + "R", [*turns, (named, text)]))
+            if role[:1] == want or (role[:1] == "s" and state == ""):
+                offer(after, role[:1], (cost + more, audit + "K", [*turns, (role, text)]))
+        best = after
+    insert(best)
+    return min((v for k, v in best.items() if k in ("", "a")), key=lambda v: v[:2])
+
+
+def judged(rows):
+    """Rows of one conversation in order -> counts, illegal pairs and what ``cheapest`` takes."""
+    seen, out, counts = set(), [], [0, 0, 0]
+    for role, text in rows:
+        bare = text.rstrip(SPACE)
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else None
+        seen.add((role, text))
+        if fault:
+            counts[["blank", "duplicate", "truncated"].index(fault)] += 1
+        out.append((role, text, fault in ("blank", "duplicate"), fault == "truncated"))
+    illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    return counts, illegal, out
+
+
+def expected(conv_id, rows):
+    """rows: (turn, role, text) after damage."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).hexdigest()))
+    counts, illegal, found = judged([(r, t) for _, r, t in rows])
+    cost, audit, turns = cheapest(found)
+    known = [t for t, _, _ in rows if t is not None]
+    gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in turns).encode()).hexdigest()
+    return conv_id, gaps, *counts, illegal, cost, audit, digest
+
+
+def damage(rows):
+    """Conversation id -> rows after the contract's damage."""
+    out = {}
+    for conv, turn, role, text in rows:
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        kept = out.setdefault(conv, [])
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if kind == 4:
+            role = "user"
+        kept += [] if kind == 0 else [(turn, role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def check(spark, rows, tmp_path, extra=None):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    if extra:
+        df = extra(df)
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted((tuple(r) for r in queries.op12_conversations(spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted((expected(c, r) for c, r in damage(rows).items()), key=str)
+
+
+def random_rows(seed, convs, longest):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(convs):
+        for t in range(rng.randint(1, longest)):
+            text = rng.choice(["Yes.", "No!", "cut off", "", "  \n", "Why? ", f"Turn {t}.", f"turn {t} é", None])
+            rows.append((c, rng.choice([t, t, t, t + 3, None]), rng.choice(["system", "user", "user", "assistant", "assistant", "tool", "", "sua", None]), text))
+    return rows
+
+
+def test_random_conversations(spark, tmp_path):
+    check(spark, random_rows(1, 150, 14) + [(None, 1, "user", "Hello."), (None, None, None, None), (2**62, 5, "assistant", "Far.")], tmp_path)
+
+
+def test_extra_columns_and_repeated_rows(spark, tmp_path):
+    rows = random_rows(2, 10, 6)
+    check(spark, rows + rows, tmp_path, lambda d: d.withColumn("copies", F.lit(3)).withColumn("a.b", F.lit(1)).withColumn("h", F.lit("x")))
+
+
+def test_one_conversation_over_many_tasks(spark, tmp_path):
+    """A conversation of 3,000 turns among small ones spans several range partitions."""
+    rng = random.Random(5)
+    long_ = [(7, t, rng.choice(["user", "assistant", "system"]), rng.choice([f"Text {t}.", f"cut {t}", "same.", ""])) for t in range(3000)]
+    check(spark, long_ + random_rows(3, 6, 8), tmp_path)
+
+
+def test_stretch_longer_than_a_block(monkeypatch):
+    """The symbols of one conversation, compressed block by block."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+    import pyspark
+
+    monkeypatch.setattr(cv, "BLOCK", 100)
+    monkeypatch.setattr(pyspark.TaskContext, "get", classmethod(lambda cls: SimpleNamespace(partitionId=lambda: 0)))
+    rng = random.Random(6)
+    turns = [(rng.choice(["user", "assistant", "system"]), rng.random() < 0.1, rng.random() < 0.2) for _ in range(3000)]
+    rows = pd.DataFrame([(True, 7, True, t, r, str(t), 1, blank, cut, False) for t, (r, blank, cut) in enumerate(turns)])
+    got = pd.concat(cv._stretches(iter([rows[:1700], rows[1700:]])))
+    assert len(got) == 1 and got["rows"].iloc[0] == 3000
+    row = [None if c < 0 else (c, cv.Rope(a)) for c, a in zip(got["costs"].iloc[0][:4], got["audits"].iloc[0][:4])]
+    assert cv.finish(row) == cheapest([(r, "", blank, cut and not blank) for r, blank, cut in turns])[:2]
+
+
+def test_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    got = sorted(tuple(r) for r in queries.op12_conversations(spark, sf).collect())
+    assert got == sorted(expected(c, r) for c, r in damage(rows).items())
+
+
+def test_empty_table_and_repaired_turns(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert cv.repair(cv.turns(none)).count() == 0
+    rows = cv.turns(spark.createDataFrame([(1, 0, "system", "Be kind."), (1, 1, "assistant", "Hello."), (1, 2, "user", "Cut of"), (1, 3, "assistant", "")], SCHEMA))
+    plans = cv.plan(rows)
+    turns = [tuple(r) for r in cv.repaired_turns(rows, plans).orderBy("place").collect()]
+    want = cheapest(judged([("system", "Be kind."), ("assistant", "Hello."), ("user", "Cut of"), ("assistant", "")])[2])
+    assert plans.first()["audit"] == want[1] and [t[3:] for t in turns] == want[2] and [t[1] for t in turns] == list(range(len(turns)))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["s", "u", "a", "t", ""]), st.booleans(), st.booleans()), max_size=12))
+def test_matrices_against_search(turns):
+    signs = tuple(cv.symbol(i, g, c) for i, g, c in turns)
+    row = cv.transfer([signs, signs * 2])[signs][0]
+    want = cheapest([(i, "", g, c and not g) for i, g, c in turns])
+    assert cv.finish(row) == want[:2]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=40).map(tuple), max_size=8))
+def test_grammar_restores_sequences(sequences):
+    rules, short = cv.repair_grammar(sequences, 4)
+
+    def expand(k):
+        return [k] if k < 4 else expand(rules[k - 4][0]) + expand(rules[k - 4][1])
+
+    assert [tuple(x for k in s for x in expand(k)) for s in short] == [tuple(s) for s in sequences]
+    assert all(a < 4 + k and b < 4 + k for k, (a, b) in enumerate(rules))
+    assert len(set(rules)) == len(rules)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("DIKR", max_size=200), st.text("DIKR", max_size=200), st.integers(1, 60))
+def test_ropes_compare_like_text(a, b, step):
+    def rope(t):
+        out = cv.Rope("")
+        for k in range(0, len(t), step):
+            out = out + cv.Rope(t[k:k + step])
+        return out
+
+    for x, y in ((a, b), (a, a + b), (a + b, a), (a + "K" + b, a + "R" + b), (a, a)):
+        assert (rope(x) < rope(y)) == (x < y) and str(rope(x)) == x
+
+
+@pytest.mark.parametrize("pair", ["su", "ua", "au"])
+def test_legal(pair):
+    assert cv.legal(*pair) and not cv.legal(pair[1], pair[1]) and not cv.legal("", pair)
