@@ -34,6 +34,8 @@ from .order import IdSlices
 from .scratch import written
 
 FAN, HEIGHT = 8, 4
+#: Slices of the id range whose counts are added up together.
+SLICES = 128
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -115,14 +117,17 @@ def numbered(rows: DataFrame, id_col: str, tree_col: str, ties: list[str]) -> Da
     """``rows`` with ``idx``, the place by ascending id within the row's tree, and ``n``, the tree's number of leaves.
 
     Ids are cut into slices, a tree's rows are counted by slice, and a row's
-    place is its slice's offset plus its rank there.  A tree that holds most
-    rows is spread over the slices.
+    place is its slice's offset plus its rank there.  Offsets are added up in
+    two steps (runs of slices, slices of a run), so a tree that holds most
+    rows gives no task more than a few hundred counts.
     """
     slices = IdSlices(rows, id_col)
     cut = rows.withColumn("slice", slices.of(id_col))
-    counts = cut.groupBy(tree_col, "slice").agg(F.count("*").alias("rows"))
-    whole = Window.partitionBy(tree_col)
-    offsets = counts.withColumn("offset", F.coalesce(F.sum("rows").over(whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("n", F.sum("rows").over(whole)).drop("rows")
+    counts = cut.groupBy(tree_col, "slice").agg(F.count("*").alias("rows")).withColumn("run", F.expr(f"slice div {SLICES}"))
+    whole, before = Window.partitionBy(tree_col), lambda w: F.coalesce(F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = counts.groupBy(tree_col, "run").agg(F.sum("rows").alias("rows")).select(tree_col, "run", before(whole.orderBy("run")).alias("begin"), F.sum("rows").over(whole).alias("n"))
+    inside = counts.withColumn("offset", before(Window.partitionBy(tree_col, "run").orderBy("slice"))).drop("rows")
+    offsets = inside.join(runs, [tree_col, "run"]).select(tree_col, "slice", (F.col("begin") + F.col("offset")).alias("offset"), "n")
     rank = F.row_number().over(Window.partitionBy(tree_col, "slice").orderBy(F.col(id_col).asc_nulls_first(), *ties))
     return cut.join(offsets, [tree_col, "slice"]).withColumn("idx", F.col("offset") + rank - 1).drop("slice", "offset")
 
@@ -187,7 +192,7 @@ def _descend(rounds: list[DataFrame], tops: DataFrame, at_once: int) -> DataFram
 
     for blocks in reversed(rounds[1:]):
         met = blocks.join(above, ["tree", "block"]).select("tree", "block", "n", "leaves", "log", "above")
-        above = written(met.mapInPandas(explode, "tree string, block long, above string"))
+        above = met.mapInPandas(explode, "tree string, block long, above string")
     return above.select("tree", "block", "above")
 
 
@@ -207,10 +212,9 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", tree_col: str = "lang", te
     )
     leaves = written(numbered(written(rows), "doc_id", "tree", ["digest"]))
     rounds, subroots = build(leaves, at_once)
-    subroots = written(subroots)
     of_all = Window.orderBy("tree")  # one row a language
     tops = subroots.select(F.lit("").alias("tree"), (F.row_number().over(of_all) - 1).cast("long").alias("idx"), F.col("root").alias("digest"), F.col("tree").alias("of"))
-    tops = written(tops.withColumn("n", F.count("*").over(Window.partitionBy("tree"))))
+    tops = tops.withColumn("n", F.count("*").over(Window.partitionBy("tree")))
     upper, root = build(tops.select("tree", "idx", "n", "digest"), at_once)
     ends = _descend([None, *upper], root.select("tree", F.lit("").alias("above")), at_once).select(F.col("block").alias("idx"), "above")
     ends = tops.join(ends, "idx").join(root, "tree").select(F.col("of").alias("tree"), F.col("digest").alias("subroot"), "above", "root")
