@@ -26,6 +26,7 @@ are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections import deque
@@ -40,18 +41,19 @@ from pyspark.sql import functions as F
 WINDOW, END_ID = 1024, 0
 #: Tokens that a cut inside a document costs beside padding: at a sentence end, and elsewhere.
 SENTENCE_CUT, FREE_CUT = 2, 8
-#: A possible cut at least every so many tokens, and none within so many of the last sentence's.
-FREE_EVERY, SENTENCE_LEAST = 32, 12
+#: A possible cut at least every so many tokens.
+FREE_EVERY = 32
 #: Tokens solved together.
 BLOCK = 1 << 20
-#: Pieces of text whose ids a worker remembers; its memory outlives the stage.
-REMEMBERED = 600_000
 
-# White space as the tokenizer's pattern has it; a space joins the word after it.
-_SPACE = r"\t-\r\x20\x85\xa0  -     　"
-_CHUNK = re.compile(rf"\x20?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+# Fixed value: the pattern by which byte-level tokenizers divide a text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Longer runs without white space, or of it alone, take a tokenizer with a heap of merges.
+LONG_RUN = 4_000
+_WHITE = re.compile(r"\s+")
 
-_BLANKS = frozenset(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+# White space as the tokenizer's pattern has it.
+_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _BETWEEN = re.compile(rf"(?<=[^{_SPACE}])\x20(?=[^{_SPACE}])")
 #: Characters of a long text that are tokenised at a time, cut where a space joins two words.
 SLICE = 1 << 20
@@ -66,80 +68,65 @@ def slices(text: str, most: int = SLICE) -> Iterator[str]:
 
 
 class Ids:
-    """Token ids of texts, remembered per piece between white space.
+    """Token ids of texts, as ``tokenizers`` gives them with ``add_special_tokens=False``.
 
-    The byte-level pattern never joins text across a space that follows a
-    non-space, so the pieces' ids in a row are the text's ids.
+    A byte-level file whose merges make ids in ascending order is the same as
+    a table of ranks, which ``tiktoken`` encodes in a fraction of the time;
+    any other file, and texts with a run of over ``LONG_RUN`` characters
+    without a change between white space and the rest, go to ``tokenizers``.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-        size = self.tokenizer.get_vocab_size()
+        vocab = self.tokenizer.get_vocab()
+        size = 1 + max(vocab.values())
         if size > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
-        ends = np.zeros(size, bool)
-        for token, k in self.tokenizer.get_vocab().items():
-            ends[k] = token[-1:] in (".", "!", "?", "Ċ")  # the last is a line break in this vocabulary's letters
-        self.ends = ends
-        self.lengths = np.ones(size, np.int64)
-        for token, k in self.tokenizer.get_vocab().items():
-            self.lengths[k] = len(token)  # one letter for each byte
+        self.ends = np.zeros(size, bool)
+        for token, k in vocab.items():
+            self.ends[k] = token[-1:] in (".", "!", "?", "Ċ")  # the last is a line break in this vocabulary's letters
+        with open(path, encoding="utf-8") as f:
+            self.ranked = _ranked(json.load(f))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; about ``SLICE`` characters are in work at a time."""
-        out, group, size = [], [], 0
-        for text in texts:
-            if len(text) > SLICE:
-                out += self._together(group)
-                out.append(np.concatenate([self._together([part])[0] for part in slices(text)]))
-                group, size = [], 0
-                continue
-            group.append(text)
-            size += len(text)
-            if size > SLICE:
-                out += self._together(group)
-                group, size = [], 0
-        return out + self._together(group)
-
-    def _together(self, texts: list[str]) -> list[np.ndarray]:
-        # once enough is known, new pieces are kept for this call only: common ones came first
-        known, passing, pieces = self.known, {}, []
-        store = known if len(known) < REMEMBERED else passing
-        new: dict[str, None] = {}
-        for text in texts:
-            chunks = _CHUNK.findall(text)
-            found = list(map(known.get, chunks))
-            if None in found:
-                new.update((c, None) for x, c in zip(found, chunks) if x is None)
-            pieces.append((chunks, found))
-        self._learn(list(new), store)
-        return [np.frombuffer(b"".join([store[c] if x is None else x for x, c in zip(found, chunks)]), "<u2") for chunks, found in pieces]
-
-    def _learn(self, chunks: list[str], store: dict[str, bytes]) -> None:
-        """Put the ids of new chunks into ``store``, tokenised together: one call for many costs a fraction of many calls.
-
-        Words are joined as they would stand in a text (after a space, else
-        after a line break), so each keeps its ids; where one ends is known
-        from the bytes that every id stands for.
-        """
-        blanks = [c for c in chunks if c[-1] in _BLANKS]
-        for c, e in zip(blanks, self.tokenizer.encode_batch_fast(blanks, add_special_tokens=False)):
-            store[c] = np.array(e.ids, "<u2").tobytes()
-        words = [c for c in chunks if c[-1] not in _BLANKS]
-        if not words:
-            return
-        parts = [p for c in words for p in (("\n", c) if c[0] != " " else ("", c))]
-        found = np.array(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, "<u2")
-        ends = np.cumsum(self.lengths[found])
-        edges = np.searchsorted(ends, np.cumsum([len(p.encode("utf-8", "replace")) for p in parts]), "left") + 1
-        data = found.tobytes()
-        for k, c in enumerate(words):
-            before = edges[2 * k] if parts[2 * k] else (edges[2 * k - 1] if k else 0)
-            store[c] = data[2 * before:2 * edges[2 * k + 1]]
+        return [np.concatenate([self._one(part) for part in slices(t)]) for t in texts]
+
+    def _one(self, text: str) -> np.ndarray:
+        if self.ranked is None or (len(text) > LONG_RUN and _longest_run(text) > LONG_RUN):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
+        return self.ranked.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u2")
+
+
+def _longest_run(text: str) -> int:
+    return max(map(len, text.split() + _WHITE.findall(text)))
+
+
+def _letters() -> dict[str, int]:
+    """Byte of each letter of a byte-level vocabulary: printable bytes are their own letters, the others follow from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+def _ranked(data: dict):
+    """The same tokenizer as a table of ranks; None where the file is not of that kind."""
+    import tiktoken
+
+    model, pre = data["model"], data.get("pre_tokenizer") or {}
+    special = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
+    if (model.get("type", "BPE"), pre.get("type"), pre.get("use_regex", True), pre.get("add_prefix_space", True)) != ("BPE", "ByteLevel", True, False):
+        return None
+    if data.get("normalizer") or model.get("dropout") or model.get("byte_fallback") or model.get("ignore_merges") or model.get("end_of_word_suffix") or model.get("continuing_subword_prefix"):
+        return None
+    if any(t.get(k) for t in data.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word", "normalized")):
+        return None
+    letters, vocab = _letters(), {t: k for t, k in model["vocab"].items() if t not in special}
+    made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if made != sorted(set(made)) or len(vocab) != 256 + len(made) or (made and made[0] < 256):
+        return None
+    return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks={bytes(letters[c] for c in t): k for t, k in vocab.items()}, special_tokens=special)
 
 
 _IDS: dict[str, Ids] = {}
@@ -194,9 +181,7 @@ def cuts(positions: np.ndarray, costs: np.ndarray, window: int = WINDOW) -> list
 def candidates(sentence_ends: np.ndarray, document_ends: np.ndarray, total: int, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Possible cuts of a block and what each costs."""
     kind = np.full(total + 1, -1, np.int8)
-    if len(sentence_ends):  # one of every few: sentence ends in unbroken rows add nothing
-        kept = sentence_ends[np.unique(sentence_ends // SENTENCE_LEAST, return_index=True)[1]]
-        kind[kept] = SENTENCE_CUT
+    kind[sentence_ends] = SENTENCE_CUT
     kind[document_ends] = 0
     kind[total] = 0
     known = np.concatenate(([0], np.flatnonzero(kind >= 0)))
@@ -224,7 +209,7 @@ class Block:
         ids = np.concatenate([p[2] for p in self.parts])
         begins = np.cumsum([0, *(len(p[2]) for p in self.parts)])
         finished = np.array([b + len(p[2]) for b, p in zip(begins, self.parts) if p[1] + len(p[2]) == p[3]], np.int64)
-        sentence = np.flatnonzero(self.ends[ids] & (ids != END_ID)) + 1
+        sentence = np.flatnonzero(self.ends[ids]) + 1  # an end id counts as its document's end
         chosen = cuts(*candidates(sentence, finished, len(ids), self.window), self.window)
         edges = np.unique(np.concatenate((begins, [0, *chosen])))
         owner = np.searchsorted(begins, edges[:-1], "right") - 1

@@ -42,21 +42,56 @@ def test_cuts_are_optimal(gaps, seed):
 TRICKY = ["", " ", "a", " a", "a  b", "a \n b", "\n\nA", "it's we'll 'tis", "x y 　z", "1 2  3", "don't!!  ...", "tab\tand\r\nline", "<|endoftext|> b", "émigré naïve ß", "\x1c\x1d a", "a   b\x85c", "   lead", "trail   "]
 
 
-def test_ids_are_the_tokenizer_s(ids):
+@pytest.fixture(scope="module")
+def plain():
+    """The tokenizer as its file has it, without any switch."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def test_ids_are_the_tokenizer_s(ids, plain):
+    assert ids.ranked is not None
     rng = random.Random(1)
-    texts = TRICKY + ["".join(rng.choice(" \n\tab'sé1. ") for _ in range(rng.randint(1, 60))) for _ in range(500)]
+    texts = TRICKY + ["".join(rng.choice([*" \n\tab'sé1. !", "<|endoftext|>", "<|endof", "\u3000", "\x85", "中文", "🙂"]) for _ in range(rng.randint(1, 60))) for _ in range(2000)]
     for text, got in zip(texts, ids(texts)):
-        assert got.tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        assert got.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+    assert ids(["a<|endoftext|>b"])[0].tolist()[1] == 50256
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=80))
+def test_ids_of_any_text(text):
+    got = packing.ids_of(tokenizer_path())
+    assert got([text])[0].tolist() == got.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_long_runs_and_other_files(ids, plain, monkeypatch):
+    texts = ["a" * 9000, "x " + " " * 9000 + "y", "ab<|endoftext|>" * 900, "word " * 3000]
+    assert [x.tolist() for x in ids(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(ids, "ranked", None)  # as with a file that is no table of ranks
+    assert [x.tolist() for x in ids(TRICKY)] == [plain.encode(t, add_special_tokens=False).ids for t in TRICKY]
+
+
+def test_files_that_are_no_table_of_ranks():
+    import json
+
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        data = json.load(f)
+    assert packing._ranked(data) is not None
+    data["model"]["merges"][:2] = data["model"]["merges"][1::-1]
+    assert packing._ranked(data) is None
 
 
-def test_ids_when_no_more_is_remembered(ids, monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 3)
-    small = packing.Ids(tokenizer_path())
-    texts = ["one two three four five six", "six five new words here", "one two"] + TRICKY
-    small(texts[:1])
-    for _ in range(2):
-        assert [x.tolist() for x in small(texts)] == [ids.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-    assert len(small.known) == 6
+def test_every_sentence_end_may_be_cut(ids):
+    """Also after ``!``, whose id is that of the end, and where sentences are short."""
+    text = ids(["No! Yes. Why? Go!\nOn"])[0]
+    whole = np.append(text, np.uint16(packing.END_ID))
+    ends = (np.flatnonzero(ids.ends[whole]) + 1).tolist()
+    spelt = [ids.tokenizer.decode([k]) for k in text.tolist()]
+    assert ends == [k + 1 for k, x in enumerate(spelt) if x[-1] in ".!?\n"] + [len(whole)]
+    positions, costs = packing.candidates(np.array(ends), np.array([len(whole)]), len(whole))
+    assert positions.tolist() == ends and costs.tolist() == [packing.SENTENCE_CUT] * (len(ends) - 1) + [0]
 
 
 def test_long_texts_are_cut_where_ids_do_not_change(ids):
