@@ -1,20 +1,22 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash below 2**64 / ``SCALE``, the same fraction
-for any document, so sketches of very unequal texts can be compared: the share
-of a short text's hashes found in a long one estimates containment.  A text
-with no hash below the threshold keeps its least one.  Sketches merge exactly:
-the sketch of two texts' shingles together is the union of theirs, and least
-hashes above the threshold give way to any below it.
+A sketch keeps every 32-bit shingle hash below 2**32 / ``SCALE``, the same
+fraction for any document, so sketches of very unequal texts can be compared:
+the share of a short text's hashes found in a long one estimates containment.
+Sketches merge exactly: the sketch of two texts' shingles together is the
+union of theirs.  Short texts have few hashes; with half of all kept, a
+likeness of 0.6 is off by 0.2 or more for about one text in six of ten
+shingles, and one in a hundred of forty.
 
 ``with_next`` pairs every document with the next one by id.  Rows go once to
 range parts by id; a part's first row is also sent to the part before it, so
 neighbours always meet, and each task streams its rows in order, holding two
 documents at a time.
 
-Defined results: NULL text is the empty text, whose sketch is empty; two empty
-sketches are alike (1.0), an empty and another are not (0.0); a text of fewer
-than ``SHINGLE`` words has one shingle; rows that share an id are in the order
+Defined results: NULL text is the empty text, whose sketch is empty, as may be
+that of a few words; nothing tells two empty sketches apart (1.0), an empty
+and another have nothing in common (0.0); a text of fewer than ``SHINGLE``
+words has one shingle; very long texts are sketched whole, one at a time; rows that share an id are in the order
 of their texts; NULL ids come first; extra columns are ignored.
 """
 
@@ -31,44 +33,44 @@ from pyspark.sql import functions as F
 
 from .order import NO_ID, IdSlices, element
 
-SHINGLE, SCALE = 5, 8
+SHINGLE, SCALE = 5, 2
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
-    """Distinct 64-bit hashes of the lower-cased word shingles, ascending."""
+    """Distinct 32-bit hashes of the lower-cased word shingles, ascending."""
     digest = xxhash.xxh64_intdigest
     words = np.fromiter(map(digest, text.lower().encode("utf-8", "surrogatepass").split()), np.uint64)
     if not len(words):
-        return words
+        return np.zeros(0, np.uint32)
     n = max(1, len(words) - shingle + 1)
     h = np.zeros(n, np.uint64)
     for k in range(min(shingle, len(words))):
         h = (h ^ words[k:k + n]) * _STEP
         h ^= h >> np.uint64(29)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.unique(h ^ (h >> np.uint64(31)))
+    return np.unique(((h ^ (h >> np.uint64(31))) >> np.uint64(32)).astype(np.uint32))
 
 
 def scaled(hashes: np.ndarray, scale: int = SCALE) -> np.ndarray:
     """The sketch of distinct ascending hashes."""
-    return hashes[:max(1, int(np.searchsorted(hashes, np.uint64(2**64 // scale))))]
+    return hashes[hashes < 2**32 // scale] if scale > 1 else hashes
 
 
 def sketch(text: str, shingle: int = SHINGLE, scale: int = SCALE) -> np.ndarray:
     return scaled(shingle_hashes(text, shingle), scale)
 
 
-def merged(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> np.ndarray:
-    return scaled(np.union1d(a, b), scale)
+def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.union1d(a, b)
 
 
 def encode(s: np.ndarray) -> str:
-    return s.astype(">u8").tobytes().hex()
+    return s.astype(">u4").tobytes().hex()
 
 
 def decode(text: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(text), ">u8").astype(np.uint64)
+    return np.frombuffer(bytes.fromhex(text), ">u4").astype(np.uint32)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

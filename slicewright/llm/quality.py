@@ -17,7 +17,8 @@ Defined results: NULL text is the empty text; labels with a NULL rating, or
 of documents that are not there, are not used; repeated labels count
 once each, repeated rows of an id lend the text with the smallest hash; without
 any usable label every document is kept with probability 1; an empty table
-gives no rows; extra columns are passed through by ``score``.
+gives no rows; very long texts are read whole, as one set of distinct words;
+extra columns are passed through by ``score``.
 """
 
 from __future__ import annotations
@@ -54,9 +55,9 @@ def _bucket(name: str) -> int:
 def _token(token: str) -> tuple[int, ...]:
     core = token.strip(_MARKS)
     tail = token[len(token.rstrip(_MARKS)):] if core else token
-    out = [_bucket("w " + core.lower())] if core else [_bucket("m " + token[:8])]
+    out = [_bucket("w " + core.lower())] if core else [_bucket("m " + token)]
     if len(tail) > 1:
-        out.append(_bucket("t " + tail[-3:]))
+        out.append(_bucket("t " + tail))
     if len(core) > 1 and core.isupper():
         out.append(_bucket("capitals"))
     return tuple(out)

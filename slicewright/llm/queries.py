@@ -36,8 +36,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that the classifier selects, with expected grade and tail probability."""
-    return quality.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select("doc_id", "__rated.expected_grade", "__rated.tail_probability")
+    """Expected grade and tail probability of every document, and whether the classifier selects it."""
+    docs = _table(spark, sf_dir, "documents")
+    rated = quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels"))).select("doc_id", "__rated.expected_grade", "__rated.tail_probability")
+    return rated.withColumn("selected", F.col("tail_probability") >= quality.SELECTED)
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +109,7 @@ WITH l AS (
   FROM (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
 ), k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
 b AS (SELECT key, min(doc_id) AS first_id FROM k WHERE key <> '' GROUP BY key
-      HAVING count(DISTINCT source) >= CASE WHEN len(string_split_regex(key, '[ \t]+')) > 50 THEN 2 ELSE 3 END)
+      HAVING count(DISTINCT source) >= 3)
 SELECT k.doc_id,
        coalesce(string_agg(k.line, chr(10) ORDER BY k.pos) FILTER (WHERE b.key IS NULL OR b.first_id = k.doc_id), '') AS text,
        count(*) FILTER (WHERE b.key IS NOT NULL AND b.first_id <> k.doc_id) AS lines_removed

@@ -33,4 +33,9 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
-__all__ = ["free", "prepared", "written"]
+def quoted(columns: list[str]) -> list[str]:
+    """Column names as Spark reads them whatever they hold, dots and backticks included."""
+    return [f"`{c.replace('`', '``')}`" for c in columns]
+
+
+__all__ = ["free", "prepared", "quoted", "written"]

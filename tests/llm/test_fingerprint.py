@@ -49,3 +49,31 @@ def test_containment_of_unequal_texts():
     small, large = " ".join(words[:2000]), " ".join(words)
     assert fp.containment(fp.sketch(small), fp.sketch(large)) > 0.95
     assert abs(fp.containment(fp.sketch(large), fp.sketch(small)) - 0.1) < 0.03
+
+
+def real_likeness(a, b):
+    """Jaccard of the texts' five-word shingles, without hashes."""
+    sets = []
+    for text in (a, b):
+        w = text.lower().encode().split()
+        sets.append({tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    both = len(sets[0] | sets[1])
+    return len(sets[0] & sets[1]) / both if both else 1.0
+
+
+def test_error_by_length(spark):
+    """Against real likeness of real documents and their edits, by the number of words."""
+    docs = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    off = {}
+    for text, after in zip(docs, docs[1:] + docs[:1]):
+        new = fp.edited(text, after)
+        n = len(text.split())
+        band = 20 if n < 24 else 60 if n < 64 else 120 if n < 124 else 500 if n < 504 else 20_000
+        off.setdefault(band, []).append(abs(fp.likeness(fp.sketch(text), fp.sketch(new)) - real_likeness(text, new)))
+    share = {band: np.mean(np.array(x) > 0.2) for band, x in off.items()}
+    assert share[20] < 0.3 and share[60] < 0.06 and share[120] < 0.02 and share[500] == share[20_000] == 0, share
+
+
+def test_repeated_words_and_case():
+    assert fp.sketch("A b C d E").tolist() == fp.sketch("a B c D e").tolist()
+    assert len(fp.shingle_hashes("x " * 1000)) == 1 and len(fp.sketch("")) == 0

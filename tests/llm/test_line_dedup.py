@@ -1,7 +1,7 @@
 from slicewright.llm import line_dedup
 
 
-def brute(rows, least=3, long=50):
+def brute(rows, least=3):
     sites, first = {}, {}
     for i, text, site in rows:
         for line in (text or "").split("\n"):
@@ -13,7 +13,7 @@ def brute(rows, least=3, long=50):
     out = []
     for i, text, _ in rows:
         lines = (text or "").split("\n")
-        gone = [bool(k := x.strip(" \t\r")) and len(sites[k]) >= (min(2, least) if len(k.replace("\t", " ").split()) > long else least) and first.get(k, "none") != i for x in lines]
+        gone = [bool(k := x.strip(" \t\r")) and len(sites[k]) >= least and first.get(k, "none") != i for x in lines]
         out.append((i, text if not any(gone) else "\n".join(x for x, g in zip(lines, gone) if not g), sum(gone)))
     return out
 
@@ -47,19 +47,31 @@ def test_long_document_masks(spark):
     assert got == sorted(brute(rows, 2))
 
 
-def test_long_lines_need_two_sites(spark):
+def test_long_lines_follow_the_same_rule(spark):
     passage = " ".join(f"word{k}" for k in range(60))
-    rows = [(1, f"own line\n{passage}", "a"), (2, f"{passage}\nshort line", "b"), (3, "short line", "c"), (4, passage + " more", "a"), (5, passage + " more", "a")]
+    rows = [(1, f"own line\n{passage}", "a"), (2, f"{passage}\nshort line", "b"), (3, "short line", "c"), (4, passage + " more", "a"), (5, passage, "d")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = sorted((r["doc_id"], r["text"], r["__lines_removed"]) for r in line_dedup.dedup_lines(docs).collect())
-    assert got == sorted(brute(rows)) and got[1] == (2, "short line", 1) and got[4][2] == 0
+    assert got == sorted(brute(rows)) and got[1] == (2, "short line", 1) and got[3][2] == 0
 
 
 def test_whole_copies_stay_equal(spark):
     long, own = " ".join(f"p{k}" for k in range(60)), "own words of the text"
     text = f"{own}\n{long}\nshared line"
-    rows = [(k, text, f"s{k}") for k in range(1, 6)] + [(None, text, "s9"), (20, f"another one\n{long}", "t"), (21, "shared line\nthird", "u"), (22, "shared line\nfourth", "v"), (23, "shared line\nfourth", "w")]
+    rows = [(k, text, f"s{k}") for k in range(1, 6)] + [(None, text, "s9"), (20, f"another one\n{long}", "t"), (24, f"yet another\n{long}", "t2"), (21, "shared line\nthird", "u"), (22, "shared line\nfourth", "v"), (23, "shared line\nfourth", "w")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = [(r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs, whole_copies=True).collect()]
-    want = [(i, text) for i in (None, 1, 2, 3, 4, 5)] + [(20, "another one"), (21, "third"), (22, "fourth"), (23, "fourth")]
+    want = [(i, text) for i in (None, 1, 2, 3, 4, 5)] + [(20, "another one"), (24, "yet another"), (21, "third"), (22, "fourth"), (23, "fourth")]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_hot_lines_and_copies(spark):
+    """A line, and a whole text, in most rows: spread over salts, with the same result."""
+    rows = [(k, f"the same line\nown {k}\ncommon on one site", "a" if k % 3 else f"s{k % 50}") for k in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = sorted((r["doc_id"], r["text"], r["__lines_removed"]) for r in line_dedup.dedup_lines(docs).collect())
+    assert got == sorted(brute(rows)) and line_dedup._hot(docs.selectExpr("1 as n", "doc_id"), "doc_id", 10) == []
+    copies = [(k, "a whole text\nof two lines", f"s{k % 9}") for k in range(900)] + [(2000 + k, "of two lines", f"s{k}") for k in range(4)]
+    docs = spark.createDataFrame(copies, "doc_id long, text string, source string").repartition(4)
+    out = {r["text"] for r in line_dedup.dedup_lines(docs, whole_copies=True).where("doc_id < 2000").collect()}
+    assert out == {"a whole text\nof two lines"}

@@ -21,9 +21,11 @@ def test_stages_keep_columns_and_effects(spark):
 
 def test_stages_of_edge_tables(spark, edge_docs, no_docs):
     sf = "/root/testdata/sf0.001"
-    for docs in (edge_docs, no_docs):
+    dotted = edge_docs.withColumn("a.b", edge_docs["part"]).withColumn("back`tick", edge_docs["part"])
+    for docs in (dotted, no_docs):
         for _, stage in corpus_pipeline.STAGES:
-            docs = corpus_pipeline.written(stage(spark, docs, sf))
+            before, docs = docs.columns, corpus_pipeline.written(stage(spark, docs, sf))
+            assert docs.columns == before or stage is corpus_pipeline.pack
 
 
 def test_near_dedup_keeps_one_of_each_group(spark):
@@ -40,9 +42,28 @@ def test_line_dedup_oracle(spark):
     assert sorted(con.execute(queries.ORACLES["op3_line_dedup"]).fetchall()) == sorted(tuple(r) for r in queries.op3_line_dedup(spark, sf).collect())
 
 
+def test_entry_without_a_dependency():
+    """What the corpus operators need may be missing; the other queries stay."""
+    import subprocess
+    import sys
+
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; q = e.queries(); assert len(q) > 50 and 'op8_fingerprint' not in q and 'pipeline' not in q"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=corpus_pipeline.__file__.rsplit("/", 1)[0])
+
+
+def test_op4_rates_every_document(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = queries.op4_quality(spark, sf).collect()
+    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(r["selected"] == (r["tail_probability"] >= 0.5) for r in rows) and 0 < sum(r["selected"] for r in rows) < len(rows)
+
+
 def test_queries_have_contract_columns(spark):
     sf = "/root/testdata/sf0.001"
     first = {
+        "op11_language": ["doc_id", "held_out", "lang_pred", "score"],
+        "op12_conversations": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+        "op13_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
         "op1_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
         "op2_simhash": ["doc_id", "fingerprint", "component_id"],
         "op6_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
