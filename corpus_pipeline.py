@@ -14,18 +14,18 @@ from pyspark.sql import functions as F
 
 from slicewright.llm import decontaminate, line_dedup, packing, quality, simhash
 from slicewright.llm.queries import tokenizer_path
-from slicewright.llm.scratch import free, prepared, written
+from slicewright.llm.scratch import free, prepared, quoted, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose top grade is likely; the others go."""
-    return quality.select(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*docs.columns)
+    return quality.select(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*quoted(docs.columns))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without boilerplate lines that another text keeps; whole copies stay copies, for the next stage."""
     cleaned = line_dedup.dedup_lines(docs, whole_copies=True)
-    return cleaned.withColumn("n_chars", F.when(F.col(cleaned.columns[-1]) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return cleaned.withColumn("n_chars", F.when(F.col(cleaned.columns[-1]) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*quoted(docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,12 +33,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     name = free(docs, "__keep")
     keep = simhash.near_duplicates(prepared(docs)).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     met = docs.join(keep, F.col("doc_id") == F.col(name), "left").where(F.col(name).isNotNull() | F.col("doc_id").isNull())
-    return met.dropDuplicates(["doc_id", "text"]).select(*docs.columns)  # repeated rows, in the join's own partitions
+    return met.dropDuplicates(["doc_id", "text"]).select(*quoted(docs.columns))  # repeated rows, in the join's own partitions
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a verified benchmark overlap."""
-    return decontaminate.clean(prepared(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+    return decontaminate.clean(prepared(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*quoted(docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
