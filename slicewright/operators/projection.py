@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import coerce, dates
@@ -75,17 +75,26 @@ def convert(c, logical_type: str, dtype=None) -> Column:
     return fn(column(c) if isinstance(c, str) else c, dtype)
 
 
-def apply_types(df: DataFrame, type_map: Mapping[str, str]) -> DataFrame:
+def apply_types(df: DataFrame, type_map: Mapping[str, str], coerced: Observation | None = None) -> DataFrame:
     """J-6: convert columns by a ``column → logical type`` map in one select.
 
     Columns absent from the frame are skipped; other columns pass through.
+    With ``coerced`` (K-13, X20), the rows that go by are counted per converted
+    column where the raw value is there and the typed one is NULL, in the same
+    pass that converts them.  (Spark counts the rows of tasks that are run
+    again after a lost executor again.)
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     out = [
         convert(c, type_map[c], types[c]).alias(c) if c in type_map else column(c)
         for c in df.columns
     ]
-    return df.select(*out)
+    typed = [c for c in df.columns if c in type_map and type_map[c] != "string"]
+    if coerced is None or not typed:
+        return df.select(*out)
+    both = df.select(*out, *[column(c).isNotNull().alias(f"__given_{k}") for k, c in enumerate(typed)])
+    counts = [F.count_if(F.col(f"__given_{k}") & column(c).isNull()).alias(c) for k, c in enumerate(typed)]
+    return both.observe(coerced, *counts).select(*[column(c) for c in df.columns])
 
 
 def keep_expected(df: DataFrame, expected) -> DataFrame:

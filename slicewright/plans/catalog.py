@@ -501,15 +501,15 @@ def q_legacy_geo_monthly(spark, sf_dir):
 
 # -- loads, read back from their tables (K-1 … K-13, C-1, C-3, C-5, C-6, S-5, S-8) --
 
-def _empty_table(spark, report):
+def _empty_table(spark, report, versioned=True):
     """A new report table under the checkpoint folder."""
     spec = registry.report(report)
     name = f"{spec.table}_{uuid.uuid4().hex}"
-    return tables.ensure_table(spark, spec, name, location=scratch_path(spark, "tables", spec.table))
+    return tables.ensure_table(spark, spec, name, location=scratch_path(spark, "tables", spec.table), versioned=versioned)
 
 
-def _loaded(spark, report, batch, **kwargs):
-    name = _empty_table(spark, report)
+def _loaded(spark, report, batch, versioned=True, **kwargs):
+    name = _empty_table(spark, report, versioned)
     jobs.load(spark, report, batch, table=name, log_table=None, **kwargs)
     return name
 
@@ -642,7 +642,7 @@ def q_job_audit_all(spark, sf_dir):
 def q_table_scan(spark, sf_dir):
     """S-8: a stored table read by its folder, one day range pruned to its partitions."""
     batch = q_report_fill_rate(spark, sf_dir)
-    name = _loaded(spark, "fill_rate", batch)
+    name = _loaded(spark, "fill_rate", batch, versioned=False)
     where = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
     rows = source_tables.read_report(spark, "fill_rate", path=where)
     return rows.where(F.col("date").between(*map(F.lit, REPLACE_RANGE)))

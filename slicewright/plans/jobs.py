@@ -9,6 +9,7 @@ counts, the written slice keys, three sample rows on a dry run.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 import inspect
 import traceback
 
@@ -22,7 +23,7 @@ from ..operators import audit as audit_ops
 from ..operators import calendar
 from ..operators import reconcile as reconcile_ops
 from ..operators.report_query import range_predicate
-from ..sinks import tables
+from ..sinks import tables, versions
 from . import reports
 
 LOAD_LOG_TABLE = "load_log"
@@ -37,6 +38,8 @@ LOAD_LOG_SCHEMA = T.StructType([
     T.StructField("rows_read", T.LongType()),
     T.StructField("rows_written", T.LongType()),
     T.StructField("null_metric_values", T.LongType()),
+    T.StructField("coerced_to_null", T.LongType()),
+    T.StructField("coerced_by_column", T.MapType(T.StringType(), T.LongType())),
     T.StructField("status", T.StringType()),
     T.StructField("message", T.StringType()),
 ])
@@ -70,6 +73,8 @@ def load(
     log_table: str | None = LOAD_LOG_TABLE,
     materialize: bool = False,
     fetched: Observation | None = None,
+    coerced: Observation | None = None,
+    versioned: bool = True,
 ) -> dict:
     """C-1: write a typed report batch into its table.
 
@@ -78,10 +83,14 @@ def load(
     ``overwrite`` (K-2).  An empty batch deletes and writes nothing and
     succeeds with 0 rows (K-10).  ``dry_run`` writes nothing and returns the
     count, three sample rows and, as a DataFrame, the slices a load would
-    change (K-11).  ``fetched`` observes ``rows`` of the raw extract, for the
-    log (K-13).  ``materialize`` checkpoints the
+    change (K-11).  ``fetched`` observes ``rows`` of the raw extract, and
+    ``coerced`` the values of each column that had a text but no number (as
+    the pipelines do with ``coerced=``), for the log (K-13); both are filled
+    by the write itself.  ``materialize`` checkpoints the
     batch first (into ``spark.checkpoint.dir``): needed when the batch is
-    derived from the table it replaces.
+    derived from the table it replaces.  A table that this load creates is
+    ``versioned`` by default: slices and ranges are replaced by a switch that
+    readers see as old or new (X11, ``sinks.versions``).
     """
     spec = registry.report(report)
     name = table or spec.table
@@ -98,7 +107,7 @@ def load(
             out["diff"] = compare_with_stored(spark, spec, sums, name)
         return out
 
-    tables.ensure_table(spark, spec, name)
+    tables.ensure_table(spark, spec, name, versioned=versioned)
     if mode == "overwrite" and conformed.isEmpty():
         # A static overwrite with no rows would empty the table; the other
         # modes write nothing for an empty batch by themselves.
@@ -125,9 +134,14 @@ def load(
     # Observed after the rebalance: the counts are taken in the write stage.
     prepared = tables.prepare(conformed, name)
     try:
-        if mode == "range":
-            if start is None or end is None:
-                raise ValueError("range mode needs start and end")
+        if mode == "range" and (start is None or end is None):
+            raise ValueError("range mode needs start and end")
+        if mode in ("slice", "range") and versions.is_versioned(spark, name):
+            bounds = (start, end) if mode == "range" else ()
+            out = versions.replace(versions.observed(prepared, spec.partition_col, obs, null_count.alias("nulls")), name, spec.partition_col, *bounds, observation=obs)
+            if bounds:
+                result["dropped_partitions"] = out["dropped_partitions"]
+        elif mode == "range":
             observed = prepared.observe(obs, F.count(F.lit(1)).alias("rows"),
                                         null_count.alias("nulls"),
                                         F.collect_set(F.col(spec.partition_col).cast("string")).alias("slices"))
@@ -152,6 +166,10 @@ def load(
                       message=result.get("message"))
         if fetched is not None and rows:  # Spark drops the observation with an empty plan
             record["rows_read"] = result["rows_read"] = int(fetched.get.get("rows") or 0)
+        if coerced is not None and rows:
+            by_column = {k: int(v or 0) for k, v in sorted(coerced.get.items())}
+            record["coerced_by_column"] = result["coerced_by_column"] = by_column
+            record["coerced_to_null"] = result["coerced_to_null"] = sum(by_column.values())
     except Exception as e:
         record.update(severity="ERROR", status="FAILED", message=str(e))
         if log_table:
@@ -219,13 +237,16 @@ def _raw_date(raw: DataFrame) -> tuple[str, str] | None:
     return None
 
 
-def _typed(pipe, raw: DataFrame, lo: _dt.date, hi: _dt.date) -> DataFrame:
-    """The raw rows of a chunk through its pipeline.
+def _typed(pipe, raw: DataFrame, lo: _dt.date, hi: _dt.date, coerced: Observation | None) -> DataFrame:
+    """The raw rows of a chunk through its pipeline, which reports to ``coerced`` if given.
 
     A dump that names no month is dated by its chunk: by its month folder, or,
     for a chunk within one month, by that month's first day.
     """
-    if "report_date" not in inspect.signature(pipe).parameters or {"MONTH_YEAR", "Dimension.MONTH_YEAR"} & set(raw.columns):
+    takes = inspect.signature(pipe).parameters
+    if coerced is not None:
+        pipe = functools.partial(pipe, coerced=coerced)
+    if "report_date" not in takes or {"MONTH_YEAR", "Dimension.MONTH_YEAR"} & set(raw.columns):
         return pipe(raw)
     if CHUNK_FOLDER in raw.columns:
         return pipe(raw, report_date=F.trunc(F.col(CHUNK_FOLDER).cast("string").cast("date"), "MM"))
@@ -275,10 +296,11 @@ def backfill(
         part = part.observe(fetched, F.count(F.lit(1)).alias("rows"))
         # A landed extract may hold more than the range: keep only its slices
         # (a monthly slice is keyed by the first of its month).
-        batch = _typed(pipe, part, lo, hi)
+        coerced = Observation(f"coerced_{spec.table}") if "coerced" in inspect.signature(pipe).parameters else None
+        batch = _typed(pipe, part, lo, hi, coerced)
         batch = batch.where(F.col(spec.partition_col).between(F.lit(first), F.lit(hi)))
         res = load(spark, spec.name, batch, mode="range", start=lo, end=hi, table=table,
-                   dry_run=dry_run, log_table=log_table, extra_columns="drop", fetched=fetched)
+                   dry_run=dry_run, log_table=log_table, extra_columns="drop", fetched=fetched, coerced=coerced)
         n = res.get("rows_inserted", res.get("rows", 0))
         total += n
         summary.append({"month_label": lo.strftime("%B %Y"), "start": lo, "end": hi,

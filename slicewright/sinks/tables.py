@@ -5,10 +5,12 @@ Tables are Parquet catalog tables partitioned by the report's date column
 replacing it is a dynamic partition overwrite: only the partitions present
 in the batch are rewritten, in the same job that computes the batch.
 
-The replace order is "write new partitions, then drop stale ones": a crash
-between the two leaves extra old days, never missing new ones, and a rerun
-gives the same table (the replace is idempotent).  Parquet tables have no
-transaction spanning both steps.
+Tables that ``jobs.load`` creates replace slices by a switch of folders
+(``versions``), which readers see as old or new.  The functions here rewrite
+partitions in place, for tables that were created otherwise: they write the
+new partitions, then drop stale ones, so a crash between the two leaves extra
+old days, never missing new ones, and a rerun gives the same table; a reader
+of a slice that is being rewritten may fail or miss rows.
 """
 
 from __future__ import annotations
@@ -31,9 +33,13 @@ class SchemaMismatch(ValueError):
 
 
 def ensure_table(spark: SparkSession, spec: registry.ReportSpec, table: str | None = None,
-                 location: str | None = None) -> str:
+                 location: str | None = None, versioned: bool = False) -> str:
     """K-7: create the report table if absent; partitioned by its date column.
 
+    The slices of a ``versioned`` table are replaced by a switch of folders
+    (see ``sinks.versions``); the choice is a property of the table, made when
+    it is created.
+
     A month grain needs no transform: monthly reports store the first day of
     the month, so identity partitioning gives one partition per month.
     """
@@ -42,7 +48,8 @@ def ensure_table(spark: SparkSession, spec: registry.ReportSpec, table: str | No
                      for f in spec.schema.fields)
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-              f"PARTITIONED BY ({quote(spec.partition_col)}){loc}")
+              f"PARTITIONED BY ({quote(spec.partition_col)}){loc}"
+              + (" TBLPROPERTIES ('slicewright.versioned' = 'true')" if versioned else ""))
     return name
 
 

@@ -14,8 +14,15 @@ def query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
 
 
 def read_report(spark: SparkSession, report: str, path: str | None = None) -> DataFrame:
-    """S-8: a report table, by catalog name or from its Parquet folder."""
+    """S-8: a report table, by catalog name or from its Parquet folder.
+
+    The folder of a versioned table does not say which of its slices are
+    current: such a table is read by name.
+    """
     if path is not None:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_versions")
+        if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+            raise ValueError(f"{path} is a versioned table's folder: read the table by name")
         spec = registry.report(report)
         return spark.read.schema(spec.schema).parquet(path)
     name = registry.report(report).table if _known(report) else report
