@@ -11,6 +11,7 @@ task ships one partial row per group.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from collections.abc import Mapping, Sequence
 from zoneinfo import ZoneInfo
 
@@ -149,12 +150,16 @@ def run_report(
 
     ``dimensions`` and ``metrics`` are names or ``{output: column}`` maps; the
     range ``[start, end]`` applies to ``date_col`` (see ``range_predicate``).
-    ``totals=True`` (Q-4) adds subtotal and grand-total rows (``rollup``) with
-    ``grouping_level`` = ``grouping_id()`` (0 = detail row).  ``reach`` (Q-6)
+    ``totals=True`` (Q-4) adds subtotal and grand-total rows with
+    ``grouping_level`` = ``grouping_id()`` (0 = detail row): the rows are
+    aggregated to the detail grain first and its few groups are rolled up, so
+    no input row is multiplied.  ``reach`` (Q-6)
     adds the number of distinct values of that column per group: exact
     ``count(distinct)`` by default (Spark de-duplicates on (group, value)
     first, so a hot group is spread over the value's hash), or a HyperLogLog
-    estimate with ``approx_reach`` (relative error ``reach_rsd``).
+    estimate with ``approx_reach`` (relative error ``reach_rsd``).  With
+    totals, the detail grain holds the distinct values, or a sketch of them,
+    that the subtotals merge.
     """
     if date_col is not None:
         pred = range_predicate(df, date_col, start, end, date_encoding)
@@ -167,10 +172,37 @@ def run_report(
         aggs.append((F.approx_count_distinct(r, reach_rsd) if approx_reach else F.countDistinct(r))
                     .alias(reach_name))
     if totals:
-        return df.rollup(*dims).agg(*aggs, F.grouping_id().alias(level_name))
+        return _totals(df, dims, _named(metrics), _metric_names(metrics), reach, reach_name, approx_reach, level_name, reach_rsd)
     return df.groupBy(*dims).agg(*aggs)
 
 
+def _totals(df: DataFrame, dims: list[Column], metrics: list[Column], names: list[str], reach, reach_name: str,
+            approx_reach: bool, level_name: str, reach_rsd: float) -> DataFrame:
+    """Q-4: sums at the detail grain, then rolled up."""
+    keys = [f"__dim_{k}" for k in range(len(dims))]
+    r = column(reach) if isinstance(reach, str) else reach
+    # both levels of sums have the type of one
+    single = df.select(*dims).columns, dict(df.agg(*[F.sum(m).alias(n) for m, n in zip(metrics, names)]).dtypes)
+    keyed = df.select(*[d.alias(k) for d, k in zip(dims, keys)], *[m.alias(f"__m_{k}") for k, m in enumerate(metrics)],
+                      *([] if r is None else [r.alias("__reach")]))
+    grain, parts = list(keys), [F.sum(f"__m_{k}").alias(f"__m_{k}") for k in range(len(names))]
+    out = [F.sum(f"__m_{k}").cast(single[1][n]).alias(n) for k, n in enumerate(names)]
+    if r is not None and approx_reach:
+        parts.append(F.hll_sketch_agg("__reach", sketch_bits(reach_rsd)).alias("__reach"))
+        out.append(F.hll_sketch_estimate(F.hll_union_agg("__reach")).alias(reach_name))
+    elif r is not None:
+        grain.append("__reach")
+        out.append(F.countDistinct("__reach").alias(reach_name))
+    fine = keyed.groupBy(*grain).agg(*parts) if parts else keyed.select(*grain).distinct()
+    rolled = fine.rollup(*keys).agg(*out, F.grouping_id().alias(level_name))
+    return rolled.select(*[F.col(k).alias(n) for k, n in zip(keys, single[0])], *names, *([] if r is None else [reach_name]), level_name)
+
+
+def sketch_bits(rsd: float) -> int:
+    """log2 of the registers of a sketch whose relative standard error is at most ``rsd``."""
+    return min(21, max(4, math.ceil(2 * math.log2(1.04 / rsd))))
+
+
 def _metric_names(metrics) -> list[str]:
     if isinstance(metrics, Mapping):
         return list(metrics.keys())
@@ -203,3 +235,36 @@ def hierarchy_levels(df: DataFrame, col, levels: int, sep: str = "/", prefix: st
     c = column(col) if isinstance(col, str) else col
     parts = F.split(c, "\\Q" + sep + "\\E")
     return df.withColumns({f"{prefix}{i + 1}": F.get(parts, i) for i in range(levels)})
+
+
+# -- A-1 over Q-3 -------------------------------------------------------------
+
+def hierarchy_rollup(df: DataFrame, path: str, metrics: Sequence[str], keys: Sequence[str] = (), sep: str = "/") -> DataFrame:
+    """A-1 over a hierarchy: the sums of every path prefix, from rows that may stand at several levels.
+
+    An extract of a hierarchy repeats what a unit delivered in the rows of the
+    units above it.  Rows whose path is a proper prefix of another row's path
+    (of the same ``keys``) are such repetitions and are left out; the other
+    rows are summed into each prefix of their path.  Output: the keys, the
+    path, its ``level`` (1 = top), the metrics, and ``units``, the number of
+    different lowest paths below (or at) it.  Rows without a path are summed
+    as level 0.  The rows are aggregated to one per path before any prefix is
+    made, so a hot path costs one row per task and a path costs its depth.
+    """
+    p = column(path).alias("__path")
+    fine = df.select(*[column(k) for k in keys], p, *[column(m) for m in metrics]).groupBy(*[column(k) for k in keys], "__path").agg(
+        *[F.sum(column(m)).alias(m) for m in metrics])
+    types = dict(fine.dtypes)
+    parts = F.split(F.col("__path"), "\\Q" + sep + "\\E")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), sep))
+    # each path and its prefixes meet by name: a path that is another one's prefix is an ancestor
+    ups = fine.select(*[column(k).alias(f"__k{n}") for n, k in enumerate(keys)], "__path", F.explode(prefixes).alias("__above"))
+    above = ups.where(F.col("__path") != F.col("__above")).drop("__path").distinct()
+    same = F.col("__path") == F.col("__above")
+    for n, k in enumerate(keys):
+        same = same & column(k).eqNullSafe(F.col(f"__k{n}"))
+    no_path = F.array(F.lit(None).cast("string"))
+    lowest = fine.join(above, same, "left_anti").withColumn("__prefix", F.explode(F.when(F.col("__path").isNull(), no_path).otherwise(prefixes)))
+    level = F.when(F.col("__prefix").isNull(), 0).otherwise(F.size(F.split(F.col("__prefix"), "\\Q" + sep + "\\E")))
+    out = lowest.groupBy(*[column(k) for k in keys], "__prefix").agg(*[F.sum(column(m)).cast(types[m]).alias(m) for m in metrics], F.count(F.lit(1)).alias("units"))
+    return out.select(*[column(k) for k in keys], F.col("__prefix").alias(path), level.cast("int").alias("level"), *[column(m) for m in metrics], "units")

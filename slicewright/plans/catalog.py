@@ -15,13 +15,13 @@ from collections.abc import Callable
 import datetime as _dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import registry
 from ..functions import dates, demographics, kpi
 from ..functions.coerce import to_float64, to_int64
-from ..operators import audit, calendar, reconcile, report_query, setops
+from ..operators import audit, calendar, reach, reconcile, report_query, setops
 from ..session import scratch_path
 from ..sinks import tables
 from ..sources import csv_dump, fixtures, pages
@@ -63,12 +63,8 @@ def q_report_audience_demographics(spark, sf_dir):
 
 # -- report query (Q-1 … Q-6) ---------------------------------------------------
 
-# The report period of the report queries; the oracles repeat it (rows without a date lie in no period).
-REPORT_START, REPORT_END = report_query.resolve_range("CUSTOM_DATE", start="1992-01-01", end="2030-12-31")
-
-
 def q_run_report_inventory(spark, sf_dir):
-    """Q-1 + Q-2: daily delivery by ad unit and device over the report period."""
+    """Q-1: daily delivery by ad unit and device over the whole history (a custom range without bounds)."""
     li = fixtures.table(spark, sf_dir, "lineitem")
     return report_query.run_report(
         li,
@@ -76,7 +72,7 @@ def q_run_report_inventory(spark, sf_dir):
                     "device_category": "l_linestatus"},
         metrics={"ad_server_impressions": F.col("l_quantity").cast("bigint"),
                  "ad_server_clicks": F.col("l_linenumber").cast("bigint")},
-        start=REPORT_START, end=REPORT_END, date_col="l_shipdate",
+        **dict(zip(("start", "end"), report_query.resolve_range("CUSTOM_DATE"))), date_col="l_shipdate",
     )
 
 
@@ -87,7 +83,7 @@ def q_run_report_totals(spark, sf_dir):
         li,
         dimensions={"ship_year": F.year("l_shipdate"), "ad_unit_name": "l_returnflag"},
         metrics={"ad_server_impressions": F.col("l_quantity").cast("bigint")},
-        start=REPORT_START, end=REPORT_END, date_col="l_shipdate", totals=True,
+        totals=True,
     )
 
 
@@ -98,11 +94,42 @@ def q_run_report_reach(spark, sf_dir):
         ev,
         dimensions={"date": F.to_date("ts"), "ad_unit_name": "event_type"},
         metrics={"events": F.lit(1).cast("bigint")},
-        start=REPORT_START, end=REPORT_END, date_col="ts",
         reach="user_id", reach_name="unique_reach",
     )
 
 
+def q_run_report_reach_totals(spark, sf_dir):
+    """Q-4 + Q-6: exact reach per month and ad unit, with subtotals and the grand total."""
+    ev = fixtures.table(spark, sf_dir, "events")
+    return report_query.run_report(
+        ev, dimensions={"month": F.trunc("ts", "MM"), "ad_unit_name": "event_type"},
+        metrics={"events": F.lit(1).cast("bigint")}, totals=True, reach="user_id")
+
+
+def _stored_days(spark, sf_dir):
+    """Daily sums and user sketches of all events, stored as a table."""
+    ev = fixtures.table(spark, sf_dir, "events")
+    days = reach.daily_reach(ev, F.to_date("ts"), {"ad_unit_name": "event_type"}, {"events": F.lit(1).cast("bigint")}, "user_id")
+    name = f"reach_days_{uuid.uuid4().hex}"
+    reach.store_days(spark, days, name, scratch_path(spark, "tables", "reach_days"))
+    return spark.table(name)
+
+
+def q_reach_from_days(spark, sf_dir):
+    """Q-6 over months from stored days: no event is read again; an estimate."""
+    return reach.reach_from_days(_stored_days(spark, sf_dir), {"month": F.trunc("date", "MM"), "ad_unit_name": "ad_unit_name"}, ["events"])
+
+
+def q_reach_from_days_error(spark, sf_dir):
+    """Q-6 from stored days against the exact count over all events: whether each month's
+    estimate lies within five standard errors (and one user)."""
+    ev = fixtures.table(spark, sf_dir, "events")
+    found = reach.reach_from_days(_stored_days(spark, sf_dir), {"month": F.trunc("date", "MM")}, ["events"])
+    exact = report_query.run_report(ev, {"month": F.trunc("ts", "MM")}, {"n": F.lit(1).cast("bigint")}, reach="user_id", reach_name="exact_reach")
+    near = F.abs(F.col("unique_reach") - F.col("exact_reach")) <= 5 * reach.error() * F.col("exact_reach") + 1
+    return found.join(exact, "month").select("month", "events", "exact_reach", near.alias("within_error"))
+
+
 def _relative_report(spark, sf_dir, kind):
     """Inventory report over a range relative to "today", here the day after
     the latest shipment (one date reaches the driver), so that the bounds are
@@ -148,6 +175,18 @@ def q_hierarchy_levels(spark, sf_dir):
         .select("page_id", "level_1", "level_2", "level_3")
 
 
+def q_hierarchy_rollup(spark, sf_dir):
+    """A-1 + Q-3: pages and bytes of every site, section and page of the URL hierarchy.
+
+    The extract holds rows at two levels: each page, and each site with the
+    sums of its pages, which must not be counted again.
+    """
+    pg = fixtures.table(spark, sf_dir, "pages").select(
+        F.regexp_extract("url", URL_PATH, 1).alias("path"), F.lit(1).cast("bigint").alias("pages"), F.length("html").cast("bigint").alias("chars"))
+    sites = report_query.run_report(pg, {"path": F.substring_index("path", "/", 1)}, ["pages", "chars"])
+    return report_query.hierarchy_rollup(pg.unionByName(sites), "path", ["pages", "chars"])
+
+
 # -- month chunks and backfill bookkeeping (G-1, A-8) --------------------------
 
 def q_month_ranges(spark, sf_dir):
@@ -357,6 +396,16 @@ def q_reconcile(spark, sf_dir):
     return reconcile.reconcile(typed, deduped, ["date"], list(registry.FILL_RATE_SUM_COLUMNS))
 
 
+def q_reconcile_rows(spark, sf_dir):
+    """C-7 row by row: the stored fill-rate report against one whose range was extracted again
+    (one unit and one day less)."""
+    raw = _raw(spark, sf_dir, "fill_rate")
+    name = _loaded(spark, "fill_rate", reports.report_fill_rate(raw))
+    again = setops.replace_slice(reports.report_fill_rate(raw), _changed_day(raw), "date", values=[REPLACE_DAY])
+    gone = F.coalesce(F.col("date") == F.lit(REPLACE_RANGE[0]), F.lit(False))
+    return reconcile.reconcile_rows(spark.table(name), again.where(~gone), "date")
+
+
 # -- sources (S-1, S-2, S-4, G-2) ------------------------------------------------
 
 FILL_RATE_DIMS = ("DATE", "AD_UNIT_NAME")
@@ -582,6 +631,23 @@ def q_load_log(spark, sf_dir):
     return spark.table(log).select("severity", "report_type", "mode", "slice_start", "slice_end", "rows_written", "null_metric_values", "status", "message")
 
 
+def q_load_log_coerced(spark, sf_dir):
+    """K-13 + X20: per column, how many values of an extract were there and became NULL: an
+    inventory extract whose impressions are the number-like texts of every line, one day long."""
+    texts = fixtures.numeric_texts(spark, sf_dir)
+    rows = texts.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
+    raw = rows.select(
+        F.lit(20240115).cast("bigint").alias("DATE"), F.lit("top").alias("AD_UNIT_NAME_TOP_LEVEL"), F.lit("unit").alias("AD_UNIT_NAME"),
+        F.lit("order").alias("ORDER_NAME"), F.lit("Desktop").alias("DEVICE_CATEGORY_NAME"), F.lit("1x1").alias("RENDERED_CREATIVE_SIZE"),
+        F.col("raw_text").alias("IMPRESSIONS"), F.col("copy").cast("string").alias("CLICKS"),
+        F.lit("-").alias("AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS"), F.lit(None).cast("string").alias("ACTIVE_VIEW_VIEWABLE_IMPRESSIONS"))
+    log, coerced, fetched = f"load_log_{uuid.uuid4().hex}", Observation("coerced_inventory"), Observation("fetched_inventory")
+    raw = raw.observe(fetched, F.count(F.lit(1)).alias("rows"))
+    jobs.load(spark, "inventory_daily", reports.report_inventory_daily(raw, coerced=coerced), table=_empty_table(spark, "inventory_daily"),
+              log_table=log, extra_columns="drop", coerced=coerced, fetched=fetched)
+    return spark.table(log).select("report_type", "rows_read", "rows_written", "coerced_to_null", F.explode("coerced_by_column").alias("column_name", "column_coerced"))
+
+
 # A backfill from mid-month to mid-month whose extract lacks the month between.
 BACKFILL = (_dt.date(1996, 1, 15), _dt.date(1996, 3, 10))
 
@@ -605,14 +671,34 @@ def q_job_backfill_chunked(spark, sf_dir):
     return _backfilled(spark, sf_dir, True)
 
 
-WHOLE_PERIOD = (_dt.date(1992, 1, 1), _dt.date(2030, 12, 31))
+RESUMED = (_dt.date(1996, 1, 15), _dt.date(1996, 5, 10))
+
+
+def q_job_backfill_resumed(spark, sf_dir):
+    """C-3: a chunked backfill run again with one of its months changed: the other months are skipped."""
+    raw = _raw(spark, sf_dir, "geo_monthly")
+    month = dates.month_year_to_date(F.col("MONTH_YEAR"))
+    changed = raw.withColumn("CLICKS", F.when(month == F.lit(REPLACE_MONTHS[0]), F.col("CLICKS") + 1).otherwise(F.col("CLICKS")))
+    name, ledger = _empty_table(spark, "geo_monthly"), f"backfill_ledger_{uuid.uuid4().hex}"
+    for extract in (raw, changed):
+        done = jobs.backfill(spark, "geo_monthly", extract, *RESUMED, table=name, ledger=ledger, pipeline=reports.report_geo_backfill, log_table=None)
+    per_chunk = spark.createDataFrame([(c["month_label"], c["start"], c["status"], c["rows"]) for c in done["chunks"]],
+                                      "month_label string, start date, status string, rows long")
+    clicks = spark.table(name).groupBy(F.greatest("report_date", F.lit(RESUMED[0])).alias("start")).agg(F.sum("ad_server_clicks").alias("clicks"))
+    return per_chunk.join(clicks, "start", "left").select("month_label", "status", "rows", "clicks")
+
+
+def _whole_period(landed):
+    """First and last day of the months that a landing's folders name: two dates."""
+    month = F.col("chunk_start").cast("string").cast("date")
+    return tuple(landed.agg(F.min(month), F.last_day(F.max(month))).first())
 
 
 def q_job_backfill_geo_csv(spark, sf_dir):
     """C-3 + J-5: a geography table backfilled from CSV dumps landed by month."""
     landed = _land_csv(spark, _geo_month_frame(_raw(spark, sf_dir, "geo_monthly")), "geo_csv", "chunk_start")
     name = _empty_table(spark, "geo_monthly")
-    jobs.backfill(spark, "geo_monthly", landed, *WHOLE_PERIOD, table=name, pipeline=reports.csv_geo_monthly, log_table=None)
+    jobs.backfill(spark, "geo_monthly", landed, *_whole_period(landed), table=name, pipeline=reports.csv_geo_monthly, log_table=None)
     return spark.table(name)
 
 
@@ -620,14 +706,31 @@ def q_job_backfill_legacy(spark, sf_dir):
     """C-3: a legacy geography table (ids, no Active View) backfilled from its dumps."""
     landed = _land_csv(spark, _geo_month_frame(_raw(spark, sf_dir, "geo_monthly"), legacy=True), "legacy_geo_csv", "chunk_start")
     name = _empty_table(spark, "legacy_geo_monthly")
-    jobs.backfill(spark, "legacy_geo_monthly", landed, *WHOLE_PERIOD, table=name, log_table=None)
+    jobs.backfill(spark, "legacy_geo_monthly", landed, *_whole_period(landed), table=name, log_table=None)
     return spark.table(name)
 
 
 def q_job_audit(spark, sf_dir):
     """C-5: the findings of a stored report table (their texts aside)."""
     name = _loaded(spark, "geo_monthly", reports.report_geo_backfill(_raw(spark, sf_dir, "geo_monthly")))
-    return jobs.audit(spark, "geo_monthly", spark.table(name)).select("table_name", "check", "status", "value")
+    return jobs.audit(spark, "geo_monthly", spark.table(name))
+
+
+def q_job_audit_incremental(spark, sf_dir):
+    """C-5 + A-6 slice by slice: a stored table audited, two of its months replaced, and audited
+    again from the stored findings of the months that did not change."""
+    geo = reports.report_geo_backfill(_raw(spark, sf_dir, "geo_monthly"))
+    name, store = _loaded(spark, "geo_monthly", geo), f"audit_slices_{uuid.uuid4().hex}"
+    jobs.audit_incremental(spark, "geo_monthly", store, spark.table(name))
+    changed = geo.where(F.col("report_date").isin(*REPLACE_MONTHS) & (F.col("ad_server_clicks") % 2 == 0))
+    jobs.load(spark, "geo_monthly", changed, table=name, log_table=None)
+    return jobs.audit_incremental(spark, "geo_monthly", store, spark.table(name))
+
+
+def q_audit_profile_stored(spark, sf_dir):
+    """A-3 + A-4 + A-5 + A-7 of stored tables from partition values and file footers alone."""
+    batches = {"fill_rate": q_report_fill_rate(spark, sf_dir), "geo_monthly": reports.report_geo_backfill(_raw(spark, sf_dir, "geo_monthly"))}
+    return audit.audit_profiles({r: (spark.table(_loaded(spark, r, df)), registry.report(r).partition_col) for r, df in batches.items()})
 
 
 def q_job_audit_all(spark, sf_dir):
@@ -636,7 +739,7 @@ def q_job_audit_all(spark, sf_dir):
              "geo_audited": ("geo_monthly", reports.report_geo_backfill(_raw(spark, sf_dir, "geo_monthly")))}
     frames = {view: (report, spark.table(_loaded(spark, report, df))) for view, (report, df) in views.items()}
     found = jobs.audit_all(spark, ["no_such_table", *frames], frames)
-    return found.select("table_name", "check", "status", "value")
+    return found.where("check <> 'error'").unionByName(found.where("check = 'error'").withColumn("detail", F.lit("missing")))
 
 
 def q_table_scan(spark, sf_dir):
@@ -665,10 +768,14 @@ QUERIES: dict[str, Query] = {
     "run_report_inventory": q_run_report_inventory,
     "run_report_totals": q_run_report_totals,
     "run_report_reach": q_run_report_reach,
+    "run_report_reach_totals": q_run_report_reach_totals,
+    "reach_from_days": q_reach_from_days,
+    "reach_from_days_error": q_reach_from_days_error,
     "run_report_last_month": q_run_report_last_month,
     "run_report_yesterday": q_run_report_yesterday,
     "local_yesterday": q_local_yesterday,
     "hierarchy_levels": q_hierarchy_levels,
+    "hierarchy_rollup": q_hierarchy_rollup,
     "month_ranges": q_month_ranges,
     "backfill_summary": q_backfill_summary,
     "replace_day": q_replace_day,
@@ -691,6 +798,7 @@ QUERIES: dict[str, Query] = {
     "coerce_int_text": q_coerce_int_text,
     "coerce_double_text": q_coerce_double_text,
     "reconcile": q_reconcile,
+    "reconcile_rows": q_reconcile_rows,
     "flatten_pages": q_flatten_pages,
     "flatten_json_pages": q_flatten_json_pages,
     "csv_dump": q_csv_dump,
@@ -707,11 +815,15 @@ QUERIES: dict[str, Query] = {
     "load_empty": q_load_empty,
     "load_dry_run": q_load_dry_run,
     "load_log": q_load_log,
+    "load_log_coerced": q_load_log_coerced,
     "job_backfill": q_job_backfill,
     "job_backfill_chunked": q_job_backfill_chunked,
     "job_backfill_geo_csv": q_job_backfill_geo_csv,
     "job_backfill_legacy": q_job_backfill_legacy,
+    "job_backfill_resumed": q_job_backfill_resumed,
     "job_audit": q_job_audit,
+    "job_audit_incremental": q_job_audit_incremental,
+    "audit_profile_stored": q_audit_profile_stored,
     "job_audit_all": q_job_audit_all,
     "table_scan": q_table_scan,
     "ad_hoc_sql": q_ad_hoc_sql,

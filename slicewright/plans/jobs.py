@@ -14,7 +14,7 @@ import inspect
 import traceback
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -256,6 +256,31 @@ def _typed(pipe, raw: DataFrame, lo: _dt.date, hi: _dt.date, coerced: Observatio
     return pipe(raw, report_date=lo.replace(day=1))
 
 
+LEDGER = "report_type string, table_name string, chunk_start date, chunk_end date, fingerprint string, rows bigint, finished_at timestamp"
+
+
+def fingerprint(raw: DataFrame) -> str:
+    """What the rows of an extract are, whatever their order: columns, count and hash sums."""
+    rows = raw.agg(*reconcile_ops.checksum(raw)).first()
+    return ":".join(str(x) for x in (",".join(f"{c} {t}" for c, t in sorted(raw.dtypes)), rows["rows"], rows["low"] or 0, rows["high"] or 0))
+
+
+def finished_chunks(spark: SparkSession, ledger: str, report: str, table: str) -> dict:
+    """{(first day, last day): (fingerprint, rows)} of the chunks last finished; none if the table is gone."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {ledger} ({LEDGER}) USING parquet")
+    if not spark.catalog.tableExists(table):
+        return {}
+    rows = spark.table(ledger).where((F.col("report_type") == report) & (F.col("table_name") == table))
+    last = rows.groupBy("chunk_start", "chunk_end").agg(F.max_by(F.struct("fingerprint", "rows"), "finished_at").alias("f"))
+    return {(r["chunk_start"], r["chunk_end"]): (r["f"]["fingerprint"], r["f"]["rows"]) for r in last.collect()}  # a row a chunk
+
+
+def _finish_chunk(spark: SparkSession, ledger: str, report: str, table: str, lo, hi, found: str, rows: int) -> None:
+    now = _dt.datetime.now(_dt.timezone.utc)
+    spark.createDataFrame([(report, table, lo, hi, found, rows, now)], LEDGER).coalesce(1).write.insertInto(ledger)
+    spark.catalog.refreshTable(ledger)
+
+
 def backfill(
     spark: SparkSession,
     report: str,
@@ -267,6 +292,7 @@ def backfill(
     dry_run: bool = False,
     pipeline=None,
     log_table: str | None = LOAD_LOG_TABLE,
+    ledger: str | None = None,
 ) -> dict:
     """C-3: load ``[start, end]`` of a report from a raw extract.
 
@@ -277,13 +303,21 @@ def backfill(
     finished months stay, and a rerun of the same range is idempotent.  Both
     leave the same table: a month without rows is left as stored (K-10).
     Returns per-chunk rows and the running total (A-8).
+
+    ``ledger`` names a table of finished chunks with the fingerprint of their
+    raw rows (it makes the backfill chunked): a rerun skips chunks whose input
+    is as it was, at the price of one scan for the fingerprint, so a broken
+    backfill goes on where it stopped.  The ledger knows only of its own
+    backfills: leave it out after the table was changed by other means.
     """
     spec = registry.report(report)
     pipe = pipeline or reports.LEGACY_PIPELINES.get(spec.name) or reports.REPORT_PIPELINES[spec.name]
     chunks = [(_as_date(start), _as_date(end))]
-    if chunked or callable(raw):
+    if chunked or callable(raw) or ledger:
         chunks = [(r.month_start, r.month_end) for r in calendar.month_ranges(spark, start, end).orderBy("chunk").collect()]
     summary, total = [], 0
+    name = table or spec.table
+    done = finished_chunks(spark, ledger, spec.name, name) if ledger and not dry_run else {}
     for lo, hi in chunks:
         part = raw(lo, hi) if callable(raw) else raw
         if part is None:
@@ -292,6 +326,12 @@ def backfill(
         found = _raw_date(part)
         if found:  # pushed to the landing scan
             part = part.where(range_predicate(part, found[0], first, hi, found[1]))
+        found_print = fingerprint(part) if ledger else None
+        if found_print is not None and done.get((lo, hi), (None, 0))[0] == found_print:
+            n = done[lo, hi][1]
+            total += n
+            summary.append({"month_label": lo.strftime("%B %Y"), "start": lo, "end": hi, "rows": n, "running_total": total, "status": "SKIPPED"})
+            continue
         fetched = Observation(f"fetched_{spec.table}")
         part = part.observe(fetched, F.count(F.lit(1)).alias("rows"))
         # A landed extract may hold more than the range: keep only its slices
@@ -303,8 +343,10 @@ def backfill(
                    dry_run=dry_run, log_table=log_table, extra_columns="drop", fetched=fetched, coerced=coerced)
         n = res.get("rows_inserted", res.get("rows", 0))
         total += n
+        if ledger and not dry_run:
+            _finish_chunk(spark, ledger, spec.name, name, lo, hi, found_print, n)
         summary.append({"month_label": lo.strftime("%B %Y"), "start": lo, "end": hi,
-                        "rows": n, "running_total": total})
+                        "rows": n, "running_total": total, "status": res["status"]})
     return {"report_type": spec.name, "chunks": summary, "total_rows": total, "status": "SUCCESS"}
 
 
@@ -337,9 +379,40 @@ FINDINGS_SCHEMA = T.StructType([
 ])
 
 
+def _row_text(columns) -> Column:
+    """A row as ``column=value, ...``, NULL as such."""
+    return F.concat_ws(", ", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))) for c in columns])
+
+
+def _findings(spark: SparkSession, table: str, spec: registry.ReportSpec, df: DataFrame, profile: dict, duplicates: int, largest: list[str], full: int) -> DataFrame:
+    """The findings of one table; the sample is read from the earliest date's slice alone."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' not null'}" for f in df.schema.fields)
+    lo, hi, dates_ = profile["min_date"], profile["max_date"], profile["unique_dates"]
+    out = [(table, "schema", "INFO", len(df.columns), schema), (table, "total_rows", "INFO", profile["total_rows"], None),
+           (table, "date_range", "INFO", dates_, f"{lo} .. {hi} ({dates_} distinct)"),
+           (table, "null_dates", "WARNING" if profile["null_dates"] else "OK", profile["null_dates"], None),
+           (table, "duplicates", "WARNING" if duplicates else "OK", duplicates, "; ".join(largest) or None)]
+    full_key = registry.FULL_DUPLICATE_KEYS.get(spec.name)
+    if full_key:
+        out.append((table, "duplicates_full_key", "WARNING" if full else "OK", full, ", ".join(full_key)))
+    first = df.where(F.col(spec.partition_col) == F.lit(lo)) if lo else df
+    names = [c for c in spec.columns if c in df.columns]
+    sample = [r[0] for r in audit_ops.sample_rows(first, names, 3).select(_row_text(names)).collect()]
+    out.append((table, "sample", "INFO", len(sample), "; ".join(sample) or None))
+    return spark.createDataFrame(out, FINDINGS_SCHEMA)
+
+
+def _key_sets(spec: registry.ReportSpec) -> list:
+    full_key = registry.FULL_DUPLICATE_KEYS.get(spec.name)
+    return [spec.duplicate_key] + ([full_key] if full_key else [])
+
+
+LARGEST = 5
+
+
 def audit(spark: SparkSession, table: str, df: DataFrame | None = None) -> DataFrame:
     """C-5: findings for one report table: schema, row count, date coverage,
-    NULL dates, duplicate key groups (largest 5 shown) and a 3-row sample.
+    NULL dates, duplicate key groups (the five largest shown) and a 3-row sample.
 
     Two passes over the table: one aggregate for counts/dates/NULLs, one
     grouped count for duplicates (kept, spill-safe, for its count and its
@@ -349,37 +422,92 @@ def audit(spark: SparkSession, table: str, df: DataFrame | None = None) -> DataF
     """
     spec = registry.report(table)
     df = df if df is not None else spark.table(table)
-    out = []
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' not null'}"
-                       for f in df.schema.fields)
-    out.append((table, "schema", "INFO", len(df.columns), schema))
     p = audit_ops.audit_profile(df, spec.partition_col).first()
-    out.append((table, "total_rows", "INFO", p["total_rows"], None))
-    out.append((table, "date_range", "INFO", p["unique_dates"],
-                f"{p['min_date']} .. {p['max_date']} ({p['unique_dates']} distinct)"))
-    out.append((table, "null_dates", "WARNING" if p["null_dates"] else "OK", p["null_dates"], None))
-    full_key = registry.FULL_DUPLICATE_KEYS.get(spec.name)
-    key_sets = [spec.duplicate_key] + ([full_key] if full_key else [])
     # Both keys in one scan; the duplicate groups are kept (spill-safe) for
     # their counts and the top five.
-    dups = audit_ops.audit_duplicates_sets(df, key_sets).persist(StorageLevel.MEMORY_AND_DISK)
+    dups = audit_ops.audit_duplicates_sets(df, _key_sets(spec)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = {r["key_set"]: r["count"] for r in dups.groupBy("key_set").count().collect()}
-        n_dups = counts.get(0, 0)
-        main = dups.where(F.col("key_set") == 0).select(*spec.duplicate_key, "cnt")
-        top = [r.asDict() for r in audit_ops.top_duplicates(main, spec.duplicate_key, 5).collect()] \
-            if n_dups else []
+        main = dups.where(F.col("key_set") == 0).select("cnt", _row_text([*spec.duplicate_key, "cnt"]).alias("text"))
+        top = [r["text"] for r in audit_ops.top_duplicates(main, ["text"], LARGEST).collect()] if counts.get(0) else []
     finally:
         dups.unpersist()
-    out.append((table, "duplicates", "WARNING" if n_dups else "OK", n_dups,
-                "; ".join(str(r) for r in top[:3]) or None))
-    if full_key:
-        n_full = counts.get(1, 0)
-        out.append((table, "duplicates_full_key", "WARNING" if n_full else "OK", n_full, ", ".join(full_key)))
-    first = df.where(F.col(spec.partition_col) == F.lit(p["min_date"])) if p["min_date"] else df
-    sample = audit_ops.sample_rows(first, [c for c in spec.columns if c in df.columns], 3).collect()
-    out.append((table, "sample", "INFO", len(sample), "; ".join(str(r.asDict()) for r in sample) or None))
-    return spark.createDataFrame(out, FINDINGS_SCHEMA)
+    return _findings(spark, table, spec, df, p.asDict(), counts.get(0, 0), top, counts.get(1, 0))
+
+
+# -- incremental audit: findings by slice ---------------------------------------
+
+SLICE_FINDINGS = ("table_name string, slice date, fingerprint string, rows bigint, duplicates bigint, duplicates_full bigint, "
+                  "largest array<struct<cnt: bigint, text: string>>, audited_at timestamp")
+
+
+def slice_fingerprints(df: DataFrame, slice_col: str) -> DataFrame:
+    """(slice, fingerprint) of a stored table, from the names and times of each slice's files: no data column is read."""
+    files = df.select(F.col(slice_col).alias("slice"), F.xxhash64("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").alias("h")).distinct()
+    halves = F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned("h", 32))
+    return files.groupBy("slice").agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *[h.cast("string") for h in halves]).alias("fingerprint"))
+
+
+def audit_slices(df: DataFrame, spec: registry.ReportSpec) -> DataFrame:
+    """Rows, duplicate groups and the largest of them, per slice.
+
+    Every duplicate key holds the date, so no group reaches over two slices
+    and the slices' findings add up to the table's.
+    """
+    day = F.col(spec.partition_col)
+    rows = df.groupBy(day.alias("slice")).agg(F.count(F.lit(1)).alias("rows"))
+    dups = audit_ops.audit_duplicates_sets(df, _key_sets(spec)).select(day.alias("day"), "key_set", "cnt", _row_text([*spec.duplicate_key, "cnt"]).alias("text"))
+    rank = F.row_number().over(Window.partitionBy("day", "key_set").orderBy(F.desc("cnt"), "text"))
+    main = F.col("key_set") == 0
+    per = dups.withColumn("rank", rank).groupBy("day").agg(
+        F.count_if(main).alias("duplicates"), F.count_if(~main).alias("duplicates_full"),
+        F.collect_list(F.when(main & (F.col("rank") <= LARGEST), F.struct("cnt", "text"))).alias("largest"))  # at most five a slice
+    met = rows.join(per, rows["slice"].eqNullSafe(per["day"]), "left")
+    none = F.array().cast("array<struct<cnt: bigint, text: string>>")
+    return met.select("slice", "rows", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("duplicates", "duplicates_full")], F.coalesce("largest", none).alias("largest"))
+
+
+def audit_incremental(spark: SparkSession, table: str, store: str, df: DataFrame | None = None) -> DataFrame:
+    """C-5 from stored findings: only slices whose files changed since the last audit are read again.
+
+    ``store`` is a catalog table of findings by slice, made on the first call
+    and appended to by each; the last ones of a slice count.  The result is
+    that of ``audit``.  The slices' keys (days or months) pass the driver, so
+    that the others are pruned.
+    """
+    spec = registry.report(table)
+    df = df if df is not None else spark.table(table)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {store} ({SLICE_FINDINGS}) USING parquet")
+    state = slice_fingerprints(df, spec.partition_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        def latest():
+            kept = spark.table(store).where(F.col("table_name") == table).groupBy("slice").agg(F.max_by(F.struct("fingerprint", "rows", "duplicates", "duplicates_full", "largest"), "audited_at").alias("f"))
+            return kept.select(F.col("slice").alias("known"), "f.*")
+
+        def known(found):
+            return state["slice"].eqNullSafe(found["known"]) & (state["fingerprint"] == found["fingerprint"])
+
+        before = latest()
+        changed = [r["slice"] for r in state.join(before, known(before), "left_anti").select("slice").collect()]
+        if changed:
+            day = F.col(spec.partition_col)
+            part = day.isin([c for c in changed if c is not None])
+            found = audit_slices(df.where(part | day.isNull() if None in changed else part), spec)
+            rows = found.join(state.select(F.col("slice").alias("of"), "fingerprint"), F.col("slice").eqNullSafe(F.col("of")))
+            rows.select(F.lit(table).alias("table_name"), "slice", "fingerprint", "rows", "duplicates", "duplicates_full", "largest",
+                        F.current_timestamp().alias("audited_at")).coalesce(1).write.insertInto(store)  # a row a slice
+            spark.catalog.refreshTable(store)
+        after = latest()
+        current = state.join(after, known(after)).select("slice", "rows", "duplicates", "duplicates_full", "largest")
+        p = current.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"), F.coalesce(F.sum(F.when(F.col("slice").isNull(), F.col("rows"))), F.lit(0)).alias("null_dates"),
+            F.min("slice").alias("min_date"), F.max("slice").alias("max_date"), F.count("slice").alias("unique_dates"),
+            F.coalesce(F.sum("duplicates"), F.lit(0)).alias("duplicates"), F.coalesce(F.sum("duplicates_full"), F.lit(0)).alias("full")).first().asDict()
+        groups = current.select(F.explode("largest").alias("g")).select("g.*")
+        top = [r["text"] for r in audit_ops.top_duplicates(groups, ["text"], LARGEST).collect()]
+    finally:
+        state.unpersist()
+    return _findings(spark, table, spec, df, p, p["duplicates"], top, p["full"])
 
 
 def audit_all(spark: SparkSession, tables_: list[str] | None = None, frames: dict | None = None) -> DataFrame:

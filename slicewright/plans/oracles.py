@@ -131,9 +131,6 @@ _DUP_CTE = {"inventory_daily": "inventory", "geo_monthly": "geo", "audience_inte
             "audience_demographics": "demographics", "fill_rate": "fill_rate"}
 _DUP_KEY = {t[1]: t[3] for t in _TABLES}
 
-_PERIOD = ("l_shipdate >= timestamp '1992-01-01' and l_shipdate < timestamp '2031-01-01'")
-
-
 def _months(bounds: str, keep: str = "") -> str:
     """Month chunks of each (s, e) row of ``bounds``."""
     k = f"{keep}, " if keep else ""
@@ -212,15 +209,34 @@ def _nulls(src: str) -> str:
   + count(*) filter (where fill_rate is null) + count(*) filter (where ad_requests is null) from {src})"""
 
 
-def _findings(name: str, src: str, date: str, key: str, columns: int) -> str:
-    dups = f"(select count(*) from (select 1 from {src} group by {key} having count(*) > 1))"
-    checks = [("schema", "'INFO'", f"{columns}"), ("total_rows", "'INFO'", f"(select count(*) from {src})"),
-              ("date_range", "'INFO'", f"(select count(distinct {date}) from {src})"),
+def _row_text(columns: str) -> str:
+    return " || ', ' || ".join(f"'{c}=' || coalesce(cast({c} as varchar), 'NULL')" for c in columns.split(", "))
+
+
+def _findings(name: str, src: str, date: str, key: str, columns: list[tuple[str, str]]) -> str:
+    groups = f"(select {key}, count(*) as cnt from {src} group by {key} having count(*) > 1)"
+    dups = f"(select count(*) from {groups})"
+    largest = f"(select string_agg(t, '; ' order by cnt desc, t) from (select cnt, {_row_text(key + ', cnt')} as t from {groups} order by cnt desc, t limit 5))"
+    first = f"(select * from {src} where {date} = (select min({date}) from {src}))"
+    names = ", ".join(c for c, _ in columns)
+    order = ", ".join(f"{c} asc nulls first" for c, _ in columns)
+    sample = f"(select string_agg({_row_text(names)}, '; ' order by {order}) from (select * from {first} order by {order} limit 3))"
+    coverage = f"(select cast(min({date}) as varchar) || ' .. ' || cast(max({date}) as varchar) || ' (' || count(distinct {date}) || ' distinct)' from {src})"
+    stored = ", ".join(f"{c} {t}" for c, t in [x for x in columns if x[0] != date] + [x for x in columns if x[0] == date])
+    checks = [("schema", "'INFO'", f"{len(columns)}", f"'{stored}'"), ("total_rows", "'INFO'", f"(select count(*) from {src})", "null"),
+              ("date_range", "'INFO'", f"(select count(distinct {date}) from {src})", coverage),
               ("null_dates", f"(select case when count(*) = 0 then 'OK' else 'WARNING' end from {src} where {date} is null)",
-               f"(select count(*) from {src} where {date} is null)"),
-              ("duplicates", f"case when {dups} = 0 then 'OK' else 'WARNING' end", dups),
-              ("sample", "'INFO'", f"(select least(3, count(*)) from {src} where {date} = (select min({date}) from {src}))")]
-    return "\nunion all\n".join(f"select '{name}' as table_name, '{c}' as \"check\", {s} as status, cast({v} as bigint) as value" for c, s, v in checks)
+               f"(select count(*) from {src} where {date} is null)", "null"),
+              ("duplicates", f"case when {dups} = 0 then 'OK' else 'WARNING' end", dups, largest),
+              ("sample", "'INFO'", f"(select least(3, count(*)) from {first})", sample)]
+    return "\nunion all\n".join(
+        f"select '{name}' as table_name, '{c}' as \"check\", {s} as status, cast({v} as bigint) as value, cast({d} as varchar) as detail" for c, s, v, d in checks)
+
+
+_GEO_TYPES = [("report_date", "date"), ("country_name", "string"), ("country_code", "string"), ("ad_server_impressions", "bigint"), ("ad_server_clicks", "bigint"),
+              ("active_view_measurable_rate", "double"), ("active_view_viewable_impressions", "bigint")]
+_FILL_TYPES = [("date", "date"), ("ad_unit_name", "string"), ("unfilled_impressions", "bigint"), ("code_served_count", "bigint"), ("responses_served", "bigint"),
+               ("ad_server_impressions", "bigint"), ("fill_rate", "double"), ("ad_requests", "bigint")]
 
 ORACLES: dict[str, str] = {
     "report_fill_rate": _with(**_FR) + FILL_RATE,
@@ -231,24 +247,47 @@ ORACLES: dict[str, str] = {
     "report_audience_interest": _with(raw_audience_interest=RAW["audience_interest"]) + INTEREST,
     "report_audience_demographics": _with(raw_audience_demographics=RAW["audience_demographics"])
     + DEMOGRAPHICS,
-    "run_report_inventory": f"""
+    "run_report_inventory": """
 select cast(l_shipdate as date) as date, l_returnflag as ad_unit_name, l_linestatus as device_category,
        cast(sum(cast(l_quantity as bigint)) as bigint) as ad_server_impressions,
        cast(sum(cast(l_linenumber as bigint)) as bigint) as ad_server_clicks
-from lineitem where {_PERIOD}
+from lineitem
 group by 1, 2, 3""",
-    "run_report_totals": f"""
+    "run_report_totals": """
 select ship_year, ad_unit_name, cast(sum(q) as bigint) as ad_server_impressions,
        cast(grouping(ship_year, ad_unit_name) as bigint) as grouping_level
 from (select cast(year(l_shipdate) as integer) as ship_year, l_returnflag as ad_unit_name,
              cast(l_quantity as bigint) as q
-      from lineitem where {_PERIOD})
+      from lineitem)
 group by rollup (ship_year, ad_unit_name)""",
     "run_report_reach": """
 select cast(ts as date) as date, event_type as ad_unit_name, cast(count(*) as bigint) as events,
        count(distinct user_id) as unique_reach
-from events where ts >= timestamp '1992-01-01' and ts < timestamp '2031-01-01'
+from events
 group by 1, 2""",
+    "run_report_reach_totals": """
+select month, ad_unit_name, cast(count(*) as bigint) as events, count(distinct user_id) as unique_reach,
+       cast(grouping(month, ad_unit_name) as bigint) as grouping_level
+from (select cast(date_trunc('month', ts) as date) as month, event_type as ad_unit_name, user_id from events)
+group by rollup (month, ad_unit_name)""",
+    "reach_from_days": """
+select cast(date_trunc('month', ts) as date) as month, event_type as ad_unit_name, cast(count(*) as bigint) as events,
+       count(distinct user_id) as unique_reach
+from events group by 1, 2""",
+    "reach_from_days_error": """
+select cast(date_trunc('month', ts) as date) as month, cast(count(*) as bigint) as events, count(distinct user_id) as exact_reach,
+       true as within_error
+from events group by 1""",
+    "hierarchy_rollup": r"""
+with p as (select string_split(regexp_extract(url, '^[a-z]+://([^?#]*)', 1), '/') as parts, length(html) as chars from pages),
+n as (select parts, len(parts) as levels, 1 as pages, chars from p),
+-- paths that stand above another one are repetitions of it, like the sites' own rows
+u as (select array_to_string(parts, '/') as whole, parts, levels, sum(pages) as pages, sum(chars) as chars from n group by all),
+above as (select distinct array_to_string(parts[1:k], '/') as path from (select parts, unnest(generate_series(1, levels - 1)) as k from u)),
+low as (select * from u where whole not in (select path from above)),
+e as (select array_to_string(parts[1:k], '/') as path, k, pages, chars from (select *, unnest(generate_series(1, levels)) as k from low))
+select path, cast(k as integer) as level, cast(sum(pages) as bigint) as pages, cast(sum(chars) as bigint) as chars, count(*) as units
+from e group by path, k""",
     "hierarchy_levels": """
 select page_id, string_split(path, '/')[1] as level_1, string_split(path, '/')[2] as level_2,
        string_split(path, '/')[3] as level_3
@@ -324,6 +363,9 @@ select AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE as raw_text, count(*) a
        {_float64('AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE')} as value
 from raw_geo_monthly group by AD_SERVER_ACTIVE_VIEW_MEASURABLE_IMPRESSIONS_RATE""",
     "reconcile": _reconcile(),
+    "reconcile_rows": _with(**_FR, **_REPLACED_DAY) + """
+select s.*, cast(1 as bigint) as n_a, cast(0 as bigint) as n_b, 'only_a' as status from stored s
+where s.date = date '2024-01-10' or (s.date = date '2024-01-15' and s.ad_unit_name not in (select ad_unit_name from batch))""",
     # Pages and CSV dumps carry the same rows as the extract: the oracle is
     # the report built straight from the extract.
     "flatten_pages": _with(**_FR) + FILL_RATE,
@@ -355,6 +397,15 @@ union all
 select 'INFO', 'fill_rate', 'range', date '2024-01-10', date '2024-01-20', (select count(*) from batch), {_nulls('batch')}, 'SUCCESS', null
 union all
 select 'INFO', 'fill_rate', 'slice', null, null, 0, 0, 'SUCCESS', 'No data available'""",
+    "load_log_coerced": f"""
+with t as (select raw_text, n, case when regexp_full_match(trim(raw_text), '[+-]?[0-9]+') and try_cast(raw_text as bigint) is not null then true
+                  else coalesce(try_cast({_PLAIN} as double) = floor(try_cast({_PLAIN} as double))
+                                and abs(try_cast({_PLAIN} as double)) < 9.2e18, false) end as is_int
+          from ({NUMERIC_SQL.format(lineitem='lineitem')})),
+c as (select cast(sum(n) filter (where raw_text is not null and not is_int) as bigint) as bad, cast(sum(n) as bigint) as total from t)
+select 'inventory_daily' as report_type, total as rows_read, total as rows_written, bad + total as coerced_to_null, column_name, column_coerced
+from c, lateral (select * from (values ('date', cast(0 as bigint)), ('ad_server_impressions', bad), ('ad_server_clicks', 0),
+  ('active_view_measurable_impressions', total), ('active_view_viewable_impressions', 0)) v(column_name, column_coerced))""",
     "job_backfill": _BACKFILLED,
     "job_backfill_chunked": _BACKFILLED,
     "job_backfill_geo_csv": _with(**_KEPT_GEO) + "select * from kept",
@@ -362,13 +413,24 @@ select 'INFO', 'fill_rate', 'slice', null, null, 0, 0, 'SUCCESS', 'No data avail
 select {_int64('COUNTRY_CODE')} as country_id, COUNTRY_NAME as country_name, IMPRESSIONS as ad_server_impressions,
        CLICKS as ad_server_clicks, {_month_year('MONTH_YEAR')} as report_date
 from raw_geo_monthly""",
-    "job_audit": _with(**_KEPT_GEO) + _findings("geo_monthly", "kept", "report_date", "report_date, country_code", 7),
+    "job_audit": _with(**_KEPT_GEO) + _findings("geo_monthly", "kept", "report_date", "report_date, country_code", _GEO_TYPES),
+    "job_audit_incremental": _with(**_KEPT_GEO, now=f"select * from kept where not coalesce({_MONTHS_REPLACED} and ad_server_clicks % 2 <> 0, false)")
+    + _findings("geo_monthly", "now", "report_date", "report_date, country_code", _GEO_TYPES),
+    "audit_profile_stored": _with(**_KEPT_GEO, **_FR, fill_rate=FILL_RATE) + "\nunion all\n".join(
+        f"""select '{t}' as table_name, count(*) as total_rows,
+       count(*) filter (where {d} is null) as null_dates, min({d}) as min_date, max({d}) as max_date,
+       count(distinct {d}) as unique_dates from {c}""" for t, c, d in (("fill_rate", "fill_rate", "date"), ("geo_monthly", "kept", "report_date"))),
+    "job_backfill_resumed": _with(**_KEPT_GEO, b="select date '1996-01-15' as s, date '1996-05-10' as e", c=_months("b"),
+                                  l="select report_date, count(*) as n, sum(ad_server_clicks + case when report_date = date '1996-03-01' then 1 else 0 end) as clicks from kept group by 1")
+    + """select month_label, case when m = date '1996-03-01' then 'SUCCESS' else 'SKIPPED' end as status,
+       cast(coalesce(n, 0) as bigint) as rows, cast(case when m = date '1996-01-01' then (select clicks from l where report_date = m) else clicks end as bigint) as clicks
+from c left join l on report_date = m""",
     "job_audit_all": _with(**_KEPT_GEO, **_FR, fill_rate=FILL_RATE)
-    + "select 'no_such_table' as table_name, 'error' as \"check\", 'ERROR' as status, cast(null as bigint) as value\nunion all\n"
+    + "select 'no_such_table' as table_name, 'error' as \"check\", 'ERROR' as status, cast(null as bigint) as value, 'missing' as detail\nunion all\n"
     + "\nunion all\n".join(
-        _findings(name, src, date, key, n) + f"\nunion all\nselect '{name}', 'summary', 'INFO', (select count(*) from {src})"
-        for name, src, date, key, n in (("fill_rate_audited", "fill_rate", "date", "date, ad_unit_name", 8),
-                                        ("geo_audited", "kept", "report_date", "report_date, country_code", 7))),
+        _findings(name, src, date, key, n) + f"\nunion all\nselect '{name}', 'summary', 'INFO', (select count(*) from {src}), null"
+        for name, src, date, key, n in (("fill_rate_audited", "fill_rate", "date", "date, ad_unit_name", _FILL_TYPES),
+                                        ("geo_audited", "kept", "report_date", "report_date, country_code", _GEO_TYPES))),
     "table_scan": _with(**_FR, fill_rate=FILL_RATE) + "select * from fill_rate where date between date '2024-01-10' and date '2024-01-20'",
     "ad_hoc_sql": _with(**_FR, fill_rate=FILL_RATE) + """
 select ad_unit_name, cast(sum(ad_requests) as bigint) as ad_requests, count(distinct date) as days from fill_rate group by ad_unit_name""",

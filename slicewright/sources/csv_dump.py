@@ -3,8 +3,8 @@
 A dump has one header line with names such as ``Dimension.DATE``,
 ``Column.AD_SERVER_IMPRESSIONS`` or ``Ad unit 1``; no properties block, no
 totals row.  Columns are found by name: files are grouped by their header
-line, each group is read with its own header as schema, and the groups are
-united by name.  Every column is read as text and typed later by the report
+line, which the executors read, each group is read with its own header as
+schema, and the groups are united by name.  Every column is read as text and typed later by the report
 pipeline, so a bad value in one column cannot fail the scan, and the text
 ``NA`` (a country code) stays text in dimension columns.
 
@@ -16,35 +16,26 @@ more or fewer values than its header fails the read.
 from __future__ import annotations
 
 import csv
-from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions._util import column
 
 
-def dump_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files of a landing by their header names (file names and one line of each reach the driver)."""
-    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+def dump_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(header, file) of a landing: the first line of each file, found by the executors.
 
-    def header(file: str) -> tuple[str, ...]:
-        where = jvm.org.apache.hadoop.fs.Path(file)
-        stream = where.getFileSystem(conf).open(where)
-        try:
-            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-        finally:
-            stream.close()
-        return tuple(next(csv.reader([(line or "").lstrip("\ufeff")]), ()))
-
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(16) as pool:
-        for file, names in zip(files, pool.map(header, files)):
-            if names:  # an empty file has no rows
-                groups[names].append(file)
-    return dict(groups)
+    Rows of a file's first block carry a rising number within their task, so
+    the least one is the header.  No file is opened on the driver; an empty
+    file has no line and is left out.
+    """
+    lines = spark.read.text(path).select(
+        F.regexp_replace("value", "^\ufeff", "").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begins"), F.monotonically_increasing_id().alias("n"))
+    return lines.where("begins = 0").groupBy("file").agg(F.min_by("value", "n").alias("header")).select("header", "file")
 
 
 def read_csv_dump(spark: SparkSession, path: str, columns=None) -> DataFrame:
@@ -53,8 +44,15 @@ def read_csv_dump(spark: SparkSession, path: str, columns=None) -> DataFrame:
     ``columns`` selects header names (NULL where a file lacks one); otherwise
     all names of all files are returned.
     """
-    out, headers = None, dump_headers(spark, path)
-    for names, files in sorted(headers.items()):
+    found = dump_headers(spark, path).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # distinct headers are few; where there is one, the landing is read as a whole and no file name reaches the driver
+        lines = sorted(r["header"] for r in found.select("header").distinct().collect() if r["header"])
+        groups = [path] if len(lines) == 1 else [[unquote(r["file"]) for r in found.where(F.col("header") == line).select("file").collect()] for line in lines]
+    finally:
+        found.unpersist()
+    out, headers = None, [tuple(next(csv.reader([line]))) for line in lines]
+    for names, files in zip(headers, groups):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
         reader = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
                   .option("escape", '"').option("multiLine", True))

@@ -47,10 +47,15 @@ def test_fill_rate_dedupe_is_partial_then_one_exchange(q):
     assert "partial_sum" in p
 
 
-def test_report_query_pushes_the_range_to_the_scan(q):
-    p = plan(q("run_report_inventory"))
-    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(l_shipdate", p)
-    assert exchanges(p) == 1 and "partial_sum" in p
+def test_report_query_pushes_the_range_to_the_scan(spark, q):
+    from slicewright.operators import run_report
+
+    li = fixtures.table(spark, SF01, "lineitem")
+    p = plan(run_report(li, ["l_returnflag"], ["l_linenumber"], "1995-01-01", "1996-12-31", date_col="l_shipdate"))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(l_shipdate.*LessThan\(l_shipdate", p)
+    whole = plan(q("run_report_inventory"))  # no bounds: every row, also those without a date
+    assert "PushedFilters" not in whole
+    assert exchanges(p) == exchanges(whole) == 1 and "partial_sum" in whole
 
 
 def test_reach_is_two_level_distinct(q):

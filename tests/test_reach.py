@@ -1,0 +1,117 @@
+"""Q-6 from stored days, Q-4 totals above an aggregate, A-1 over a hierarchy."""
+
+import datetime as dt
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from slicewright.operators import reach, report_query
+
+D = dt.date
+
+
+def events(spark, n, users, days=20, first=0):
+    return spark.range(n).select(
+        (F.lit(D(2024, 1, 1)) + (F.col("id") % days).cast("int")).alias("day"), (F.xxhash64("id") % 3).cast("string").alias("unit"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(users)) + first).alias("user_id"), F.lit(1).cast("bigint").alias("events"))
+
+
+def stored(spark, days):
+    t = f"reach_{uuid.uuid4().hex}"
+    reach.store_days(spark, days, t)
+    return t
+
+
+def test_any_period_within_the_stated_error(spark):
+    ev = events(spark, 200_000, 60_000)
+    t = stored(spark, reach.daily_reach(ev, F.col("day"), ["unit"], ["events"], "user_id"))
+    for lo, hi in ((None, None), (D(2024, 1, 3), D(2024, 1, 9)), (D(2024, 1, 5), D(2024, 1, 5))):
+        got = {r["unit"]: r for r in reach.reach_from_days(spark.table(t), ["unit"], ["events"], lo, hi).collect()}
+        part = ev if lo is None else ev.where(F.col("day").between(F.lit(lo), F.lit(hi)))
+        for r in part.groupBy("unit").agg(F.countDistinct("user_id").alias("n"), F.sum("events").alias("events")).collect():
+            assert abs(got[r["unit"]]["unique_reach"] - r["n"]) <= 4 * reach.error() * r["n"] + 1 and got[r["unit"]]["events"] == r["events"]
+    whole = reach.reach_from_days(spark.table(t), [], []).first()["unique_reach"]
+    assert abs(whole - ev.select("user_id").distinct().count()) <= 4 * reach.error() * 60_000
+
+
+def test_a_day_loaded_again_replaces_its_sketch(spark):
+    first = events(spark, 3000, 300, days=3)
+    t = stored(spark, reach.daily_reach(first, F.col("day"), ["unit"], ["events"], "user_id"))
+    again = events(spark, 900, 100, days=1, first=10_000)
+    reach.store_days(spark, reach.daily_reach(again, F.col("day"), ["unit"], ["events"], "user_id"), t)
+    want = first.where("day > date'2024-01-01'").unionByName(again)
+    got = {r["unit"]: (r["unique_reach"], r["events"]) for r in reach.reach_from_days(spark.table(t), ["unit"], ["events"]).collect()}
+    assert got == {r["unit"]: (r["n"], r["events"]) for r in want.groupBy("unit").agg(F.countDistinct("user_id").alias("n"), F.sum("events").alias("events")).collect()}
+
+
+def test_no_event_is_read_and_days_are_pruned(spark):
+    t = stored(spark, reach.daily_reach(events(spark, 300, 20), F.col("day"), ["unit"], ["events"], "user_id"))
+    plan = reach.reach_from_days(spark.table(t), ["unit"], [], D(2024, 1, 3), D(2024, 1, 4))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "user_id" not in plan and "events#" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_edges_of_daily_reach(spark):
+    none = events(spark, 0, 5)
+    assert reach.daily_reach(none, F.col("day"), ["unit"], ["events"], "user_id").count() == 0
+    rows = spark.createDataFrame([(D(2024, 1, 1), None, 1), (D(2024, 1, 1), None, None), (None, "a", 2)], "day date, unit string, user_id long").withColumn("events", F.lit(1).cast("bigint"))
+    got = {(r["date"], r["unit"]): (r["unique_reach"], r["events"]) for r in
+           reach.reach_from_days(reach.daily_reach(rows, F.col("day"), ["unit"], ["events"], "user_id"), ["date", "unit"], ["events"]).collect()}
+    assert got == {(D(2024, 1, 1), None): (1, 2), (None, "a"): (1, 1)}
+    assert reach.error(14) == pytest.approx(0.0081, abs=1e-4)
+
+
+TOTALS = [None, "approx", "exact"]
+
+
+@pytest.mark.parametrize("kind", TOTALS)
+def test_totals_equal_a_rollup_of_the_rows(spark, kind):
+    ev = events(spark, 5000, 700).withColumn("money", F.col("events").cast("decimal(12,2)")).withColumn("unit", F.when(F.col("unit") == "1", None).otherwise(F.col("unit")))
+    kwargs = {} if kind is None else {"reach": "user_id", "approx_reach": kind == "approx"}
+    got = report_query.run_report(ev, ["day", "unit"], ["events", "money"], totals=True, **kwargs)
+    aggs = [F.sum("events").alias("events"), F.sum("money").alias("money")] + ([] if kind is None else [F.countDistinct("user_id").alias("unique_reach")])
+    want = ev.rollup("day", "unit").agg(*aggs, F.grouping_id().alias("grouping_level"))
+    assert got.columns == ["day", "unit", "events", "money", *(["unique_reach"] if kind else []), "grouping_level"] and dict(got.drop("unique_reach").dtypes) == dict(want.drop("unique_reach").dtypes)
+    if kind == "approx":
+        a, b = ({(r["day"], r["unit"], r["grouping_level"]): r["unique_reach"] for r in x.collect()} for x in (got, want))
+        assert a.keys() == b.keys() and all(abs(a[k] - b[k]) <= 0.2 * b[k] + 1 for k in a)
+    else:
+        assert sorted(map(str, got.select(*sorted(got.columns)).collect())) == sorted(map(str, want.select(*sorted(got.columns)).collect()))
+
+
+@pytest.mark.parametrize("kind", TOTALS)
+def test_totals_expand_above_an_aggregate(spark, kind):
+    """No input row is multiplied: below the Expand of the rollup stands an aggregate."""
+    kwargs = {} if kind is None else {"reach": "user_id", "approx_reach": kind == "approx"}
+    plan = report_query.run_report(events(spark, 100, 9), ["day", "unit"], ["events"], totals=True, **kwargs)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    expand = next(k for k, x in enumerate(lines) if "Expand" in x)
+    assert any("Aggregate" in x for x in lines[expand + 1:])
+
+
+def hierarchy(rows):
+    """Sums by prefix of the rows that are no other row's ancestor, in plain Python."""
+    paths = {(k, p) for k, p, _ in rows}
+    above = {(k, "/".join(p.split("/")[:n])) for k, p in paths if p is not None for n in range(1, len(p.split("/")))}
+    out, units = {}, {}
+    for k, p, m in rows:
+        if (k, p) in above:
+            continue
+        parts = [] if p is None else p.split("/")
+        for prefix in [None] if p is None else ["/".join(parts[:n]) for n in range(1, len(parts) + 1)]:
+            level = 0 if prefix is None else prefix.count("/") + 1
+            key = (k, prefix, level)
+            out[key] = out.get(key, 0) + (m or 0)
+            units.setdefault(key, set()).add(p)
+    return {k: (v, len(units[k])) for k, v in out.items()}
+
+
+def test_hierarchy_rollup(spark):
+    rows = [("d1", "a/b/c", 5), ("d1", "a/b/c", 2), ("d1", "a/b/d", 1), ("d1", "a/b", 8), ("d1", "a", 8), ("d1", "e", 4), ("d2", "a/b", 3), ("d2", "a", 3),
+            (None, "a/b", 1), (None, "a", 1), ("d1", None, 7), ("d1", "ab", 1), ("d1", "", 2), ("d1", "x//y", 2), ("d1", "x/", 2)]
+    df = spark.createDataFrame(rows, "day string, path string, n long")
+    got = {(r["day"], r["path"], r["level"]): (r["n"], r["units"]) for r in report_query.hierarchy_rollup(df, "path", ["n"], ["day"]).collect()}
+    assert got == hierarchy(rows) and got["d1", "a", 1] == (8, 2)
+    assert report_query.hierarchy_rollup(df.limit(0), "path", ["n"], ["day"]).count() == 0
+    dotted = df.withColumnRenamed("n", "a.n")
+    assert report_query.hierarchy_rollup(dotted, "path", ["a.n"]).columns == ["path", "level", "a.n", "units"]
