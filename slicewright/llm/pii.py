@@ -3,33 +3,41 @@
 Base spans are e-mail addresses, IP addresses, payment card numbers and phone
 numbers.  Each distinct value is a protected entity.  A term is a word that
 lies in no base span.  Corpus counts (documents that hold the term, documents
-that hold the entity, documents that hold both) give the pointwise mutual
-information; divided by the entity's own information it says which share of
-the entity's information the term gives away.  Counts of pairs that are seen
-in fewer than ``LEAST_DOCS`` different texts are shrunk towards what the
-entity's whole kind says about the term, by the weight of one text.  Terms that
-give at least ``DISCLOSED`` become spans of kind ``term`` wherever they stand,
-in any text, and are generalised (words) or removed (numbers) by ``sanitise``.
-
-One pass over the texts finds base spans, entities and the words around them,
+that hold the target, documents that hold both) give the pointwise mutual
+information; divided by the target's own information it says which share of
+that information the term gives away.  Targets are the entities that
+``LEAST_TEXTS`` different texts hold, the four kinds, and any entity at all,
+which pool the entities that are seen once.  Words in fewer than ``RARE``
+documents are counted as their shape (letters, digits or both, and the length),
+so that a lone key or code is known by its kind; shapes are no finer than that.
+
+A term discloses when it gives at least ``DISCLOSED`` of a target's
+information and when the number of different texts that hold both is no
+accident: the Chernoff bound of that many chance meetings, times the number of
+pairs of terms and targets, must not exceed ``CHANCE``.  A word that is seen
+once beside an entity that is seen once therefore discloses nothing.  Terms
+that disclose become spans of kind ``term`` wherever they stand, in any text,
+and are generalised (words) or removed (numbers) by ``sanitise``.
+
+One pass over the texts finds base spans, entities and the words beside them,
 one counts terms, and one finds the disclosing terms: a bit table of limited
 size drops most other words before the join (a full one drops none and changes
-no result).  Pairs are counted once per different text, weighted by its copies;
-entities of one kind that only one text holds share their counts, so a text of
-many mentions takes no square of its words.
+no result).  Pairs are counted once per different text, and entities that the
+same texts hold are one target, so a text of many mentions takes no square of
+its words.
 
 Defined results: NULL text is empty; repeated rows each get their spans; ids
-may be NULL or repeat; an empty table gives no rows; extra columns are ignored.
+may be NULL or repeat; an empty table gives no rows; very long texts are read
+whole, one at a time; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, islice
 
 import numpy as np
 import pandas as pd
@@ -40,10 +48,12 @@ from pyspark.sql import functions as F
 from .scratch import written
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Words on each side of a mention that may disclose it.
-NEAR = 8
-#: Texts from which on a pair's counts are taken as they are, and the share of the entity's information a term must give.
-LEAST_DOCS, DISCLOSED = 3, 0.8
+#: The share of a target's information that a term must give, and the chance of any accident.
+DISCLOSED, CHANCE = 0.8, 0.05
+#: Different texts from which on an entity is a target of its own; documents below which a word counts as its shape.
+LEAST_TEXTS, RARE = 3, 5
+#: Characters from which on the lengths of words are not told apart.
+LONG_WORD = 64
 #: Distinct terms that a task counts before it passes the counts on.
 COUNTED = 500_000
 #: Least and most bits of the table that drops words that disclose nothing, its bits a term, and a term's marks; terms in more than 1/``COMMON`` of the documents meet by broadcast.
@@ -115,25 +125,9 @@ def words_outside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.M
             yield m
 
 
-def neighbours(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) for the words beside each mention that lie in no base span."""
-    out = []
-    starts, furthest = [s for _, s, _ in spans], list(accumulate((e for _, _, e in spans), max))
-    inside = lambda a, b: (k := bisect_left(starts, b)) > 0 and furthest[k - 1] > a
-    for kind, start, end in spans:
-        value = text[start:end]
-        entity = _entity(kind, value)
-        after = list(islice(_WORD.finditer(text, end), near))
-        # words average under 8 characters; widen the look back until it holds enough of them
-        back, before = 16 * near, []
-        while True:
-            low = max(0, start - back)
-            before = [m for m in _WORD.finditer(text, low, start) if m.start() > low or low == 0]
-            if len(before) >= near or low == 0:
-                break
-            back *= 4
-        out += [(entity, m[0].lower(), *m.span()) for m in before[-near:] + after if not inside(*m.span())]
-    return out
+def shape(word: str) -> str:
+    """What a rare word counts as."""
+    return f"#{'L' if word.isalpha() else 'D' if word.isdecimal() else 'M'}{min(len(word), LONG_WORD)}"
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -163,13 +157,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, n_term): documents that hold each word, over all rows; counted per task before the shuffle."""
+    """(term, n_term): documents that hold each word, or a word of each shape, over all rows; counted per task before the shuffle."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
         for pdf in batches:
             for text in pdf["text"]:
-                counts.update({w.lower() for w in set(_WORD.findall(text))})
+                words = {w.lower() for w in set(_WORD.findall(text))}
+                counts.update(words)
+                counts.update({shape(w) for w in words})
                 if len(counts) > COUNTED:
                     yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
                     counts.clear()
@@ -187,43 +183,60 @@ def _looked_up(rows: DataFrame, table: DataFrame, key: str, common: Column) -> D
     return rows.join(F.broadcast(often), key).unionByName(seldom)
 
 
-def disclosures(found: DataFrame, terms: DataFrame, least_docs: int = LEAST_DOCS, disclosed: float = DISCLOSED) -> DataFrame:
-    """(term, n_term, share): terms that give at least ``disclosed`` of some entity's information, and the largest share.
-
-    The share is PMI(term, entity) / information(entity), from documents that
-    hold the term, the entity, and both.  A pair seen in fewer than
-    ``least_docs`` different texts (copies of one text are one piece of
-    evidence) counts as if one more text held the term, and the entity in it
-    as often as the entity's kind makes likely.
-    """
-    kinds = KINDS[:4]
-    of_kind = lambda k: F.exists("entities", lambda e: e.startswith(f"{k}:"))
-    counts = found.agg(F.count("*").alias("total"), *(F.count_if(of_kind(k)).alias(k) for k in kinds)).first()
-    total = max(1, counts["total"])
-    in_kind = F.element_at(F.create_map(*(x for k in kinds for x in (F.lit(k), F.lit(max(1, counts[k]))))), F.col("kind"))
-    texts = written(found.where(F.size("entities") > 0).groupBy("text_hash").agg(F.count("*").alias("n"), F.any_value("entities").alias("entities"), F.any_value("words").alias("words")))
+def _shape(term: Column) -> Column:
+    """``shape`` as a Column."""
+    letter = F.when(term.rlike(r"^\p{L}+$"), "L").when(term.rlike(r"^\p{Nd}+$"), "D").otherwise("M")
+    return F.concat(F.lit("#"), letter, F.least(F.length(term), F.lit(LONG_WORD)).cast("string"))
+
+
+def _targets(texts: DataFrame, least_texts: int) -> DataFrame:
+    """(text_hash, target, n_target) of the distinct texts with entities: kinds, any entity, and groups of entities that the same texts hold."""
     mentions = texts.select("text_hash", "n", F.explode("entities").alias("entity"))
-    holders = written(mentions.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("held")))
-    kind = F.substring_index("entity", ":", 1).alias("kind")
-    # what only one text holds has the same counts as its like there
-    group = F.when(F.col("held") == 1, F.concat_ws("@", kind, "text_hash")).otherwise(F.col("entity")).alias("group")
-    groups = written(_looked_up(mentions.drop("n"), holders, "entity", F.col("n_entity") > total / COMMON).select("text_hash", group, kind, "n_entity").distinct())
-    # no term in more documents than this can give the share, whatever its pairs (2: the added text)
-    most = lambda n: 2.0 * F.pow(n, F.lit(disclosed)) * float(total) ** (1 - disclosed)
-    most_at_all = holders.agg(F.max(most(F.col("n_entity"))).alias("x")).first()["x"] or 0.0
+    of_kind = mentions.select("text_hash", "n", F.explode(F.array(F.lit("any"), F.substring_index("entity", ":", 1))).alias("target")).distinct()
+    kinds = of_kind.groupBy("target").agg(F.sum("n").alias("n_target"))
+    # who holds an entity, as a number that does not depend on the order
+    holders = mentions.groupBy("entity").agg(F.count("*").alias("held"), F.sum("n").alias("n_target"), F.bit_xor("text_hash").alias("of"),
+                                             F.bit_xor(F.xxhash64("text_hash", F.lit(1))).alias("of_too")).where(F.col("held") >= least_texts)
+    group = F.concat_ws("=", F.hex("of"), F.hex("of_too"), F.col("held").cast("string")).alias("target")
+    groups = mentions.select("text_hash", "entity").join(holders, "entity").select("text_hash", group, "n_target").distinct()
+    return of_kind.drop("n").join(F.broadcast(kinds), "target").select("text_hash", "target", "n_target").unionByName(groups)  # at most five kinds
+
+
+def disclosures(found: DataFrame, terms: DataFrame, disclosed: float = DISCLOSED, chance: float = CHANCE, least_texts: int = LEAST_TEXTS, rare: int = RARE) -> DataFrame:
+    """(unit, n_unit, share): words and shapes that disclose some target, and the largest share they give."""
+    total = max(1, found.count())
+    texts = written(found.where(F.size("entities") > 0).groupBy("text_hash").agg(F.count("*").alias("n"), F.any_value("entities").alias("entities"), F.any_value("words").alias("words")))
+    targets = written(_targets(texts, least_texts))
+    # no unit in more documents than this can give the share of a target
+    most = lambda n: F.pow(n, F.lit(disclosed)) * float(total) ** (1 - disclosed)
+    bounds = targets.agg(F.max(most(F.col("n_target"))).alias("most"), F.count_distinct("target").alias("targets")).first()
+    units = terms.agg(F.count_if((F.col("n_term") >= rare) | F.col("term").startswith("#")).alias("n")).first()["n"]
+    allowed = math.log(chance) - math.log(max(1, units)) - math.log(max(1, bounds["targets"]))
     words = texts.select("text_hash", "n", F.explode("words").alias("term"))
-    rare = written(_looked_up(words, terms, "term", F.col("n_term") > total / COMMON).where(F.col("n_term") <= most_at_all))
-    pairs = rare.join(groups, "text_hash").where(F.col("n_term") <= most(F.col("n_entity"))).groupBy("group", "kind", "term").agg(
-        F.sum("n").alias("n_pair"), F.count("*").alias("texts"), F.any_value("n_entity").alias("n_entity"), F.any_value("n_term").alias("n_term"))
-    by_kind = rare.join(groups.select("text_hash", "kind").distinct(), "text_hash").groupBy("kind", "term").agg(F.sum("n").alias("n_kind_pair"))
-    counted = pairs.join(by_kind, ["kind", "term"]).withColumn("added", F.when(F.col("texts") >= least_docs, 0.0).otherwise(F.col("n_pair") / F.col("texts")))
-    shrunk = lambda n, prior: (n + F.col("added") * prior) / (F.col("n_term") + F.col("added"))
-    kind_given = shrunk(F.col("n_kind_pair"), in_kind / total)
-    given = shrunk(F.col("n_pair"), kind_given * F.col("n_entity") / in_kind)
-    information = F.log2(total / F.col("n_entity"))
-    mutual = F.log2(given * total / F.col("n_entity"))
-    share = F.when(information > 0, mutual / information).otherwise(F.lit(0.0))
-    return counted.withColumn("share", share).where(F.col("share") >= disclosed).groupBy("term").agg(F.any_value("n_term").alias("n_term"), F.max("share").alias("share"))
+    counted = _looked_up(words, terms.where(~F.col("term").startswith("#")), "term", F.col("n_term") > total / COMMON)
+    as_word = counted.where(F.col("n_term") >= rare).select("text_hash", "n", F.col("term").alias("unit"), F.col("n_term").alias("n_unit"))
+    shapes = terms.where(F.col("term").startswith("#")).select(F.col("term").alias("unit"), F.col("n_term").alias("n_unit"))  # at most 3 * LONG_WORD
+    as_shape = counted.where(F.col("n_term") < rare).select("text_hash", "n", _shape(F.col("term")).alias("unit")).distinct().join(F.broadcast(shapes), "unit")
+    held = written(as_word.unionByName(as_shape).where(F.col("n_unit") <= (bounds["most"] or 0.0)))
+    pairs = held.join(targets, "text_hash").where(F.col("n_unit") <= most(F.col("n_target"))).groupBy("unit", "target").agg(
+        F.sum("n").alias("n_pair"), F.count("*").cast("double").alias("texts"), F.any_value("n_unit").alias("n_unit"), F.any_value("n_target").alias("n_target"))
+    information = F.log2(total / F.col("n_target"))
+    share = F.when(information > 0, F.log2(F.col("n_pair") / F.col("n_unit") * total / F.col("n_target")) / information).otherwise(F.lit(0.0))
+    expected = F.col("n_unit") * F.col("n_target") / total
+    # of at least so many texts by chance; documents stand for texts in what is expected, which only raises it
+    accident = F.when(F.col("texts") > expected, F.col("texts") - expected - F.col("texts") * F.log(F.col("texts") / expected)).otherwise(F.lit(0.0))
+    telling = pairs.withColumn("share", share).where((F.col("share") >= disclosed) & (accident <= allowed))
+    return telling.groupBy("unit").agg(F.any_value("n_unit").alias("n_unit"), F.max("share").alias("share"))
+
+
+def disclosing_terms(units: DataFrame, terms: DataFrame, rare: int = RARE) -> DataFrame:
+    """(term, n_term, share): the words that disclose by themselves, and the rare ones of a disclosing shape."""
+    words = terms.where((F.col("n_term") >= rare) & ~F.col("term").startswith("#"))
+    by_word = words.join(units.select(F.col("unit").alias("term"), "share"), "term")
+    shapes = F.broadcast(units.where(F.col("unit").startswith("#")).select("unit", "share"))  # at most 3 * LONG_WORD
+    seldom = terms.where((F.col("n_term") < rare) & ~F.col("term").startswith("#"))
+    by_shape = seldom.withColumn("unit", _shape(F.col("term"))).join(shapes, "unit").drop("unit")
+    return by_word.unionByName(by_shape.select(by_word.columns))
 
 
 def places(docs: DataFrame, told: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -272,10 +285,11 @@ def _ordered(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(keyed), lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_docs: int = LEAST_DOCS, disclosed: float = DISCLOSED) -> DataFrame:
-    """Counts of base spans, their digest and all spans (base and disclosing terms) of every row."""
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
+    """Counts of base spans, their digest and all spans (base and disclosing terms) of every row; ``limits`` are those of ``disclosures``."""
     found = scan(docs, id_col, text_col).checkpoint()
-    told = written(disclosures(found, written(term_counts(docs, text_col)), least_docs, disclosed))
+    terms = written(term_counts(docs, text_col))
+    told = written(disclosing_terms(written(disclosures(found, terms, **limits)), terms, limits.get("rare", RARE)))
     added = (
         places(docs, told, found.count(), id_col, text_col).groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct(F.lit("term").alias("kind"), "start", "end")).alias("terms"))
@@ -284,7 +298,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_
     rows = found.join(added, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text")), "left")
     n = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     every = F.concat("spans", F.coalesce("terms", F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")))
-    return rows.select("doc_id", "text_hash", *(n(k) for k in KINDS[:4]), "base_sha256", _ordered(every).alias("spans"), F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term"))
+    return rows.select("doc_id", "text_hash", *(n(k) for k in KINDS[:4]), "base_sha256", _ordered(every).alias("spans"), F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term"), F.size(every).cast("long").alias("n_spans"))
 
 
 def redact(text: str, spans: str) -> str:
@@ -308,4 +322,4 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     return met.select("doc_id", replaced("text", "spans").alias("text"))
 
 
-__all__ = ["DISCLOSED", "KINDS", "LEAST_DOCS", "base_spans", "disclosures", "find", "luhn", "neighbours", "places", "redact", "sanitise", "scan", "span_text", "term_counts", "words_outside"]
+__all__ = ["CHANCE", "DISCLOSED", "KINDS", "LEAST_TEXTS", "RARE", "base_spans", "disclosing_terms", "disclosures", "find", "luhn", "places", "redact", "sanitise", "scan", "shape", "span_text", "term_counts", "words_outside"]
