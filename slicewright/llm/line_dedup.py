@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .hot import at_every_salt, dealt, hot_keys
 from .scratch import free, quoted, written
 
 MIN_SITES = 3
@@ -30,8 +31,6 @@ MIN_SITES = 3
 LG_REGISTERS = 12
 #: Estimates within this factor of the threshold are counted exactly (many standard errors).
 BAND = 2.0
-#: A key of more than one row in so many is hot; its rows are spread over so many salts where they join.
-HOT, SALTS = 1000, 64
 
 
 def _lines(text: Column) -> Column:
@@ -43,28 +42,12 @@ def _first_text(lines: DataFrame) -> list[Column]:
     return [F.min_by("text_hash", F.when(F.col("id").isNotNull(), F.struct("id", "text_hash"))).alias("first_text")] if "text_hash" in lines.columns else []
 
 
-def _hot(counted: DataFrame, key: str, rows: int) -> list[int]:
-    """The keys of more than a ``HOT``-th of ``rows`` rows (and of a few hundred): at most ``HOT`` of them."""
-    return [r[key] for r in counted.where(F.col("n") > max(rows // HOT, 200)).select(key).collect()]
-
-
-def _dealt(rows: DataFrame, key: str, hot: list[int], by: list[str]) -> DataFrame:
-    """``rows`` with a salt, so that those of a hot key meet its one partner in ``SALTS`` tasks."""
-    return rows.withColumn("salt", F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")).otherwise(0) if hot else F.lit(0))
-
-
-def _at_every_salt(rows: DataFrame, key: str, hot: list[int]) -> DataFrame:
-    if not hot:
-        return rows.withColumn("salt", F.lit(0))
-    return rows.withColumn("salt", F.explode(F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-
-
 def _later_copies(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
     """(of_id, of_text) of the rows whose whole text another row with a smaller id has."""
     keys = docs.select(F.col(id_col).alias("of_id"), F.xxhash64(text).alias("of_text"))
     firsts = written(keys.groupBy("of_text").agg(F.min("of_id").alias("first_id"), F.count("*").alias("n")).where("n > 1"))
-    hot = _hot(firsts, "of_text", firsts.agg(F.sum("n")).first()[0] or 0)
-    met = _dealt(keys, "of_text", hot, ["of_id"]).join(_at_every_salt(firsts.drop("n"), "of_text", hot), ["of_text", "salt"])
+    hot = hot_keys(firsts, "of_text", firsts.agg(F.sum("n")).first()[0] or 0)
+    met = dealt(keys, "of_text", hot, ["of_id"]).join(at_every_salt(firsts.drop("n"), "of_text", hot), ["of_text", "salt"])
     return met.where(~F.col("of_id").eqNullSafe(F.col("first_id"))).select("of_id", "of_text").distinct()
 
 
@@ -79,9 +62,9 @@ def spread(lines: DataFrame, least: int = MIN_SITES) -> DataFrame:
     estimated = written(sketched.select("line_hash", *first, F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") * BAND > least))
     clear = estimated.where(F.col("sites") > least * BAND).select("line_hash", *first)
     near = estimated.where(F.col("sites") <= least * BAND).select("line_hash", *first)
-    hot = _hot(near, "line_hash", lines.count())
-    of_near = _dealt(lines.where("site is not null").select("line_hash", "site", "id"), "line_hash", hot, ["id"]).join(
-        _at_every_salt(near.select("line_hash"), "line_hash", hot), ["line_hash", "salt"], "left_semi")
+    hot = hot_keys(near, "line_hash", lines.count())
+    of_near = dealt(lines.where("site is not null").select("line_hash", "site", "id"), "line_hash", hot, ["id"]).join(
+        at_every_salt(near.select("line_hash"), "line_hash", hot), ["line_hash", "salt"], "left_semi")
     pairs = of_near.select("line_hash", "site").distinct()
     exact = pairs.groupBy("line_hash").agg(F.count("*").alias("sites")).where(F.col("sites") >= least)
     return clear.union(near.join(exact, "line_hash", "left_semi"))
@@ -107,9 +90,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found = spread(lines.select("line_hash", "site", "id"), min_sites)
         keeper = F.col("id").eqNullSafe(F.col("first_id"))
     found = written(found)
-    hot = _hot(found, "line_hash", lines.count())
-    removed = _dealt(lines.select("id", "text_hash", "pos", "line_hash"), "line_hash", hot, ["id", "pos"]).join(
-        _at_every_salt(found, "line_hash", hot), ["line_hash", "salt"]).where(~keeper)
+    hot = hot_keys(found, "line_hash", lines.count())
+    removed = dealt(lines.select("id", "text_hash", "pos", "line_hash"), "line_hash", hot, ["id", "pos"]).join(
+        at_every_salt(found, "line_hash", hot), ["line_hash", "salt"]).where(~keeper)
     words = removed.groupBy("id", "text_hash", F.expr("pos div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
     masks = words.groupBy("id", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("mask")).select(
         "id", "text_hash",

@@ -7,9 +7,13 @@ and a document's score is the sum of log S over its words.  All counts cover
 the whole corpus.
 
 Word counts are combined per task and summed by hash.  Bigrams are exploded
-once, sent to count partitions by hash, counted there, and answered there with
-their part of each document's sum; the one thing a count partition cannot
-know, log c of a rarer word, leaves as a (word, document) row that is joined
+once, sent to count partitions, counted there, and answered there with their
+part of each document's sum.  A pair whose second word is rarer than the
+``CODED`` most frequent ones goes to the partition of that word's hash, as does
+such a word at the start of a document: so all its occurrences meet, and its
+own count is known there too.  Other pairs go by the hash of both words.  The
+one thing a count partition cannot know, log c of a rarer first word of a pair
+that is seen often enough, leaves as a (word, document) row that is joined
 to the word table.  Two bounded tables keep common n-grams out of the shuffle:
 log counts of the ``CODED`` most frequent words, which also stand for
 themselves as short codes, and the counts of all pairs of the ``PAIRED`` most
@@ -18,7 +22,8 @@ count partition is swamped by one pair.  Both tables only shorten the way;
 any other size gives the same scores.
 
 Exploded n-grams travel packed, one row per batch and count partition, with
-the documents as offsets from the batch's first row.
+the documents as offsets from the batch's first row; a long document is one run of
+a batch, whatever its length.
 
 Defined results: words are runs between ASCII blanks of the lower-cased text;
 NULL or empty text has no words and the score 0 (mean NULL); repeated rows
@@ -48,6 +53,8 @@ BATCH, COUNTED = 400_000, 800_000
 FINER = 4
 #: Set in the hash of a word without a code, so that no hash equals a code.
 _RARE = np.uint64(1 << 63)
+#: Stands before the first word of a document; neither a code nor a hash.
+_BEGIN = np.uint64(1 << 62)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -196,12 +203,10 @@ def exploded(docs: DataFrame, words: Vocabulary, pairs: np.ndarray, parts: int,
                 score += np.bincount(d[both], value, len(run))
                 spread = np.arange(begin, begin + len(run)) % parts
                 yield _frame(_EXPLODED, part=spread, row=rows[begin:begin + len(run)], doc_id=names[begin:begin + len(run)], n_tokens=lengths, score=score)
-                if (~coded).any():
-                    rare = first[~coded]
-                    yield _frame(_EXPLODED, part=(rare % np.uint64(parts)).astype(np.int64), row=base + doc[starts[~coded]].astype(np.int64), word=rare.view(np.int64), weight=np.ones(len(rare), np.int64))
-                # the other pairs, packed by count partition
-                a, b, d = a[~both], b[~both], d[~both]
-                of = (_mixed(a, b) >> np.uint64(33)) % np.uint64(parts)
+                # the other pairs, and rarer first words, packed by count partition
+                rare = starts[~coded]
+                a, b, d = (np.concatenate(x) for x in ((a[~both], np.full(len(rare), _BEGIN)), (b[~both], ids[rare]), (d[~both], doc[rare])))
+                of = (np.where(b < _RARE, _mixed(a, b), _mixed(b, b)) >> np.uint64(33)) % np.uint64(parts)
                 short = (a < _RARE) & (b < _RARE)
                 order = np.argsort(of.astype(np.uint32), kind="stable")
                 a, b, d, of, short = a[order], b[order], d[order], of[order].astype(np.int64), short[order]
@@ -228,17 +233,22 @@ def answered(ngrams: DataFrame, words: Vocabulary, parts: int) -> DataFrame:
         log = shared.value
         a, b, row = np.concatenate(firsts).astype(np.uint64), np.concatenate(seconds).astype(np.uint64), np.concatenate(owners)
         _, at, n = np.unique(_mixed(a, b), return_inverse=True, return_counts=True)
-        n = n[at]
-        hit = n >= LEAST_COUNT
-        need = np.where(hit, a, b)  # the word whose log count is still to be taken off or added
-        sign = np.where(hit, -1, 1)
-        value = np.where(hit, np.log(n), np.log(BACKOFF) - np.log(total))
-        known = need < _RARE
-        value[known] += sign[known] * log[need[known].astype(np.int64)]
+        n, first, rare = n[at], a == _BEGIN, b >= _RARE
+        _, at, count = np.unique(b[rare], return_inverse=True, return_counts=True)
+        second = np.zeros(len(b))  # log count of the second word, or of a document's first
+        second[rare], second[~rare] = np.log(count)[at], log[b[~rare].astype(np.int64)]
+        hit = ~first & (n >= LEAST_COUNT)
+        value = np.where(first, second, np.log(BACKOFF) + second - np.log(total))
+        value[hit] = np.log(n[hit])
+        known = hit & (a < _RARE)
+        value[known] -= log[a[known].astype(np.int64)]
         who, at = np.unique(row, return_inverse=True)
         yield _frame(_ANSWERED, row=who, score=np.bincount(at, value))
-        if (~known).any():
-            yield _frame(_ANSWERED, row=row[~known], word=need[~known].view(np.int64), weight=sign[~known])
+        asked = hit & ~known  # rarer words whose count is to be taken off, added up per document
+        if asked.any():
+            pairs = np.stack((row[asked].view(np.uint64), a[asked]))
+            pairs, weight = np.unique(pairs, axis=1, return_counts=True)
+            yield _frame(_ANSWERED, row=pairs[0].view(np.int64), word=pairs[1].view(np.int64), weight=-weight)
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, gathered = None, ([], [], [])

@@ -16,7 +16,8 @@ Nothing is extracted.
 Defined results: NULL html is an empty payload; of rows with equal payloads
 those with the largest page id are responses and the rest revisits (repeated
 rows that hold the largest id are all responses; NULL ids count as smallest);
-an empty table gives no rows; extra columns are ignored.
+an empty table gives no rows; a very long payload is one record, held whole;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .hot import at_every_salt, dealt, hot_keys
+from .scratch import written
+
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Bytes of neighbouring records that one range read takes together.
 RUN_BYTES = 4 << 20
@@ -187,16 +191,19 @@ def record_types(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload"),
-    ).withColumn("sha1", F.unhex(F.sha1("payload")))
-    # only digests that occur twice need a partner; no payload moves to find them
-    twice = (
-        rows.where(F.octet_length("payload") >= least_bytes).groupBy("sha1")
-        .agg(F.count("*").alias("n"), F.max("page_id").alias("of")).where("n > 1").select("sha1", "of")
-    )
-    revisit = F.col("of").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("of")) & (F.octet_length("payload") >= least_bytes)
-    return rows.join(twice, "sha1", "left").select(
-        "page_id", "url", "payload", "sha1", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("of")).alias("refers_to"),
+    ).withColumn("sha1", F.sha1("payload"))
+    # partners are found by id and digest alone, and only digests that occur twice have one
+    keys = rows.where(F.octet_length("payload") >= least_bytes).select("page_id", "sha1")
+    counted = keys.groupBy("sha1").agg(F.count("*").alias("n"), F.max("page_id").alias("of")).where("n > 1")
+    twice = written(counted)
+    hot = hot_keys(twice, "sha1", twice.agg(F.sum("n")).first()[0] or 0)
+    partners = dealt(keys, "sha1", hot, ["page_id"]).join(at_every_salt(twice.drop("n"), "sha1", hot), ["sha1", "salt"])
+    partners = partners.where(~F.col("page_id").eqNullSafe(F.col("of"))).select(F.col("page_id").alias("of_page"), F.col("sha1").alias("of_sha1"), "of").distinct()
+    met = rows.join(partners, F.col("page_id").eqNullSafe(F.col("of_page")) & (F.col("sha1") == F.col("of_sha1")), "left")
+    revisit = F.col("of").isNotNull()
+    return met.select(
+        "page_id", "url", "payload", F.unhex("sha1").alias("sha1"), F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.col("of").alias("refers_to"),
     )
 
 

@@ -1,4 +1,4 @@
-from slicewright.llm import line_dedup
+from slicewright.llm import hot, line_dedup
 
 
 def brute(rows, least=3):
@@ -70,7 +70,7 @@ def test_hot_lines_and_copies(spark):
     rows = [(k, f"the same line\nown {k}\ncommon on one site", "a" if k % 3 else f"s{k % 50}") for k in range(1500)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
     got = sorted((r["doc_id"], r["text"], r["__lines_removed"]) for r in line_dedup.dedup_lines(docs).collect())
-    assert got == sorted(brute(rows)) and line_dedup._hot(docs.selectExpr("1 as n", "doc_id"), "doc_id", 10) == []
+    assert got == sorted(brute(rows)) and hot.hot_keys(docs.selectExpr("1 as n", "doc_id"), "doc_id", 10) == []
     copies = [(k, "a whole text\nof two lines", f"s{k % 9}") for k in range(900)] + [(2000 + k, "of two lines", f"s{k}") for k in range(4)]
     docs = spark.createDataFrame(copies, "doc_id long, text string, source string").repartition(4)
     out = {r["text"] for r in line_dedup.dedup_lines(docs, whole_copies=True).where("doc_id < 2000").collect()}

@@ -77,3 +77,20 @@ def test_damage_is_noticed():
     record = warc.record_bytes(1, "u", b"abc", warc.payload_digest(b"abd"), "response", None)
     with pytest.raises(ValueError):
         warc.parse_record(record)
+
+
+def test_hot_payload_and_missing_ids(spark):
+    """A payload in most rows, spread over salts, with NULL and repeated ids."""
+    rows = [(k, "u", "" if k % 3 else f"page {k % 40}") for k in range(1200)] + [(None, "u", ""), (None, "u", ""), (1199, "v", ""), (None, "u", "alone")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    largest = {}
+    for i, _, html in rows:
+        if i is not None:
+            largest[html] = max(largest.get(html, i), i)
+    got = sorted(((r["page_id"], r["url"], r["record_type"], r["refers_to"]) for r in warc.record_types(pages).collect()), key=str)
+    want = []
+    for i, url, html in rows:
+        of = largest.get(html)
+        revisit = of is not None and i != of
+        want.append((i, url, "revisit" if revisit else "response", of if revisit else None))
+    assert got == sorted(want, key=str)
