@@ -42,13 +42,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where none is set (tests, a laptop), a folder in the session's warehouse
-    becomes the checkpoint folder: the warehouse is shared as well, whatever
-    the master.
+    Where none is set, a session on one machine (tests, a laptop) takes a
+    folder in its warehouse; on a cluster the warehouse may be a folder of one
+    machine, so the shared folder must be named.
     """
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("no folder that all executors share: set spark.checkpoint.dir")
         context.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return context.getCheckpointDir()
 

@@ -114,3 +114,19 @@ def test_demographics(spark):
         == ["Male", "Female", "Unknown", "Male", "Unknown"]
     assert one(spark, normalise_age("a"), [("25-34",), ("0",), ("65+",), (None,)], "a string") \
         == ["25-34", "Unknown", "65+", "Unknown"]
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from slicewright.session import checkpoint_dir
+
+    def session(master, **conf):
+        made = []
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, *d: conf.get(k.replace(".", "_"), *d)))
+
+    assert checkpoint_dir(session("spark://host:7077", spark_checkpoint_dir="hdfs://shared/c")) == "hdfs://shared/c"
+    assert checkpoint_dir(session("local[4]", spark_sql_warehouse_dir="/w/")) == "/w/_checkpoints"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session("spark://host:7077", spark_sql_warehouse_dir="file:/one/machine"))
