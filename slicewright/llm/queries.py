@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, decontaminate, fingerprint, language, line_dedup, lm_score, manifest, packing, pii, quality, sharding, simhash, warc
+from . import conversations, decontaminate, fingerprint, language, line_dedup, lm_score, manifest, oracles, packing, pii, quality, sharding, simhash, warc
 from .scratch import prepared
 from ..session import scratch_path
 
@@ -129,6 +129,6 @@ s AS (
 ), g AS (SELECT doc_id, count(*) AS n_tokens, sum(score) AS log_score FROM s GROUP BY doc_id)
 SELECT d.doc_id, coalesce(g.n_tokens, 0) AS n_tokens, round(coalesce(g.log_score, 0.0), 3) AS log_score, round(g.log_score / g.n_tokens, 5) AS mean_log_score
 FROM documents d LEFT JOIN g ON g.doc_id = d.doc_id""",
-}
+} | oracles.ORACLES
 
 __all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
