@@ -174,6 +174,47 @@ found AS (
 SELECT doc_id, digest AS leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified, log_position::BIGINT AS log_position
 FROM found"""
 
-ORACLES = {"op6_sharding": SHARDING, "op7_warc": WARC, "op12_conversations": CONVERSATIONS, "op13_manifest": MANIFEST}
+def _tokens(table: str, key: str) -> str:
+    split = r"string_split_regex(lower(coalesce(text, '')), '[\x00-/:-@\[-`{-\x7F]+')"
+    return f"SELECT {key}, text, list_filter({split}, lambda w: w <> '') AS tokens FROM (SELECT DISTINCT {key}, coalesce(text, '') AS text FROM {table})"
+
+
+#: Diagonals are those on which all the tokens of some mask's place are equal; any two sums of a diagonal are then tried as the ends of a stretch.
+DECONTAMINATE = rf"""
+WITH i AS (SELECT row_number() OVER () AS i, item_id, tokens, len(tokens) AS n FROM ({_tokens("benchmark", "item_id")}) WHERE len(tokens) > 0),
+d AS (SELECT row_number() OVER () AS d, doc_id, tokens, len(tokens) AS n FROM ({_tokens("documents", "doc_id")})),
+it AS (SELECT i, n, unnest(range(n)) AS pos, unnest(tokens) AS w FROM i),
+dt AS (SELECT d, unnest(range(n)) AS pos, unnest(tokens) AS w FROM d),
+i4 AS (SELECT i, pos, w AS a, lead(w, 3) OVER q AS b, lead(w, 6) OVER q AS c, lead(w, 9) OVER q AS e FROM it WHERE n >= 13 WINDOW q AS (PARTITION BY i ORDER BY pos)),
+d4 AS (SELECT d, pos, w AS a, lead(w, 3) OVER q AS b, lead(w, 6) OVER q AS c, lead(w, 9) OVER q AS e FROM dt WINDOW q AS (PARTITION BY d ORDER BY pos)),
+s AS (SELECT i, n, pos, w, n // 5 + 1 AS step, pos % (n // 5 + 1) AS class FROM it WHERE n < 13),
+hits AS (
+  SELECT DISTINCT i, d, d4.pos - i4.pos AS diagonal FROM i4 JOIN d4 USING (a, b, c, e)
+  UNION
+  SELECT s.i, dt.d, dt.pos - s.pos FROM s JOIN dt USING (w)
+  GROUP BY s.i, dt.d, dt.pos - s.pos, s.class, s.n, s.step HAVING count(*) = ceil((s.n - s.class) / s.step)
+), m AS (
+  SELECT h.*, i.n AS n_item, greatest(0, -diagonal) AS low, least(i.n, d.n - diagonal) AS high,
+         list_transform(range(greatest(0, -diagonal), least(i.n, d.n - diagonal)), lambda p: CASE WHEN i.tokens[p + 1] = d.tokens[p + diagonal + 1] THEN 1 ELSE 0 END) AS same
+  FROM hits h JOIN i USING (i) JOIN d USING (d)
+), c AS (SELECT *, list_sum(same) AS agreed FROM m),
+sums AS (
+  SELECT i, d, diagonal, low, 0 AS k, 0 AS matches FROM c WHERE agreed * 5 < n_item * 4 AND n_item >= 13
+  UNION ALL
+  SELECT i, d, diagonal, low, k, sum(x) OVER (PARTITION BY i, d, diagonal ORDER BY k)
+  FROM (SELECT i, d, diagonal, low, unnest(range(1, len(same) + 1)) AS k, unnest(same) AS x FROM c WHERE agreed * 5 < n_item * 4 AND n_item >= 13)
+), best AS (
+  SELECT y.i, y.d, y.diagonal, y.low, max({{'length': y.k - x.k, 'first': -x.k, 'agreed': y.matches - x.matches}}) AS s
+  FROM sums x JOIN sums y ON x.i = y.i AND x.d = y.d AND x.diagonal = y.diagonal AND y.k - x.k >= 13 AND (y.matches - x.matches) * 5 >= (y.k - x.k) * 4
+  GROUP BY y.i, y.d, y.diagonal, y.low
+), found AS (
+  SELECT i, d, diagonal, low AS b, high AS e, agreed FROM c WHERE agreed * 5 >= n_item * 4
+  UNION ALL
+  SELECT i, d, diagonal, low - s.first, low - s.first + s.length, s.agreed FROM best
+)
+SELECT doc_id, item_id, (b + diagonal)::INTEGER AS doc_start, (e + diagonal)::INTEGER AS doc_end, b::INTEGER AS item_start, e::INTEGER AS item_end, agreed::INTEGER AS matching
+FROM found JOIN i USING (i) JOIN d USING (d)"""
+
+ORACLES = {"op6_sharding": SHARDING, "op7_warc": WARC, "op9_decontaminate": DECONTAMINATE, "op12_conversations": CONVERSATIONS, "op13_manifest": MANIFEST}
 
 __all__ = ["ORACLES"]
