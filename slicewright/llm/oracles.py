@@ -6,7 +6,7 @@ steps, ``_crc32`` folds a list of bytes.
 
 from __future__ import annotations
 
-from . import sharding
+from . import sharding, simhash
 
 _CRC_TABLE = """crc AS (
   SELECT list(list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT) ORDER BY i) AS steps
@@ -215,6 +215,77 @@ sums AS (
 SELECT doc_id, item_id, (b + diagonal)::INTEGER AS doc_start, (e + diagonal)::INTEGER AS doc_end, b::INTEGER AS item_start, e::INTEGER AS item_end, agreed::INTEGER AS matching
 FROM found JOIN i USING (i) JOIN d USING (d)"""
 
-ORACLES = {"op6_sharding": SHARDING, "op7_warc": WARC, "op9_decontaminate": DECONTAMINATE, "op12_conversations": CONVERSATIONS, "op13_manifest": MANIFEST}
+#: The five multipliers of XXH64 (fixed values).
+_P1, _P2, _P3, _P4, _P5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261
+
+
+def _mod(x: str) -> str:
+    """A sum or product of 64-bit numbers, held in 128 bits, as 64 bits."""
+    return f"(({x}) % {_MASK64})"
+
+
+def _turned(x: str, bits: int) -> str:
+    """A 64-bit number turned left."""
+    return f"(({x} * {1 << bits}::UHUGEINT) % {_MASK64} + {x} // {1 << (64 - bits)}::UHUGEINT)"
+
+
+def _round(acc: str, lane: str) -> str:
+    return _mod(f"{_turned(_mod(f'{acc} + {lane} * {_P2}::UHUGEINT % {_MASK64}'), 31)} * {_P1}::UHUGEINT")
+
+
+def _lane(at: str, size: int) -> str:
+    """Little-endian number at a byte of ``swapped``, the text's hex digits with those of each byte exchanged."""
+    return f"('0x' || reverse(substr(swapped, 2 * ({at}) + 1, {2 * size})))::UBIGINT::UHUGEINT"
+
+
+def _stripes(k: int, start: int) -> str:
+    lanes = f"list_transform(range(size // 32), lambda s: {_lane(f'32 * s + {8 * k}', 8)})"
+    return f"list_reduce({lanes}, lambda v, x: {_round('v', 'x')}, {start % 2**64}::UHUGEINT)"
+
+
+def _xxh64(rows: str, seed: int) -> str:
+    """Query of (shingle, h) over ``rows`` (shingle): unsigned XXH64 of its UTF-8 bytes."""
+    def eights(h, x):
+        return _mod(f"{_turned(f'xor({h}, {_round("0::UHUGEINT", x)})', 27)} * {_P1}::UHUGEINT + {_P4}::UHUGEINT")
+
+    merged = "h0"
+    steps = [f"SELECT *, {_mod(' + '.join(_turned(f'v{k}', r) for k, r in enumerate((1, 7, 12, 18))))} AS m0 FROM v"]
+    for k in range(4):
+        steps.append(f"SELECT *, {_mod(f'xor(m{k}, {_round("0::UHUGEINT", f"v{k}")}) * {_P1}::UHUGEINT + {_P4}::UHUGEINT')} AS m{k + 1} FROM ({steps[-1]})")
+    start = f"CASE WHEN size >= 32 THEN m4 ELSE {(seed + _P5) % 2**64}::UHUGEINT END + size::UHUGEINT"
+    steps.append(f"SELECT *, {_mod(start)} AS {merged} FROM ({steps[-1]})")
+    by_eight = f"list_transform(range(size % 32 // 8), lambda s: {_lane('size // 32 * 32 + 8 * s', 8)})"
+    steps.append(f"SELECT *, list_reduce({by_eight}, lambda h, x: {eights('h', 'x')}, h0) AS h1 FROM ({steps[-1]})")
+    four = _mod(f"{_turned(_mod(f'xor(h1, {_lane("size // 8 * 8", 4)} * {_P1}::UHUGEINT % {_MASK64})'), 23)} * {_P2}::UHUGEINT + {_P3}::UHUGEINT")
+    steps.append(f"SELECT *, CASE WHEN size % 8 >= 4 THEN {four} ELSE h1 END AS h2 FROM ({steps[-1]})")
+    one = _mod(f"{_turned(f'xor(h, x * {_P5}::UHUGEINT % {_MASK64})', 11)} * {_P1}::UHUGEINT")
+    steps.append(f"SELECT *, list_reduce(list_transform(range(size % 4), lambda s: {_lane('size // 4 * 4 + s', 1)}), lambda h, x: {one}, h2) AS h3 FROM ({steps[-1]})")
+    steps.append(f"SELECT *, {_mod(f'xor(h3, h3 >> 33) * {_P2}::UHUGEINT')} AS h4 FROM ({steps[-1]})")
+    steps.append(f"SELECT *, {_mod(f'xor(h4, h4 >> 29) * {_P3}::UHUGEINT')} AS h5 FROM ({steps[-1]})")
+    starts = (seed + _P1 + _P2, seed + _P2, seed, seed - _P1)
+    held = ", ".join(f"{_stripes(k, x)} AS v{k}" for k, x in enumerate(starts))
+    return f"""WITH b AS (SELECT shingle, strlen(shingle) AS size, regexp_replace(hex(encode(shingle)), '(.)(.)', '\\2\\1', 'g') AS swapped FROM {rows}),
+  v AS (SELECT *, {held} FROM b)
+  SELECT shingle, xor(h5, h5 >> 32)::UBIGINT AS h FROM ({steps[-1]})"""
+
+
+#: All pairs of distinct fingerprints are compared, and links followed until nothing new is reached.
+SIMHASH = rf"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), o AS (
+  SELECT row, unnest(list_transform(range(greatest(1, len(words) - {simhash.SHINGLE - 1})), lambda i: array_to_string(words[i + 1:i + {simhash.SHINGLE}], ' '))) AS shingle
+  FROM w WHERE len(words) > 0
+), x AS (SELECT DISTINCT shingle FROM o), hashed AS ({_xxh64("x", simhash.SEED)}),
+ones AS (SELECT row, count(*) AS n, {", ".join(f"sum((h >> {k}) & 1) AS b{k}" for k in range(64))} FROM o JOIN hashed USING (shingle) GROUP BY row),
+f AS (SELECT doc_id, coalesce({" + ".join(f"CASE WHEN 2 * b{k} > n THEN {1 << k}::UBIGINT ELSE 0::UBIGINT END" for k in range(64))}, 0::UBIGINT)::UBIGINT AS fp FROM w LEFT JOIN ones USING (row)),
+g AS (SELECT fp, min(doc_id) AS lowest FROM f GROUP BY fp),
+near AS (SELECT a.fp AS a, b.fp AS b FROM g a JOIN g b ON bit_count(xor(a.fp, b.fp)) <= {simhash.MAX_BITS}),
+reach AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON n.a = r.b),
+named AS (SELECT r.a AS fp, min(g.lowest) AS component_id FROM reach r JOIN g ON g.fp = r.b GROUP BY r.a)
+SELECT f.doc_id, lower(lpad(to_base((fp >> 32)::BIGINT, 16, 8) || to_base((fp & 4294967295)::BIGINT, 16, 8), 16, '0')) AS fingerprint, named.component_id
+FROM f JOIN named USING (fp)"""
+
+ORACLES = {"op2_simhash": SIMHASH, "op6_sharding": SHARDING, "op7_warc": WARC, "op9_decontaminate": DECONTAMINATE, "op12_conversations": CONVERSATIONS, "op13_manifest": MANIFEST}
 
 __all__ = ["ORACLES"]
