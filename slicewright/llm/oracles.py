@@ -6,7 +6,7 @@ steps, ``_crc32`` folds a list of bytes.
 
 from __future__ import annotations
 
-from . import sharding, simhash
+from . import fingerprint, sharding, simhash
 
 _CRC_TABLE = """crc AS (
   SELECT list(list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT) ORDER BY i) AS steps
@@ -286,6 +286,47 @@ named AS (SELECT r.a AS fp, min(g.lowest) AS component_id FROM reach r JOIN g ON
 SELECT f.doc_id, lower(lpad(to_base((fp >> 32)::BIGINT, 16, 8) || to_base((fp & 4294967295)::BIGINT, 16, 8), 16, '0')) AS fingerprint, named.component_id
 FROM f JOIN named USING (fp)"""
 
-ORACLES = {"op2_simhash": SIMHASH, "op6_sharding": SHARDING, "op7_warc": WARC, "op9_decontaminate": DECONTAMINATE, "op12_conversations": CONVERSATIONS, "op13_manifest": MANIFEST}
+def _shingle_hash(words: list[str], rows: str) -> str:
+    """Query that adds ``h``, the 32-bit hash of a shingle, to rows that hold its words' hashes, NULL where it is shorter."""
+    out = f"SELECT *, 0::UHUGEINT AS y0 FROM {rows}"
+    for k, w in enumerate(words):
+        out = f"SELECT *, {_mod(f'xor(y{k}, {w}::UHUGEINT) * {int(fingerprint._STEP)}::UHUGEINT')} AS z{k} FROM ({out})"
+        out = f"SELECT *, CASE WHEN {w} IS NULL THEN y{k} ELSE xor(z{k}, z{k} >> 29) END AS y{k + 1} FROM ({out})"
+    last = f"y{len(words)}"
+    out = f"SELECT *, {_mod(f'xor({last}, {last} >> 32) * 13787848793156543929::UHUGEINT')} AS last FROM ({out})"
+    return f"SELECT *, (xor(last, last >> 31) >> 32)::BIGINT AS h FROM ({out})"
+
+
+def _likeness(a: str, b: str, of: str) -> str:
+    both = f"len(list_intersect({a}, {b}))"
+    total = f"len({a}) + len({b}) - {both}" if of == "both" else f"len({a})"
+    return f"CASE WHEN {total} = 0 THEN 1.0::DOUBLE ELSE {both}::DOUBLE / ({total}) END"
+
+
+_WORDS = [f"w{k}" for k in range(fingerprint.SHINGLE)]
+
+FINGERPRINTS = rf"""
+WITH d AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS row, count(*) OVER () AS n
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+), e AS (
+  SELECT d.*, d.row % d.n + 1 AS after, left(d.text, length(d.text) - length(d.text) // 4) || left(x.text, length(d.text) // 4) AS edited
+  FROM d JOIN d x ON x.row = d.row % d.n + 1
+), t AS (
+  SELECT row, kind, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS words
+  FROM (SELECT row, 0 AS kind, text FROM e UNION ALL SELECT row, 1, edited FROM e)
+), u AS (SELECT row, kind, len(words) AS size, unnest(range(len(words))) AS pos, unnest(words) AS shingle FROM t),
+x AS (SELECT DISTINCT shingle FROM u), hashed AS ({_xxh64("x", 0)}),
+q AS (
+  SELECT row, kind, size, pos, h AS w0, {", ".join(f"lead(h, {k}) OVER q AS w{k}" for k in range(1, fingerprint.SHINGLE))}
+  FROM u JOIN hashed USING (shingle) WINDOW q AS (PARTITION BY row, kind ORDER BY pos)
+), c AS (SELECT DISTINCT row, kind, h FROM ({_shingle_hash(_WORDS, f"(SELECT * FROM q WHERE pos <= greatest(0, size - {fingerprint.SHINGLE}))")})),
+k AS (SELECT row, kind, list(h ORDER BY h) AS hashes FROM c WHERE h < {2**32 // fingerprint.SCALE} GROUP BY row, kind),
+s AS (SELECT t.row, t.kind, coalesce(k.hashes, []) AS hashes, coalesce(array_to_string(list_transform(k.hashes, lambda h: lower(to_base(h, 16, 8))), ''), '') AS hex FROM t LEFT JOIN k USING (row, kind))
+SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256, a.hex AS fingerprint, b.hex AS edited_fingerprint,
+       {_likeness("a.hashes", "b.hashes", "both")} AS near_edited, {_likeness("a.hashes", "c.hashes", "both")} AS near_next, {_likeness("a.hashes", "c.hashes", "a")} AS held_by_next
+FROM e JOIN s a ON a.row = e.row AND a.kind = 0 JOIN s b ON b.row = e.row AND b.kind = 1 JOIN s c ON c.row = e.after AND c.kind = 0"""
+
+ORACLES = {"op2_simhash": SIMHASH, "op6_sharding": SHARDING, "op7_warc": WARC, "op8_fingerprint": FINGERPRINTS, "op9_decontaminate": DECONTAMINATE, "op12_conversations": CONVERSATIONS, "op13_manifest": MANIFEST}
 
 __all__ = ["ORACLES"]
