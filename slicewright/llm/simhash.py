@@ -17,10 +17,14 @@ both, and at most 65 distinct fingerprints lie around a value.
 Links become components by alternating large-star and small-star steps, each
 written to the checkpoint folder.
 
+Keys that hold much of a table (copies of one text, a long posting list, the
+hub of a large component) are counted first and their rows dealt over salts,
+so no join sees them in one task.
+
 Defined results: NULL text is the empty text (fingerprint zero, linked like
 any other); NULL ids never name a component unless all its ids are NULL;
-repeated rows keep their number; an empty table gives no rows; extra columns
-are ignored.
+repeated rows keep their number; a very long text is hashed whole, in blocks of
+shingles; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .hot import at_every_salt, dealt, hot_keys
+
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 #: Posting lists up to this length are compared directly; longer ones take the exact way round.
 LIST_MOST = 64
@@ -90,15 +96,24 @@ def _forest(values: list[int], max_bits: int) -> list[tuple[int, int]]:
     return links
 
 
+def _met(rows: DataFrame, partners: DataFrame, key: str, by: list[str], total: int) -> DataFrame:
+    """``rows`` with the partner of their ``key``; ``partners`` has one row a key, with the number ``n`` of its rows."""
+    hot = hot_keys(partners, key, total)
+    return dealt(rows, key, hot, by).join(at_every_salt(partners.drop("n"), key, hot), [key, "salt"]).drop("salt")
+
+
 def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): links that connect exactly the distinct fingerprints ``fp`` within ``max_bits`` (at most 2)."""
     if not 0 <= max_bits <= 2:
         raise ValueError("the index guarantees matches for at most 2 differing bits")
     pairs = list(combinations(range(4), 2))
     keys = F.array(*(F.struct(F.lit(k).alias("choice"), _bytes(F.col("fp"), (2 * a, 2 * a + 1, 2 * b, 2 * b + 1)).alias("key")) for k, (a, b) in enumerate(pairs)))
-    posted = nodes.select("fp", F.explode(keys).alias("p")).select("p.choice", "p.key", "fp")
+    posting = F.xxhash64("choice", "key")  # names a list where salts are dealt
+    posted = nodes.select("fp", F.explode(keys).alias("p")).select("p.choice", "p.key", "fp").withColumn("posting", posting)
     sizes = posted.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n > 1")
-    listed = posted.join(sizes, ["choice", "key"])
+    hot = hot_keys(sizes.withColumn("posting", posting), "posting", nodes.count())
+    at = at_every_salt(sizes.withColumn("posting", posting), "posting", hot)
+    listed = dealt(posted, "posting", hot, ["fp"]).join(at.drop("posting"), ["choice", "key", "salt"])
 
     @F.pandas_udf("array<struct<a:long,b:long>>")
     def forest(lists: pd.Series) -> pd.Series:
@@ -123,11 +138,11 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     """(node, root): for every node of ``edges`` (a, b) the smallest node that it reaches."""
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, size: int) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v"))
         both = both.union(both.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        met = both.join(least, "u")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        met = _met(both, least, "u", ["v"], size)
         out = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")) if large else met.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
         return out.where("a != b").distinct()
 
@@ -139,7 +154,7 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     for _ in range(most_rounds):
         if not before[0]:
             break
-        edges = star(star(edges, True), False).checkpoint()
+        edges = star(star(edges, True, 2 * before[0]), False, before[0]).checkpoint()
         now = mark(edges)
         if now == before:
             break
@@ -152,13 +167,15 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable) of every row."""
     rows = fingerprints(docs, id_col, text_col, shingle).checkpoint()
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("lowest"))
+    total = rows.count()
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("n"))
     found = components(links(nodes.select("fp"), max_bits))
     rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
-    # only fingerprints with a link need the second step; the others name themselves
-    linked = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(linked, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"), F.count("*").alias("n"))
+    linked = _met(rooted.select("fp", "root", F.col("n").alias("rows")), named, "root", ["fp"], total).select("fp", "component_id", F.col("rows").alias("n"))
+    # rows that share a fingerprint differ by nothing but their id: NULL ids are dealt by a number of their own
+    numbered = rows.withColumn("dealt_by", F.monotonically_increasing_id())
+    return _met(numbered, linked, "fp", ["dealt_by"], total).select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:

@@ -2,7 +2,7 @@ import random
 
 import xxhash
 
-from slicewright.llm import simhash
+from slicewright.llm import hot, simhash
 
 
 def brute_fingerprint(text):
@@ -77,3 +77,24 @@ def test_links_through_long_lists(spark, monkeypatch):
             for f in fps:
                 groups.setdefault(root.get(f, f), []).append(f)
             assert {f: min(g) for g in groups.values() for f in g} == dict(zip(fps, want)), (bits, most)
+
+
+def test_hot_keys_are_dealt_over_salts(spark, monkeypatch):
+    """Copies of one text, one long posting list and the hub of a star, all counted as hot: the same components."""
+    monkeypatch.setattr(hot, "LEAST_HOT", 3)
+    monkeypatch.setattr(hot, "HOT", 10)
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(40)]
+    many = " ".join(words)
+    texts = [many] * 120 + [None] * 60 + [" ".join(rng.sample(words, 12)) for _ in range(60)]
+    ids = list(range(200)) + [None] * 5 + [7] * 35
+    fps = [brute_fingerprint(t) for t in texts]
+    rows = simhash.near_duplicates(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(4)).collect()
+    order = lambda x: tuple((v is not None, v) for v in x)
+    got = sorted(((r["doc_id"], r["fp"] % 2**64, r["component_id"]) for r in rows), key=order)
+    assert got == sorted(zip(ids, fps, brute_components(ids, fps)), key=order)
+    core = rng.getrandbits(63)
+    star = sorted({core} | {core ^ 1 << a ^ 1 << b for a in range(16) for b in range(a)})
+    nodes = spark.createDataFrame([(f,) for f in star], "fp long")
+    found = simhash.components(simhash.links(nodes)).collect()
+    assert {r["node"] for r in found} | {min(star)} == set(star) and {r["root"] for r in found} == {min(star)}
