@@ -32,13 +32,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", F.col("__lines_removed").alias("lines_removed"))
+    cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", F.col(cleaned.columns[-1]).alias("lines_removed"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probability of every document, and whether the classifier selects it."""
     docs = _table(spark, sf_dir, "documents")
-    rated = quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels"))).select("doc_id", "__rated.expected_grade", "__rated.tail_probability")
+    scored = quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+    rated = scored.select("doc_id", *(F.col(scored.columns[-1])[c].alias(c) for c in ("expected_grade", "tail_probability")))
     return rated.withColumn("selected", F.col("tail_probability") >= quality.SELECTED)
 
 

@@ -1,0 +1,27 @@
+"""Queries give the same rows whatever other columns their tables have."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from slicewright.llm import queries
+
+#: Names that operators use for their own columns or results, and names that need quoting.
+TAKEN = ["__rated", "__lines_removed", "__keep", "salt", "posting", "expected_grade", "tail_probability", "selected", "lines_removed", "component_id", "score", "lang_pred",
+         "held_out", "sequence_id", "start", "length", "offset", "spans", "kind", "term", "word", "weight", "label_id", "grade", "row_id", "text_hash", "kept", "mask", "a.b", "we`ird"]
+
+
+@pytest.fixture(scope="module")
+def folders_of_tables(spark, edge_docs, tmp_path_factory):
+    plain, wide = (tmp_path_factory.mktemp(n) for n in ("plain", "wide"))
+    labels = spark.createDataFrame([(k, k % 2, k % 3 // 2) for k in range(100, 125)] + [(None, 1, 0), (5, None, None)], "doc_id long, quality int, toxic int")
+    for name, df in (("documents", edge_docs.select("doc_id", "text", "lang", "source", "n_chars")), ("labels", labels)):
+        df.write.parquet(f"{plain}/{name}.parquet")
+        spark.read.parquet(f"{plain}/{name}.parquet").select("*", *(F.lit(k if k % 2 else "x").alias(n) for k, n in enumerate(TAKEN))).write.parquet(f"{wide}/{name}.parquet")
+    return str(plain), str(wide)
+
+
+@pytest.mark.parametrize("name", ["op1_packing", "op3_line_dedup", "op4_quality", "op5_lm_score", "op10_pii", "op11_language"])
+def test_other_columns_change_nothing(spark, folders_of_tables, name):
+    plain, wide = (queries.QUERIES[name](spark, folder) for folder in folders_of_tables)
+    assert plain.columns == wide.columns
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, wide.collect()))
