@@ -14,8 +14,9 @@ bit mask, and the masks meet the texts once.
 Defined results: blank lines (spaces, tabs and carriage returns only) are
 never boilerplate and always stay; lines are compared without such characters
 at their ends; NULL text is the empty text; a NULL source is no site; a NULL
-id never is the smallest; repeated rows are each cleaned; an empty table gives
-no rows; extra columns are kept.
+id never is the smallest; repeated rows are each cleaned; a very long text is
+read whole, its lines dealt like any others and its mask a bit a line; an empty
+table gives no rows; extra columns are kept.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ rows are cut further, in proportion to their rows, until none does.  Row
 numbers are the slice's offset plus the rank within the slice; parts are runs
 of slices with about the same number of rows.  Both depend on the rows alone,
 not on files, splits or the cluster, so a rerun after a lost executor gives
-the same numbers.  Rows that share one id stay together.
+the same numbers.  Rows that share one id stay in one part; they are numbered
+in pieces if they are much of the table.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 GRAIN = 16_384
 #: A slice with more rows than this, and than 16 times the average, is cut further, at most so many times.
 MANY, LEVELS = 10_000, 6
+#: A single id with more than one row in so many is ranked in ``PIECES`` pieces: at most ``GRAIN`` counters in all.
+HOT_ID, PIECES = 64, 256
 
 
 #: Stands for a NULL id where ids are compared; NULL ids come first.
@@ -84,15 +87,26 @@ class IdSlices:
             F.array(*map(F.lit, steps)), F.lit(0),
             lambda at, step: F.when(F.coalesce(F.get(starts, at + step - 1) <= c, F.lit(False)), at + step).otherwise(at)))
 
-    def numbered(self, df: DataFrame, id_col: str, ties: list[str], name: str) -> DataFrame:
+    def numbered(self, df: DataFrame, id_col: str, ties: list[str], name: str, piece: Column | None = None) -> DataFrame:
         """``df`` with its row number 0.. by ascending id, then ``ties``, as ``name``.
 
         Rows equal in the id and all ``ties`` are interchangeable.  A slice is
-        ranked in one task, so give only the columns that are needed.
+        ranked in one task, so give only the columns that are needed.  ``piece``
+        (0 to ``PIECES`` - 1, never falling as the ``ties`` ascend) cuts the rows
+        of an id that holds much of the table, or of NULL, into several tasks.
         """
-        slice_ = self.of(id_col)
-        rank = F.row_number().over(Window.partitionBy(slice_).orderBy(F.col(id_col).asc_nulls_first(), *ties))
-        return df.withColumn(name, element(self.offsets, slice_) + rank - 1)
+        slice_, order = self.of(id_col), [F.col(id_col).asc_nulls_first(), *ties]
+        many = max(MANY, self.rows // HOT_ID)
+        hot = [k for k, (n, a, b) in enumerate(zip(self.counts, self.firsts, self.lasts)) if n > many and a == b]
+        if piece is None or not hot:
+            return df.withColumn(name, element(self.offsets, slice_) + F.row_number().over(Window.partitionBy(slice_).orderBy(*order)) - 1)
+        part = F.when(slice_.isin(hot), piece).otherwise(0)
+        found = df.where(slice_.isin(hot)).groupBy(slice_.alias("slice"), piece.alias("piece")).agg(F.count("*").alias("n")).collect()
+        counts = {(r["slice"], r["piece"]): r["n"] for r in found}
+        before = [b for k in hot for b in accumulate((counts.get((k, j), 0) for j in range(PIECES - 1)), initial=0)]
+        at = F.array_position(F.array(*map(F.lit, hot)), slice_).cast("int")  # from 1; 0 for the other slices
+        earlier = F.when(at > 0, element(before, (at - 1) * PIECES + part)).otherwise(0)
+        return df.withColumn(name, element(self.offsets, slice_) + earlier + F.row_number().over(Window.partitionBy(slice_, part).orderBy(*order)) - 1)
 
     def parts(self, n: int) -> tuple[list[int], list[int]]:
         """Part 0.. of each slice, for at most about ``n`` parts of near-equal rows, and each part's first id."""

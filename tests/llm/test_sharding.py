@@ -58,3 +58,19 @@ def test_clustered_ids_are_cut_into_even_slices(spark, monkeypatch):
     assert [r["doc_id"] for r in got] == sorted(ids, key=lambda i: (i is not None, i))
     of_slice, heads = slices.parts(8)
     assert len(of_slice) == len(slices.counts) and heads == sorted(heads) and len(heads) >= 6
+
+
+def test_rows_of_one_id_are_numbered_in_pieces(spark, monkeypatch):
+    """Many rows without an id, many of one id, with repeated rows: the numbers of a plain sort."""
+    from slicewright.llm import order
+
+    docs = [(None, f"t{k % 90}") for k in range(200)] + [(7, f"u{k}") for k in range(150)] + [(k, None) for k in range(100)] + [(7, None), (None, "")]
+    plain = {(r["doc_id"], r["text_crc32"], r["row_number"]) for r in sharding.shard(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    monkeypatch.setattr(order, "MANY", 20)
+    asked = []
+    element = order.element
+    monkeypatch.setattr(order, "element", lambda values, index: asked.append(len(values)) or element(values, index))
+    got = {(r["doc_id"], r["text_crc32"], r["row_number"]) for r in sharding.shard(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()}
+    want = sorted(((i, zlib.crc32((t or "").encode())) for i, t in docs), key=lambda r: (r[0] is not None, r[0], r[1]) if r[0] is not None else (False, 0, r[1]))
+    assert got == plain == {(i, c, k) for k, (i, c) in enumerate(want)}
+    assert 2 * order.PIECES in asked  # NULL and 7
