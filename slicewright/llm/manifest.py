@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .order import IdSlices
+from .order import PIECES, IdSlices
 from .scratch import written
 
 FAN, HEIGHT = 8, 4
@@ -113,17 +113,20 @@ def leaf(fields: list[Column]) -> Column:
     return F.sha2(F.concat(*(F.when(c.isNull(), "-").otherwise(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c)) for c in texts)), 256)
 
 
-def numbered(rows: DataFrame, id_col: str, tree_col: str, ties: list[str]) -> DataFrame:
+def numbered(rows: DataFrame, id_col: str, tree_col: str, ties: list[str], piece: Column) -> DataFrame:
     """``rows`` with ``idx``, the place by ascending id within the row's tree, and ``n``, the tree's number of leaves.
 
     Ids are cut into slices, a tree's rows are counted by slice, and a row's
     place is its slice's offset plus its rank there.  Offsets are added up in
     two steps (runs of slices, slices of a run), so a tree that holds most
-    rows gives no task more than a few hundred counts.
+    rows gives no task more than a few hundred counts.  ``piece`` (0 to
+    ``PIECES`` - 1, never falling as the ``ties`` ascend) cuts the slice of an
+    id, or of NULL, that holds much of the table.
     """
     slices = IdSlices(rows, id_col)
-    cut = rows.withColumn("slice", slices.of(id_col))
-    counts = cut.groupBy(tree_col, "slice").agg(F.count("*").alias("rows")).withColumn("run", F.expr(f"slice div {SLICES}"))
+    of, hot = slices.of(id_col).cast("long"), slices.hot()
+    cut = rows.withColumn("slice", of * PIECES + (F.when(of.isin(hot), piece).otherwise(0) if hot else F.lit(0)))
+    counts = cut.groupBy(tree_col, "slice").agg(F.count("*").alias("rows")).withColumn("run", F.expr(f"slice div {SLICES * PIECES}"))
     whole, before = Window.partitionBy(tree_col), lambda w: F.coalesce(F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     runs = counts.groupBy(tree_col, "run").agg(F.sum("rows").alias("rows")).select(tree_col, "run", before(whole.orderBy("run")).alias("begin"), F.sum("rows").over(whole).alias("n"))
     inside = counts.withColumn("offset", before(Window.partitionBy(tree_col, "run").orderBy("slice"))).drop("rows")
@@ -210,7 +213,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", tree_col: str = "lang", te
         leaf([F.col(f) for f in fields]).alias("digest"),
         F.when(hit, leaf([lowered if f == text_col else F.col(f) for f in fields])).alias("tampered"),
     )
-    leaves = written(numbered(written(rows), "doc_id", "tree", ["digest"]))
+    leaves = written(numbered(written(rows), "doc_id", "tree", ["digest"], F.conv(F.left("digest", F.lit(2)), 16, 10).cast("int")))
     rounds, subroots = build(leaves, at_once)
     of_all = Window.orderBy("tree")  # one row a language
     tops = subroots.select(F.lit("").alias("tree"), (F.row_number().over(of_all) - 1).cast("long").alias("idx"), F.col("root").alias("digest"), F.col("tree").alias("of"))

@@ -87,6 +87,11 @@ class IdSlices:
             F.array(*map(F.lit, steps)), F.lit(0),
             lambda at, step: F.when(F.coalesce(F.get(starts, at + step - 1) <= c, F.lit(False)), at + step).otherwise(at)))
 
+    def hot(self) -> list[int]:
+        """Slices of a single id, or of NULL, that hold much of the table: at most ``HOT_ID``."""
+        many = max(MANY, self.rows // HOT_ID)
+        return [k for k, (n, a, b) in enumerate(zip(self.counts, self.firsts, self.lasts)) if n > many and a == b]
+
     def numbered(self, df: DataFrame, id_col: str, ties: list[str], name: str, piece: Column | None = None) -> DataFrame:
         """``df`` with its row number 0.. by ascending id, then ``ties``, as ``name``.
 
@@ -96,8 +101,7 @@ class IdSlices:
         of an id that holds much of the table, or of NULL, into several tasks.
         """
         slice_, order = self.of(id_col), [F.col(id_col).asc_nulls_first(), *ties]
-        many = max(MANY, self.rows // HOT_ID)
-        hot = [k for k, (n, a, b) in enumerate(zip(self.counts, self.firsts, self.lasts)) if n > many and a == b]
+        hot = self.hot()
         if piece is None or not hot:
             return df.withColumn(name, element(self.offsets, slice_) + F.row_number().over(Window.partitionBy(slice_).orderBy(*order)) - 1)
         part = F.when(slice_.isin(hot), piece).otherwise(0)
@@ -125,4 +129,4 @@ def element(values: list[int], index: Column) -> Column:
     return F.get(F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>"), index)
 
 
-__all__ = ["GRAIN", "NO_ID", "IdSlices", "element"]
+__all__ = ["GRAIN", "NO_ID", "PIECES", "IdSlices", "element"]

@@ -110,3 +110,14 @@ def test_log_rows_are_one_postorder_log_a_tree(spark):
     assert [r["digest"] for r in rows if r["tree"] == "t"] == manifest.append(leaves, manifest.height(n))
     assert [r["position"] for r in rows if r["tree"] == "t"] == list(range(len(rows) - 1))
     assert {r["tree"]: r["root"] for r in roots.collect()} == {"t": rows[-2]["digest"], "u": H("u")}
+
+
+def test_ids_that_hold_much_of_the_table(spark, monkeypatch):
+    """Many rows without an id, many of one id, over two trees: the rows of the plain rule."""
+    from slicewright.llm import order
+
+    rows = [(None, "s", "de", k % 40, f"t{k % 40}") for k in range(90)] + [(7, "s", "en" if k % 3 else "de", k, f"U{k}") for k in range(80)] + [(k, None, "en", 1, None) for k in range(60)]
+    docs = spark.createDataFrame([(i, s, lang, n, t) for i, s, lang, n, t in rows], "doc_id long, source string, lang string, n_chars long, text string").repartition(3)
+    monkeypatch.setattr(order, "MANY", 20)
+    assert len(order.IdSlices(docs, "doc_id").hot()) == 2
+    assert got(manifest.manifest(docs)) == brute(rows)
