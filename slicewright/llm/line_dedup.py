@@ -4,9 +4,10 @@ Every line is known by its hash.  A HyperLogLog sketch of the sites that show
 a line is merged by partial aggregation, so a line that a third of all
 documents share costs one sketch per task.  Lines whose estimate is clear of
 the threshold are decided by it; lines near it (within ``BAND``) get an exact
-distinct count.  Lines on at least ``MIN_SITES`` sites are boilerplate,
-whatever their length.  They are removed everywhere but in the document with
-the smallest id, so that no text vanishes from the corpus.
+distinct count.  Lines on at least ``MIN_SITES`` sites are boilerplate, and so
+are lines of over ``LONG_WORDS`` words on ``LONG_SITES``, which no two sites
+have by chance.  They are removed everywhere but in the document with the
+smallest id, so that no text vanishes from the corpus.
 
 Only hashes are shuffled until the end: a document's removed lines become a
 bit mask, and the masks meet the texts once.
@@ -28,6 +29,8 @@ from .hot import at_every_salt, dealt, hot_keys
 from .scratch import free, quoted, written
 
 MIN_SITES = 3
+#: Passages: a line of so many words needs fewer sites.
+LONG_WORDS, LONG_SITES = 50, 2
 #: log2 of a sketch's registers: a standard error under 2 %.
 LG_REGISTERS = 12
 #: Estimates within this factor of the threshold are counted exactly (many standard errors).
@@ -52,26 +55,26 @@ def _later_copies(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
     return met.where(~F.col("of_id").eqNullSafe(F.col("first_id"))).select("of_id", "of_text").distinct()
 
 
-def spread(lines: DataFrame, least: int = MIN_SITES) -> DataFrame:
-    """(line_hash, first_id, n) of the lines on at least ``least`` sites, from (line_hash, site, id); with text_hash, also the first_text.
+def spread(lines: DataFrame) -> DataFrame:
+    """(line_hash, first_id, n) of the lines on at least their ``least`` sites, from (line_hash, least, site, id); with text_hash, also the first_text.
 
     n counts the line's rows.
     """
     first = ["first_id", "n", *(["first_text"] if "text_hash" in lines.columns else [])]
-    sketched = lines.groupBy("line_hash").agg(F.hll_sketch_agg("site", LG_REGISTERS).alias("sketch"), F.min("id").alias("first_id"), F.count("*").alias("n"), *_first_text(lines))
+    sketched = lines.groupBy("line_hash").agg(F.hll_sketch_agg("site", LG_REGISTERS).alias("sketch"), F.min("id").alias("first_id"), F.count("*").alias("n"), F.min("least").alias("least"), *_first_text(lines))
     # most lines are on clearly fewer sites and end here
-    estimated = written(sketched.select("line_hash", *first, F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") * BAND > least))
-    clear = estimated.where(F.col("sites") > least * BAND).select("line_hash", *first)
-    near = estimated.where(F.col("sites") <= least * BAND).select("line_hash", *first)
+    estimated = written(sketched.select("line_hash", *first, "least", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") * BAND > F.col("least")))
+    clear = estimated.where(F.col("sites") > F.col("least") * BAND).select("line_hash", *first)
+    near = estimated.where(F.col("sites") <= F.col("least") * BAND).select("line_hash", "least", *first)
     hot = hot_keys(near, "line_hash", lines.count())
     of_near = dealt(lines.where("site is not null").select("line_hash", "site", "id"), "line_hash", hot, ["id"]).join(
         at_every_salt(near.select("line_hash"), "line_hash", hot), ["line_hash", "salt"], "left_semi")
     pairs = of_near.select("line_hash", "site").distinct()
-    exact = pairs.groupBy("line_hash").agg(F.count("*").alias("sites")).where(F.col("sites") >= least)
-    return clear.union(near.join(exact, "line_hash", "left_semi"))
+    exact = pairs.groupBy("line_hash").agg(F.count("*").alias("exact_sites"))
+    return clear.union(near.join(exact, "line_hash").where("exact_sites >= least").select("line_hash", *first))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, whole_copies: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, long_words: int = LONG_WORDS, long_sites: int = LONG_SITES, whole_copies: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines removed from the text; a last column, ``__lines_removed``, counts them.
 
     With ``whole_copies``, copies of a whole text count as one document, which
@@ -81,14 +84,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"), F.xxhash64(whole).alias("text_hash"), F.posexplode(_lines(whole)).alias("pos", "line"))
     stripped = keyed.withColumn("line", F.btrim("line", F.lit(" \t\r"))).where("line != ''")
-    lines = written(stripped.select("id", "site", "text_hash", "pos", F.xxhash64("line").alias("line_hash")))  # the texts are split once
+    least = F.when(F.size(F.split("line", "[ \t]+")) > long_words, min(long_sites, min_sites)).otherwise(min_sites)
+    lines = written(stripped.select("id", "site", "text_hash", "pos", F.xxhash64("line").alias("line_hash"), least.alias("least")))  # the texts are split once
     if whole_copies:
         later = written(_later_copies(docs, id_col, whole))
         once = lines.join(later, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_text")), "left_anti")
-        found = spread(once.select("line_hash", "site", "id", "text_hash"), min_sites)
+        found = spread(once.select("line_hash", "least", "site", "id", "text_hash"))
         keeper = F.col("text_hash").eqNullSafe(F.col("first_text")) | (F.col("id").isNull() & F.col("first_id").isNull())
     else:
-        found = spread(lines.select("line_hash", "site", "id"), min_sites)
+        found = spread(lines.select("line_hash", "least", "site", "id"))
         keeper = F.col("id").eqNullSafe(F.col("first_id"))
     found = written(found)
     hot = hot_keys(found, "line_hash", lines.count())
@@ -110,4 +114,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return cleaned.select(*((text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns), removed)
 
 
-__all__ = ["MIN_SITES", "dedup_lines", "spread"]
+__all__ = ["LONG_SITES", "LONG_WORDS", "MIN_SITES", "dedup_lines", "spread"]

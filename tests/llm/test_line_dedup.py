@@ -75,3 +75,26 @@ def test_hot_lines_and_copies(spark):
     docs = spark.createDataFrame(copies, "doc_id long, text string, source string").repartition(4)
     out = {r["text"] for r in line_dedup.dedup_lines(docs, whole_copies=True).where("doc_id < 2000").collect()}
     assert out == {"a whole text\nof two lines"}
+
+
+def test_passages_on_two_sites(spark):
+    """A line of over 50 words is boilerplate on two sites, a shorter one on three."""
+    fifty, passage = " ".join(f"w{k}" for k in range(50)), "\t".join(f"p{k}" for k in range(51))
+    rows = [(1, f"own\n{passage}", "a"), (2, f" {passage}\r\nrest\n{fifty}", "b"), (3, f"{fifty}\nx", "c"), (4, f"{passage} more", "a"), (5, f"{passage} more", "a"), (6, f"{passage} more", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r["doc_id"], r["text"], r["__lines_removed"]) for r in line_dedup.dedup_lines(docs).collect())
+    assert got == [(i, f"rest\n{fifty}" if i == 2 else t, int(i == 2)) for i, t, _ in rows]
+
+
+def test_passages_as_in_the_sql(spark, tmp_path):
+    from slicewright.llm import queries
+
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(1, passage, "a"), (2, f"{passage}\nshort", "b"), (3, "short", "c")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = sorted(con.execute(queries.ORACLES["op3_line_dedup"]).fetchall())
+    assert want == sorted(tuple(r) for r in queries.op3_line_dedup(spark, str(tmp_path)).collect()) and want[1] == (2, "short", 1)
