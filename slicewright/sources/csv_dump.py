@@ -30,12 +30,17 @@ def dump_headers(spark: SparkSession, path: str) -> DataFrame:
     """(header, file) of a landing: the first line of each file, found by the executors.
 
     Rows of a file's first block carry a rising number within their task, so
-    the least one is the header.  No file is opened on the driver; an empty
-    file has no line and is left out.
+    the least one is the header.  Lines are known by their hash until the
+    headers are found: least numbers take a few bytes a file, while texts
+    would have every task sort all its lines.  No file is opened on the
+    driver; an empty file has no line and is left out.
     """
     lines = spark.read.text(path).select(
-        F.regexp_replace("value", "^\ufeff", "").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begins"), F.monotonically_increasing_id().alias("n"))
-    return lines.where("begins = 0").groupBy("file").agg(F.min_by("value", "n").alias("header")).select("header", "file")
+        "value", F.xxhash64("value").alias("line_hash"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begins"), F.monotonically_increasing_id().alias("n"))
+    lines = lines.where("begins = 0")
+    firsts = lines.groupBy("file").agg(F.min_by("line_hash", "n").alias("line_hash"))
+    texts = lines.join(F.broadcast(firsts.select("line_hash").distinct()), "line_hash", "left_semi").select("line_hash", "value").distinct()
+    return firsts.join(F.broadcast(texts), "line_hash").select(F.regexp_replace("value", "^\ufeff", "").alias("header"), "file")
 
 
 def read_csv_dump(spark: SparkSession, path: str, columns=None) -> DataFrame:

@@ -104,3 +104,16 @@ def test_landing_queries_follow_their_input(spark, scratch):
     shutil.copy(few, f"{folder}/orders.parquet")
     spark.catalog.clearCache()
     assert whole > 100 and E.queries()["legacy_geo_monthly"](spark, folder).count() == 100
+
+
+def test_headers_are_found_without_a_sort_of_the_lines(spark, scratch):
+    path = os.path.join(scratch, "d")
+    os.makedirs(path)
+    files = {"a.csv": "x,y\n1,2\nx,y\n3,4\n", "b.csv": "\ufeffx,y\r\n5,6\r\n", "c.csv": "y,x\n8,7\n", "d.csv": "", "e.csv": "1,2\n9,9\n"}
+    for name, text in files.items():
+        with open(os.path.join(path, name), "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+    found = csv_dump.dump_headers(spark, path)
+    assert sorted((r["file"][-5:], r["header"]) for r in found.collect()) == [("a.csv", "x,y"), ("b.csv", "x,y"), ("c.csv", "y,x"), ("e.csv", "1,2")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
