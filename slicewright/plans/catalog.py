@@ -631,11 +631,18 @@ def q_load_log(spark, sf_dir):
     return spark.table(log).select("severity", "report_type", "mode", "slice_start", "slice_end", "rows_written", "null_metric_values", "status", "message")
 
 
+def _copies(spark, counted, piece=100_000):
+    """``n`` rows of each row, numbered in ``copy`` from 1, made in as many tasks as a shuffle has."""
+    pieces = counted.withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {piece})")))
+    dealt = pieces.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *pieces.columns)
+    return dealt.withColumn("copy", F.explode(F.expr(f"sequence(piece * {piece} + 1, least(n, (piece + 1) * {piece}))"))).drop("piece")
+
+
 def q_load_log_coerced(spark, sf_dir):
     """K-13 + X20: per column, how many values of an extract were there and became NULL: an
     inventory extract whose impressions are the number-like texts of every line, one day long."""
     texts = fixtures.numeric_texts(spark, sf_dir)
-    rows = texts.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
+    rows = _copies(spark, texts)
     raw = rows.select(
         F.lit(20240115).cast("bigint").alias("DATE"), F.lit("top").alias("AD_UNIT_NAME_TOP_LEVEL"), F.lit("unit").alias("AD_UNIT_NAME"),
         F.lit("order").alias("ORDER_NAME"), F.lit("Desktop").alias("DEVICE_CATEGORY_NAME"), F.lit("1x1").alias("RENDERED_CREATIVE_SIZE"),

@@ -108,6 +108,40 @@ def overwrite_mode(spark: SparkSession, mode: str | None):
                 spark.conf.set(_OVERWRITE_MODE, old)
 
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+#: Slices that a task may write at once before it sorts the rest of its rows by slice.
+OPEN_SLICES = 32
+_WRITING: dict[SparkSession, int] = {}
+_COUNTED = threading.Lock()
+
+
+@contextmanager
+def open_slices(spark: SparkSession):
+    """Let a task keep ``OPEN_SLICES`` slices open while it writes.
+
+    A prepared batch is clustered, so a task holds few slices: written side by
+    side they need no sort, which would hold all rows of a long day's share in
+    memory.  A number that the session has set itself stays.  Threads share the
+    setting and do not wait for each other.
+    """
+    with _COUNTED:
+        if spark in _WRITING or spark.conf.get(_WRITERS, None) is None:
+            spark.conf.set(_WRITERS, str(OPEN_SLICES))
+            _WRITING[spark] = _WRITING.get(spark, 0) + 1
+            ours = True
+        else:
+            ours = False
+    try:
+        yield
+    finally:
+        with _COUNTED:
+            if ours:
+                _WRITING[spark] -= 1
+                if not _WRITING[spark]:
+                    del _WRITING[spark]
+                    spark.conf.unset(_WRITERS)
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -133,7 +167,7 @@ def _write(df: DataFrame, table: str, overwrite: bool, mode: str | None = None,
     spark = df.sparkSession
     out = df if prepared else prepare(df, table)
     # an append needs no mode, and waits for nobody
-    with overwrite_mode(spark, mode):
+    with overwrite_mode(spark, mode), open_slices(spark):
         out.write.insertInto(table, overwrite=overwrite)
     spark.catalog.refreshTable(table)
 

@@ -68,7 +68,8 @@ def _add(spark: SparkSession, table: str, col: str, folders: dict[str, str], bat
 def write_version(df: DataFrame, table: str, col: str) -> str:
     """The prepared batch in a new version folder, by slice; nothing reads it yet."""
     folder = f"{location(df.sparkSession, table)}/{FOLDER}/{uuid.uuid4().hex}"
-    df.write.partitionBy(col).parquet(folder)
+    with tables.open_slices(df.sparkSession):
+        df.write.partitionBy(col).parquet(folder)
     return folder
 
 

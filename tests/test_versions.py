@@ -148,3 +148,43 @@ def test_empty_batch_changes_nothing(spark, table):
     for mode in ("slice", "range"):
         out = load(spark, table, [], mode=mode, start=DAYS[0], end=DAYS[-1])
         assert out["rows_inserted"] == 0 and content(spark, table) == before
+
+
+@pytest.mark.parametrize("versioned", [True, False])
+def test_slices_are_written_side_by_side_without_a_sort(spark, versioned):
+    """A task sorts no rows of a few long days; with more slices than it may open, the rows are the same."""
+    key, t = "spark.sql.maxConcurrentOutputFileWriters", fresh("fr_open")
+    before = spark.conf.get(key, None)
+    rows = [(D(2024, 1, 1) + dt.timedelta(days=k % 90), f"u{k}", k, 10) for k in range(360)]
+    batch = fr_rows(spark, rows).coalesce(1)
+    jobs.load(spark, "fill_rate", batch, table=t, log_table=None, versioned=versioned)
+    assert content(spark, t) == sorted(r[:3] for r in rows)
+    batch.createOrReplaceTempView("fr_open_batch")
+    insert = f"EXPLAIN INSERT INTO {t} SELECT {', '.join(spark.table(t).columns)} FROM fr_open_batch"
+    with tables.open_slices(spark), tables.open_slices(spark):
+        assert "Sort" not in spark.sql(insert).first()[0]
+    assert "Sort" in spark.sql(insert).first()[0] and spark.conf.get(key, None) == before
+
+
+def test_a_load_writes_with_open_slices(spark, table, monkeypatch):
+    seen, real = [], tables.open_slices
+
+    def opened(session):
+        seen.append(session)
+        return real(session)
+
+    monkeypatch.setattr(tables, "open_slices", opened)
+    for mode in ("slice", "append"):
+        load(spark, table, new_rows(DAYS[:1]), mode=mode)
+    assert len(seen) == 2
+
+
+def test_copies_are_made_in_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from slicewright.plans import catalog
+
+    made = catalog._copies(spark, spark.createDataFrame([("a", 25), (None, 11), ("b", 1), ("c", 10)], "raw_text string, n long").coalesce(1), piece=10)
+    assert made.columns == ["raw_text", "n", "copy"]
+    assert sorted((r["raw_text"] or "", r["n"], r["copy"]) for r in made.collect()) == sorted((t, n, k) for t, n in (("a", 25), ("", 11), ("b", 1), ("c", 10)) for k in range(1, n + 1))
+    assert made.select(F.spark_partition_id()).distinct().count() > 1
